@@ -1,10 +1,12 @@
 """Queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import exact_dedup, sharding
+from . import exact_dedup, media, packing, sharding
 
 QUERIES = {
+    "op3_media_columns": media.op3_media_columns,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_sharding": sharding.op7_sharding,
+    "op9_packing": packing.op9_packing,
 }
 
 ORACLES = {"op6_exact_dedup": exact_dedup.ORACLE}

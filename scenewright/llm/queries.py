@@ -1,9 +1,10 @@
 """Queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import exact_dedup, media, packing, sharding
+from . import exact_dedup, media, near_dedup, packing, sharding
 
 QUERIES = {
     "op3_media_columns": media.op3_media_columns,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_sharding": sharding.op7_sharding,
     "op9_packing": packing.op9_packing,

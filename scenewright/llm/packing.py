@@ -16,6 +16,7 @@ repeated rows and null ids are packed as rows of their own; an empty table gives
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
+from .memo import worker_memory
 
 WINDOW = 2048
 END_ID = 1
@@ -32,8 +34,90 @@ END_ID = 1
 SLACK = 12
 #: Documents of one length are ranked in so many parts.
 PARTS = 64
-#: Words whose ids a task remembers at most.
-REMEMBERED = 400_000
+#: Words, and words without closing punctuation, whose ids a Python worker remembers at most.
+WORDS_KEPT, STEMS_KEPT = 700_000, 500_000
+
+
+class WordIds:
+    """Ids of white-space-separated words, each as little-endian 32-bit numbers.
+
+    A word of letters alone is one unit of the tokenizer, whose last id is a word end; such
+    words are encoded many at a time, and closing punctuation apart from them. All others,
+    and any batch whose word ends do not add up, are encoded word by word.
+    """
+
+    CLOSING = ".,;:!?$%&*#"
+
+    def __init__(self, path: str | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        if path is None:
+            import public_tokenizers
+
+            path = public_tokenizers.path("word_bpe_49k.json")
+        memory = worker_memory(f"word ids of {path}")
+        if "model" not in memory:
+            model = memory["model"] = Tokenizer.from_file(path)
+            ends = memory["ends"] = np.zeros(model.get_vocab_size(), bool)
+            for token, i in model.get_vocab().items():
+                ends[i] = token.endswith("</w>")
+        self.model, self.ends = memory["model"], memory["ends"]
+        self.known: dict[bytes, bytes] = memory.setdefault("words", {})
+        self.stems: dict[str, bytes] = memory.setdefault("stems", {})
+
+    def one_by_one(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+
+    def together(self, words: list[str]) -> list[bytes]:
+        """words: of letters only."""
+        ids = np.array(self.model.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        stop = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(stop) != len(words) or not len(stop) or stop[-1] != 4 * len(ids):
+            return self.one_by_one(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The memory, with all of words in it."""
+        known, stems = self.known, self.stems
+        new = words.difference(known)
+        if len(known) + len(new) > WORDS_KEPT:
+            known.clear()
+            new = words
+        if len(stems) + len(new) > STEMS_KEPT:
+            stems.clear()
+        plain, odd, missing, tails = [], [], set(), set()
+        for w in new:
+            text = w.decode("utf-8")
+            stem = text.rstrip(self.CLOSING)
+            if stem.isalpha():
+                if stem.isascii():
+                    stem = stem.lower()
+                tail = text[len(stem) :]
+                plain.append((w, stem, tail))
+                if stem not in stems:
+                    missing.add(stem)
+                if tail and tail not in stems:
+                    tails.add(tail)
+            else:
+                odd.append(w)
+        wide = [x for x in missing if not x.isascii()]
+        for k in range(0, len(wide), 10_000):
+            stems.update(zip(wide[k : k + 10_000], self.together(wide[k : k + 10_000]), strict=True))
+        bare, pack_ids = self.model.model.tokenize, struct.Struct
+        for x in missing.difference(wide):  # lower-case ASCII letters need neither normalising nor splitting
+            ids = [t.id for t in bare(x)]
+            stems[x] = pack_ids(f"<{len(ids)}I").pack(*ids)
+        tails = list(tails)
+        stems.update(zip(tails, self.one_by_one(tails), strict=True))
+        stems[""] = b""
+        for w, stem, tail in plain:
+            known[w] = stems[stem] + stems[tail]
+        for k in range(0, len(odd), 10_000):
+            part = odd[k : k + 10_000]
+            known.update(zip(part, self.one_by_one([w.decode("utf-8") for w in part]), strict=True))
+        return known
 
 
 def tokenised(docs: DataFrame, *, tokenizer: str | None = None, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -45,33 +129,16 @@ def tokenised(docs: DataFrame, *, tokenizer: str | None = None, window: int = WI
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        if tokenizer is None:
-            import public_tokenizers
-
-            model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-        else:
-            model = Tokenizer.from_file(tokenizer)
-        known: dict[bytes, bytes] = {}
+        ids_of = WordIds(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                split = [(t or "").encode("utf-8", "replace").split() for t in batch["text"].iloc[at : at + 500]]
-                new = set().union(*split).difference(known)
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = set().union(*split)
-                new = list(new)
-                for k in range(0, len(new), 10_000):
-                    part = new[k : k + 10_000]
-                    for w, e in zip(part, model.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False), strict=True):
-                        known[w] = np.array(e.ids, "<u4").tobytes()
+            for at in range(0, len(batch), 1000):
+                split = [(t or "").encode("utf-8", "replace").split() for t in batch["text"].iloc[at : at + 1000]]
+                known = ids_of.learn(set().union(*split))
                 ids = [b"".join(map(known.__getitem__, words)) + end for words in split]
                 size = [len(x) // 4 for x in ids]
                 yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].array[at : at + 500],
+                    "doc_id": batch["doc_id"].array[at : at + 1000],
                     "doc_tokens": size,
                     "full_crcs": [[zlib.crc32(x[4 * k : 4 * (k + window)]) for k in range(0, n - window + 1, window)] for x, n in zip(ids, size, strict=True)],
                     "rest": [x[4 * (n // window * window) :] for x, n in zip(ids, size, strict=True)],

@@ -1,8 +1,9 @@
 """Queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import exact_dedup, media, near_dedup, packing, sharding
+from . import exact_dedup, media, near_dedup, packing, repeats, sharding
 
 QUERIES = {
+    "op2_suffix_dedup": repeats.op2_suffix_dedup,
     "op3_media_columns": media.op3_media_columns,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,

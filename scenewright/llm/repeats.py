@@ -186,7 +186,9 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, i
 
     base = common.saved(texts.mapInPandas(find, "doc_id long, row_key long, anchor long, context long, first long, windows int, before int"), "repeat-anchors")
     often = base.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).filter("n > 1")
-    held = common.saved(base.join(often.select("anchor", (F.col("lo") == F.col("hi")).alias("alike")), "anchor"), "repeat-held")
+    # written first, so that the join below has plain shuffles on both sides and a hot anchor's rows can be split
+    often = common.saved(often.select("anchor", (F.col("lo") == F.col("hi")).alias("alike")), "repeat-often")
+    held = common.saved(base.join(often, "anchor"), "repeat-held")
     whole = held.filter("alike").select("doc_id", "row_key", F.col("first").alias("start"), (F.col("first") + F.col("windows") - 1 + length).alias("stop"))
 
     mixed_rows = held.filter("NOT alike")

@@ -7,11 +7,11 @@ Jaccard similarity. Equal sets become one node. Bands of `ROWS` registers deal t
 into buckets; within a bucket the similarity of pairs is estimated jointly, by likelihood
 over how many registers are larger, smaller and equal at the known set sizes. Each bucket
 gives a maximum spanning forest of its plausible pairs, so a group of n copies gives n - 1
-pairs and not n * n. Pairs are confirmed on full sets; where a confirmed link is missing
-from a forest because one of its pairs proved false, all plausible pairs between different
-classes of that bucket are confirmed too. A bucket above `BLOCK` nodes is worked off in
-pairs of blocks, so no task holds more than two blocks of it; the union of the blocks'
-forests holds a spanning forest of the bucket.
+pairs and not n * n. Pairs are confirmed on full sets. A link can hide behind a forest pair
+that proves false, but its ends stay in one cluster of plausible pairs: clusters that fall
+into several classes have all their sets compared, by matrix products, and only links that
+join classes leave the task. Buckets above `BLOCK` nodes, and clusters above `SET_BLOCK`,
+are worked off in pairs of blocks, so no task holds more than two blocks of them.
 
 At similarity 0.8 a pair shares no bucket with probability 8e-9 and is estimated below
 `PLAUSIBLE` with probability under 1e-6.
@@ -43,6 +43,8 @@ PLAUSIBLE = 0.62
 #: Equal registers of a plausible pair: at similarity 0.8 there are 104 with a deviation of 4.4.
 LEAST = 80
 BLOCK = 2048
+#: Nodes of a block whose full sets are compared.
+SET_BLOCK = 1024
 WORDS = 4
 U32 = np.uint32
 _seed = mixed(np.arange(1, 2 * M + 1, dtype=np.uint64))
@@ -174,52 +176,88 @@ def by_bucket(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[p
         yield pd.concat(held)
 
 
-def proposals(forest: bool):
-    """A function over sorted bucket rows (key, i, j, node, registers, n_shingles, component): pairs (a, b, estimate).
+def forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Over sorted bucket rows (key, i, j, node, registers, n_shingles): a spanning forest (a, b, estimate) of each bucket."""
+    for frame in by_bucket(batches, ["key", "i", "j"]):
+        keys = frame[["key", "i", "j"]].to_numpy()
+        edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        start, stop = np.concatenate([[0], edge]), np.concatenate([edge, [len(frame)]])
+        regs = np.frombuffer(b"".join(frame["registers"]), np.uint8).reshape(len(frame), M)
+        n, node = frame["n_shingles"].to_numpy(), frame["node"].to_numpy()
+        two = start[stop - start == 2]
+        pairs = [(two, two + 1)]
+        for s, e in zip(start, stop, strict=True):
+            if e - s > 2:
+                a, b = spanning(regs[s:e])
+                pairs.append((a + s, b + s))
+        i, j = (np.concatenate([p[k] for p in pairs]).astype(np.int64) for k in range(2))
+        est = compared(regs, n, i, j)
+        good = est >= PLAUSIBLE
+        a, b = node[i[good]], node[j[good]]
+        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "estimate": est[good]})
+
+
+def in_blocks(rows: DataFrame, size: str, keys: list[str], block: int) -> DataFrame:
+    """rows of large groups repeated for pairs of blocks (i <= j), dealt and sorted by group and pair."""
+    blocks = F.ceil(F.col(size) / block).cast("int")
+    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    paired = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    paired = paired.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).drop("mine", "other", size)
+    parts = max(12, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return paired.repartition(parts, *keys, "i", "j").sortWithinPartitions(*keys, "i", "j", "node")
+
+
+def propose(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """members (key, node, in_bucket) -> distinct pairs (a, b, estimate)."""
+    rows = members.join(reps.select("node", "registers", "n_shingles"), "node")
+    return in_blocks(rows, "in_bucket", ["key"], BLOCK).mapInPandas(forests, "a long, b long, estimate double").filter("a < b").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+
+
+def shared_shingles(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
+    """Sizes of all intersections, by products of membership matrices over the shingles that occur twice."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = np.cumsum(times > 1) - 1
+    keep = times[code] > 1
+    row, code = row[keep], often[code[keep]]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(often[-1]) + 1 if len(often) else 0, columns):
+        here = (code >= at) & (code < at + columns)
+        held = np.zeros((len(sets), columns), np.float32)
+        held[row[here], code[here] - at] = 1
+        out += held @ held.T
+    return out
 
-    forest: a spanning forest of each bucket; else every plausible pair between components.
-    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in by_bucket(batches, ["key", "i", "j"]):
-            frame = frame.reset_index(drop=True)
-            keys = frame[["key", "i", "j"]].to_numpy()
-            edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            start, stop = np.concatenate([[0], edge]), np.concatenate([edge, [len(frame)]])
-            regs = np.frombuffer(b"".join(frame["registers"]), np.uint8).reshape(len(frame), M)
-            n, node = frame["n_shingles"].to_numpy(), frame["node"].to_numpy()
-            pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            size = stop - start
-            if forest:
-                two = start[size == 2]
-                pairs.append((two, two + 1, compared(regs, n, two, two + 1)))
-            component = frame["component"].to_numpy()
-            for s, e in zip(start, stop, strict=True):
-                if e - s < 2 or (forest and e - s == 2):
-                    continue
-                if forest:
-                    a, b = spanning(regs[s:e])
-                else:
-                    c = component[s:e]
-                    a, b = np.nonzero((agreement(regs[s:e]) >= LEAST) & (c[:, None] < c[None, :]))
-                pairs.append((a + s, b + s, compared(regs, n, a + s, b + s)))
-            i, j, est = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0) for k in range(3))
-            good = est >= PLAUSIBLE
-            a, b = node[i[good].astype(np.int64)], node[j[good].astype(np.int64)]
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "estimate": est[good]})
+def missing_links(numerator: int, denominator: int):
+    """Over sorted rows (cluster, i, j, node, component, members): links (a, b) between components, enough to join them."""
 
-    return run
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in frame["members"]]
+        size, component, node = np.array([len(s) for s in sets], np.float32), frame["component"].to_numpy(), frame["node"].to_numpy()
+        both = shared_shingles(sets)
+        linked = (denominator * both >= numerator * (size[:, None] + size[None, :] - both)) & (component[:, None] < component[None, :])
+        root: dict[int, int] = {}
 
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
 
-def propose(members: DataFrame, reps: DataFrame, *, forest: bool) -> DataFrame:
-    """members (key, node, in_bucket, component) -> distinct pairs (a, b, estimate)."""
-    blocks = F.ceil(F.col("in_bucket") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    rows = members.join(reps.select("node", "registers", "n_shingles"), "node").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "registers", "n_shingles", "component")
-    parts = max(12, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return dealt.mapInPandas(proposals(forest), "a long, b long, estimate double").filter("a < b").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+        out = []
+        for a, b in zip(*np.nonzero(linked), strict=True):
+            x, y = find(component[a]), find(component[b])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((min(node[a], node[b]), max(node[a], node[b])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frames in by_bucket(batches, ["cluster", "i", "j"]):
+            for _, frame in frames.groupby(["cluster", "i", "j"], sort=False):
+                yield work(frame)
+
+    return run
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -252,7 +290,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
     bands = bands.select("node", F.xxhash64("band", "value").alias("key"))
     counts = bands.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
     shared = common.saved(bands.join(counts, "key").select("key", "node", "in_bucket"), "near-buckets")
-    tree = common.saved(propose(shared.withColumn("component", F.col("node")), reps, forest=True), "near-forest")
+    tree = common.saved(propose(shared, reps), "near-forest")
     involved = shared.select("node").join(tree.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").distinct()
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -276,14 +314,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
     judged = judged.unionByName(common.saved(confirm(left, sets, percent, 100), "near-judged"))
     labels = components(judged.filter("linked"))
 
-    # buckets with several classes, one of whose forest pairs proved false
-    doubtful = judged.filter("NOT linked").select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("doubtful", F.lit(1))
-    members = labelled(shared, "node", "component", labels).join(doubtful, "node", "left")
-    open_buckets = members.groupBy("key").agg(F.max("doubtful").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("d = 1 AND lo < hi").select("key")
-    more = propose(members.join(open_buckets, "key", "left_semi").select("key", "node", "in_bucket", "component"), reps, forest=False)
-    more = common.saved(confirm(more.join(judged, ["a", "b"], "left_anti"), sets, percent, 100), "near-judged")
-    if more.filter("linked").limit(1).count():
-        labels = components(judged.unionByName(more).filter("linked"))
+    # clusters of plausible pairs that fell into several classes: all their pairs, on full sets, in blocks
+    clusters = components(tree).select("node", F.col("component").alias("cluster"))
+    parted = labelled(clusters, "node", "component", labels)
+    open_clusters = parted.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi AND size > 2").select("cluster", "size")
+    rows = parted.join(open_clusters, "cluster").join(sets, "node").select("cluster", "size", "node", "component", "members")
+    more = common.saved(in_blocks(rows, "size", ["cluster"], SET_BLOCK).mapInPandas(missing_links(percent, 100), "a long, b long"), "near-links")
+    if more.limit(1).count():
+        labels = components(judged.filter("linked").select("a", "b").unionByName(more))
 
     nodes = labelled(reps.select("digest", "node"), "node", "component", labels).select("digest", "component")
     found = base.select("doc_id", "n_shingles", "digest").join(nodes, "digest", "left")

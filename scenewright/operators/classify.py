@@ -36,9 +36,9 @@ def classify_documents(texts: DataFrame, lexicon: DataFrame | None = None, *, id
     return scored.withColumns({"confidence": confidence, "rank": rank}).filter(F.col("rank") <= top).select(id_col, "dimension", "rank", "label", "score", "confidence", "evidence")
 
 
-def mixed_notes(classified: DataFrame, *, id_col: str = "document_id", dimensions: tuple[str, ...] = ("narrative_type", "religious_context", "culture")) -> DataFrame:
-    """id and a note for each dimension whose best label is below 0.62."""
-    weak = classified.filter((F.col("rank") == 1) & F.col("dimension").isin(list(dimensions)) & (F.col("confidence") < 0.62))
+def mixed_notes(classified: DataFrame, *, id_col: str = "document_id", dimensions: tuple[str, ...] = ("narrative_type", "religious_context", "culture"), below: float = 0.62) -> DataFrame:
+    """id and a note for each dimension whose best label is under `below`."""
+    weak = classified.filter((F.col("rank") == 1) & F.col("dimension").isin(list(dimensions)) & (F.col("confidence") < below))
     name = F.replace(F.concat(F.upper(F.substring("dimension", 1, 1)), F.substring("dimension", 2, 100)), F.lit("_"), F.lit(" "))
     return weak.select(id_col, "dimension", F.concat(name, F.lit(" evidence is mixed; treat classification as provisional.")).alias("note"))
 

@@ -30,10 +30,11 @@ def extract_mentions(scenes: DataFrame, rules: list[tuple] | None = None, stop:
     A character name that is also a place or setting of the scene is left out.
     """
     rules, stop = rules or RULES, L.NAME_STOP if stop is None else stop
-    hits = [
-        F.transform(F.regexp_extract_all("text", F.lit(pattern), group), lambda m, t=kind, c=confidence, r=rank, k=checked: F.struct(F.lit(t).alias("entity_type"), clean(m).alias("canonical_name"), F.lit(float(c)).alias("confidence"), F.lit(r).alias("rank"), F.lit(k).alias("checked")))
-        for kind, pattern, group, confidence, rank, checked in rules
-    ]
+    def hits_of(kind: str, pattern: str, group: int, confidence: float, rank: int, checked: bool) -> Column:
+        found = F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
+        return F.transform(found, lambda m: F.struct(F.lit(kind).alias("entity_type"), clean(m).alias("canonical_name"), F.lit(float(confidence)).alias("confidence"), F.lit(rank).alias("rank"), F.lit(checked).alias("checked")))
+
+    hits = [hits_of(*rule) for rule in rules]
     words = F.split("canonical_name", " ")
     good = F.forall(words, lambda w: (F.length(w) >= 3) & ~w.isin(stop))
     keys = [c for c in ("document_id", "story_order", "scene_order") if c in scenes.columns]

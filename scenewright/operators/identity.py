@@ -160,8 +160,10 @@ def _prefix(short: Column, long: Column) -> Column:
 
 def compatible(a: Column, b: Column) -> Column:
     """Struct (ok, confidence, method): whether two names may be one person's."""
-    na, nb = name_norm(a), name_norm(b)
-    ba, bb = base_name(a), base_name(b)
+    return _compatible(name_norm(a), name_norm(b), base_name(a), base_name(b))
+
+
+def _compatible(na: Column, nb: Column, ba: Column, bb: Column) -> Column:
     ta, tb = F.split(ba, " "), F.split(bb, " ")
     fa, fb = (F.split(F.btrim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " ")), " ") for x in (na, nb))
     blocked = lambda base, t: (base == "") | F.arrays_overlap(t, F.array(*[F.lit(w) for w in L.SEMANTIC_BLOCK_WORDS]))
@@ -187,11 +189,11 @@ def compatible_pairs(gated: DataFrame) -> DataFrame:
     """
     low = F.split(F.btrim(F.regexp_replace(F.lower(name_norm(F.col("canonical_name"))), "[^a-z0-9]+", " ")), " ")
     blocks = F.array_distinct(F.array(F.element_at(F.split(base_name(F.col("canonical_name")), " "), -1), F.concat(F.lit("^"), F.array_join(F.slice(low, 1, 2), " "))))
-    keyed = gated.select("document_id", "entity_id", "canonical_name", F.explode(blocks).alias("block"))
+    keyed = gated.select("document_id", "entity_id", name_norm(F.col("canonical_name")).alias("norm"), base_name(F.col("canonical_name")).alias("base"), F.explode(blocks).alias("block"))
     left, right = keyed.alias("l"), keyed.alias("r")
     met = left.join(right, (F.col("l.document_id") == F.col("r.document_id")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.entity_id") < F.col("r.entity_id")))
-    tried = met.select(F.col("l.document_id").alias("document_id"), F.col("l.entity_id").alias("a"), F.col("r.entity_id").alias("b"), F.col("l.canonical_name").alias("na"), F.col("r.canonical_name").alias("nb")).distinct()
-    return tried.withColumn("c", compatible(F.col("nb"), F.col("na"))).filter("c.ok").select("document_id", "a", "b", "c.confidence", "c.method")
+    tried = met.select(F.col("l.document_id").alias("document_id"), F.col("l.entity_id").alias("a"), F.col("r.entity_id").alias("b"), F.col("l.norm").alias("na"), F.col("r.norm").alias("nb"), F.col("l.base").alias("ba"), F.col("r.base").alias("bb")).distinct()
+    return tried.withColumn("c", _compatible(F.col("nb"), F.col("na"), F.col("bb"), F.col("ba"))).filter("c.ok").select("document_id", "a", "b", "c.confidence", "c.method")
 
 
 def identity_groups(gated: DataFrame, *, rounds: int = 50) -> tuple[DataFrame, DataFrame]:

@@ -20,19 +20,19 @@ def words(c: Column) -> Column:
     return F.size(F.filter(F.split(F.btrim(c), r"\s+"), lambda w: w != ""))
 
 
-def dialogue(scenes: DataFrame, mode: str = "ranked", *, keys: list[str]) -> DataFrame:
+def dialogue(scenes: DataFrame, mode: str = "ranked", *, keys: list[str], spoken: str = SPEECH) -> DataFrame:
     """keys, rank, line. ranked: quotes of 4 words and more by length and a speech word near; ordered: the first quotes, else sentences that sound spoken."""
     if mode == "ranked":
         q = scenes.select(*keys, "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(QUOTES), 1))).alias("line")).filter(words(F.col("line")) >= 4)
         at = F.instr("text", F.col("line"))
         start = F.greatest(F.lit(1), at - 120)
         near = F.substr("text", start, at - start + F.length("line") + 100)
-        score = F.least(F.length("line"), F.lit(120)) + F.when(near.rlike(SPEECH), 80).otherwise(0)
+        score = F.least(F.length("line"), F.lit(120)) + F.when(near.rlike(spoken), 80).otherwise(0)
         w = Window.partitionBy(*keys).orderBy(F.desc("score"), "line")
         return q.withColumn("score", score).withColumn("rank", F.row_number().over(w)).filter("rank <= 3").select(*keys, "rank", F.btrim("line").alias("line"), "score")
     quotes = F.slice(F.array_distinct(F.filter(F.transform(F.regexp_extract_all("text", F.lit(QUOTES), 1), F.btrim), lambda s: words(s) >= 3)), 1, 3)
-    spoken = F.slice(F.array_distinct(F.filter(sentences(F.col("text")), lambda s: s.rlike(SPEECH) | (s.rlike(r"^(?:I|We|My|Our)\b") & (words(s) <= 28)))), 1, 2)
-    return scenes.select(*keys, F.posexplode(F.when(F.size(quotes) > 0, quotes).otherwise(spoken)).alias("i", "line")).withColumn("rank", F.col("i") + 1).drop("i")
+    said = F.slice(F.array_distinct(F.filter(sentences(F.col("text")), lambda s: s.rlike(spoken) | (s.rlike(r"^(?:I|We|My|Our)\b") & (words(s) <= 28)))), 1, 2)
+    return scenes.select(*keys, F.posexplode(F.when(F.size(quotes) > 0, quotes).otherwise(said)).alias("i", "line")).withColumn("rank", F.col("i") + 1).drop("i")
 
 
 def moments(scenes: DataFrame, events: DataFrame | None = None, names: DataFrame | None = None, *, keys: list[str], k: int = 4, min_words: int = 4) -> DataFrame:

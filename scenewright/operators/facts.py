@@ -39,7 +39,7 @@ def visual_facts(characters: DataFrame, members: DataFrame, mentions: DataFrame,
         whole = [F.lit("(?i)" + parts[0])]
         for p in parts[1:]:
             whole += [q, F.lit(p)]
-        value = F.btrim(F.regexp_extract("clause", F.concat(*whole), group), F.lit(" \t\r\n,.;:!?\"'()[]"))
+        value = F.btrim(F.call_function("regexp_extract", F.col("clause"), F.concat(*whole), F.lit(group)), F.lit(" \t\r\n,.;:!?\"'()[]"))
         value = F.substring(F.regexp_replace(value, r"\s+", " "), 1, 300)
         hits.append(F.struct(F.lit(rank).alias("rank"), F.lit(category).alias("category"), F.lit(attribute).alias("attribute"), value.alias("value"), F.lit(method).alias("method")))
     found = said.withColumn("h", F.explode(F.filter(F.array(*hits), lambda h: h["value"] != "")))

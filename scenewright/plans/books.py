@@ -365,3 +365,54 @@ SELECT error, count(*) AS n FROM e GROUP BY 1""",
     "html_blocks_to_sections": """WITH b AS (SELECT page_id, unnest(regexp_extract_all(html, '<(h1|h2|p|li)>')) AS tag, generate_subscripts(regexp_extract_all(html, '<(h1|h2|p|li)>'), 1) - 1 AS i FROM pages)
 SELECT page_id AS document_id, count(*) AS blocks, count(*) FILTER (WHERE tag IN ('<h1>', '<h2>')) AS headings, min(i) FILTER (WHERE tag IN ('<h1>', '<h2>')) AS first_heading FROM b GROUP BY 1""".replace("\\\\", "\\"),
 }
+
+ORACLES["moments_topk"] = f"""WITH {_SENTENCES}, u AS (SELECT DISTINCT doc_id, s FROM long_),
+k AS (SELECT * FROM u WHERE NOT regexp_matches(s, '{packages.SPEECH}') OR regexp_matches(s, '{packages.L.ACTION}')),
+g AS (SELECT doc_id, s, 10 + CASE WHEN regexp_matches(s, '{packages.L.ACTION}') THEN 50 ELSE 0 END + CASE WHEN regexp_matches(s, '{packages.L.DESTRUCTION}') THEN 12 ELSE 0 END
+  + CASE WHEN regexp_matches(s, '{packages.L.COMBAT}') THEN 8 ELSE 0 END + CASE WHEN regexp_matches(s, '{packages.L.REACTION}') THEN 6 ELSE 0 END AS score FROM k),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lower(s), s) AS rank FROM g)
+SELECT doc_id, rank, CAST(score AS BIGINT) AS score, md5(s) AS moment_md5 FROM r WHERE rank <= 3"""
+
+ORACLES["scene_fold"] = f"""WITH RECURSIVE {SECTIONS_SQL},
+told AS (SELECT s.document_id, s.section_order, string_agg(p.text, chr(10) ORDER BY p.page_number) AS text
+  FROM sections_ s JOIN pages_ p ON p.document_id = s.document_id AND p.page_number BETWEEN s.page_start AND s.page_end WHERE trim(p.text) <> '' GROUP BY ALL),
+cut AS (SELECT document_id, row_number() OVER (PARTITION BY document_id ORDER BY section_order) AS story_order, trim(text) AS text,
+  list_filter(list_transform(string_split(trim(text), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ps FROM told),
+fold AS (
+  SELECT document_id, story_order, ps, 1 AS k, CAST([] AS VARCHAR[]) AS groups, ps[1] AS now, CAST(length(ps[1]) AS BIGINT) AS size FROM cut WHERE len(ps) > 1
+  UNION ALL
+  SELECT document_id, story_order, ps, k + 1,
+    CASE WHEN size >= 900 AND size + length(ps[k + 1]) + 1 > 3500 THEN list_append(groups, now) ELSE groups END,
+    CASE WHEN size >= 900 AND size + length(ps[k + 1]) + 1 > 3500 THEN ps[k + 1] ELSE now || chr(10) || ps[k + 1] END,
+    CASE WHEN size >= 900 AND size + length(ps[k + 1]) + 1 > 3500 THEN length(ps[k + 1]) + 1 ELSE size + length(ps[k + 1]) + 1 END
+  FROM fold WHERE k < len(ps)),
+done AS (SELECT document_id, story_order, 'paragraph_group' AS strategy,
+  CASE WHEN len(groups) > 0 AND size < 900 THEN list_append(groups[1:len(groups) - 1], groups[len(groups)] || chr(10) || now) ELSE list_append(groups, now) END AS g
+  FROM fold WHERE k = len(ps) UNION ALL SELECT document_id, story_order, 'story_default', [text] FROM cut WHERE len(ps) = 1),
+each AS (SELECT document_id, story_order, strategy, unnest(g) AS x, generate_subscripts(g, 1) AS scene_order FROM done)
+SELECT document_id, story_order, scene_order, strategy, length(x) AS chars, md5(x) AS text_md5 FROM each"""
+
+ORACLES["scene_events"] = ORACLES["scene_fold"].replace("scene_order, strategy, length(x) AS chars, md5(x) AS text_md5 FROM", "scene_order, 1 AS event_order, 0.4::DOUBLE AS confidence, length(x) AS chars FROM").replace("SELECT document_id, story_order, scene_order, 1 AS", "SELECT document_id, story_order, scene_order, CAST(1 AS BIGINT) AS")
+
+_LISTED = lambda words: ", ".join(f"'{w}'" for w in words)
+_VERBS = "|".join([*lexicons.SPEECH_VERBS, "rejoined", "called"])
+ORACLES["candidate_gate"] = rf"""WITH {MENTIONS_SQL}, at_ AS (SELECT *, strpos(lower(text), lower(name)) AS p FROM names_),
+m AS (SELECT source, name, doc_id, trim(substr(text, greatest(1, p - 220), p - greatest(1, p - 220) + length(name) + 220)) AS context FROM at_),
+f AS (SELECT source, name, count(*) AS mentions, count(*) FILTER (WHERE contains(lower(context), lower(name))) AS exact,
+  count(*) FILTER (WHERE regexp_matches(context, '{identity.SPEECH}')) AS speech, count(*) FILTER (WHERE regexp_matches(context, '{identity.PRONOUN_ACTION}')) AS action,
+  count(*) FILTER (WHERE regexp_matches(context, '(?i)(?:\b(?:{_VERBS})\s+' || name || '\b|\b' || name || '\s+(?:{_VERBS})\b|\b{identity.CUED_TITLES}\s+' || name || '\b)')) AS direct FROM m GROUP BY 1, 2),
+b AS (SELECT *, list_filter(string_split(name, ' '), lambda w: lower(w) NOT IN ({_LISTED(lexicons.PERSON_TITLES)})) AS bare, regexp_matches(name, '(?i)^(?:{'|'.join(lexicons.PERSON_TITLES)})\.?\s+') AS title FROM f),
+c AS (SELECT *, len(list_filter(bare, lambda w: lower(w) IN ({_LISTED(lexicons.COMMON_WORDS)}))) > 0 AS common, len(bare) = 1 AND NOT title AND direct = 0 AS one_word, len(bare) >= 2 AND NOT title AND direct = 0 AND exact < 3 AS untitled FROM b),
+s AS (SELECT *, 0.25::DOUBLE + CASE WHEN title THEN 0.25 ELSE 0 END + CASE WHEN len(bare) >= 2 THEN 0.15 ELSE 0 END + CASE WHEN exact >= 2 THEN 0.15 ELSE 0 END + CASE WHEN mentions >= 3 THEN 0.10 ELSE 0 END
+  + CASE WHEN mentions >= 2 THEN 0.10 ELSE 0 END + CASE WHEN direct > 0 THEN 0.25 ELSE 0 END + CASE WHEN speech > 0 THEN 0.05 ELSE 0 END + CASE WHEN action > 0 THEN 0.05 ELSE 0 END - CASE WHEN common THEN 0.45 ELSE 0 END AS raw FROM c),
+t AS (SELECT *, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE WHEN untitled THEN least(CASE WHEN one_word THEN least(raw, 0.44::DOUBLE) ELSE raw END, 0.47::DOUBLE) WHEN one_word THEN least(raw, 0.44::DOUBLE) ELSE raw END)), 6) AS score FROM s),
+e AS (SELECT *, CASE WHEN regexp_matches(name, '(?i)^(?:{'|'.join(lexicons.PERSON_TITLES)})\.?$') THEN 'title_only'
+  WHEN lower(name) IN ({_LISTED(lexicons.COMMON_WORDS + lexicons.DEMOGRAPHIC_WORDS)}) THEN 'common_word_or_demographic_term' WHEN length(name) < 3 OR length(name) > 45 THEN 'name_length_anomaly'
+  WHEN NOT title AND len(list_filter(bare, lambda w: lower(w) IN ({_LISTED(lexicons.ROLE_WORDS)}))) > 0 THEN 'generic_non_person_name_pattern'
+  WHEN title AND len(bare) = 1 AND common AND direct = 0 THEN 'title_with_stopword_name_without_direct_person_reference' END AS early FROM t)
+SELECT source AS document_id, name AS canonical_name,
+  CASE WHEN early IN ('title_only', 'common_word_or_demographic_term', 'generic_non_person_name_pattern') THEN 'non_character' WHEN early IS NOT NULL THEN 'review' WHEN score >= 0.75 THEN 'validated' WHEN score >= 0.48 THEN 'probable' ELSE 'review' END AS decision,
+  round(CASE early WHEN 'title_only' THEN 1.0 WHEN 'common_word_or_demographic_term' THEN 1.0 WHEN 'name_length_anomaly' THEN 0.9 WHEN 'generic_non_person_name_pattern' THEN 0.95 WHEN 'title_with_stopword_name_without_direct_person_reference' THEN 0.35 ELSE score END::DOUBLE, 3) AS score,
+  coalesce(early, array_to_string(list_filter([CASE WHEN title THEN 'personal_title' END, CASE WHEN len(bare) >= 2 THEN 'multiword_person_name' END, CASE WHEN exact >= 2 THEN 'name_repeated_in_context' END, CASE WHEN mentions >= 3 THEN 'recurring_mentions' END,
+    CASE WHEN mentions >= 2 THEN 'multi_scene_presence' END, CASE WHEN direct > 0 THEN 'direct_person_reference' END, CASE WHEN speech > 0 THEN 'speech_context' END, CASE WHEN action > 0 THEN 'character_action_context' END, CASE WHEN common THEN 'stopword_name_component' END,
+    CASE WHEN one_word THEN 'single_word_without_direct_person_reference' END, CASE WHEN untitled THEN 'untitled_name_without_repeated_direct_evidence' END], lambda x: x IS NOT NULL), ',')) AS reasons FROM e"""

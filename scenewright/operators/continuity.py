@@ -21,11 +21,15 @@ def story_neighbours(scenes: DataFrame, *, keys: list[str], order: str, id_col:
 def entity_states(sightings: DataFrame, facts: DataFrame, *, entity: str = "entity_id", scene: str = "scene_id") -> DataFrame:
     """State of each entity at each scene that it is seen in: per bucket a map attribute -> sorted values, from facts of the scene or of none."""
     seen = sightings.select(entity, scene).distinct()
-    told = facts.select(F.col(entity).alias("__e"), F.col(scene).alias("__s"), "bucket", "attribute", "value", "confidence")
-    met = seen.join(told, (F.col(entity) == F.col("__e")) & (F.col("__s").isNull() | (F.col("__s") == F.col(scene))), "left")
-    values = met.groupBy(entity, scene, "bucket", "attribute").agg(F.array_sort(F.collect_set("value")).alias("values"), F.max("confidence").alias("c"))
-    named = F.when(F.col("attribute").isNotNull(), F.struct(F.concat_ws(".", "bucket", "attribute").alias("k"), F.col("values").alias("v")))
-    return values.groupBy(entity, scene).agg(F.map_from_entries(F.array_sort(F.collect_list(named))).alias("state"), F.max("c").alias("confidence"))
+    told = facts.select(entity, scene, "bucket", "attribute", "value", "confidence")
+    # facts of a scene meet it by key; only those of no scene go to all of an entity's scenes
+    own = seen.join(told.filter(F.col(scene).isNotNull()), [entity, scene])
+    lasting = seen.join(told.filter(F.col(scene).isNull()).drop(scene), entity).select(own.columns)
+    values = own.unionByName(lasting).groupBy(entity, scene, "bucket", "attribute").agg(F.array_sort(F.collect_set("value")).alias("values"), F.max("confidence").alias("c"))
+    entry = F.struct(F.concat_ws(".", "bucket", "attribute").alias("k"), F.col("values").alias("v"))
+    states = values.groupBy(entity, scene).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("state"), F.max("c").alias("confidence"))
+    none = F.map_from_entries(F.array().cast("array<struct<k:string,v:array<string>>>"))
+    return seen.join(states, [entity, scene], "left").select(entity, scene, F.coalesce("state", none).alias("state"), "confidence")
 
 
 def _same(a, b):

@@ -92,8 +92,11 @@ def classify_conflicts(reconciled: DataFrame, *, owner: str = "profile_id") -> D
 def scene_state(mentions: DataFrame, owners: DataFrame, facts: DataFrame) -> DataFrame:
     """Characters present in each scene with the facts of that scene or of none, nested."""
     there = mentions.join(owners.select("entity_id", "profile_id", "canonical_name"), "entity_id").select("document_id", "scene_id", "profile_id", "canonical_name").distinct()
-    told = facts.select("profile_id", F.col("scene_id").alias("fact_scene"), "category", "attribute", "value", "confidence")
-    met = there.join(told, (there["profile_id"] == told["profile_id"]) & (told["fact_scene"].isNull() | (told["fact_scene"] == there["scene_id"])), "left").drop(told["profile_id"])
+    told = facts.select("profile_id", "scene_id", "category", "attribute", "value", "confidence")
+    own = there.join(told.filter("scene_id IS NOT NULL"), ["profile_id", "scene_id"])
+    lasting = there.join(told.filter("scene_id IS NULL").drop("scene_id"), "profile_id").select(own.columns)
+    bare = there.select(*[F.col(c) if c in there.columns else F.lit(None).cast(own.schema[c].dataType).alias(c) for c in own.columns])
+    met = own.unionByName(lasting).unionByName(bare)
     fact = F.when(F.col("attribute").isNotNull(), F.struct("category", "attribute", "value", "confidence"))
     return met.groupBy("document_id", "scene_id", "profile_id", "canonical_name").agg(F.array_sort(F.collect_list(fact)).alias("facts"))
 

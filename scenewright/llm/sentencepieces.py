@@ -55,25 +55,31 @@ class Pieces:
             joined = {c for p in known if len(p) > 1 for c in p}
             inside = {(a, b) for p in known for a, b in zip(p, p[1:], strict=False)}
             assert not any(a != SPACE and b == SPACE for a, b in inside), "pieces cross word starts"
-            memory["made"] = known, bytes_at, {i: b for b, i in bytes_at.items()}, text_of, joined, max(map(len, known)), min(s for _, s in known.values()) - 10
-        self.known, self.bytes_at, self.byte_of, self.text_of, self.joined, self.longest, self.unknown = memory["made"]
+            table: dict[str, tuple[int, float]] = {p[:k]: (-1, 0.0) for p in known for k in range(1, len(p))} | known  # beginnings of pieces have id -1
+            shown = [text_of.get(i, chr(i - bytes_at[0]) if bytes_at[0] <= i < bytes_at[128] else "") for i in every]
+            memory["made"] = known, table, shown, bytes_at, {i: b for b, i in bytes_at.items()}, text_of, joined, max(map(len, known)), min(s for _, s in known.values()) - 10
+        self.known, self.table, self.shown, self.bytes_at, self.byte_of, self.text_of, self.joined, self.longest, self.unknown = memory["made"]
         self.starts: dict[str, bytes] = memory.setdefault("after a space", {})
         self.bare: dict[str, bytes] = memory.setdefault("bare", {})
 
     def forward(self, s: str, best: list[float], via: list[tuple | None], begin: int, least_end: int = 0) -> None:
         """Relax all pieces from begin on; the pieces that start at begin end at least_end or later."""
-        known, longest, n = self.known, self.longest, len(s)
+        table, n = self.table, len(s)
         for i in range(begin, n):
             now = best[i]
             if now == NOWHERE:
                 continue
-            single = False
-            for j in range(i + 1, min(n, i + longest) + 1):
-                if (found := known.get(s[i:j])) is not None:
-                    single |= j == i + 1
-                    if (i > begin or j >= least_end) and now + found[1] > best[j]:
-                        best[j], via[j] = now + found[1], (i, found[0])
-            if not single and (i > begin or i + 1 >= least_end) and now + self.unknown > best[i + 1]:
+            single, first = False, i == begin
+            for j in range(i + 1, n + 1):
+                if (found := table.get(s[i:j])) is None:
+                    break
+                piece, score = found
+                if piece >= 0:
+                    if j == i + 1:
+                        single = True
+                    if now + score > best[j] and not (first and j < least_end):
+                        best[j], via[j] = now + score, (i, piece)
+            if not single and now + self.unknown > best[i + 1] and not (first and i + 1 < least_end):
                 best[i + 1], via[i + 1] = now + self.unknown, (i, -1)
 
     def between(self, s: str, begin: int, stop: int, least_end: int = 0) -> tuple[list[int], float]:
@@ -158,6 +164,8 @@ class Pieces:
         return out
 
     def decode(self, ids: np.ndarray) -> str:
+        if not ((ids >= self.bytes_at[128]) & (ids <= self.bytes_at[255])).any():
+            return "".join(map(self.shown.__getitem__, ids.tolist())).replace(SPACE, " ")[1:]
         out, raw = [], bytearray()
         for i in ids.tolist():
             if i in self.byte_of:

@@ -31,7 +31,9 @@ from .memo import worker_memory
 
 SPACE = "▁"
 CHUNK = 1 << 15
-WORDS_KEPT = 600_000
+WORDS_KEPT = 250_000
+#: Rows that a task encodes before it passes them on.
+ROWS = 500
 NOWHERE = float("-inf")
 
 
@@ -205,15 +207,36 @@ def states_at_cuts(m: np.ndarray) -> list[int]:
     return [0, *states[::-1]]
 
 
-def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row_key, ids (binary, little-endian 32-bit numbers) of every row."""
+def digested(pieces: Pieces, frame: pd.DataFrame) -> pd.DataFrame:
+    """doc_id, n_tokens, ids_crc32 and decoded_sha256 of rows with ids."""
+    raw = [bytes(x) for x in frame["ids"]]
+    return pd.DataFrame({
+        "doc_id": frame["doc_id"].array, "n_tokens": [len(x) // 4 for x in raw], "ids_crc32": [zlib.crc32(x) for x in raw],
+        "decoded_sha256": [hashlib.sha256(pieces.decode(np.frombuffer(x, "<u4")).encode()).hexdigest() for x in raw],
+    })
+
+
+DIGESTS = "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string"
+
+
+def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+    """doc_id, row_key, ids (binary, little-endian 32-bit numbers) of every row; with digests what `digested` makes of them in the same tasks."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.row_key(text_col).alias("row_key"), F.col(text_col).alias("text"))
     giant = F.coalesce(F.length("text"), F.lit(0)) > chunk
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(model)
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "row_key": batch["row_key"], "ids": [pieces.encode(t or "") for t in batch["text"]]})
+            for at in range(0, len(batch), ROWS):
+                part = batch.iloc[at : at + ROWS]
+                out = pd.DataFrame({"doc_id": part["doc_id"].array, "row_key": part["row_key"].array, "ids": [pieces.encode(t or "") for t in part["text"]]})
+                yield digested(pieces, out) if digests else out
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces = Pieces(model)
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                yield digested(pieces, batch.iloc[at : at + ROWS])
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = Pieces(model).longest - 1
@@ -261,6 +284,8 @@ def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, id_
     joined = joined.select(F.col("doc_id").alias("i"), F.col("row_key").alias("r"), F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
     rows = texts.filter(giant).select("doc_id", "row_key")
     large = rows.join(joined, rows["doc_id"].eqNullSafe(joined["i"]) & (rows["row_key"] == joined["r"])).select("doc_id", "row_key", "ids")
+    if digests:
+        return texts.filter(~giant).mapInPandas(whole, DIGESTS).unionByName(large.mapInPandas(finish, DIGESTS))
     return texts.filter(~giant).mapInPandas(whole, "doc_id long, row_key long, ids binary").unionByName(large)
 
 
@@ -277,14 +302,4 @@ def decode(ids: DataFrame, *, model: str | None = None) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: tokens, digest of the ids, and of the text that they decode to."""
-
-    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces()
-        for batch in batches:
-            raw = [bytes(x) for x in batch["ids"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].array, "n_tokens": [len(x) // 4 for x in raw], "ids_crc32": [zlib.crc32(x) for x in raw],
-                "decoded_sha256": [hashlib.sha256(pieces.decode(np.frombuffer(x, "<u4")).encode()).hexdigest() for x in raw],
-            })
-
-    return encode(common.documents(spark, sf_dir)).mapInPandas(digests, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string")
+    return encode(common.documents(spark, sf_dir), digests=True)

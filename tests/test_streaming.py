@@ -29,11 +29,11 @@ def test_state_changes(spark, tmp_path):
 
 def test_pages_are_ingested_once(spark, tmp_path):
     schema = "document_id string, page_number int, raw_text string, at timestamp"
-    stream = files(spark, str(tmp_path / "in"), [[("a", 1, "one\ntwo", at(0))], [("a", 1, "again", at(1)), ("b", 1, "x", at(2))]], schema)
+    stream = files(spark, str(tmp_path / "in"), [[("a", 1, "one\ntwo", at(0))], [("a", 1, "again", at(1)), ("b", 1, "word", at(2))]], schema)
     query = streams.write_pages(streams.ingest_pages(stream).drop("at"), str(tmp_path / "pages"), str(tmp_path / "state"))
     query.processAllAvailable()
     query.stop()
-    assert sorted((r.document_id, r.text) for r in spark.read.parquet(str(tmp_path / "pages")).collect()) == [("a", "one two"), ("b", "x")]
+    assert sorted((r.document_id, r.text) for r in spark.read.parquet(str(tmp_path / "pages")).collect()) == [("a", "one two"), ("b", "word")]
 
 
 def test_status_counts(spark, tmp_path):

@@ -5,16 +5,18 @@ exponentially spaced minima of one exponential variable a register, K = floor(1
 which merge by taking the larger register and agree with a probability that grows with the
 Jaccard similarity. Equal sets become one node. Bands of `ROWS` registers deal the nodes
 into buckets; within a bucket the similarity of pairs is estimated jointly, by likelihood
-over how many registers are larger, smaller and equal at the known set sizes. Each bucket
-gives a maximum spanning forest of its plausible pairs, so a group of n copies gives n - 1
-pairs and not n * n. Pairs are confirmed on full sets. A link can hide behind a forest pair
-that proves false, but its ends stay in one cluster of plausible pairs: clusters that fall
-into several classes have all their sets compared, by matrix products, and only links that
-join classes leave the task. Buckets above `BLOCK` nodes, and clusters above `SET_BLOCK`,
+over how many registers are larger, smaller and equal at the known set sizes. A pair is
+plausible if it shares `LEAST` registers and its set sizes allow the similarity asked for; the
+estimate only says which pairs are tried first. Each bucket gives a maximum spanning forest
+over its plausible pairs alone, so a group of n copies gives n - 1 pairs and not n * n, and
+every forest pair is kept. Pairs are confirmed on full sets. A link can hide behind a forest
+pair that proves false, but its ends stay in one cluster of plausible pairs: clusters that
+fall into several classes have all their sets compared, by matrix products, and only links
+that join classes leave the task. Buckets above `BLOCK` nodes, and clusters above `SET_BLOCK`,
 are worked off in pairs of blocks, so no task holds more than two blocks of them.
 
-At similarity 0.8 a pair shares no bucket with probability 8e-9 and is estimated below
-`PLAUSIBLE` with probability under 1e-6.
+At similarity 0.8 a pair shares no bucket with probability 8e-9 and fewer than `LEAST`
+registers with probability under 1e-6.
 
 Defined results: a null text or one without words has an empty set, no links and is kept;
 rows with one id count as one document; rows with a null id keep their own null class.
@@ -39,7 +41,6 @@ ROWS = 4
 B = 1.2
 A = 20.0
 TOP = 254
-PLAUSIBLE = 0.62
 #: Equal registers of a plausible pair: at similarity 0.8 there are 104 with a deviation of 4.4.
 LEAST = 80
 BLOCK = 2048
@@ -117,14 +118,19 @@ def estimated(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray, n_a: n
     return (low + high) / 2
 
 
-def compared(regs: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Estimates of the pairs (i, j), in pieces of bounded memory; 0 where agreement is far too low."""
-    out = np.zeros(len(i))
+def alike_in_size(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m elements can have a similarity of percent."""
+    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+
+
+def compared(regs: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Estimates of the pairs (i, j), in pieces of bounded memory; -1 where a pair is not plausible."""
+    out = np.full(len(i), -1.0)
     for at in range(0, len(i), 100_000):
         a, b = i[at : at + 100_000], j[at : at + 100_000]
         x, y = regs[a], regs[b]
         equal = (x == y).sum(1)
-        near = np.flatnonzero((equal >= LEAST) & (np.minimum(n[a], n[b]) >= 0.8 * np.maximum(n[a], n[b]) - 1e-9))
+        near = np.flatnonzero((equal >= LEAST) & alike_in_size(n[a], n[b], percent))
         if len(near):
             larger = (x[near] > y[near]).sum(1)
             out[at + near] = estimated(larger, M - equal[near] - larger, equal[near], n[a[near]], n[b[near]])
@@ -139,17 +145,23 @@ def agreement(regs: np.ndarray) -> np.ndarray:
     return equal
 
 
-def spanning(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum spanning forest (Prim) over the pairs that share LEAST registers or more."""
+def spanning(regs: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum spanning forest (Prim) over the plausible pairs of sets of n elements."""
     equal, size = agreement(regs), len(regs)
-    best, via = equal[0].astype(np.int16), np.zeros(size, np.int64)
+    any_pair = alike_in_size(n.min(), n.max(), percent)
+
+    def shared(k: int) -> np.ndarray:
+        row = equal[k].astype(np.int16)
+        return row if any_pair else np.where(alike_in_size(n, n[k], percent), row, 0)
+
+    best, via = shared(0), np.zeros(size, np.int64)
     best[0] = -1
     left, right = [], []
     for _ in range(size - 1):
         now = int(np.argmax(best))
         if best[now] >= LEAST:
             left.append(via[now]), right.append(now)
-        row, outside = equal[now].astype(np.int16), best >= 0
+        row, outside = shared(now), best >= 0
         better = outside & (row > best)
         best[better], via[better] = row[better], now
         best[now] = -1
@@ -176,25 +188,29 @@ def by_bucket(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[p
         yield pd.concat(held)
 
 
-def forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def forests(percent: int):
     """Over sorted bucket rows (key, i, j, node, registers, n_shingles): a spanning forest (a, b, estimate) of each bucket."""
-    for frame in by_bucket(batches, ["key", "i", "j"]):
-        keys = frame[["key", "i", "j"]].to_numpy()
-        edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-        start, stop = np.concatenate([[0], edge]), np.concatenate([edge, [len(frame)]])
-        regs = np.frombuffer(b"".join(frame["registers"]), np.uint8).reshape(len(frame), M)
-        n, node = frame["n_shingles"].to_numpy(), frame["node"].to_numpy()
-        two = start[stop - start == 2]
-        pairs = [(two, two + 1)]
-        for s, e in zip(start, stop, strict=True):
-            if e - s > 2:
-                a, b = spanning(regs[s:e])
-                pairs.append((a + s, b + s))
-        i, j = (np.concatenate([p[k] for p in pairs]).astype(np.int64) for k in range(2))
-        est = compared(regs, n, i, j)
-        good = est >= PLAUSIBLE
-        a, b = node[i[good]], node[j[good]]
-        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "estimate": est[good]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in by_bucket(batches, ["key", "i", "j"]):
+            keys = frame[["key", "i", "j"]].to_numpy()
+            edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            start, stop = np.concatenate([[0], edge]), np.concatenate([edge, [len(frame)]])
+            regs = np.frombuffer(b"".join(frame["registers"]), np.uint8).reshape(len(frame), M)
+            n, node = frame["n_shingles"].to_numpy(), frame["node"].to_numpy()
+            two = start[stop - start == 2]
+            pairs = [(two, two + 1)]
+            for s, e in zip(start, stop, strict=True):
+                if e - s > 2:
+                    a, b = spanning(regs[s:e], n[s:e], percent)
+                    pairs.append((a + s, b + s))
+            i, j = (np.concatenate([p[k] for p in pairs]).astype(np.int64) for k in range(2))
+            est = compared(regs, n, i, j, percent)
+            good = est >= 0
+            a, b = node[i[good]], node[j[good]]
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "estimate": est[good]})
+
+    return run
 
 
 def in_blocks(rows: DataFrame, size: str, keys: list[str], block: int) -> DataFrame:
@@ -207,10 +223,10 @@ def in_blocks(rows: DataFrame, size: str, keys: list[str], block: int) -> DataFr
     return paired.repartition(parts, *keys, "i", "j").sortWithinPartitions(*keys, "i", "j", "node")
 
 
-def propose(members: DataFrame, reps: DataFrame) -> DataFrame:
+def propose(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """members (key, node, in_bucket) -> distinct pairs (a, b, estimate)."""
     rows = members.join(reps.select("node", "registers", "n_shingles"), "node")
-    return in_blocks(rows, "in_bucket", ["key"], BLOCK).mapInPandas(forests, "a long, b long, estimate double").filter("a < b").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    return in_blocks(rows, "in_bucket", ["key"], BLOCK).mapInPandas(forests(percent), "a long, b long, estimate double").filter("a < b").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
 
 
 def shared_shingles(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
@@ -290,7 +306,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
     bands = bands.select("node", F.xxhash64("band", "value").alias("key"))
     counts = bands.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
     shared = common.saved(bands.join(counts, "key").select("key", "node", "in_bucket"), "near-buckets")
-    tree = common.saved(propose(shared, reps), "near-forest")
+    tree = common.saved(propose(shared, reps, percent), "near-forest")
     involved = shared.select("node").join(tree.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").distinct()
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

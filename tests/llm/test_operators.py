@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, a round trip or held-out accuracy, and on odd tables."""
 
 import hashlib
+import itertools
 import zlib
 from collections import Counter
 
@@ -107,6 +108,19 @@ def test_near(spark, odd, empty, monkeypatch):
     assert near_dedup.keep_one_of_each(odd).columns == odd.columns
 
 
+def test_near_links_behind_a_pair_of_unlike_sizes(spark):
+    """b is a link of a (80 of 100 shingles) and of c (79 of 80), but a and c are no plausible pair."""
+    rows = []
+    for g in range(48):
+        base = words(2000 + g, 103).split()
+        texts = [" ".join(base[:n]) for n in (103, 83, 82)]
+        order = list(itertools.permutations(range(3)))[g % 6]
+        rows += [(3 * g + k, texts[order[k]]) for k in range(3)]
+    docs = table(spark, [(i, t, "s") for i, t in rows])
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 3 for i, _ in rows}
+
+
 def test_likelihood_and_merging():
     rng = np.random.default_rng(3)
     universe = rng.integers(1, 1 << 62, 3000).astype(np.uint64)

@@ -103,7 +103,7 @@ def classify_evidence(entities: DataFrame, mentions: DataFrame) -> DataFrame:
     clean = F.btrim(F.regexp_replace(F.translate("canonical_name", "‐‑–—", "----"), r"\s+", " "), F.lit(" ,.;:\"'"))
     named = entities.withColumn("__n", clean)
     said = mentions.join(named.select("entity_id", "__n"), "entity_id")
-    whole = F.regexp_like(F.regexp_replace("context", r"\s+", " "), F.concat(F.lit(r"(?i)(?<!\w)"), quoted(F.regexp_replace("__n", "[.,;:]+$", "")), F.lit(r"(?!\w)")))
+    whole = F.regexp_like(F.regexp_replace("context", r"\s+", " "), F.concat(F.lit(r"(?iU)(?<!\w)"), quoted(F.regexp_replace("__n", "[.,;:]+$", "")), F.lit(r"(?!\w)")))
     said = said.withColumn("__hit", F.contains(F.lower(F.regexp_replace("context", r"\s+", " ")), F.lower("__n")) & whole)
     order = [c for c in ("page_start", "scene_id") if c in mentions.columns]
     shown = F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("__hit"), F.struct(*order, F.substring("context", 1, 500).alias("c"))))), 1, 3), lambda x: x["c"])

@@ -35,10 +35,15 @@ def dialogue(scenes: DataFrame, mode: str = "ranked", *, keys: list[str], spoken
     return scenes.select(*keys, F.posexplode(F.when(F.size(quotes) > 0, quotes).otherwise(said)).alias("i", "line")).withColumn("rank", F.col("i") + 1).drop("i")
 
 
+def has(c: str, pattern: str) -> Column:
+    """Whether a column holds a pattern whose words and word boundaries are those of all alphabets."""
+    return F.col(c).rlike("(?U)" + pattern)
+
+
 def moments(scenes: DataFrame, events: DataFrame | None = None, names: DataFrame | None = None, *, keys: list[str], k: int = 4, min_words: int = 4) -> DataFrame:
     """keys, rank, moment, score: events and sentences by action, destruction, combat, reaction and named characters."""
-    said = scenes.select(*keys, F.explode(F.array_distinct(sentences(F.col("text"), min_words))).alias("moment")).filter(~F.col("moment").rlike(SPEECH) | F.col("moment").rlike(L.ACTION))
-    bonus = lambda p, n: F.when(F.col("moment").rlike(p), n).otherwise(0)
+    said = scenes.select(*keys, F.explode(F.array_distinct(sentences(F.col("text"), min_words))).alias("moment")).filter(~has("moment", SPEECH) | has("moment", L.ACTION))
+    bonus = lambda p, n: F.when(has("moment", p), n).otherwise(0)
     rows = said.withColumn("score", 10 + bonus(L.ACTION, 50) + bonus(L.DESTRUCTION, 12) + bonus(L.COMBAT, 8) + bonus(L.REACTION, 6)).withColumn("__named", F.lit(12))
     if events is not None:
         told = events.select(*keys, clean_limit(F.col("text"), 300).alias("moment")).filter("moment <> ''")
@@ -57,7 +62,7 @@ def presence(names: DataFrame, events: DataFrame, contexts: DataFrame, *, keys:
     """keys, canonical_name, visible: an event, else a context, that names the character has a word of action or presence."""
     told = events.select(*keys, F.col("text").alias("t")).unionByName(contexts.select(*keys, F.col("context").alias("t")))
     met = names.join(told, keys, "left")
-    seen = F.contains(F.lower("t"), F.lower("canonical_name")) & (F.col("t").rlike(L.ACTION) | F.col("t").rlike(L.PRESENCE))
+    seen = F.contains(F.lower("t"), F.lower("canonical_name")) & (has("t", L.ACTION) | has("t", L.PRESENCE))
     return met.groupBy(*keys, "canonical_name").agg(F.bool_or(F.coalesce(seen, F.lit(False))).alias("visible"))
 
 

@@ -10,10 +10,10 @@ from ..functions.ranges import numbered
 from ..functions.text import cleanup_text, sentences, text_quality
 from ..operators import classify, entities, facts, identity, packages, retrieval, segment, structure
 
-ASCII = r"^[\x00-\x7F]*$"
 ASCII_SQL = r"regexp_matches(text, '^[\x00-\x7F]*$')"
 PROPER = "[A-Z][a-z]{2,}(?: [A-Z][a-z]{2,}){0,2}"
-NAME_RULE = [("character", PROPER, 0, 0.45, 2, True)]
+NAME = r"\p{Lu}\p{Ll}{2,}(?: \p{Lu}\p{Ll}{2,}){0,2}"
+NAME_RULE = [("character", NAME, 0, 0.45, 2, True)]
 STOP_SQL = ", ".join(f"'{w}'" for w in lexicons.NAME_STOP)
 
 PAGES_SQL = "pages_ AS (SELECT source AS document_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page_number, doc_id, text FROM documents)"
@@ -47,13 +47,12 @@ def sections(book: DataFrame) -> DataFrame:
     return segment.section_ranges(found.filter((F.col("title") != "") & (F.size(F.split("title", " ")) <= 3)), book)
 
 
-def ascii_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).filter(F.col("text").rlike(ASCII))
-    return docs.select(F.col("source").alias("document_id"), F.lit(1).alias("story_order"), F.col("doc_id").alias("scene_order"), "text")
+def page_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select(F.col("source").alias("document_id"), F.lit(1).alias("story_order"), F.col("doc_id").alias("scene_order"), "text")
 
 
 def name_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.extract_mentions(ascii_scenes(spark, sf_dir), NAME_RULE)
+    return entities.extract_mentions(page_scenes(spark, sf_dir), NAME_RULE)
 
 
 def chunk_documents(spark, sf_dir):
@@ -62,8 +61,7 @@ def chunk_documents(spark, sf_dir):
 
 
 def normalize_text_quality(spark, sf_dir):
-    docs = documents(spark, sf_dir).filter(F.col("text").rlike(ASCII))
-    return docs.select("doc_id", F.md5(cleanup_text(F.col("text"))).alias("clean_md5"), text_quality(F.col("text"), "[A-Za-z]").alias("quality"))
+    return documents(spark, sf_dir).select("doc_id", F.md5(cleanup_text(F.col("text"))).alias("clean_md5"), text_quality(F.col("text")).alias("quality"))
 
 
 def page_numbers_per_book(spark, sf_dir):
@@ -200,7 +198,7 @@ THINGS = ["idiot", "clown", "moron", "loser", "trash", "scum", "with", "from"]
 
 
 def object_lexicon_mentions(spark, sf_dir):
-    scenes = documents(spark, sf_dir).filter(F.col("text").rlike(ASCII)).select("doc_id", "text")
+    scenes = documents(spark, sf_dir).select("doc_id", "text")
     return entities.object_mentions(scenes, THINGS, keys=["doc_id"]).select("doc_id", "object", "confidence", F.md5("evidence").alias("evidence_md5"))
 
 
@@ -217,7 +215,7 @@ def audit_coverage(spark, sf_dir):
 
 def noise_top_n(spark, sf_dir):
     """A top-k report: the 20 longest names of four words and more."""
-    found = documents(spark, sf_dir).filter(F.col("text").rlike(ASCII)).select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+(?: [A-Za-z]+){3,5}"), 0)).alias("canonical_name")).distinct()
+    found = documents(spark, sf_dir).select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{Lu}\p{Ll}+(?: \p{L}+){3,5}"), 0)).alias("canonical_name")).distinct()
     return facts.noisy_names(found.withColumns({"document_id": F.lit(1), "confidence": F.lit(0.9)}), 20).select("canonical_name")
 
 
@@ -227,13 +225,13 @@ def duplicate_names(spark, sf_dir):
 
 
 def moments_topk(spark, sf_dir):
-    scenes = documents(spark, sf_dir).filter(F.col("text").rlike(ASCII)).select("doc_id", "text")
+    scenes = documents(spark, sf_dir).select("doc_id", "text")
     best = packages.moments(scenes, keys=["doc_id"], k=3)
     return best.select("doc_id", "rank", "score", F.md5("moment").alias("moment_md5"))
 
 
 def sentence_counts(spark, sf_dir):
-    return documents(spark, sf_dir).filter(F.col("text").rlike(ASCII)).select("doc_id", F.size(sentences(F.col("text"), 4)).alias("sentences"))
+    return documents(spark, sf_dir).select("doc_id", F.size(sentences(F.col("text"), 4)).alias("sentences"))
 
 
 def dialogue_lines(spark, sf_dir):
@@ -246,10 +244,10 @@ def even_sample(spark, sf_dir):
 
 
 def rendered(spark, sf_dir):
-    docs = documents(spark, sf_dir).filter(F.col("text").rlike(ASCII))
+    docs = documents(spark, sf_dir)
     scenes = docs.select("doc_id", "text", F.element_at(F.split("text", "\n"), 1).alias("title"), F.lit(1).alias("page_start"), F.lit(1).alias("page_end"))
     top = packages.moments(scenes.select("doc_id", "text"), keys=["doc_id"], k=4).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "moment"))), lambda m: m["moment"]).alias("moments"))
-    names = F.slice(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Z][a-z]{3,}"), 0)), 1, 3)
+    names = F.slice(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\p{Lu}\p{Ll}{3,}"), 0)), 1, 3)
     return packages.render(scenes.join(top, "doc_id", "left").withColumn("moments", F.coalesce("moments", F.array().cast("array<string>"))).withColumn("names", names))
 
 

@@ -35,9 +35,9 @@ def canonical_aliases(spark, sf_dir):
 
 
 def scene_context(spark, sf_dir):
-    """Profiles and objects of each scene; a scene is a page of plain ASCII text."""
+    """Profiles and objects of each scene; a scene is a page."""
     mentions, members, found = people(spark, sf_dir)
-    scenes = books.ascii_scenes(spark, sf_dir).select("document_id", F.col("scene_order").alias("scene_id"), "text")
+    scenes = books.page_scenes(spark, sf_dir).select("document_id", F.col("scene_order").alias("scene_id"), "text")
     things = entities.object_mentions(scenes, books.THINGS, keys=["scene_id"])
     owners = facts.profiles(found, members).select("entity_id", "profile_id")
     out = facts.scene_context(scenes, mentions.select("scene_id", "entity_id"), owners, things)

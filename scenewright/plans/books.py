@@ -149,12 +149,24 @@ def visual_entity_validation(spark, sf_dir):
 
 
 def rag_sources(spark, sf_dir):
-    book = pages(spark, sf_dir)
+    """Every layer: pages, sections with the text of their pages, stories, scenes, chunks, entities, events, turns and web pages."""
+    book, told, cut = scenes_of(spark, sf_dir)
+    heads = sections(book)
+    split = segment.scene_pages(cut, told, book, para_sep="\n")
+    parts = segment.chunks(book, heads)
+    known = entities.entities(name_mentions(spark, sf_dir), order=["scene_order"])
+    scene_id = F.concat_ws(".", "story_order", "scene_order")
+    story_id = F.col("story_order").cast("string").alias("parent_id")
     talk = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     web = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return retrieval.rag_documents({
         "page": book.select("document_id", F.col("doc_id").alias("source_id"), F.lit("").alias("title"), "text", F.col("page_number").alias("page_start"), F.col("page_number").alias("page_end")),
-        "section": sections(book).select("document_id", F.col("section_order").alias("source_id"), "title", F.lit("").alias("text"), "page_start", "page_end"),
+        "section": heads.join(told.select("document_id", "section_order", "text"), ["document_id", "section_order"], "left").select("document_id", F.col("section_order").alias("source_id"), "title", F.coalesce("text", F.lit("")).alias("text"), "page_start", "page_end"),
+        "story": told.select("document_id", F.col("story_order").alias("source_id"), "title", "text", F.col("section_order").cast("string").alias("parent_id"), "page_start", "page_end"),
+        "scene": split.select("document_id", scene_id.alias("source_id"), "title", "text", story_id, "page_start", "page_end"),
+        "chunk": parts.select("document_id", F.concat_ws(".", F.coalesce("section_order", F.lit(0)), "page_number", "chunk_index").alias("source_id"), F.lit("").alias("title"), "text", F.col("section_order").cast("string").alias("parent_id"), F.col("page_number").alias("page_start"), F.col("page_number").alias("page_end")),
+        "entity": known.select("document_id", F.concat_ws(".", "entity_type", "canonical_name").alias("source_id"), F.concat_ws(": ", "entity_type", "canonical_name").alias("title"), F.col("profile_text").alias("text")),
+        "event": segment.events(split).join(split.select("document_id", "story_order", "scene_order", "title", "page_start", "page_end"), ["document_id", "story_order", "scene_order"]).select("document_id", F.concat_ws(".", "story_order", "scene_order", "event_order").alias("source_id"), "title", "text", scene_id.alias("parent_id"), "page_start", "page_end"),
         "turn": talk.select(F.col("conv_id").alias("document_id"), F.concat_ws(".", "conv_id", "turn").alias("source_id"), F.col("role").alias("title"), "text"),
         "web": web.select(F.col("page_id").alias("document_id"), F.col("page_id").alias("source_id"), F.col("url").alias("title"), F.col("html").alias("text")),
     })

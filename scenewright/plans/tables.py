@@ -43,7 +43,7 @@ def scene_neighbours(spark, sf_dir):
 
 
 def story_neighbours(spark, sf_dir):
-    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws(".", "conv_id", "turn").alias("scene")).filter("turn % 5 <> 3")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws(".", "conv_id", "turn").alias("scene"))
     return continuity.story_neighbours(turns, keys=["conv_id"], order="turn", id_col="scene").select("conv_id", "turn", "scene", "previous_id", "next_id")
 
 
@@ -61,8 +61,8 @@ def fact_reconciliation(spark, sf_dir):
 
 
 def conflict_classes(spark, sf_dir):
-    few = event_facts(spark, sf_dir).filter("profile_id % 2 = 0").withColumn("confidence", F.col("confidence") + 0.35)
-    return facts.classify_conflicts(facts.reconcile_facts(few)).select("profile_id", "attribute", "value", "classification", "confidence")
+    told = event_facts(spark, sf_dir).withColumn("confidence", F.col("confidence") + 0.35)
+    return facts.classify_conflicts(facts.reconcile_facts(told)).select("profile_id", "attribute", "value", "classification", "confidence")
 
 
 def integrity_checks(spark, sf_dir):
@@ -101,8 +101,7 @@ def order_queue(spark, sf_dir):
 
 def autofill(spark, sf_dir):
     contexts = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("scene_id"))
-    queue = order_queue(spark, sf_dir).filter("id % 3 = 0")
-    return jobs.autofill(contexts, queue, "image", 25, keys=["scene_id"], order=["scene_id"])
+    return jobs.autofill(contexts, order_queue(spark, sf_dir), "image", 25, keys=["scene_id"], order=["scene_id"])
 
 
 def enqueue(spark, sf_dir):

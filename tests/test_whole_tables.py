@@ -80,3 +80,28 @@ def test_moments_of_all_languages(spark, duck):
         want |= {(doc, k, score[s], hashlib.md5(s.encode()).hexdigest()) for k, s in enumerate(best, 1)}
     got = catalogue.QUERIES["moments_topk"](spark, DATA).select("doc_id", "rank", "score", "moment_md5").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+@pytest.mark.parametrize("name, only", [("conflict_classes", "profile_id % 2 = 0 AND "), ("story_neighbours", " WHERE turn % 5 <> 3"), ("autofill", "id % 3 = 0 AND ")])
+def test_all_rows(spark, duck, name, only):
+    """The query's SQL, without its condition on ids."""
+    sql = catalogue.ORACLES[name]
+    assert only in sql
+    agree(spark, duck, name, sql.replace(only, ""))
+
+
+def test_every_layer_is_counted(spark, duck):
+    got = {r.source_type: (r.n, r.with_pages, r.chars) for r in catalogue.QUERIES["rag_union_counts"](spark, DATA).collect()}
+    told = f"WITH {books.SECTIONS_SQL}, t AS (SELECT s.document_id, section_order, string_agg(p.text, chr(10) ORDER BY p.page_number) AS text FROM sections_ s JOIN pages_ p ON p.document_id = s.document_id AND p.page_number BETWEEN s.page_start AND s.page_end WHERE trim(p.text) <> '' GROUP BY 1, 2)"
+    sections = duck.sql(f"WITH {books.SECTIONS_SQL} SELECT count(*) FROM sections_").fetchall()[0][0]
+    stories, chars = duck.sql(f"{told} SELECT count(*), CAST(sum(length(text)) AS BIGINT) FROM t").fetchall()[0]
+    scenes, scene_chars = duck.sql(f"SELECT count(*), CAST(sum(chars) AS BIGINT) FROM ({catalogue.ORACLES['scene_fold']})").fetchall()[0]
+    assert got["section"] == (sections, sections, chars) and got["story"] == (stories, stories, chars)
+    assert got["scene"] == got["event"] == (scenes, scenes, scene_chars)
+    pieces = duck.sql(f"WITH {books.SECTIONS_SQL}, k AS ({catalogue.ORACLES['chunk_documents']}) SELECT count(*), CAST(sum(char_count) AS BIGINT) FROM k JOIN pages_ p USING (doc_id) LEFT JOIN sections_ s ON s.document_id = p.document_id AND p.page_number BETWEEN s.page_start AND s.page_end").fetchall()[0]
+    assert got["chunk"] == (pieces[0], *pieces)
+    sql = catalogue.ORACLES["entity_profiles"].replace(*UNICODE[0]).replace(*UNICODE[1])
+    assert got["entity"][:2] == (duck.sql(f"SELECT count(*) FROM ({sql})").fetchall()[0][0], 0)
+    assert set(got) == {"page", "section", "story", "scene", "chunk", "entity", "event", "turn", "web"}
+    rag = books.rag_sources(spark, DATA)
+    assert rag.count() == rag.select("rag_id").distinct().count()

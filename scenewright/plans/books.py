@@ -281,7 +281,7 @@ def qa_histogram(spark, sf_dir):
 
 
 def html_blocks_to_sections(spark, sf_dir):
-    """Headings of web pages as fragments: those that read `numeral title`, the page's kind, and whether it has one heading."""
+    """A count of the plain opening tags of web pages: blocks, headings, and the place of the first heading; `html_sections` makes the sections."""
     web = spark.read.parquet(f"{sf_dir}/pages.parquet")
     blocks = web.select(F.col("page_id").alias("document_id"), F.lit(1).alias("page_number"), F.posexplode(F.regexp_extract_all("html", F.lit("<(h1|h2|p|li)>"), 0)).alias("frag_idx", "tag"))
     return blocks.groupBy("document_id").agg(F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("tag").isin("<h1>", "<h2>")).alias("headings"), F.min(F.when(F.col("tag").isin("<h1>", "<h2>"), F.col("frag_idx"))).alias("first_heading"))

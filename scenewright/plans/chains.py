@@ -79,14 +79,20 @@ def directions(spark, sf_dir):
     return docs.select("doc_id", packages.direction(F.col("text"), F.col("text").contains('"'), F.col("text").rlike("[A-Z][a-z]{3,}")).alias("direction"))
 
 
-def html_fragments(spark, sf_dir) -> DataFrame:
-    """Blocks of web pages as positioned fragments: headings are larger and labelled."""
-    web = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    blocks = F.regexp_extract_all("html", F.lit("(?s)<(?:h1|h2|p|li)>(.*?)(?=<)"), F.lit(0))
+#: Scripts, styles and comments of a page.
+UNSEEN = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->"
+#: A block up to its own closing tag; one that is left open ends at the next block or at an edge of what holds it.
+BLOCK = r"(?is)<(h1|h2|p|li)(?=[\s>])[^>]*>.*?(?=</\1\s*>|<(?:h1|h2|p|li)[\s>]|</?(?:article|aside|body|div|footer|header|html|main|nav|ol|section|table|ul)[\s>]|\z)"
+
+
+def html_fragments(web: DataFrame) -> DataFrame:
+    """Blocks of web pages (page_id, html) as positioned fragments, whole and without tags: headings are larger and labelled."""
+    blocks = F.regexp_extract_all(F.regexp_replace("html", UNSEEN, ""), F.lit(BLOCK), F.lit(0))
+    text = F.btrim(F.regexp_replace(F.regexp_replace("block", r"(?i)<br\s*/?>", " "), r"</?[A-Za-z][^>]*>", ""))
     rows = web.select(F.col("page_id").cast("string").alias("document_id"), F.lit(1).alias("page_number"), F.posexplode(blocks).alias("frag_idx", "block"))
-    heading = F.col("block").rlike("^<h[12]>")
+    heading = F.col("block").rlike(r"^(?i)<h[12][\s>]")
     return rows.select(
-        "document_id", "page_number", "frag_idx", F.concat_ws(" ", F.when(heading, (F.col("frag_idx") + 1).cast("string")), F.substring(F.regexp_replace("block", "^<[a-z0-9]+>", ""), 1, 90)).alias("text"),
+        "document_id", "page_number", "frag_idx", F.concat_ws(" ", F.when(heading, (F.col("frag_idx") + 1).cast("string")), text).alias("text"),
         F.lit(10.0).alias("x"), (F.col("frag_idx") * 30.0).alias("y"), F.when(heading, 20.0).otherwise(10.0).alias("font_size"), F.lit(None).cast("double").alias("confidence"), F.lit(80.0).alias("width"), F.lit(10.0).alias("height"),
         F.when(heading, "section_header").otherwise("text").alias("label"),
     )
@@ -94,7 +100,7 @@ def html_fragments(spark, sf_dir) -> DataFrame:
 
 def html_sections(spark, sf_dir):
     """Heading candidates, page kinds, validated, reconciled and recovered sections of web pages."""
-    parts = html_fragments(spark, sf_dir)
+    parts = html_fragments(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     candidates = structure.select_candidates(structure.heading_candidates(parts), structure.labelled_candidates(parts))
     kinds = structure.classify_pages(parts, candidates)
     sections = structure.reconcile_sections(structure.validate_sections(candidates, kinds))
@@ -104,7 +110,7 @@ def html_sections(spark, sf_dir):
 
 def html_page_text(spark, sf_dir):
     """Web pages read as lines and paragraphs of their blocks."""
-    text = structure.fragments_to_text(html_fragments(spark, sf_dir), "ocr")
+    text = structure.fragments_to_text(html_fragments(spark.read.parquet(f"{sf_dir}/pages.parquet")), "ocr")
     return text.select("document_id", "page_number", F.length("text").alias("chars"), F.md5("text").alias("text_md5"))
 
 

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 from scenewright.operators import packages
-from scenewright.plans import books, catalogue
+from scenewright.plans import books, catalogue, chains
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
@@ -105,3 +105,11 @@ def test_every_layer_is_counted(spark, duck):
     assert set(got) == {"page", "section", "story", "scene", "chunk", "entity", "event", "turn", "web"}
     rag = books.rag_sources(spark, DATA)
     assert rag.count() == rag.select("rag_id").distinct().count()
+
+
+def test_blocks_are_whole_and_without_tags(spark):
+    long = "word " * 60 + "end"
+    page = f"<html><style>p{{}}</style><script>t='<p>no</p>'</script><!-- <p>no</p> --><ul><li><a href='/x'>Link</a></li></ul><h1 class='a'>A <i>title</i></h1><p><b>bold</b> and<br>plain<p>{long}</p><P>a < b</P><p>open<footer>foot</footer></html>"
+    got = chains.html_fragments(spark.createDataFrame([(1, page)], "page_id long, html string")).orderBy("frag_idx").collect()
+    assert [r.text for r in got] == ["Link", "2 A title", "bold and plain", long, "a < b", "open"]
+    assert [r.label for r in got] == ["text", "section_header", *["text"] * 4]

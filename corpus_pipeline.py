@@ -25,8 +25,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near copies, the one with the smallest id."""
-    return near_dedup.keep_one_of_each(docs)
+    """Keep one document of each class of near copies by strings of five words, the one with the smallest id."""
+    return near_dedup.keep_one_of_each(docs, words=5)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -345,9 +345,9 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
     return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, *, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that near_duplicates keeps, with all their columns."""
-    gone = near_duplicates(docs, id_col=id_col, text_col=text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
+    gone = near_duplicates(docs, words=words, id_col=id_col, text_col=text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from scenewright.llm import exact_dedup, fixity, media, near_dedup, packing, quality, repeats, sentencepieces, sharding, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, score double, component_id long, spans string, digest string"
@@ -121,6 +122,14 @@ def test_near_links_behind_a_pair_of_unlike_sizes(spark):
     assert got == {i: i - i % 3 for i, _ in rows}
 
 
+def test_stage_of_near_copies_takes_five_words(spark):
+    """44 words, one of them changed: 37 of 45 strings of four words, 35 of 45 of five."""
+    base = words(3000, 44).split()
+    docs = table(spark, [(1, " ".join(base), "s"), (2, " ".join([*base[:20], "other", *base[21:]]), "s")])
+    assert near_dedup.keep_one_of_each(docs).count() == 1
+    assert corpus_pipeline.near_copies(spark, docs, "").count() == 2
+
+
 def test_likelihood_and_merging():
     rng = np.random.default_rng(3)
     universe = rng.integers(1, 1 << 62, 3000).astype(np.uint64)

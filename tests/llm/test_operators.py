@@ -155,14 +155,14 @@ def removed_by_force(rows, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("crowded", [20_000, 2])
-def test_repeats(spark, odd, empty, monkeypatch, crowded):
-    monkeypatch.setattr(repeats, "CONTEXTS", crowded)
+@pytest.mark.parametrize("group", [1000, 2])
+def test_repeats(spark, odd, empty, monkeypatch, group):
+    monkeypatch.setattr(repeats, "GROUP", group)
     shared, other = words(50, 90), words(51, 70)
     rows = [(i, words(200 + i, 30 + i) + " " + (shared[i : 420 + 13 * i] if i % 2 else other) + " " + words(300 + i, 20)) for i in range(20)]
     rows += [(20, "orre " * 300), (21, shared), (22, "é" * 500), (23, None), (24, "x" * 399), (25, "x" * 399), (26, words(7, 40) + shared + words(8, 9) + shared)]
     docs = table(spark, [(i, t, "s") for i, t in rows])
-    run = lambda d: sorted(map(tuple, repeats.with_spans(d.select("doc_id", "text")).mapInPandas(repeats.trimmed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").collect()), key=str)
+    run = lambda d: sorted(map(tuple, repeats.trimmed(repeats.with_spans(d)).collect()), key=str)
     assert run(docs) == removed_by_force(rows, 400)
     assert run(odd) == removed_by_force([(r.doc_id, r.text) for r in odd.collect()], 400)
     assert run(empty) == []

@@ -44,13 +44,19 @@ def shared_dir(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder, which does not exist yet."""
+    path = f"{shared_dir(spark)}/scenewright/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage is cut,
     lost executors cost nothing that came before, and later passes do not recompute."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scenewright/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -84,6 +90,6 @@ def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
-def row_key(text: str = "text") -> Column:
-    """With doc_id it tells rows apart even where ids repeat or are null."""
-    return F.xxhash64(F.col(text).cast("string"))
+def text_key(text: str = "text") -> Column:
+    """128 bits of the text's SHA-256, null as empty: rows are put together by it, so that ids never pass through Python."""
+    return F.substring(F.unhex(F.sha2(text_or_empty(text), 256)), 1, 16)

@@ -2,24 +2,32 @@
 
 Each document's set of word shingles is summed up by `M` SetSketch registers: truncated,
 exponentially spaced minima of one exponential variable a register, K = floor(1 - log_b x),
-which merge by taking the larger register and agree with a probability that grows with the
-Jaccard similarity. Equal sets become one node. Bands of `ROWS` registers deal the nodes
-into buckets; within a bucket the similarity of pairs is estimated jointly, by likelihood
-over how many registers are larger, smaller and equal at the known set sizes. A pair is
-plausible if it shares `LEAST` registers and its set sizes allow the similarity asked for; the
-estimate only says which pairs are tried first. Each bucket gives a maximum spanning forest
-over its plausible pairs alone, so a group of n copies gives n - 1 pairs and not n * n, and
-every forest pair is kept. Pairs are confirmed on full sets. A link can hide behind a forest
-pair that proves false, but its ends stay in one cluster of plausible pairs: clusters that
-fall into several classes have all their sets compared, by matrix products, and only links
-that join classes leave the task. Buckets above `BLOCK` nodes, and clusters above `SET_BLOCK`,
-are worked off in pairs of blocks, so no task holds more than two blocks of them.
-
-At similarity 0.8 a pair shares no bucket with probability 8e-9 and fewer than `LEAST`
+which merge by taking the larger register and agree with a probability near the Jaccard
+similarity; with b near 1 unrelated sets rarely agree by chance. Equal sets become one node.
+Bands of `ROWS` registers deal the nodes into buckets; within a bucket the similarity of
+pairs is estimated jointly, by likelihood over how many registers are larger, smaller and
+equal at the known set sizes. A pair is plausible if it shares `LEAST` registers and its set
+sizes allow the similarity asked for; the estimate only says which pairs are tried first.
+
+Each bucket gives a maximum spanning forest over its plausible pairs, so a group of n copies
+gives n - 1 pairs and not n * n. Buckets above `BLOCK` nodes are divided into blocks, each
+with the `HUBS` nodes of least hash of its bucket, which tie the blocks together. Where a
+divided bucket still falls into several clusters, nodes of different clusters are compared as
+well (`across`): only pairs of blocks that hold different clusters meet, and only pairs that
+join clusters leave the task. So the ends of every plausible pair are in one cluster.
+
+Pairs are confirmed on full sets, the best of each node first. A link can hide behind a
+forest pair that proves false: where a cluster falls into several classes, all its sets of
+different classes are compared, again `across` blocks, by matrix products, and only links
+that join classes leave the task. A cluster that is one class, as groups of copies are, costs
+nothing there.
+
+At similarity 0.8 a pair shares no bucket with probability 5e-8 and fewer than `LEAST`
 registers with probability under 1e-6.
 
 Defined results: a null text or one without words has an empty set, no links and is kept;
-rows with one id count as one document; rows with a null id keep their own null class.
+rows with one id count as one document; rows with a null id keep their own null class; empty
+tables give no rows; of the input's columns only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -29,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -38,14 +46,15 @@ from .shingles import mixed, shingle_set
 
 M = 128
 ROWS = 4
-B = 1.2
+B = 1.001
 A = 20.0
-TOP = 254
-#: Equal registers of a plausible pair: at similarity 0.8 there are 104 with a deviation of 4.4.
-LEAST = 80
-BLOCK = 2048
+TOP = 65_534
+#: Equal registers of a plausible pair: at similarity 0.8 there are 102 with a deviation of 4.5.
+LEAST = 78
+BLOCK = 1024
+HUBS = 16
 #: Nodes of a block whose full sets are compared.
-SET_BLOCK = 1024
+SET_BLOCK = 512
 WORDS = 4
 U32 = np.uint32
 _seed = mixed(np.arange(1, 2 * M + 1, dtype=np.uint64))
@@ -65,36 +74,36 @@ def registers(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
         h ^= h >> U32(13)
         out[:, i] = np.minimum.reduceat(h, starts)
     x = -np.log1p(-(out + 0.5) / 4294967296.0) / A
-    return np.clip(np.floor(1 - np.log(x) / np.log(B)), 0, TOP + 1).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(x) / np.log(B)), 0, TOP + 1).astype("<u2")
 
 
 def sketched(docs: DataFrame, *, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, digest, registers (null for empty sets) of every row."""
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            at = 0
-            while at < len(batch):
-                sets, held = [], 0
-                for text in batch["text"].iloc[at:]:
-                    sets.append(shingle_set(text, words))
-                    held += len(sets[-1])
-                    if held > 100_000:
-                        break
-                ids = batch["doc_id"].array[at : at + len(sets)]
-                at += len(sets)
-                size = np.array([len(s) for s in sets])
-                some = np.flatnonzero(size)
-                rows: list[bytes | None] = [None] * len(sets)
-                if len(some):
-                    starts = np.concatenate([[0], np.cumsum(size[some])[:-1]])
-                    for k, r in zip(some, registers(np.concatenate([sets[k] for k in some]), starts), strict=True):
-                        rows[k] = r.tobytes()
-                digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                yield pd.DataFrame({"doc_id": ids, "n_shingles": size, "digest": digest, "registers": rows})
-
-    return kept.mapInPandas(run, "doc_id long, n_shingles long, digest binary, registers binary")
+    common.bounded_batches(docs.sparkSession)
+
+    def sketch(texts: pd.Series) -> pd.DataFrame:
+        out, at = [], 0
+        while at < len(texts):
+            sets, held = [], 0
+            for text in texts.iloc[at:]:
+                sets.append(shingle_set(text, words))
+                held += len(sets[-1])
+                if held > 100_000:
+                    break
+            at += len(sets)
+            size = np.array([len(s) for s in sets])
+            some = np.flatnonzero(size)
+            rows: list[bytes | None] = [None] * len(sets)
+            if len(some):
+                starts = np.concatenate([[0], np.cumsum(size[some])[:-1]])
+                for k, r in zip(some, registers(np.concatenate([sets[k] for k in some]), starts), strict=True):
+                    rows[k] = r.tobytes()
+            digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            out.append(pd.DataFrame({"n_shingles": size, "digest": digest, "registers": rows}))
+        return pd.concat(out) if out else pd.DataFrame({"n_shingles": [], "digest": [], "registers": []})
+
+    made = F.pandas_udf(sketch, "n_shingles long, digest binary, registers binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), made(F.col(text_col)).alias("s")).select("doc_id", "s.*")
 
 
 def estimated(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -145,21 +154,24 @@ def agreement(regs: np.ndarray) -> np.ndarray:
     return equal
 
 
-def spanning(regs: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum spanning forest (Prim) over the plausible pairs of sets of n elements."""
+def spanning(regs: np.ndarray, n: np.ndarray, percent: int, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum spanning forest (Prim) over the plausible pairs of sets of n elements; rows with one label count as tied already."""
     equal, size = agreement(regs), len(regs)
     any_pair = alike_in_size(n.min(), n.max(), percent)
+    tied = M + 1
 
     def shared(k: int) -> np.ndarray:
         row = equal[k].astype(np.int16)
-        return row if any_pair else np.where(alike_in_size(n, n[k], percent), row, 0)
+        if not any_pair:
+            row = np.where(alike_in_size(n, n[k], percent), row, 0)
+        return row if label is None else np.where(label == label[k], tied, row)
 
     best, via = shared(0), np.zeros(size, np.int64)
     best[0] = -1
     left, right = [], []
     for _ in range(size - 1):
         now = int(np.argmax(best))
-        if best[now] >= LEAST:
+        if LEAST <= best[now] < tied:
             left.append(via[now]), right.append(now)
         row, outside = shared(now), best >= 0
         better = outside & (row > best)
@@ -188,45 +200,85 @@ def by_bucket(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[p
         yield pd.concat(held)
 
 
-def forests(percent: int):
-    """Over sorted bucket rows (key, i, j, node, registers, n_shingles): a spanning forest (a, b, estimate) of each bucket."""
+def forests(percent: int, columns: list[str]):
+    """Over rows (columns, node, registers, n_shingles, perhaps label) sorted by columns: a spanning forest (a, b, estimate) of each group."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in by_bucket(batches, ["key", "i", "j"]):
-            keys = frame[["key", "i", "j"]].to_numpy()
+        for frame in by_bucket(batches, columns):
+            keys = frame[columns].to_numpy()
             edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             start, stop = np.concatenate([[0], edge]), np.concatenate([edge, [len(frame)]])
-            regs = np.frombuffer(b"".join(frame["registers"]), np.uint8).reshape(len(frame), M)
+            regs = np.frombuffer(b"".join(frame["registers"]), "<u2").reshape(len(frame), M)
             n, node = frame["n_shingles"].to_numpy(), frame["node"].to_numpy()
+            label = frame["label"].to_numpy() if "label" in frame else None
             two = start[stop - start == 2]
+            if label is not None:
+                two = two[label[two] != label[two + 1]]
             pairs = [(two, two + 1)]
             for s, e in zip(start, stop, strict=True):
                 if e - s > 2:
-                    a, b = spanning(regs[s:e], n[s:e], percent)
+                    a, b = spanning(regs[s:e], n[s:e], percent, None if label is None else label[s:e])
                     pairs.append((a + s, b + s))
             i, j = (np.concatenate([p[k] for p in pairs]).astype(np.int64) for k in range(2))
             est = compared(regs, n, i, j, percent)
-            good = est >= 0
+            good = (est >= 0) & (node[i] != node[j])
             a, b = node[i[good]], node[j[good]]
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "estimate": est[good]})
 
     return run
 
 
-def in_blocks(rows: DataFrame, size: str, keys: list[str], block: int) -> DataFrame:
-    """rows of large groups repeated for pairs of blocks (i <= j), dealt and sorted by group and pair."""
-    blocks = F.ceil(F.col(size) / block).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    paired = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    paired = paired.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).drop("mine", "other", size)
+EDGES = "a long, b long, estimate double"
+
+
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
     parts = max(12, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return paired.repartition(parts, *keys, "i", "j").sortWithinPartitions(*keys, "i", "j", "node")
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys, "node")
+
+
+def blocks_of(n, block: int):
+    return F.ceil(n / block).cast("int")
+
+
+def across(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """rows (group, node, label) repeated so that nodes of different labels meet: with i and j, a pair of blocks of the group.
+
+    A label of more than half a block has blocks of its own, which never meet each other;
+    smaller labels share blocks. So the rows of one large class go out once for each block
+    of other classes, whatever its own size.
+    """
+    sizes = rows.groupBy(group, "label").agg(F.count(F.lit(1)).alias("n"))
+    small = F.col("n") <= block // 2
+    shares = sizes.groupBy(group).agg(blocks_of(F.coalesce(F.sum(F.when(small, F.col("n"))), F.lit(0)), block).alias("shared"), F.sum(F.when(small, 0).otherwise(blocks_of(F.col("n"), block))).cast("int").alias("own"))
+    own = sizes.filter(~small).withColumn("parts", blocks_of(F.col("n"), block))
+    own = own.withColumn("first", (F.sum("parts").over(Window.partitionBy(group).orderBy("label")) - F.col("parts")).cast("int")).select(group, "label", "parts", "first")
+    placed = rows.join(shares, group).join(own, [group, "label"], "left")
+    alone = F.col("parts").isNotNull()
+    mine = F.when(alone, F.col("shared") + F.col("first") + F.pmod(F.xxhash64("node"), "parts")).otherwise(F.pmod(F.xxhash64("label"), "shared")).cast("int")
+    every = F.sequence(F.lit(0), F.col("shared") + F.col("own") - 1)
+    others = F.when(alone, F.filter(every, lambda k: (k < F.col("shared") + F.col("first")) | (k >= F.col("shared") + F.col("first") + F.col("parts")))).otherwise(every)
+    met = placed.withColumn("mine", mine).withColumn("other", F.explode(others))
+    return met.select(*rows.columns, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
 
 
 def propose(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """members (key, node, in_bucket) -> distinct pairs (a, b, estimate)."""
-    rows = members.join(reps.select("node", "registers", "n_shingles"), "node")
-    return in_blocks(rows, "in_bucket", ["key"], BLOCK).mapInPandas(forests(percent), "a long, b long, estimate double").filter("a < b").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    """members (key, node, in_bucket) -> distinct plausible pairs (a, b, estimate) that tie each bucket's plausible pairs together."""
+    sketches = reps.select("node", "registers", "n_shingles")
+    large = members.filter(F.col("in_bucket") > BLOCK)
+    blocks = blocks_of(F.col("in_bucket"), BLOCK)
+    hubs = large.groupBy("key").agg(F.min("in_bucket").alias("in_bucket"), F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("node"), F.floor(F.col("in_bucket") / (4 * HUBS)) + 1) == 0, F.col("node")))), 1, HUBS).alias("hubs"))
+    hubs = hubs.select("key", F.explode("hubs").alias("node"), "in_bucket").select("key", "node", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
+    rows = members.select("key", "node", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i")).unionByName(hubs)
+    tree = dealt(rows.join(sketches, "node"), "key", "i").mapInPandas(forests(percent, ["key", "i"]), EDGES)
+    best = F.max("estimate").alias("estimate")
+    tree = common.saved(tree.groupBy("a", "b").agg(best), "near-forest")
+    if not large.limit(1).count():
+        return tree
+    parted = labelled(large.select("key", "node"), "node", "label", components(tree))
+    several = parted.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    met = across(common.saved(parted.join(several, "key"), "near-parted"), "key", BLOCK)
+    joining = dealt(met.join(sketches, "node"), "key", "i", "j").mapInPandas(forests(percent, ["key", "i", "j"]), EDGES)
+    return common.saved(tree.unionByName(joining).groupBy("a", "b").agg(best), "near-forest")
 
 
 def shared_shingles(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
@@ -246,11 +298,11 @@ def shared_shingles(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
 
 
 def missing_links(numerator: int, denominator: int):
-    """Over sorted rows (cluster, i, j, node, component, members): links (a, b) between components, enough to join them."""
+    """Over sorted rows (cluster, i, j, node, label, members): links (a, b) between labels, enough to join them."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(x, np.uint64) for x in frame["members"]]
-        size, component, node = np.array([len(s) for s in sets], np.float32), frame["component"].to_numpy(), frame["node"].to_numpy()
+        size, component, node = np.array([len(s) for s in sets], np.float32), frame["label"].to_numpy(), frame["node"].to_numpy()
         both = shared_shingles(sets)
         linked = (denominator * both >= numerator * (size[:, None] + size[None, :] - both)) & (component[:, None] < component[None, :])
         root: dict[int, int] = {}
@@ -276,6 +328,12 @@ def missing_links(numerator: int, denominator: int):
     return run
 
 
+def labelled(df: DataFrame, node: str, out: str, labels: DataFrame) -> DataFrame:
+    """df with the component of a node as a column; nodes without one are their own."""
+    found = labels.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
+    return df.join(found, F.col(node) == F.col("__n"), "left").withColumn(out, F.coalesce("__c", node)).drop("__c", "__n")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """pairs (a, b) with their link decided on full sets: (a, b, linked)."""
     joined = pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("members").alias("right")), "b").join(sets.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
@@ -306,12 +364,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
     bands = bands.select("node", F.xxhash64("band", "value").alias("key"))
     counts = bands.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
     shared = common.saved(bands.join(counts, "key").select("key", "node", "in_bucket"), "near-buckets")
-    tree = common.saved(propose(shared, reps, percent), "near-forest")
-    involved = shared.select("node").join(tree.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").distinct()
+    tree = propose(shared, reps, percent)
+    involved = tree.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"node": batch["node"], "members": [shingle_set(t, words).tobytes() for t in batch["text"]]})
+            for at in range(0, len(batch), 200):
+                part = batch.iloc[at : at + 200]
+                yield pd.DataFrame({"node": part["node"], "members": [shingle_set(t, words).tobytes() for t in part["text"]]})
 
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     sets = texts.join(involved, "node", "left_semi").mapInPandas(gather, "node long, members binary")
@@ -319,25 +379,29 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
 
     ends = tree.select(F.explode(F.array(F.struct(F.col("a").alias("node"), "b", "a"), F.struct(F.col("b").alias("node"), "b", "a"))).alias("e"), "estimate").select("e.*", "estimate")
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("estimate", -F.col("a"), -F.col("b"))).alias("e")).select("e.a", "e.b").distinct()
-    judged = common.saved(confirm(best, sets, percent, 100), "near-judged")
-    labels = components(judged.filter("linked"))
-
-    def labelled(df: DataFrame, node: str, out: str, labels: DataFrame) -> DataFrame:
-        found = labels.select(F.col("node").alias(node), F.col("component").alias("__c"))
-        return df.join(found, node, "left").withColumn(out, F.coalesce("__c", node)).drop("__c")
-
-    left = labelled(labelled(tree.join(judged, ["a", "b"], "left_anti"), "a", "ca", labels), "b", "cb", labels).filter("ca <> cb")
-    judged = judged.unionByName(common.saved(confirm(left, sets, percent, 100), "near-judged"))
-    labels = components(judged.filter("linked"))
-
-    # clusters of plausible pairs that fell into several classes: all their pairs, on full sets, in blocks
-    clusters = components(tree).select("node", F.col("component").alias("cluster"))
-    parted = labelled(clusters, "node", "component", labels)
-    open_clusters = parted.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi AND size > 2").select("cluster", "size")
-    rows = parted.join(open_clusters, "cluster").join(sets, "node").select("cluster", "size", "node", "component", "members")
-    more = common.saved(in_blocks(rows, "size", ["cluster"], SET_BLOCK).mapInPandas(missing_links(percent, 100), "a long, b long"), "near-links")
-    if more.limit(1).count():
-        labels = components(judged.filter("linked").select("a", "b").unionByName(more))
+    linked = common.saved(confirm(best, sets, percent, 100), "near-judged")
+    labels = components(linked.filter("linked"))
+
+    def between(edges: DataFrame) -> DataFrame:
+        """edges with the labels of their ends, where these differ"""
+        return labelled(labelled(edges, "a", "la", labels), "b", "lb", labels).filter("la <> lb")
+
+    def joined(edges: DataFrame) -> DataFrame:
+        """labels after edges (la, lb) between them"""
+        new = components(edges.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        return common.saved(labelled(everyone.select("node", "label"), "label", "component", new).select("node", "component"), "near-labels")
+
+    everyone = labelled(involved, "node", "label", labels)
+    rest = confirm(between(tree.join(linked, ["a", "b"], "left_anti")), sets, percent, 100).filter("linked")
+    labels = joined(between(rest))
+    open_pairs = common.saved(between(tree).select("la", "lb").distinct(), "near-open")
+    if open_pairs.limit(1).count():
+        # clusters of plausible pairs that fell into several classes: all pairs of different classes, on full sets
+        clusters = components(open_pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))).select(F.col("node").alias("label"), F.col("component").alias("cluster"))
+        everyone = common.saved(labels.select("node", F.col("component").alias("label")), "near-classes")
+        met = across(common.saved(everyone.join(clusters, "label").select("cluster", "node", "label"), "near-clusters"), "cluster", SET_BLOCK)
+        more = dealt(met.join(sets, "node"), "cluster", "i", "j").mapInPandas(missing_links(percent, 100), "a long, b long")
+        labels = joined(between(more))
 
     nodes = labelled(reps.select("digest", "node"), "node", "component", labels).select("digest", "component")
     found = base.select("doc_id", "n_shingles", "digest").join(nodes, "digest", "left")

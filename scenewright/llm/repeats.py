@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -204,11 +204,6 @@ def merge_contexts(length: int):
     return run
 
 
-def text_key(text: str) -> Column:
-    """128 bits of the text's SHA-256; null as empty."""
-    return F.substring(F.unhex(F.sha2(common.text_or_empty(text), 256)), 1, 16)
-
-
 def divided(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, DataFrame | None]:
     """rows (grouped, core, origin, shift, before, windows, data): groups of at most `group` rows, and the whole windows of the rest."""
     small: DataFrame | None = None
@@ -314,7 +309,7 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 def with_spans(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with a column __spans: null where nothing repeats."""
     found = repeated_spans(docs, length=length, id_col=id_col, text_col=text_col).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"))
-    return docs.withColumn("__key", text_key(text_col)).join(found, F.col("__key") == F.col("__found"), "left").drop("__key", "__found")
+    return docs.withColumn("__key", common.text_key(text_col)).join(found, F.col("__key") == F.col("__found"), "left").drop("__key", "__found")
 
 
 def measured(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:

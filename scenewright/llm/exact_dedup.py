@@ -47,11 +47,9 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     winners = common.saved(winners, "exact-winners")
     split = base.join(F.broadcast(winners), "digest", "left")
     frequent = split.filter(F.col("winner").isNotNull())
-    each = Window.partitionBy("digest")
-    rest = (
-        split.filter(F.col("winner").isNull()).select("doc_id", "digest", "rid")
-        .select("doc_id", "digest", "rid", F.max(F.struct("doc_id", "rid")).over(each).alias("winner"), F.count(F.lit(1)).over(each).alias("group_size"))
-    )
+    others = split.filter(F.col("winner").isNull()).select("doc_id", "digest", "rid")
+    # grouped first, so that a digest just below the winners' size is summed up in the map tasks
+    rest = others.join(others.groupBy("digest").agg(winner, F.count(F.lit(1)).alias("group_size")), "digest").select("doc_id", "digest", "rid", "winner", "group_size")
     return frequent.select(rest.columns).unionByName(rest).select(
         "doc_id",
         F.col("winner.doc_id").alias("keep_id"),

@@ -1,16 +1,20 @@
 """WARC records and a Merkle fixity audit of their replicas (operator 10).
 
-Pages become WARC/1.1 response records, dealt to files of about `file_bytes` and laid out
-in order of their ids, so each record has an offset range. A tree is built over each
-file's ordered ranges: leaves are record digests, a node is the digest of up to `FANOUT`
-children, and file roots are the leaves of a tree over all files. Replicas are compared from
-the top: a level's children are looked at only below nodes that differ, so the work goes to
-the mismatching branches. All of it is grouping, hashing and joining in built-in functions;
-no group is larger than `FANOUT`, and windows rank one file at a time.
-
-Defined results: null addresses and bodies count as empty; records with one id are ordered
-by their content; a record that only one replica holds is `missing` or `extra`; empty
-replicas have no nodes and agree.
+Pages become WARC/1.1 response records, dealt by their digests to files of about `file_bytes`
+and laid out in order of their ids, so each record has an offset range. A tree is built over
+each file's ordered ranges: a leaf is the digest of a record with its offset range, a node
+the digest of up to `FANOUT` children with theirs, and file roots are the leaves of a tree
+over all files, whose root is the replica's. An audit compares the replica roots first, and
+ends there if they agree; then a level's children are looked at only below nodes that
+differ, so the work goes to the mismatching branches. All of it is grouping, hashing and
+joining in built-in functions; no group is larger than `FANOUT`, and windows rank one file
+at a time.
+
+Defined results: null addresses and bodies count as empty; null ids come first in their file;
+records with one id are ordered by their content, equal ones in any order; a record that only
+one replica holds is `missing` or `extra`, one with other content `corrupt`, one that only
+lies elsewhere in its file `moved`; empty replicas have no nodes and agree; columns of the
+pages besides id, address and body are not looked at.
 """
 
 from __future__ import annotations
@@ -48,62 +52,84 @@ def records(pages: DataFrame, *, file_bytes: int = FILE_BYTES, id_col: str = "pa
     files = max(1, -(-int(total) // file_bytes))
     each = Window.partitionBy("file").orderBy("page_id", "digest")
     return (
-        base.withColumn("file", F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(files)))
+        base.withColumn("file", F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % F.lit(files))
         .withColumn("place", F.row_number().over(each).cast("long") - 1)
         .withColumn("offset", F.sum("length").over(each.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
         .select("page_id", "file", "place", "offset", "length", "digest")
     )
 
 
-def level_above(nodes: DataFrame, tree: str, at: str) -> DataFrame:
-    """nodes (tree, at, start, stop, digest) -> their parents, each over FANOUT neighbours and their offset range."""
-    return nodes.groupBy(tree, F.floor(F.col(at) / FANOUT).cast("long").alias("parent")).agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sort_array(F.collect_list(F.struct(at, "digest"))).alias("children")
-    ).select(tree, F.col("parent").alias(at), "start", "stop", F.sha2(F.concat_ws("|", F.transform("children", lambda c: F.concat_ws(":", c[at].cast("string"), c["digest"]))), 256).alias("digest"))
+def node_digest(children: str, at: str) -> Column:
+    """Digest over the children's places, offset ranges and digests, in order."""
+    return F.sha2(F.concat_ws("|", F.transform(children, lambda c: F.concat_ws(":", c[at].cast("string"), c["start"].cast("string"), c["stop"].cast("string"), c["digest"]))), 256)
 
 
-def merkle_levels(held: DataFrame, levels: int) -> list[DataFrame]:
-    """held: records of a replica. Level 0 are the records; the last level has one node a file."""
-    nodes = held.select("file", "place", F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("stop"), "digest")
-    out = [common.saved(nodes, "merkle-leaves")]
-    for k in range(1, levels):
-        up = level_above(out[-1], "file", "place")
-        out.append(common.saved(up, f"merkle-level-{k}"))
+def level_above(nodes: DataFrame) -> DataFrame:
+    """nodes (file, place, start, stop, digest) -> their parents, each over FANOUT neighbours and their offset range."""
+    return nodes.groupBy("file", F.floor(F.col("place") / FANOUT).cast("long").alias("parent")).agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sort_array(F.collect_list(F.struct("place", "start", "stop", "digest"))).alias("children")
+    ).select("file", F.col("parent").alias("place"), "start", "stop", node_digest("children", "place").alias("digest"))
+
+
+def height(most: int) -> int:
+    """Levels above leaves with places up to most."""
+    n = 0
+    while most > 0:
+        most, n = most // FANOUT, n + 1
+    return n
+
+
+def merkle_tree(held: DataFrame, below: int, above: int) -> list[DataFrame]:
+    """held: records of a replica. The levels from the records to one node a file (`below` steps up), then over the files to the root (`above` more)."""
+    out = [common.saved(held.select("file", "place", F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("stop"), "digest"), "merkle-leaves")]
+    for k in range(below):
+        out.append(common.saved(level_above(out[-1]), f"merkle-level-{k + 1}"))
+    roots = out[-1].select(F.lit(0).cast("long").alias("file"), F.col("file").cast("long").alias("place"), "start", "stop", "digest")
+    for k in range(above):
+        roots = common.saved(level_above(roots), f"merkle-files-{k + 1}")
+        out.append(roots)
     return out
 
 
 def differing(left: DataFrame, right: DataFrame) -> DataFrame:
     """(file, place) of nodes that differ or that one side lacks."""
-    a, b = (x.select("file", "place", F.col("digest").alias(d)) for x, d in ((left, "a"), (right, "b")))
+    a, b = (x.select("file", "place", F.struct("digest", "start", "stop").alias(d)) for x, d in ((left, "a"), (right, "b")))
     return a.join(b, ["file", "place"], "full_outer").filter(~F.col("a").eqNullSafe(F.col("b")))
 
 
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """Records (page_id, file, place, offset, length, digest) of two replicas -> the places that differ: file, place, status."""
-    deepest = first.unionByName(second).agg(F.max("place").alias("n")).first().n or 0
-    levels = 1
-    while deepest >= FANOUT ** (levels - 1):
-        levels += 1
-    one, two = merkle_levels(first, levels), merkle_levels(second, levels)
+    most = first.unionByName(second).agg(F.max("place").alias("n"), F.max("file").alias("f")).first()
+    below, above = height(most.n or 0), height(most.f or 0)
+    one, two = merkle_tree(first, below, above), merkle_tree(second, below, above)
+    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").when(F.col("a.digest") != F.col("b.digest"), "corrupt").otherwise("moved")
+
+    def narrowed(nodes: DataFrame, bad: DataFrame, *, by_file: bool) -> DataFrame:
+        """nodes below the bad ones"""
+        if by_file:
+            return nodes.join(bad.select(F.col("place").alias("file")), "file", "left_semi")
+        parents = bad.select("file", F.col("place").alias("parent"))
+        return nodes.withColumn("parent", F.floor(F.col("place") / FANOUT).cast("long")).join(parents, ["file", "parent"], "left_semi").drop("parent")
+
     bad = differing(one[-1], two[-1])
-    for a, b in zip(one[-2::-1], two[-2::-1], strict=True):
-        below = bad.select("file", F.col("place").alias("parent"))
-        narrow = lambda nodes: nodes.withColumn("parent", F.floor(F.col("place") / FANOUT).cast("long")).join(below, ["file", "parent"], "left_semi")  # noqa: B023, E731
-        bad = differing(narrow(a), narrow(b))
-    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("corrupt")
+    if not bad.limit(1).count():  # the replica roots agree
+        return bad.select("file", "place", status.alias("status"))
+    for k in range(len(one) - 2, -1, -1):
+        if k >= below:  # a level over files: the lowest of them are the file roots by number
+            over = [t[k] if k > below else t[k].select(F.lit(0).cast("long").alias("file"), F.col("file").cast("long").alias("place"), "start", "stop", "digest") for t in (one, two)]
+            bad = differing(*(narrowed(x, bad, by_file=False) for x in over))
+        else:
+            files = k == below - 1 and above > 0
+            bad = differing(*(narrowed(t[k], bad, by_file=files) for t in (one, two)))
+    if above and not below:
+        bad = differing(*(narrowed(t[0], bad, by_file=True) for t in (one, two)))
     return bad.select("file", "place", status.alias("status"))
 
 
 def replica_root(held: DataFrame) -> DataFrame:
-    """One row: the digest over all file roots, in order of their numbers (a tree over files, FANOUT at a time)."""
-    deepest = held.agg(F.max("place").alias("n"), F.max("file").alias("f")).first()
-    top, n = merkle_levels(held, 1)[0], deepest.n or 0
-    while n > 0:
-        top, n = level_above(top, "file", "place"), n // FANOUT
-    roots, f = top.select(F.lit(0).alias("file"), F.col("file").alias("place"), "start", "stop", "digest"), deepest.f or 0
-    while f > 0:
-        roots, f = level_above(roots, "file", "place"), f // FANOUT
-    return roots.select("digest")
+    """One row: the digest of the root over all files."""
+    most = held.agg(F.max("place").alias("n"), F.max("file").alias("f")).first()
+    return merkle_tree(held, height(most.n or 0), height(most.f or 0))[-1].select("digest")
 
 
 def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +161,7 @@ r AS (
       || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html
       || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM d),
 m AS (SELECT page_id, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS record_sha256 FROM r),
-f AS (SELECT *, coalesce(page_id, 0) % (SELECT greatest(1, CAST(ceil(sum(length) / {float(FILE_BYTES)}) AS BIGINT)) FROM m) AS file FROM m)
+f AS (SELECT *, CAST(('0x' || substr(record_sha256, 1, 8)) AS BIGINT) % (SELECT greatest(1, CAST(ceil(sum(length) / {float(FILE_BYTES)}) AS BIGINT)) FROM m) AS file FROM m)
 SELECT page_id, file, row_number() OVER w - 1 AS place,
        CAST(sum(length) OVER (PARTITION BY file ORDER BY page_id, record_sha256 ROWS UNBOUNDED PRECEDING) - length AS BIGINT) AS "offset",
        length, record_sha256,

@@ -190,53 +190,45 @@ def describe(data: bytes | None) -> dict:
 
 def media_columns(media: DataFrame, *, id_col: str, bytes_col: str) -> DataFrame:
     """id, codec, handler, timescale, duration, n_samples, n_keyframes, keyframes, error for every row."""
-    kept = media.select(F.col(id_col).alias("id"), F.col(bytes_col).alias("data"))
+    common.bounded_batches(media.sparkSession)
+    names = [c.split()[0] for c in ("codec", "handler", "timescale", "duration", "n_samples", "n_keyframes", "keyframes", "error")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = pd.DataFrame([{k: v for k, v in describe(x).items() if k != "track"} for x in batch["data"]], columns=[c.split()[0] for c in ("codec", "handler", "timescale", "duration", "n_samples", "n_keyframes", "keyframes", "error")])
-            for c in ("timescale", "duration", "n_samples", "n_keyframes"):
-                rows[c] = rows[c].astype("Int64")
-            rows.insert(0, id_col, batch["id"].to_numpy())
-            yield rows
+    def run(data: pd.Series) -> pd.DataFrame:
+        rows = pd.DataFrame([{k: v for k, v in describe(x).items() if k != "track"} for x in data], columns=names)
+        for c in ("timescale", "duration", "n_samples", "n_keyframes"):
+            rows[c] = rows[c].astype("Int64")
+        return rows
 
-    return kept.mapInPandas(run, f"{id_col} {kept.schema['id'].dataType.simpleString()}, {COLUMNS}")
+    return media.select(F.col(id_col).alias("id"), F.pandas_udf(run, COLUMNS)(F.col(bytes_col)).alias("m")).select(F.col("id").alias(id_col), "m.*")
 
 
 def text_to_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, media: every text stored as an ISO media file."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    common.bounded_batches(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [payload_of(t) for t in batch["text"]]
-            yield pd.DataFrame({id_col: batch["id"].array, "n_bytes": [n for n, _ in made], "media": [write_container(p) for _, p in made]})
+    def run(texts: pd.Series) -> pd.DataFrame:
+        made = [payload_of(t) for t in texts]
+        return pd.DataFrame({"n_bytes": [n for n, _ in made], "media": [write_container(p) for _, p in made]})
 
-    return kept.mapInPandas(run, f"{id_col} {kept.schema['id'].dataType.simpleString()}, n_bytes long, media binary")
+    return docs.select(F.col(id_col), F.pandas_udf(run, "n_bytes long, media binary")(F.col(text_col)).alias("m")).select(id_col, "m.*")
 
 
-DIGESTS = (
-    "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
-    "feature string, codec string, duration long, n_keyframes long"
-)
+DIGESTS = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, codec string, duration long, n_keyframes long"
 
 
-def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc_id, n, media in zip(batch["doc_id"].array, batch["n_bytes"], batch["media"], strict=True):
-            media = bytes(media)
-            d = describe(media)
-            payload = sample_bytes(media, d["track"])
-            keys = d["keyframes"]
-            ranges = ",".join(f"{k['start']}+{k['size']}" for k in keys)
-            feature = f"{d['codec']}|{d['handler']}|{d['duration']}/{d['timescale']}|{d['n_samples']}|{d['n_keyframes']}|{keys[0]['start']}-{keys[-1]['start'] + keys[-1]['size']}|{zlib.crc32(ranges.encode()):08x}"
-            rows.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature, d["codec"], d["duration"], d["n_keyframes"]))
-        out = pd.DataFrame(rows, columns=[c.split()[0] for c in DIGESTS.split(", ")])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+def digests(data: pd.Series) -> pd.DataFrame:
+    rows = []
+    for media in data:
+        media = bytes(media)
+        d = describe(media)
+        payload = sample_bytes(media, d["track"])
+        keys = d["keyframes"]
+        ranges = ",".join(f"{k['start']}+{k['size']}" for k in keys)
+        feature = f"{d['codec']}|{d['handler']}|{d['duration']}/{d['timescale']}|{d['n_samples']}|{d['n_keyframes']}|{keys[0]['start']}-{keys[-1]['start'] + keys[-1]['size']}|{zlib.crc32(ranges.encode()):08x}"
+        rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature, d["codec"], d["duration"], d["n_keyframes"]))
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in DIGESTS.split(", ")])
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = text_to_media(common.documents(spark, sf_dir).select(F.col("doc_id").cast("long"), "text"))
-    return stored.mapInPandas(digests, DIGESTS)
+    return stored.select("doc_id", "n_bytes", F.pandas_udf(digests, DIGESTS)("media").alias("d")).select("doc_id", "n_bytes", "d.*")

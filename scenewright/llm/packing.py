@@ -10,7 +10,10 @@ ends. Spark ranks the documents of each length, in parts so that a frequent leng
 single group, and looks up where each rank goes.
 
 Defined results: a null text is empty and gives one piece that holds the end id alone;
-repeated rows and null ids are packed as rows of their own; an empty table gives no rows.
+repeated rows and null ids are packed as rows of their own; an empty table gives no rows; of
+the input's columns only the id and the text are read. Two tables are broadcast: the first
+rank of each length and part (at most window * PARTS rows) and the plan (a row for each
+length in each combination used: at most window + 3 for every combination).
 """
 
 from __future__ import annotations
@@ -18,7 +21,6 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -126,25 +128,23 @@ def tokenised(docs: DataFrame, *, tokenizer: str | None = None, window: int = WI
     The tokenizer drops white space and never looks across it, so the ids of a text are
     those of its ASCII-space-separated parts; parts seen before come from a bounded memory.
     """
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    common.bounded_batches(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(texts: pd.Series) -> pd.DataFrame:
         ids_of = WordIds(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            for at in range(0, len(batch), 1000):
-                split = [(t or "").encode("utf-8", "replace").split() for t in batch["text"].iloc[at : at + 1000]]
-                known = ids_of.learn(set().union(*split))
-                ids = [b"".join(map(known.__getitem__, words)) + end for words in split]
-                size = [len(x) // 4 for x in ids]
-                yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].array[at : at + 1000],
-                    "doc_tokens": size,
-                    "full_crcs": [[zlib.crc32(x[4 * k : 4 * (k + window)]) for k in range(0, n - window + 1, window)] for x, n in zip(ids, size, strict=True)],
-                    "rest": [x[4 * (n // window * window) :] for x, n in zip(ids, size, strict=True)],
-                })
-
-    return kept.mapInPandas(run, "doc_id long, doc_tokens long, full_crcs array<long>, rest binary")
+        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
+        known = ids_of.learn(set().union(*split))
+        ids = [b"".join(map(known.__getitem__, words)) + end for words in split]
+        size = [len(x) // 4 for x in ids]
+        return pd.DataFrame({
+            "doc_tokens": size,
+            "full_crcs": [[zlib.crc32(x[4 * k : 4 * (k + window)]) for k in range(0, n - window + 1, window)] for x, n in zip(ids, size, strict=True)],
+            "rest": [x[4 * (n // window * window) :] for x, n in zip(ids, size, strict=True)],
+        })
+
+    made = F.pandas_udf(run, "doc_tokens long, full_crcs array<long>, rest binary")
+    return docs.select(F.col(id_col).alias("doc_id"), made(F.col(text_col)).alias("t")).select("doc_id", "t.*")
 
 
 def combinations(h: np.ndarray, window: int, slack: int, thirds: int = 24) -> np.ndarray:
@@ -264,7 +264,7 @@ def pack(tokens: DataFrame, *, window: int = WINDOW, slack: int = SLACK) -> Data
     first = spark.createDataFrame([(*s, int(ordinal[s[0]])) for s in starts], "r int, part int, first long, ordinal long")
     places = spark.createDataFrame([(r, lo, hi, s, o, at) for r, lo, hi, s, o, at in rows], "r int, lo long, hi long, sequence long, place long, stream long")
     ranked = (
-        base.withColumn("n", F.row_number().over(Window.partitionBy("r", "part").orderBy("doc_id")))
+        base.withColumn("n", F.row_number().over(Window.partitionBy("r", "part").orderBy("doc_id", "full_crcs", "rest")))
         .join(F.broadcast(first), ["r", "part"]).withColumn("rank", F.col("first") + F.col("n") - 1)
     )
     p = F.broadcast(places.withColumnRenamed("r", "r2"))

@@ -1,22 +1,30 @@
 """SentencePiece encoding and decoding as a max-plus parallel scan (operator 8).
 
 A text is cut into the vocabulary's pieces so that the sum of their scores is largest
-(Viterbi; characters outside the vocabulary become byte pieces). Best paths must break
-where no piece crosses: before a space that follows another character, and around
-characters that no longer piece holds. Words between such breaks are solved once and
-remembered. A giant text is split into chunks of `CHUNK` characters wherever they fall; the
-state at a cut is how many characters of the piece across it lie before the cut. Each
+(Viterbi; characters outside the vocabulary become byte pieces). The vocabulary file lists
+its pieces by rank, not by probability; tokenizers are not trained here, so a piece's score
+is Zipf's law for its rank, -log(1 + rank), in whole units of 1 / `UNITS`, whose sums are
+exact in any order. Ids are therefore those of the best-scoring path, not of byte-pair merges.
+
+Best paths must break where no piece crosses: before a space that follows another character,
+and around characters that no longer piece holds. Words between such breaks are solved once
+and remembered. A giant text is split into chunks of `CHUNK` characters wherever they fall;
+the state at a cut is how many characters of the piece across it lie before the cut. Each
 chunk yields, on its own, the matrix of best scores from every state at its start to every
-state at its end; the matrices of a text are combined associatively by max-plus products,
-which gives the state at each cut, and each chunk then traces back between its two states.
+state at its end. The matrices are combined associatively by max-plus products, first in
+blocks of `SPAN` chunks and then over the blocks, which gives the state at each cut, and
+each chunk then traces back between its two states.
 
 Defined results: null and empty texts have no ids; equal sums go to the path whose last
-pieces start first, as in the common implementation; a literal U+2581 decodes to a space.
+pieces start first, as in the common implementation; a literal U+2581 decodes to a space;
+repeated rows and null ids are rows like others; empty tables give no rows; of the input's
+columns only the id and the text are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,6 +43,11 @@ WORDS_KEPT = 250_000
 #: Rows that a task encodes before it passes them on.
 ROWS = 500
 NOWHERE = float("-inf")
+UNITS = 1 << 16
+#: Chunks whose matrices are combined together.
+SPAN = 256
+#: A space that follows neither a space nor a line end.
+WORD = re.compile(f"[^{SPACE}\n]{SPACE}")
 
 
 class Pieces:
@@ -52,15 +65,22 @@ class Pieces:
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
             every = range(sp.get_piece_size())
             bytes_at = {int(sp.id_to_piece(i)[3:5], 16): i for i in every if sp.is_byte(i)}
-            known = {sp.id_to_piece(i): (i, sp.get_score(i)) for i in every if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
+            usual = [i for i in every if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+            known = {sp.id_to_piece(i): (i, -float(round(UNITS * math.log1p(rank)))) for rank, i in enumerate(sorted(usual, key=lambda i: (-sp.get_score(i), i)))}
             text_of = {i: p for p, (i, _) in known.items()}
             joined = {c for p in known if len(p) > 1 for c in p}
             inside = {(a, b) for p in known for a, b in zip(p, p[1:], strict=False)}
             assert not any(a != SPACE and b == SPACE for a, b in inside), "pieces cross word starts"
             table: dict[str, tuple[int, float]] = {p[:k]: (-1, 0.0) for p in known for k in range(1, len(p))} | known  # beginnings of pieces have id -1
             shown = [text_of.get(i, chr(i - bytes_at[0]) if bytes_at[0] <= i < bytes_at[128] else "") for i in every]
-            memory["made"] = known, table, shown, bytes_at, {i: b for b, i in bytes_at.items()}, text_of, joined, max(map(len, known)), min(s for _, s in known.values()) - 10
-        self.known, self.table, self.shown, self.bytes_at, self.byte_of, self.text_of, self.joined, self.longest, self.unknown = memory["made"]
+            unknown = min(s for _, s in known.values()) - 10
+            score_of = np.zeros(len(every))
+            for i, score in known.values():
+                score_of[i] = score
+            for b, i in bytes_at.items():
+                score_of[i] = 0.0 if b & 0xC0 == 0x80 else unknown  # a character counts once, at its first byte
+            memory["made"] = known, table, shown, bytes_at, {i: b for b, i in bytes_at.items()}, text_of, joined, max(map(len, known)), unknown, score_of
+        self.known, self.table, self.shown, self.bytes_at, self.byte_of, self.text_of, self.joined, self.longest, self.unknown, self.score_of = memory["made"]
         self.starts: dict[str, bytes] = memory.setdefault("after a space", {})
         self.bare: dict[str, bytes] = memory.setdefault("bare", {})
 
@@ -107,12 +127,7 @@ class Pieces:
         if len(starts) + len(bare) > WORDS_KEPT:
             starts.clear(), bare.clear()
         if "\n" in self.joined or text[0] == " " or "  " in text or SPACE in text or "\n " in text or " \n" in text:
-            out = []
-            for s in self.stretches(SPACE + text.replace(" ", SPACE)):
-                if (ids := bare.get(s)) is None:
-                    ids = bare[s] = self.word(s)
-                out.append(ids)
-            return b"".join(out)
+            return self.spelled(SPACE + text.replace(" ", SPACE))
         out, newline = [], None
         for k, line in enumerate(text.split("\n")):
             words = line.split(" ")
@@ -129,42 +144,71 @@ class Pieces:
             out.extend(map(starts.__getitem__, words))
         return b"".join(out)
 
+    def spelled(self, s: str) -> bytes:
+        """Ids of normalised text, stretch by stretch."""
+        bare, out = self.bare, []
+        for part in self.stretches(s):
+            if (ids := bare.get(part)) is None:
+                ids = bare[part] = self.word(part)
+            out.append(ids)
+        return b"".join(out)
+
     def stretches(self, s: str) -> list[str]:
         """Parts between places that every best path breaks at."""
         if "\n" in self.joined:
             return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", s)
         return re.findall(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+", s)
 
-    def breaks(self, s: str) -> list[int]:
-        """Places inside s that every best path breaks at: in any context, so none next to s's ends."""
-        alone = "\n" not in self.joined
-        return [i for i in range(1, len(s)) if (s[i] == SPACE and s[i - 1] != SPACE) or (alone and (s[i] == "\n" or s[i - 1] == "\n"))]
+    def middle(self, s: str, begin: int) -> tuple[int, int]:
+        """The first and last place from begin on at which a word starts after a space, so that every best path breaks there; twice len(s) if there is none."""
+        first = last = len(s)
+        if found := WORD.search(s, begin):
+            first = last = found.start() + 1
+            tail = s.rfind(SPACE, first)
+            while tail > first and s[tail - 1] in (SPACE, "\n"):
+                tail = s.rfind(SPACE, first, tail)
+            last = max(first, tail)
+        return first, last
+
+    def inner(self, s: str) -> bytes:
+        """Ids of normalised text that begins with a space and ends at a break."""
+        return self.encode(s[1:].replace(SPACE, " ")) if len(s) > 1 else b""
 
     def transfer(self, before: str, s: str) -> np.ndarray:
         """Best scores from each state at the start of s to each at its end; before holds the characters left of it."""
         k_in, whole = len(before), before + s
         states = self.longest
         out = np.full((states, states), NOWHERE)
-        places = [p for p in self.breaks(whole) if p > k_in]
-        head = places[0] if places else len(whole)
-        best_of_rest = None
-        if places:
-            best, via = [NOWHERE] * (len(whole) - head + 1), [None] * (len(whole) - head + 1)
-            best[0] = 0.0
-            self.forward(whole[head:], best, via, 0)
-            best_of_rest = np.array([best[-1 - k] if k < len(best) else NOWHERE for k in range(states)])
+        head, last = self.middle(whole, k_in)
+        rest = None
+        if head < len(whole):
+            best, via = [NOWHERE] * (len(whole) - last + 1), [None] * (len(whole) - last + 1)
+            best[0] = float(self.score_of[np.frombuffer(self.inner(whole[head:last]), "<u4")].sum())
+            self.forward(whole[last:], best, via, 0)
+            rest = np.array([best[-1 - k] if k < len(best) else NOWHERE for k in range(states)])
         for k in range(min(states, k_in + 1)):
             begin = k_in - k
             best, via = [NOWHERE] * (head + 1), [None] * (head + 1)
             best[begin] = 0.0
             self.forward(whole[:head], best, via, begin, k_in + 1 if k else 0)
-            if best_of_rest is not None:
-                out[k] = best[head] + best_of_rest
+            if rest is not None:
+                out[k] = best[head] + rest
             else:
                 ends = [best[head - j] if head - j > k_in or (head - j == k_in and k == 0) else NOWHERE for j in range(min(states, head))]
                 out[k, : len(ends)] = ends
         return out
 
+    def traced(self, before: str, part: str, enter: int, leave: int) -> bytes:
+        """Ids of the chunk's best path from one state to another; a piece belongs to the chunk that it ends in."""
+        s, begin = before + part, len(before) - enter
+        stop = len(s) - leave
+        least = len(before) + 1 if enter else 0
+        head, last = self.middle(s[:stop], len(before))
+        out = np.array(self.between(s, begin, head, least)[0], "<u4").tobytes()
+        if head < stop:
+            out += self.inner(s[head:last]) + np.array(self.between(s[last:stop], 0, stop - last)[0], "<u4").tobytes()
+        return out
+
     def decode(self, ids: np.ndarray) -> str:
         if not ((ids >= self.bytes_at[128]) & (ids <= self.bytes_at[255])).any():
             return "".join(map(self.shown.__getitem__, ids.tolist())).replace(SPACE, " ")[1:]
@@ -198,106 +242,109 @@ def scanned(m: np.ndarray) -> np.ndarray:
     return out
 
 
-def states_at_cuts(m: np.ndarray) -> list[int]:
-    """The state at each cut of the best path that starts and ends between pieces."""
-    ahead = scanned(m)[:, 0, :]  # best scores from the start to each state of each cut
-    states = [0]
+def states_at_cuts(m: np.ndarray, enter: int = 0, leave: int = 0) -> list[int]:
+    """The state at each cut of the best path between two states."""
+    ahead = scanned(m)[:, enter, :]  # best scores from the start to each state of each cut
+    states = [leave]
     for i in range(len(m) - 1, 0, -1):
         states.append(int(np.argmax(ahead[i - 1] + m[i, :, states[-1]])))
-    return [0, *states[::-1]]
+    return [enter, *states[::-1]]
+
+
+def matrices(frame: pd.DataFrame) -> np.ndarray:
+    size = int(np.sqrt(len(frame["matrix"].iloc[0]) / 8))
+    return np.array([np.frombuffer(x).reshape(size, size) for x in frame["matrix"]])
+
+
+def block_product(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("chunk")
+    return pd.DataFrame({"key": frame["key"].iloc[:1], "block": frame["block"].iloc[:1], "matrix": [scanned(matrices(frame))[-1].tobytes()]})
 
 
-def digested(pieces: Pieces, frame: pd.DataFrame) -> pd.DataFrame:
-    """doc_id, n_tokens, ids_crc32 and decoded_sha256 of rows with ids."""
-    raw = [bytes(x) for x in frame["ids"]]
-    return pd.DataFrame({
-        "doc_id": frame["doc_id"].array, "n_tokens": [len(x) // 4 for x in raw], "ids_crc32": [zlib.crc32(x) for x in raw],
-        "decoded_sha256": [hashlib.sha256(pieces.decode(np.frombuffer(x, "<u4")).encode()).hexdigest() for x in raw],
-    })
+def states_of_blocks(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("block")
+    states = states_at_cuts(matrices(frame))
+    return frame[["key", "block"]].assign(enter=states[:-1], leave=states[1:])
 
 
-DIGESTS = "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string"
+def states_of_chunks(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("chunk")
+    states = states_at_cuts(matrices(frame), int(frame["enter"].iloc[0]), int(frame["leave"].iloc[0]))
+    return frame[["key", "chunk"]].assign(enter=states[:-1], leave=states[1:])
 
 
-def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
-    """doc_id, row_key, ids (binary, little-endian 32-bit numbers) of every row; with digests what `digested` makes of them in the same tasks."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.row_key(text_col).alias("row_key"), F.col(text_col).alias("text"))
+def digested(pieces: Pieces, ids: list[bytes]) -> pd.DataFrame:
+    """n_tokens, ids_crc32 and decoded_sha256 of each."""
+    decoded = [hashlib.sha256(pieces.decode(np.frombuffer(x, "<u4")).encode()).hexdigest() for x in ids]
+    return pd.DataFrame({"n_tokens": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids], "decoded_sha256": decoded})
+
+
+def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+    """doc_id, and ids (binary, little-endian 32-bit numbers) of every row; with digests what `digested` makes of them in the same tasks."""
+    spark = common.bounded_batches(docs.sparkSession)
+    parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     giant = F.coalesce(F.length("text"), F.lit(0)) > chunk
+    made = "struct<n_tokens: bigint, ids_crc32: bigint, decoded_sha256: string>" if digests else "struct<ids: binary>"
 
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(model)
-        for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                part = batch.iloc[at : at + ROWS]
-                out = pd.DataFrame({"doc_id": part["doc_id"].array, "row_key": part["row_key"].array, "ids": [pieces.encode(t or "") for t in part["text"]]})
-                yield digested(pieces, out) if digests else out
+    def finished(ids: list[bytes]) -> pd.DataFrame:
+        return digested(Pieces(model), ids) if digests else pd.DataFrame({"ids": ids})
 
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(column: pd.Series) -> pd.DataFrame:
         pieces = Pieces(model)
-        for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                yield digested(pieces, batch.iloc[at : at + ROWS])
+        return finished([pieces.encode(t or "") for t in column])
+
+    def put_together(column: pd.Series) -> pd.DataFrame:
+        return finished([b"".join(x) for x in column])
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = Pieces(model).longest - 1
         for batch in batches:
-            for doc_id, row_key, text in zip(batch["doc_id"].array, batch["row_key"], batch["text"], strict=True):
+            for key, text in zip(batch["key"], batch["text"], strict=True):
                 s = SPACE + text.replace(" ", SPACE)
-                cuts = list(range(0, len(s), chunk))
-                yield pd.DataFrame({"doc_id": pd.array([doc_id] * len(cuts), "Int64"), "row_key": row_key, "chunk": range(len(cuts)), "before": [s[max(0, c - left) : c] for c in cuts], "part": [s[c : c + chunk] for c in cuts]})
+                for at in range(0, len(s), 64 * chunk):
+                    cuts = range(at, min(len(s), at + 64 * chunk), chunk)
+                    yield pd.DataFrame({"key": key, "chunk": [c // chunk for c in cuts], "before": [s[max(0, c - left) : c] for c in cuts], "part": [s[c : c + chunk] for c in cuts]})
 
     def transfers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(model)
         for batch in batches:
-            yield batch[["doc_id", "row_key", "chunk"]].assign(matrix=[pieces.transfer(b, p).tobytes() for b, p in zip(batch["before"], batch["part"], strict=True)])
-
-    def combine(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("chunk").sort_values("chunk")  # repeated rows are alike
-        size = int(np.sqrt(len(frame["matrix"].iloc[0]) / 8))
-        states = states_at_cuts(np.array([np.frombuffer(x).reshape(size, size) for x in frame["matrix"]]))
-        return frame[["doc_id", "row_key", "chunk"]].assign(enter=states[:-1], leave=states[1:])
+            for at in range(0, len(batch), 16):
+                some = batch.iloc[at : at + 16]
+                yield some[["key", "chunk"]].assign(matrix=[pieces.transfer(b, p).tobytes() for b, p in zip(some["before"], some["part"], strict=True)])
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(model)
         for batch in batches:
-            out = []
-            for before, part, enter, leave in zip(batch["before"], batch["part"], batch["enter"], batch["leave"], strict=True):
-                s, begin = before + part, len(before) - enter
-                stop = len(s) - leave
-                inner = [p for p in pieces.breaks(s) if max(begin, len(before)) < p <= stop]
-                at = [begin, *inner, *([stop] if not inner or inner[-1] < stop else [])]
-                ids: list[int] = []
-                for a, b in zip(at, at[1:], strict=False):
-                    least = len(before) + 1 if a == begin and enter else 0
-                    ids += pieces.between(s[a:b], 0, b - a, least - a if least else 0)[0]
-                out.append(np.array(ids, "<u4").tobytes())
-            yield batch[["doc_id", "row_key", "chunk"]].assign(ids=out)
-
-    keys = "doc_id long, row_key long, chunk int"
-    chunks = common.saved(texts.filter(giant).mapInPandas(split, f"{keys}, before string, part string").repartition("row_key", "chunk"), "piece-chunks")
-    matrices = chunks.mapInPandas(transfers, f"{keys}, matrix binary")
-    cuts = matrices.groupBy("doc_id", "row_key").applyInPandas(combine, f"{keys}, enter int, leave int")
-    c = cuts.select(F.col("doc_id").alias("i"), F.col("row_key").alias("r"), F.col("chunk").alias("c"), "enter", "leave")
-    met = chunks.join(c, chunks["doc_id"].eqNullSafe(c["i"]) & (chunks["row_key"] == c["r"]) & (chunks["chunk"] == c["c"])).select("doc_id", "row_key", "chunk", "before", "part", "enter", "leave")
-    traced = met.mapInPandas(trace, f"{keys}, ids binary").dropDuplicates(["doc_id", "row_key", "chunk"])
-    joined = traced.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    joined = joined.select(F.col("doc_id").alias("i"), F.col("row_key").alias("r"), F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
-    rows = texts.filter(giant).select("doc_id", "row_key")
-    large = rows.join(joined, rows["doc_id"].eqNullSafe(joined["i"]) & (rows["row_key"] == joined["r"])).select("doc_id", "row_key", "ids")
-    if digests:
-        return texts.filter(~giant).mapInPandas(whole, DIGESTS).unionByName(large.mapInPandas(finish, DIGESTS))
-    return texts.filter(~giant).mapInPandas(whole, "doc_id long, row_key long, ids binary").unionByName(large)
+            for at in range(0, len(batch), 16):
+                some = batch.iloc[at : at + 16]
+                yield some[["key", "chunk"]].assign(ids=[pieces.traced(*x) for x in zip(some["before"], some["part"], some["enter"], some["leave"], strict=True)])
+
+    large = texts.filter(giant).withColumn("key", common.text_key("text"))
+    pieces_of = large.select("key", "text").mapInPandas(split, "key binary, chunk int, before string, part string")
+    chunks = common.saved(pieces_of.groupBy("key", "chunk").agg(F.first(F.struct("before", "part")).alias("p")).select("key", "chunk", "p.*"), "piece-chunks")
+    # a number given, so that these small rows with much work are not put into few tasks
+    spread = chunks.repartition(parts, "key", "chunk")
+    steps = common.saved(spread.mapInPandas(transfers, "key binary, chunk int, matrix binary").withColumn("block", F.floor(F.col("chunk") / span).cast("int")), "piece-matrices")
+    blocks = steps.groupBy("key", "block").applyInPandas(block_product, "key binary, block int, matrix binary")
+    ends = blocks.groupBy("key").applyInPandas(states_of_blocks, "key binary, block int, enter int, leave int")
+    cuts = steps.join(ends, ["key", "block"]).groupBy("key", "block").applyInPandas(states_of_chunks, "key binary, chunk int, enter int, leave int")
+    met = chunks.join(cuts, ["key", "chunk"]).repartition(parts, "key", "chunk")
+    traced = met.mapInPandas(trace, "key binary, chunk int, ids binary")
+    joined = traced.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"]).alias("parts"))
+    joined = joined.select("key", F.pandas_udf(put_together, made)("parts").alias("m"))
+    rows = large.select("doc_id", F.col("key").alias("k")).join(joined, F.col("k") == F.col("key")).select("doc_id", "m.*")
+    return texts.filter(~giant).select("doc_id", F.pandas_udf(whole, made)("text").alias("m")).select("doc_id", "m.*").unionByName(rows)
 
 
 def decode(ids: DataFrame, *, model: str | None = None) -> DataFrame:
-    """doc_id, row_key, text of rows that encode() made."""
+    """The rows that encode() made, with text in place of ids."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(column: pd.Series) -> pd.Series:
         pieces = Pieces(model)
-        for batch in batches:
-            yield batch[["doc_id", "row_key"]].assign(text=[pieces.decode(np.frombuffer(x, "<u4")) for x in batch["ids"]])
+        return pd.Series([pieces.decode(np.frombuffer(x, "<u4")) for x in column], dtype=object)
 
-    return ids.select("doc_id", "row_key", "ids").mapInPandas(run, "doc_id long, row_key long, text string")
+    return ids.withColumn("text", F.pandas_udf(run, "string")("ids")).drop("ids")
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,11 @@ to new capacities in which a row that stays costs nothing and a row that leaves
 block's mean bytes, so the fewest bytes move. The solution cuts each block's rank range
 into segments; Spark ranks the rows of each block and looks its segment up.
 
+`rewrite_affected` then writes the files of the shards that gain or lose rows, and no others.
+
+Two tables are broadcast, of at most old shards x size classes x SUBS rows (a size class is a
+quarter of a doubling, so 16 old shards and texts up to 1 GB make 16 x 120 x 64 rows).
+
 Law `rows`: capacities differ by one row at most. Defined results: a null text has no
 bytes; null ids and repeated rows are rows like any other and get slots of their own; an
 empty table gives no rows.
@@ -96,14 +101,20 @@ def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], capacities: list[
     return segments
 
 
-def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, law, shard, slot, grown_shard for every row of docs."""
+def with_row_numbers(docs: DataFrame, number: str = "__row") -> DataFrame:
+    """docs, written once with a number for each row, so that null and repeated ids can be told apart."""
+    return common.saved(docs.withColumn(number, F.monotonically_increasing_id()), "shard-rows")
+
+
+def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", number: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, old_shard, law, shard, slot, grown_shard for every row of docs; and the column `number`, if named."""
     spark = docs.sparkSession
     sized = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(common.text_or_empty(text_col).cast("binary")).alias("text_crc32"),
         old_shard.cast("int").alias("old_shard"),
+        *([number] if number else []),
     )
     base = common.saved(
         sized.withColumn("size_class", F.floor(F.log2("size") * 4).cast("int"))
@@ -128,30 +139,50 @@ def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str
     start_type = "old_shard int, size_class int, part int, start long"
     segment_type = "old_shard int, size_class int, lo long, hi long, shard int, slot_base long"
     ranked = (
-        base.withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32")))
+        base.withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32", *([number] if number else []))))
         .join(F.broadcast(spark.createDataFrame(starts, start_type)), ["old_shard", "size_class", "part"])
         .withColumn("rank", F.col("start") + F.col("n") - 1)
     )
     placed = ranked.join(F.broadcast(spark.createDataFrame(segments, segment_type)), ["old_shard", "size_class"]).filter("rank >= lo AND rank < hi")
     return placed.select(
         "doc_id", "size", "text_crc32", "old_shard", F.lit("rows").alias("law"), "shard",
-        (F.col("slot_base") + F.col("rank") - F.col("lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("slot_base") + F.col("rank") - F.col("lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *([number] if number else []),
     )
 
 
-def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc_id") -> list[int]:
-    """Write the files of those new shards that gain or lose rows, one folder for each; returns their numbers.
+def affected(placed: DataFrame) -> list[int]:
+    """Numbers of the new shards that gain or lose rows."""
+    moved = placed.filter("old_shard <> shard").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
+    return sorted(r.shard for r in moved.collect())  # shard numbers only
+
+
+def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, *, number: str = "__row", rows_a_file: int = 50_000) -> list[int]:
+    """Write the files of those shards that gain or lose rows, a folder shard=N for each, into path; returns their numbers.
 
-    docs needs unique ids. A shard whose rows all stay keeps its old file.
+    docs and placed share the row numbers of `with_row_numbers`, so rows with null or repeated
+    ids are kept like any other. Folders of other shards in path stay as they are; an old
+    shard beyond the new ones is not written, its folder is left to the caller.
     """
-    moved = placed.filter("old_shard <> shard").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
-    touched = sorted(r.shard for r in moved.collect())  # shard numbers only
-    rows = docs.join(placed.select(F.col("doc_id").alias("__id"), "shard", "slot"), docs[id_col] == F.col("__id")).drop("__id")
-    rows.filter(F.col("shard").isin(touched or [-1])).repartition("shard", F.floor(F.col("slot") / 50_000)).write.mode("overwrite").partitionBy("shard").parquet(path)
+    touched = affected(placed)
+    found = placed.filter(F.col("shard").isin(touched or [-1])).select(F.col(number).alias("__placed"), "shard", "slot")
+    rows = docs.join(found, F.col(number) == F.col("__placed")).drop("__placed", number)
+    rows = rows.repartition("shard", F.floor(F.col("slot") / rows_a_file))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
     return touched
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The old layout keeps each source in one shard, so that one shard holds far too much."""
+    """The old layout keeps each source in one shard, so that one shard holds far too much.
+
+    The affected shards are rewritten, and their rows are returned as read back from the files.
+    """
+    docs = with_row_numbers(common.documents(spark, sf_dir).select("doc_id", "text", "source"))
     old = F.pmod(F.xxhash64(F.coalesce(F.col("source"), F.lit(""))), F.lit(16))
-    return reshard(common.documents(spark, sf_dir), old_shard=old)
+    placed = common.saved(reshard(docs, old_shard=old, number="__row"), "shard-places")
+    path = common.new_path(spark, "shard-files")
+    touched = rewrite_affected(docs.drop("source"), placed, path)
+    stay = placed.filter(~F.col("shard").isin(touched or [-1])).select("doc_id", "size", "text_crc32", "shard", "slot")
+    files = spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path) if touched else docs.limit(0).select(F.col("doc_id"), "text", F.lit(0).cast("long").alias("slot"), F.lit(0).alias("shard"))
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+    read = files.select("doc_id", size.alias("size"), F.crc32(common.text_or_empty("text").cast("binary")).alias("text_crc32"), "shard", "slot")
+    return stay.unionByName(read).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

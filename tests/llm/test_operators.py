@@ -217,10 +217,11 @@ def test_media_columns(spark, odd, empty):
     assert len(rows) == odd.count() and all(r.error is None and r.codec == "raw " for r in rows)
     broken = media.media_columns(spark.createDataFrame([(1, b"xx"), (2, None)], "id long, data binary"), id_col="id", bytes_col="data").collect()
     assert all(r.error and r.codec is None for r in broken)
-    got = stored.mapInPandas(media.digests, media.DIGESTS).filter("doc_id = 9").first()
+    digest = F.pandas_udf(media.digests, media.DIGESTS)
+    got = stored.filter("doc_id = 9").select(digest("media").alias("d")).select("d.*").first()
     payload = media.payload_of([r.text for r in odd.collect() if r.doc_id == 9][0])[1]
     assert got.payload_sha256 == hashlib.sha256(payload).hexdigest() and got.tail_crc32 == zlib.crc32(payload[-64:])
-    assert media.text_to_media(empty).mapInPandas(media.digests, media.DIGESTS).count() == 0
+    assert media.text_to_media(empty).select(digest("media").alias("d")).count() == 0
 
 
 def pieces_are_whole(rows, got, window=2048):

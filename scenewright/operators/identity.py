@@ -45,7 +45,7 @@ def mention_features(entities: DataFrame, mentions: DataFrame) -> DataFrame:
     """Counts per entity: mentions, scenes, contexts with the name, speech, a pronoun acting, and a direct sign of a person."""
     named = mentions.join(entities.select("entity_id", dash_norm(F.col("canonical_name")).alias("__name")), "entity_id")
     q = quoted(F.col("__name"))
-    direct = F.concat(F.lit(rf"(?i)(?:\b(?:{_VERBS})\s+"), q, F.lit(r"\b|\b"), q, F.lit(rf"\s+(?:{_VERBS})\b|\b{CUED_TITLES}\s+"), q, F.lit(r"\b)"))
+    direct = F.concat(F.lit(rf"(?iu)(?:\b(?:{_VERBS})\s+"), q, F.lit(r"\b|\b"), q, F.lit(rf"\s+(?:{_VERBS})\b|\b{CUED_TITLES}\s+"), q, F.lit(r"\b)"))
     has = F.contains(F.lower("context"), F.lower("__name"))
     counts = named.groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("mentions"), F.count_distinct("scene_id").alias("scenes"), F.count_if(has).alias("exact"),

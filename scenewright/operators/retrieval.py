@@ -69,7 +69,7 @@ def search(posted: DataFrame, sizes: DataFrame, queries: DataFrame, *, k: int =
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
     hits = used.join(df.crossJoin(F.broadcast(whole)), "term").join(asked, "term").join(sizes, id_col)
     scored = hits.groupBy("query_id", id_col).agg(F.sum(part).alias("s"), F.count(F.lit(1)).alias("have")).join(need, "query_id").filter("have = need")
-    scored = scored.select("query_id", id_col, F.round(-F.col("s"), 6).alias("score"))
+    scored = scored.select("query_id", id_col, (F.round(-F.col("s"), 6) + F.lit(0.0)).alias("score"))  # no negative zero
     if source_type is not None:
         scored = scored.join(rag.filter(F.col("source_type") == source_type).select(id_col), id_col, "left_semi")
     some = Window.partitionBy("query_id", F.pmod(F.xxhash64(id_col), F.lit(pieces))).orderBy("score", id_col)

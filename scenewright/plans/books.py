@@ -10,10 +10,17 @@ from ..functions.ranges import numbered
 from ..functions.text import cleanup_text, sentences, text_quality
 from ..operators import classify, entities, facts, identity, packages, retrieval, segment, structure
 
-ASCII_SQL = r"regexp_matches(text, '^[\x00-\x7F]*$')"
-PROPER = "[A-Z][a-z]{2,}(?: [A-Z][a-z]{2,}){0,2}"
 NAME = r"\p{Lu}\p{Ll}{2,}(?: \p{Lu}\p{Ll}{2,}){0,2}"
 NAME_RULE = [("character", NAME, 0, 0.45, 2, True)]
+_EDGE = r"[^\p{L}\p{Nd}_]"
+
+
+def bounded_sql(pattern: str) -> str:
+    """A pattern between word boundaries as DuckDB's regular expressions, whose own boundaries know ASCII letters only, can say it."""
+    pattern = pattern.replace(r"\w", r"[\p{L}\p{M}\p{Nd}\p{Pc}]")
+    return pattern.replace(r"(?i)\b", f"(?i)(?:^|{_EDGE})").removesuffix(r"\b") + f"(?:{_EDGE}|$)"
+
+
 STOP_SQL = ", ".join(f"'{w}'" for w in lexicons.NAME_STOP)
 
 PAGES_SQL = "pages_ AS (SELECT source AS document_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page_number, doc_id, text FROM documents)"
@@ -25,8 +32,7 @@ sections_ AS (
   SELECT s.document_id, row_number() OVER w AS section_order, s.title, s.page_number AS page_start,
          greatest(s.page_number, coalesce(lead(s.page_number) OVER w - 1, e.last_page)) AS page_end
   FROM starts s JOIN ends e USING (document_id) WINDOW w AS (PARTITION BY s.document_id ORDER BY s.page_number, s.title))"""
-MENTIONS_SQL = rf"""ascii_ AS (SELECT doc_id, source, text FROM documents WHERE {ASCII_SQL}),
-raw_ AS (SELECT doc_id, source, text, unnest(regexp_extract_all(text, '{PROPER}')) AS name FROM ascii_),
+MENTIONS_SQL = rf"""raw_ AS (SELECT doc_id, source, text, unnest(regexp_extract_all(text, '{NAME}')) AS name FROM documents),
 names_ AS (
   SELECT DISTINCT doc_id, source, text, name FROM raw_
   WHERE len(list_filter(string_split(name, ' '), lambda w: len(w) < 3 OR w IN ({STOP_SQL}))) = 0)"""
@@ -308,7 +314,7 @@ _CLASSIFIED = f"""hits AS (
 scored AS (SELECT doc_id, dimension, label, sum(weight) AS score, min(position) AS position, string_agg(phrase, '|' ORDER BY position) AS evidence FROM hits GROUP BY 1, 2, 3),
 ranked AS (SELECT doc_id, dimension, row_number() OVER (PARTITION BY doc_id, dimension ORDER BY score DESC, position, label) AS rank, label, CAST(score AS BIGINT) AS score,
   round(least(0.995, 0.5 + 0.45 * (score / greatest(score + sum(score) OVER (PARTITION BY doc_id, dimension), 1))), 3) AS confidence, evidence FROM scored)"""
-_SENTENCES = r"""flat_ AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents WHERE """ + ASCII_SQL + r"""),
+_SENTENCES = r"""flat_ AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents),
 sent_ AS (SELECT doc_id, unnest(string_split(regexp_replace(t, '([.!?]) ', '\1' || chr(1), 'g'), chr(1))) AS s FROM flat_),
 long_ AS (SELECT doc_id, trim(s) AS s FROM sent_ WHERE trim(s) <> '' AND len(string_split(trim(s), ' ')) >= 4)"""
 
@@ -319,8 +325,8 @@ k AS (SELECT doc_id, i AS chunk_index, trim(substr(f, i * 1800 + 1, 2000)) AS x
 SELECT doc_id, chunk_index, md5(x) AS chunk_md5, length(x) AS char_count, len(string_split(x, ' ')) AS token_count FROM k""",
     "normalize_text_quality": rf"""SELECT doc_id,
   md5(trim(regexp_replace(regexp_replace(regexp_replace(text, '\s+([,.;:!?%)\]}}])', '\1', 'g'), '([(\[{{])\s+', '\1', 'g'), '\s*\n\s*', ' ', 'g'))) AS clean_md5,
-  CASE WHEN length(text) = 0 THEN 0.0 ELSE round(0.45 + 0.25 * least(length(text) / 1000.0::DOUBLE, 1.0::DOUBLE) + 0.30::DOUBLE * length(regexp_replace(text, '[^A-Za-z]', '', 'g')) / length(text), 3) END AS quality
-FROM documents WHERE {ASCII_SQL}""",
+  CASE WHEN length(text) = 0 THEN 0.0 ELSE round(0.45 + 0.25 * least(length(text) / 1000.0::DOUBLE, 1.0::DOUBLE) + 0.30::DOUBLE * length(regexp_replace(text, '\P{{L}}', '', 'g')) / length(text), 3) END AS quality
+FROM documents""",
     "page_numbers_per_book": f"WITH {PAGES_SQL} SELECT document_id, doc_id, page_number FROM pages_",
     "section_ranges": f"WITH {SECTIONS_SQL} SELECT * FROM sections_",
     "stories_range_join": f"""WITH {SECTIONS_SQL},
@@ -339,11 +345,6 @@ SELECT entity_id, canonical_name, first_value(entity_id) OVER (PARTITION BY lowe
     "cross_type_collision": """WITH n AS (SELECT DISTINCT CASE lang WHEN 'en' THEN 'character' WHEN 'de' THEN 'location' ELSE 'environment' END AS entity_type, unnest(regexp_extract_all(text, '[A-Z][a-z]{2,}')) AS canonical_name FROM documents),
 t AS (SELECT lower(canonical_name) AS low, list_sort(list_distinct(list(entity_type))) AS types FROM n GROUP BY 1)
 SELECT entity_type, canonical_name, array_to_string(list_filter(types, lambda x: x <> entity_type), ',') AS other_types FROM n JOIN t ON lower(canonical_name) = low""",
-    "rag_union_counts": f"""WITH {SECTIONS_SQL}
-SELECT 'page' AS source_type, count(*) AS n, count(*) AS with_pages, CAST(sum(length(text)) AS BIGINT) AS chars FROM pages_
-UNION ALL SELECT 'section', count(*), count(*), 0 FROM sections_
-UNION ALL SELECT 'turn', count(*), 0, CAST(sum(length(text)) AS BIGINT) FROM conversations
-UNION ALL SELECT 'web', count(*), 0, CAST(sum(length(html)) AS BIGINT) FROM pages""",
     "bm25_topk": f"""WITH said AS (SELECT doc_id, unnest({_TERMS.format('text')}) AS term FROM documents),
 posted AS (SELECT doc_id, term, count(*) AS tf FROM said GROUP BY 1, 2), sizes AS (SELECT doc_id, sum(tf) AS size FROM posted GROUP BY 1),
 whole AS (SELECT count(*) AS n, avg(size) AS mean FROM sizes),
@@ -351,19 +352,19 @@ asked AS (SELECT DISTINCT item_id AS query_id, unnest({_TERMS.format("array_to_s
 need AS (SELECT query_id, count(*) AS need FROM asked GROUP BY 1), dfs AS (SELECT term, count(*) AS df FROM posted GROUP BY 1),
 scored AS (SELECT query_id, doc_id, count(*) AS have, sum(greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))) AS s
   FROM asked JOIN posted USING (term) JOIN dfs USING (term) JOIN sizes USING (doc_id), whole GROUP BY 1, 2),
-kept AS (SELECT query_id, doc_id, round(-s, 6) AS score FROM scored JOIN need USING (query_id) WHERE have = need)
-SELECT query_id, rank, doc_id, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, doc_id) AS rank FROM kept) WHERE rank <= 8""",
+kept AS (SELECT query_id, doc_id, round(-s, 6) + 0.0::DOUBLE AS score FROM scored JOIN need USING (query_id) WHERE have = need)
+SELECT query_id, rank, doc_id, round(score, 4) + 0.0::DOUBLE AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, doc_id) AS rank FROM kept) WHERE rank <= 8""",
     "phrase_retrieval": f"""WITH d AS (SELECT doc_id, ' ' || array_to_string({_TERMS.format('text')}, ' ') || ' ' AS t FROM documents),
 q AS (SELECT item_id AS query_id, ' ' || array_to_string({_TERMS.format("array_to_string(string_split(text, ' ')[1:3], ' ')")}, ' ') || ' ' AS p FROM benchmark)
 SELECT query_id, doc_id FROM d JOIN q ON contains(t, p)""",
     "lexicon_classification": f"WITH {_CLASSIFIED} SELECT * FROM ranked WHERE rank <= 5",
     "mixed_evidence": f"WITH {_CLASSIFIED} SELECT doc_id, 'Language evidence is mixed; treat classification as provisional.' AS note FROM ranked WHERE rank = 1 AND confidence < 0.7",
-    "object_lexicon_mentions": f"""WITH s AS (SELECT DISTINCT doc_id, text, unnest(regexp_extract_all(lower(text), '[a-z][a-z''-]+')) AS term FROM documents WHERE {ASCII_SQL}),
+    "object_lexicon_mentions": f"""WITH s AS (SELECT DISTINCT doc_id, text, unnest(regexp_extract_all(lower(text), '[a-z][a-z''-]+')) AS term FROM documents),
 h AS (SELECT *, strpos(lower(text), term) AS p FROM s WHERE term IN ({", ".join(f"'{w}'" for w in THINGS)}))
 SELECT doc_id, upper(term[1]) || term[2:] AS object, 0.55::DOUBLE AS confidence, md5(trim(substr(text, greatest(1, p - 180), p - greatest(1, p - 180) + length(term) + 180))) AS evidence_md5 FROM h""",
     "visual_roles": "SELECT doc_id, CASE WHEN regexp_matches(text, 'idiot|clown') THEN 'first' WHEN contains(text, 'trash') THEN 'second' WHEN contains(text, 'with') THEN 'third' ELSE 'person' END AS role FROM documents",
     "audit_coverage": "SELECT source, count(*) AS pages, count(quality) AS labelled, round(100.0::DOUBLE * count(quality) / count(*), 2) AS labelled_percent, round(avg(quality), 4) AS mean_quality, count(*) FILTER (WHERE toxic = 1) AS toxic FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1",
-    "noise_top_n": f"""WITH n AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Z][a-z]+(?: [A-Za-z]+){{3,5}}')) AS canonical_name FROM documents WHERE {ASCII_SQL})
+    "noise_top_n": r"""WITH n AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\p{Lu}\p{Ll}+(?: \p{L}+){3,5}')) AS canonical_name FROM documents)
 SELECT canonical_name FROM n WHERE len(string_split(canonical_name, ' ')) >= 4 OR length(canonical_name) > 45 ORDER BY length(canonical_name) DESC, canonical_name LIMIT 20""",
     "duplicate_names": "SELECT source AS document_id, lower(trim(string_split(text, chr(10))[1])) AS name, count(*) AS n FROM documents GROUP BY 1, 2 HAVING count(*) > 1",
     "sentence_counts": f"WITH {_SENTENCES} SELECT f.doc_id, count(s) AS sentences FROM flat_ f LEFT JOIN long_ l USING (doc_id) GROUP BY 1",
@@ -377,9 +378,9 @@ SELECT page_id AS document_id, count(*) AS blocks, count(*) FILTER (WHERE tag IN
 }
 
 ORACLES["moments_topk"] = f"""WITH {_SENTENCES}, u AS (SELECT DISTINCT doc_id, s FROM long_),
-k AS (SELECT * FROM u WHERE NOT regexp_matches(s, '{packages.SPEECH}') OR regexp_matches(s, '{packages.L.ACTION}')),
-g AS (SELECT doc_id, s, 10 + CASE WHEN regexp_matches(s, '{packages.L.ACTION}') THEN 50 ELSE 0 END + CASE WHEN regexp_matches(s, '{packages.L.DESTRUCTION}') THEN 12 ELSE 0 END
-  + CASE WHEN regexp_matches(s, '{packages.L.COMBAT}') THEN 8 ELSE 0 END + CASE WHEN regexp_matches(s, '{packages.L.REACTION}') THEN 6 ELSE 0 END AS score FROM k),
+k AS (SELECT * FROM u WHERE NOT regexp_matches(s, '{bounded_sql(packages.SPEECH)}') OR regexp_matches(s, '{bounded_sql(packages.L.ACTION)}')),
+g AS (SELECT doc_id, s, 10 + CASE WHEN regexp_matches(s, '{bounded_sql(packages.L.ACTION)}') THEN 50 ELSE 0 END + CASE WHEN regexp_matches(s, '{bounded_sql(packages.L.DESTRUCTION)}') THEN 12 ELSE 0 END
+  + CASE WHEN regexp_matches(s, '{bounded_sql(packages.L.COMBAT)}') THEN 8 ELSE 0 END + CASE WHEN regexp_matches(s, '{bounded_sql(packages.L.REACTION)}') THEN 6 ELSE 0 END AS score FROM k),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lower(s), s) AS rank FROM g)
 SELECT doc_id, rank, CAST(score AS BIGINT) AS score, md5(s) AS moment_md5 FROM r WHERE rank <= 3"""
 
@@ -409,8 +410,8 @@ _VERBS = "|".join([*lexicons.SPEECH_VERBS, "rejoined", "called"])
 ORACLES["candidate_gate"] = rf"""WITH {MENTIONS_SQL}, at_ AS (SELECT *, strpos(lower(text), lower(name)) AS p FROM names_),
 m AS (SELECT source, name, doc_id, trim(substr(text, greatest(1, p - 220), p - greatest(1, p - 220) + length(name) + 220)) AS context FROM at_),
 f AS (SELECT source, name, count(*) AS mentions, count(*) FILTER (WHERE contains(lower(context), lower(name))) AS exact,
-  count(*) FILTER (WHERE regexp_matches(context, '{identity.SPEECH}')) AS speech, count(*) FILTER (WHERE regexp_matches(context, '{identity.PRONOUN_ACTION}')) AS action,
-  count(*) FILTER (WHERE regexp_matches(context, '(?i)(?:\b(?:{_VERBS})\s+' || name || '\b|\b' || name || '\s+(?:{_VERBS})\b|\b{identity.CUED_TITLES}\s+' || name || '\b)')) AS direct FROM m GROUP BY 1, 2),
+  count(*) FILTER (WHERE regexp_matches(context, '{bounded_sql(identity.SPEECH)}')) AS speech, count(*) FILTER (WHERE regexp_matches(context, '{bounded_sql(identity.PRONOUN_ACTION)}')) AS action,
+  count(*) FILTER (WHERE regexp_matches(context, '(?i)(?:^|{_EDGE})(?:(?:{_VERBS})\s+' || name || '|' || name || '\s+(?:{_VERBS})|{identity.CUED_TITLES}\s+' || name || ')(?:{_EDGE}|$)')) AS direct FROM m GROUP BY 1, 2),
 b AS (SELECT *, list_filter(string_split(name, ' '), lambda w: lower(w) NOT IN ({_LISTED(lexicons.PERSON_TITLES)})) AS bare, regexp_matches(name, '(?i)^(?:{'|'.join(lexicons.PERSON_TITLES)})\.?\s+') AS title FROM f),
 c AS (SELECT *, len(list_filter(bare, lambda w: lower(w) IN ({_LISTED(lexicons.COMMON_WORDS)}))) > 0 AS common, len(bare) = 1 AND NOT title AND direct = 0 AS one_word, len(bare) >= 2 AND NOT title AND direct = 0 AND exact < 3 AS untitled FROM b),
 s AS (SELECT *, 0.25::DOUBLE + CASE WHEN title THEN 0.25 ELSE 0 END + CASE WHEN len(bare) >= 2 THEN 0.15 ELSE 0 END + CASE WHEN exact >= 2 THEN 0.15 ELSE 0 END + CASE WHEN mentions >= 3 THEN 0.10 ELSE 0 END
@@ -418,11 +419,27 @@ s AS (SELECT *, 0.25::DOUBLE + CASE WHEN title THEN 0.25 ELSE 0 END + CASE WHEN
 t AS (SELECT *, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE WHEN untitled THEN least(CASE WHEN one_word THEN least(raw, 0.44::DOUBLE) ELSE raw END, 0.47::DOUBLE) WHEN one_word THEN least(raw, 0.44::DOUBLE) ELSE raw END)), 6) AS score FROM s),
 e AS (SELECT *, CASE WHEN regexp_matches(name, '(?i)^(?:{'|'.join(lexicons.PERSON_TITLES)})\.?$') THEN 'title_only'
   WHEN lower(name) IN ({_LISTED(lexicons.COMMON_WORDS + lexicons.DEMOGRAPHIC_WORDS)}) THEN 'common_word_or_demographic_term' WHEN length(name) < 3 OR length(name) > 45 THEN 'name_length_anomaly'
+  WHEN len(list_filter(bare, lambda w: NOT regexp_matches(w, '^[A-Z][A-Za-z''’-]+$'))) > 0 THEN 'non_name_token'
   WHEN NOT title AND len(list_filter(bare, lambda w: lower(w) IN ({_LISTED(lexicons.ROLE_WORDS)}))) > 0 THEN 'generic_non_person_name_pattern'
   WHEN title AND len(bare) = 1 AND common AND direct = 0 THEN 'title_with_stopword_name_without_direct_person_reference' END AS early FROM t)
 SELECT source AS document_id, name AS canonical_name,
   CASE WHEN early IN ('title_only', 'common_word_or_demographic_term', 'generic_non_person_name_pattern') THEN 'non_character' WHEN early IS NOT NULL THEN 'review' WHEN score >= 0.75 THEN 'validated' WHEN score >= 0.48 THEN 'probable' ELSE 'review' END AS decision,
-  round(CASE early WHEN 'title_only' THEN 1.0 WHEN 'common_word_or_demographic_term' THEN 1.0 WHEN 'name_length_anomaly' THEN 0.9 WHEN 'generic_non_person_name_pattern' THEN 0.95 WHEN 'title_with_stopword_name_without_direct_person_reference' THEN 0.35 ELSE score END::DOUBLE, 3) AS score,
+  round(CASE early WHEN 'title_only' THEN 1.0 WHEN 'common_word_or_demographic_term' THEN 1.0 WHEN 'name_length_anomaly' THEN 0.9 WHEN 'non_name_token' THEN 0.65 WHEN 'generic_non_person_name_pattern' THEN 0.95 WHEN 'title_with_stopword_name_without_direct_person_reference' THEN 0.35 ELSE score END::DOUBLE, 3) AS score,
   coalesce(early, array_to_string(list_filter([CASE WHEN title THEN 'personal_title' END, CASE WHEN len(bare) >= 2 THEN 'multiword_person_name' END, CASE WHEN exact >= 2 THEN 'name_repeated_in_context' END, CASE WHEN mentions >= 3 THEN 'recurring_mentions' END,
     CASE WHEN mentions >= 2 THEN 'multi_scene_presence' END, CASE WHEN direct > 0 THEN 'direct_person_reference' END, CASE WHEN speech > 0 THEN 'speech_context' END, CASE WHEN action > 0 THEN 'character_action_context' END, CASE WHEN common THEN 'stopword_name_component' END,
     CASE WHEN one_word THEN 'single_word_without_direct_person_reference' END, CASE WHEN untitled THEN 'untitled_name_without_repeated_direct_evidence' END], lambda x: x IS NOT NULL), ',')) AS reasons FROM e"""
+
+_TOLD = """t_ AS (SELECT s.document_id, section_order, string_agg(p.text, chr(10) ORDER BY p.page_number) AS text
+  FROM sections_ s JOIN pages_ p ON p.document_id = s.document_id AND p.page_number BETWEEN s.page_start AND s.page_end WHERE trim(p.text) <> '' GROUP BY 1, 2)"""
+ORACLES["rag_union_counts"] = f"""WITH {SECTIONS_SQL}, {_TOLD},
+scenes_ AS ({ORACLES["scene_fold"]}), chunks_ AS ({ORACLES["chunk_documents"]}),
+profiles_ AS ({ORACLES["entity_profiles"].replace("md5(string_agg(context, chr(10) || chr(10) ORDER BY doc_id) FILTER (WHERE n <= 5)) AS profile_md5", "string_agg(context, chr(10) || chr(10) ORDER BY doc_id) FILTER (WHERE n <= 5) AS profile")})
+SELECT 'page' AS source_type, count(*) AS n, count(*) AS with_pages, CAST(sum(length(text)) AS BIGINT) AS chars FROM pages_
+UNION ALL SELECT 'section', (SELECT count(*) FROM sections_), (SELECT count(*) FROM sections_), CAST(sum(length(text)) AS BIGINT) FROM t_
+UNION ALL SELECT 'story', count(*), count(*), CAST(sum(length(text)) AS BIGINT) FROM t_
+UNION ALL SELECT 'scene', count(*), count(*), CAST(sum(chars) AS BIGINT) FROM scenes_
+UNION ALL SELECT 'event', count(*), count(*), CAST(sum(chars) AS BIGINT) FROM scenes_
+UNION ALL SELECT 'chunk', count(*), count(*), CAST(sum(char_count) AS BIGINT) FROM chunks_ JOIN pages_ p USING (doc_id) LEFT JOIN sections_ s ON s.document_id = p.document_id AND p.page_number BETWEEN s.page_start AND s.page_end
+UNION ALL SELECT 'entity', count(*), 0, CAST(sum(length(profile)) AS BIGINT) FROM profiles_
+UNION ALL SELECT 'turn', count(*), 0, CAST(sum(length(text)) AS BIGINT) FROM conversations
+UNION ALL SELECT 'web', count(*), 0, CAST(sum(length(html)) AS BIGINT) FROM pages"""

@@ -256,13 +256,13 @@ ORACLES = {
 SELECT *, CASE WHEN previous IS NULL THEN 'introduced' WHEN new IS NULL THEN 'removed' ELSE 'updated' END AS change_type FROM c""",
     "continuity_status": f"WITH {_STATE} SELECT entity_id, scene_id, CASE WHEN n = 1 THEN 'introduced' WHEN type = ptype AND big IS NOT DISTINCT FROM pbig THEN 'carried' ELSE 'changed' END AS status FROM w",
     "scene_neighbours": "SELECT conv_id, turn, lag(turn) OVER w AS previous_id, lead(turn) OVER w AS next_id FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)",
-    "story_neighbours": "WITH t AS (SELECT conv_id, turn, conv_id || '.' || turn AS scene FROM conversations WHERE turn % 5 <> 3) SELECT a.conv_id, a.turn, a.scene, p.scene AS previous_id, n.scene AS next_id FROM t a LEFT JOIN t p ON p.conv_id = a.conv_id AND p.turn = a.turn - 1 LEFT JOIN t n ON n.conv_id = a.conv_id AND n.turn = a.turn + 1",
+    "story_neighbours": "WITH t AS (SELECT conv_id, turn, conv_id || '.' || turn AS scene FROM conversations) SELECT a.conv_id, a.turn, a.scene, p.scene AS previous_id, n.scene AS next_id FROM t a LEFT JOIN t p ON p.conv_id = a.conv_id AND p.turn = a.turn - 1 LEFT JOIN t n ON n.conv_id = a.conv_id AND n.turn = a.turn + 1",
     "canonical_facts": f"""WITH {_FACTS}, g AS (SELECT profile_id, attribute, value, least(0.99::DOUBLE, max(confidence)) AS confidence, arg_min(evidence, (scene_id, evidence)) AS evidence, CASE WHEN count(DISTINCT scene_id) = 1 THEN max(scene_id) END AS scene_id, count(*) AS occurrences FROM f GROUP BY 1, 2, 3)
 SELECT *, count(*) OVER (PARTITION BY profile_id, attribute) > 1 AS contradictory FROM g""",
     "fact_reconciliation": f"""WITH {_FACTS}, g AS (SELECT profile_id, attribute, value, min(confidence) AS confidence, count(DISTINCT scene_id) AS scenes, count(*) AS facts, md5(string_agg(CAST(fact_id AS VARCHAR), ',' ORDER BY fact_id)) AS facts_md5 FROM f GROUP BY 1, 2, 3),
 t AS (SELECT *, CASE attribute WHEN 'hair' THEN 'stable' WHEN 'clothing' THEN 'stateful' ELSE 'contextual' END AS state_type FROM g)
 SELECT *, CASE WHEN state_type = 'stable' AND count(*) OVER (PARTITION BY profile_id, attribute) > 1 THEN 'conflict' ELSE 'supported' END AS status FROM t""",
-    "conflict_classes": f"""WITH {_FACTS}, k AS (SELECT * REPLACE (confidence + 0.35::DOUBLE AS confidence) FROM f WHERE profile_id % 2 = 0 AND attribute = 'hair'),
+    "conflict_classes": f"""WITH {_FACTS}, k AS (SELECT * REPLACE (confidence + 0.35::DOUBLE AS confidence) FROM f WHERE attribute = 'hair'),
 g AS (SELECT profile_id, attribute, value, min(confidence) AS confidence, count(DISTINCT scene_id) AS own FROM k GROUP BY 1, 2, 3), a AS (SELECT profile_id, count(DISTINCT scene_id) AS every, count(DISTINCT value) AS vals FROM k GROUP BY 1)
 SELECT profile_id, attribute, value, CASE WHEN confidence < 0.6 THEN 'low_evidence' WHEN every > own THEN 'scene_scoped' ELSE 'strong_conflict' END AS classification, confidence FROM g JOIN a USING (profile_id) WHERE vals > 1""",
     "integrity_checks": """WITH c AS (SELECT 'orders_without_customer' AS "check", (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS value, 0 AS wanted
@@ -276,7 +276,7 @@ SELECT "check", value, CASE WHEN wanted IS NULL THEN value > 0 ELSE value = want
 n AS (SELECT DISTINCT array_to_string(list_transform(string_split(name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name FROM r), t AS (SELECT name, string_split(lower(name), ' ') AS w FROM n)
 SELECT a.name AS first_name, b.name AS second_name, CASE WHEN len(a.w) = 2 AND len(b.w) = 2 THEN 0.86::DOUBLE ELSE 0.82::DOUBLE END AS confidence, CASE WHEN len(a.w) = 2 AND len(b.w) = 2 THEN 'same_surname_initial_variant' ELSE 'surname_variant' END AS method
 FROM t a JOIN t b ON a.name < b.name AND a.w[-1] = b.w[-1] AND ((len(a.w) = 2 AND len(b.w) = 2 AND a.w[1][1] = b.w[1][1]) OR (len(a.w) = 1) <> (len(b.w) = 1))""",
-    "autofill": f"WITH {_QUEUE} SELECT c_custkey AS scene_id FROM customer WHERE c_custkey NOT IN (SELECT scene_id FROM q WHERE id % 3 = 0 AND status IN ('queued', 'completed')) ORDER BY 1 LIMIT 25",
+    "autofill": f"WITH {_QUEUE} SELECT c_custkey AS scene_id FROM customer WHERE c_custkey NOT IN (SELECT scene_id FROM q WHERE status IN ('queued', 'completed')) ORDER BY 1 LIMIT 25",
     "enqueue": f"""WITH {_QUEUE}, old AS (SELECT * FROM q WHERE id % 2 = 0), new AS (SELECT *, row_number() OVER (PARTITION BY scene_id, provider ORDER BY id) AS n FROM q WHERE id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM old o WHERE o.scene_id = q.scene_id AND o.provider = q.provider))
 SELECT id, scene_id, provider, status FROM old UNION ALL SELECT id, scene_id, provider, status FROM new WHERE n = 1""",
     "due_topk": f"WITH {_QUEUE} SELECT id, strftime(scheduled_at, '%Y-%m-%d') AS day FROM q WHERE status = 'queued' AND scheduled_at <= TIMESTAMP '{NOW}' ORDER BY scheduled_at, id LIMIT 10",

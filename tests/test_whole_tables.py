@@ -1,7 +1,6 @@
 """Queries over whole tables: what a filter or a cut would leave out."""
 
 import hashlib
-import math
 import os
 import re
 
@@ -9,7 +8,7 @@ import duckdb
 import pytest
 
 from scenewright.operators import packages
-from scenewright.plans import books, catalogue, chains
+from scenewright.plans import catalogue, chains
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
@@ -23,37 +22,6 @@ def duck():
     return con
 
 
-def shown(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
-        return "NULL"
-    return f"{value:.6g}" if isinstance(value, float) else str(value)
-
-
-def agree(spark, duck, name, sql):
-    df = catalogue.QUERIES[name](spark, DATA)
-    columns = sorted(df.columns)
-    relation = duck.sql(sql)
-    at = [relation.columns.index(c) for c in columns]
-    got, want = (sorted(rows) for rows in ([tuple(shown(r[c]) for c in columns) for r in df.collect()], [tuple(shown(r[i]) for i in at) for r in relation.fetchall()]))
-    assert len(got) == len(want), (name, len(got), len(want))
-    assert got == want
-
-
-UNICODE = [
-    (f" WHERE {books.ASCII_SQL}", ""), (books.PROPER, books.NAME), ("[A-Z][a-z]+(?: [A-Za-z]+){3,5}", r"\p{Lu}\p{Ll}+(?: \p{L}+){3,5}"), ("[^A-Za-z]", r"\P{L}"),
-]
-
-
-@pytest.mark.parametrize("name", ["normalize_text_quality", "object_lexicon_mentions", "noise_top_n", "sentence_counts", "proper_name_mentions", "entity_profiles"])
-def test_all_languages(spark, duck, name):
-    """The query's SQL, without its condition on ASCII texts and with its letters of all alphabets."""
-    sql = catalogue.ORACLES[name]
-    for old, new in UNICODE:
-        sql = sql.replace(old, new)
-    assert books.ASCII_SQL not in sql
-    agree(spark, duck, name, sql)
-
-
 def test_pages_of_all_languages_reach_the_later_queries(spark, duck):
     docs = duck.sql("SELECT doc_id, source, text FROM documents").fetchall()
     for name in ("package_quality", "prompts_by_mode"):
@@ -82,31 +50,6 @@ def test_moments_of_all_languages(spark, duck):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
-@pytest.mark.parametrize("name, only", [("conflict_classes", "profile_id % 2 = 0 AND "), ("story_neighbours", " WHERE turn % 5 <> 3"), ("autofill", "id % 3 = 0 AND ")])
-def test_all_rows(spark, duck, name, only):
-    """The query's SQL, without its condition on ids."""
-    sql = catalogue.ORACLES[name]
-    assert only in sql
-    agree(spark, duck, name, sql.replace(only, ""))
-
-
-def test_every_layer_is_counted(spark, duck):
-    got = {r.source_type: (r.n, r.with_pages, r.chars) for r in catalogue.QUERIES["rag_union_counts"](spark, DATA).collect()}
-    told = f"WITH {books.SECTIONS_SQL}, t AS (SELECT s.document_id, section_order, string_agg(p.text, chr(10) ORDER BY p.page_number) AS text FROM sections_ s JOIN pages_ p ON p.document_id = s.document_id AND p.page_number BETWEEN s.page_start AND s.page_end WHERE trim(p.text) <> '' GROUP BY 1, 2)"
-    sections = duck.sql(f"WITH {books.SECTIONS_SQL} SELECT count(*) FROM sections_").fetchall()[0][0]
-    stories, chars = duck.sql(f"{told} SELECT count(*), CAST(sum(length(text)) AS BIGINT) FROM t").fetchall()[0]
-    scenes, scene_chars = duck.sql(f"SELECT count(*), CAST(sum(chars) AS BIGINT) FROM ({catalogue.ORACLES['scene_fold']})").fetchall()[0]
-    assert got["section"] == (sections, sections, chars) and got["story"] == (stories, stories, chars)
-    assert got["scene"] == got["event"] == (scenes, scenes, scene_chars)
-    pieces = duck.sql(f"WITH {books.SECTIONS_SQL}, k AS ({catalogue.ORACLES['chunk_documents']}) SELECT count(*), CAST(sum(char_count) AS BIGINT) FROM k JOIN pages_ p USING (doc_id) LEFT JOIN sections_ s ON s.document_id = p.document_id AND p.page_number BETWEEN s.page_start AND s.page_end").fetchall()[0]
-    assert got["chunk"] == (pieces[0], *pieces)
-    sql = catalogue.ORACLES["entity_profiles"].replace(*UNICODE[0]).replace(*UNICODE[1])
-    assert got["entity"][:2] == (duck.sql(f"SELECT count(*) FROM ({sql})").fetchall()[0][0], 0)
-    assert set(got) == {"page", "section", "story", "scene", "chunk", "entity", "event", "turn", "web"}
-    rag = books.rag_sources(spark, DATA)
-    assert rag.count() == rag.select("rag_id").distinct().count()
-
-
 def test_blocks_are_whole_and_without_tags(spark):
     long = "word " * 60 + "end"
     page = f"<html><style>p{{}}</style><script>t='<p>no</p>'</script><!-- <p>no</p> --><ul><li><a href='/x'>Link</a></li></ul><h1 class='a'>A <i>title</i></h1><p><b>bold</b> and<br>plain<p>{long}</p><P>a < b</P><p>open<footer>foot</footer></html>"

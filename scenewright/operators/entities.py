@@ -27,30 +27,42 @@ def clean(c: Column) -> Column:
 def extract_mentions(scenes: DataFrame, rules: list[tuple] | None = None, stop: list[str] | None = None) -> DataFrame:
     """One row per scene, type and name: its confidence by the best rule, and the text around its first hit.
 
-    A character name that is also a place or setting of the scene is left out.
+    A character name that is also a place or setting of the scene is left out. All of it is
+    done inside a scene's row, so that no text is copied or shuffled.
     """
     rules, stop = rules or RULES, L.NAME_STOP if stop is None else stop
+
     def hits_of(kind: str, pattern: str, group: int, confidence: float, rank: int, checked: bool) -> Column:
-        found = F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
-        return F.transform(found, lambda m: F.struct(F.lit(kind).alias("entity_type"), clean(m).alias("canonical_name"), F.lit(float(confidence)).alias("confidence"), F.lit(rank).alias("rank"), F.lit(checked).alias("checked")))
+        found = F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(group))), clean)
+        good = lambda n: F.forall(F.split(n, " "), lambda w: (F.length(w) >= 3) & ~w.isin(stop))
+        kept = F.filter(found, lambda n: (n != "") & good(n) if checked else n != "")
+        return F.transform(kept, lambda n: F.struct(F.lit(kind).alias("entity_type"), n.alias("canonical_name"), F.lit(rank).alias("rank"), F.lit(float(confidence)).alias("confidence")))
+
+    same = lambda x, y: (x["entity_type"] == y["entity_type"]) & (x["canonical_name"] == y["canonical_name"])
+    rows = scenes.withColumn("__hits", F.array_sort(F.concat(*[hits_of(*rule) for rule in rules])))
+    rows = rows.withColumn("__best", F.filter("__hits", lambda x, i: (i == 0) | ~same(x, F.get("__hits", i - 1))))
+    places = F.transform(F.filter("__best", lambda x: x["entity_type"].isin("location", "environment")), lambda x: F.lower(x["canonical_name"]))
+    rows = rows.withColumns({"__places": places, "__low": F.lower("text")})
+    kept = F.filter("__best", lambda x: (x["entity_type"] != "character") | ~F.array_contains("__places", F.lower(x["canonical_name"])))
+    said = F.transform(kept, lambda x: F.struct(x["entity_type"].alias("entity_type"), x["canonical_name"].alias("canonical_name"), x["confidence"].alias("confidence"), context_window(F.col("text"), x["canonical_name"], low=F.col("__low")).alias("context")))
+    others = [c for c in scenes.columns if c not in ("text", "title", "strategy")]
+    return rows.select(*others, F.explode(said).alias("__m")).select(*others, "__m.*")
+
 
-    hits = [hits_of(*rule) for rule in rules]
-    words = F.split("canonical_name", " ")
-    good = F.forall(words, lambda w: (F.length(w) >= 3) & ~w.isin(stop))
-    keys = [c for c in ("document_id", "story_order", "scene_order") if c in scenes.columns]
-    found = scenes.withColumn("h", F.explode(F.concat(*hits))).select(*scenes.columns, "h.*").filter((F.col("canonical_name") != "") & (~F.col("checked") | good))
-    best = found.groupBy(*keys, "entity_type", "canonical_name").agg(F.min_by("confidence", "rank").alias("confidence"))
-    other = best.filter("entity_type IN ('location', 'environment')").select(*keys, F.lower("canonical_name").alias("__low")).distinct()
-    people = best.filter("entity_type = 'character'").withColumn("__low", F.lower("canonical_name")).join(other, [*keys, "__low"], "left_anti").drop("__low")
-    kept = people.unionByName(best.filter("entity_type <> 'character'"))
-    return kept.join(scenes, keys).withColumn("context", context_window(F.col("text"), F.col("canonical_name"))).drop("text", "title", "strategy")
+#: The mentions of one name are summed up in so many parts first.
+PARTS = 64
 
 
 def entities(mentions: DataFrame, *, order: list[str], contexts: int = 5) -> DataFrame:
     """One row per document, type and name: confidence of the first sighting, and the first contexts as a profile."""
     first = F.struct(*order)
-    profile = F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct(*order, "context"))), 1, contexts), lambda x: x["context"]), "\n\n")
-    return mentions.groupBy("document_id", "entity_type", "canonical_name").agg(F.min_by("confidence", first).alias("confidence"), profile.alias("profile_text"), F.count(F.lit(1)).alias("mention_count"))
+    few = lambda rows: F.slice(F.array_sort(rows), 1, contexts)
+    keys = ["document_id", "entity_type", "canonical_name"]
+    parts = mentions.groupBy(*keys, F.pmod(F.xxhash64(*order), F.lit(PARTS)).alias("__part")).agg(
+        F.min(F.struct(first.alias("first"), "confidence")).alias("first"), few(F.collect_list(F.struct(*order, "context"))).alias("few"), F.count(F.lit(1)).alias("n")
+    )
+    profile = F.array_join(F.transform(few(F.flatten(F.collect_list("few"))), lambda x: x["context"]), "\n\n")
+    return parts.groupBy(*keys).agg(F.min("first").alias("first"), profile.alias("profile_text"), F.sum("n").alias("mention_count")).select(*keys, F.col("first.confidence").alias("confidence"), "profile_text", "mention_count")
 
 
 def merge_exact(entities: DataFrame, *, id_col: str = "entity_id", name: str = "canonical_name") -> DataFrame:
@@ -98,5 +110,5 @@ def object_mentions(scenes: DataFrame, lexicon: list[str] | DataFrame | None = N
     words = lexicon if isinstance(lexicon, DataFrame) else spark.createDataFrame([(w,) for w in (lexicon or L.PROPS)], "term string")
     tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z][a-z'-]+"), 0))
     said = scenes.select(*keys, "text", F.explode(tokens).alias("term"))
-    hit = said.join(F.broadcast(words), "term")
+    hit = said.join(words, "term")
     return hit.select(*keys, F.initcap("term").alias("object"), context_window(F.col("text"), F.col("term"), radius).alias("evidence"), F.lit(0.55).alias("confidence"))

@@ -36,21 +36,31 @@ def unit(c: Column) -> Column:
 
 def other_types(entities: DataFrame) -> DataFrame:
     """entities with other_types: what else a name of the same spelling was taken for."""
-    named = entities.withColumn("__name", F.lower(dash_norm(F.col("canonical_name"))))
-    types = named.groupBy("document_id", "__name").agg(F.collect_set("entity_type").alias("__types"))
-    return named.join(types, ["document_id", "__name"]).withColumn("other_types", F.array_sort(F.array_except("__types", F.array("entity_type")))).drop("__name", "__types")
+    same = Window.partitionBy("document_id", F.lower(dash_norm(F.col("canonical_name"))))
+    types = entities.withColumn("__types", F.collect_set("entity_type").over(same))
+    return types.withColumn("other_types", F.array_sort(F.array_except("__types", F.array("entity_type")))).drop("__types")
+
+
+_WORD = r"[\p{L}\p{Nd}_]"
+#: A direct sign of a person, in lower-case text where the sign stands for the name.
+_SIGN = "\u0001"
+DIRECT = rf"(?u)(?:\b(?:{_VERBS})\s+{_SIGN}(?!{_WORD})|(?<!{_WORD}){_SIGN}\s+(?:{_VERBS})\b|(?i:\b{CUED_TITLES})\s+{_SIGN}(?!{_WORD}))"
 
 
 def mention_features(entities: DataFrame, mentions: DataFrame) -> DataFrame:
-    """Counts per entity: mentions, scenes, contexts with the name, speech, a pronoun acting, and a direct sign of a person."""
-    named = mentions.join(entities.select("entity_id", dash_norm(F.col("canonical_name")).alias("__name")), "entity_id")
-    q = quoted(F.col("__name"))
-    direct = F.concat(F.lit(rf"(?iu)(?:\b(?:{_VERBS})\s+"), q, F.lit(r"\b|\b"), q, F.lit(rf"\s+(?:{_VERBS})\b|\b{CUED_TITLES}\s+"), q, F.lit(r"\b)"))
-    has = F.contains(F.lower("context"), F.lower("__name"))
+    """Counts per entity: mentions, scenes, contexts with the name, speech, a pronoun acting, and a direct sign of a person.
+
+    Mentions that have a canonical_name are taken to have their entity's; others get it by entity_id.
+    """
+    named = mentions if "canonical_name" in mentions.columns else mentions.join(entities.select("entity_id", "canonical_name"), "entity_id")
+    named = named.select("entity_id", "scene_id", "context", F.lower("context").alias("__low"), F.lower(dash_norm(F.col("canonical_name"))).alias("__name"))
+    has = F.contains("__low", "__name")
+    # the name is put as one sign first, so that one pattern serves all rows
+    direct = F.replace("__low", F.col("__name"), F.lit(_SIGN)).rlike(DIRECT)
     counts = named.groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("mentions"), F.count_distinct("scene_id").alias("scenes"), F.count_if(has).alias("exact"),
         F.count_if(F.col("context").rlike(SPEECH)).alias("speech"), F.count_if(F.col("context").rlike(PRONOUN_ACTION)).alias("action"),
-        F.count_if(has & F.regexp_like("context", direct)).alias("direct"),
+        F.count_if(has & direct).alias("direct"),
     )
     out = entities.join(counts, "entity_id", "left")
     return out.fillna(0, ["mentions", "scenes", "exact", "speech", "action", "direct"])

@@ -133,9 +133,8 @@ def cross_type_collision(spark, sf_dir):
 
 
 def gate_inputs(spark, sf_dir):
-    said = name_mentions(spark, sf_dir)
-    known = said.groupBy("document_id", "entity_type", "canonical_name").agg(F.count(F.lit(1)).alias("mention_count")).withColumn("entity_id", F.xxhash64("document_id", "canonical_name"))
-    mentions = said.join(known.select("document_id", "canonical_name", "entity_id"), ["document_id", "canonical_name"]).withColumn("scene_id", F.col("scene_order"))
+    mentions = name_mentions(spark, sf_dir).withColumn("entity_id", F.xxhash64("document_id", "canonical_name")).withColumn("scene_id", F.col("scene_order"))
+    known = mentions.groupBy("document_id", "entity_type", "canonical_name", "entity_id").agg(F.count(F.lit(1)).alias("mention_count"))
     return known, mentions
 
 
@@ -183,17 +182,17 @@ def rag_union_counts(spark, sf_dir):
 
 
 def bm25_topk(spark, sf_dir):
-    """The 8 best documents for the first 2 words of each benchmark passage."""
+    """The 8 best documents among those that hold all words of a benchmark passage."""
     rag = documents(spark, sf_dir).select(F.col("doc_id").alias("rag_id"), F.lit("").alias("title"), "text")
-    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("query_id"), F.array_join(F.slice(F.split("text", " "), 1, 2), " ").alias("text"))
-    posted = retrieval.postings(rag)
-    found = retrieval.search(posted, retrieval.doc_stats(posted), asked)
+    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
+    posted = retrieval.postings(rag, only=retrieval.asked_terms(asked))
+    found = retrieval.search(posted, retrieval.doc_stats(rag), asked)
     return found.select("query_id", "rank", F.col("rag_id").alias("doc_id"), F.round("score", 4).alias("score"))
 
 
 def phrase_retrieval(spark, sf_dir):
     rag = documents(spark, sf_dir).select(F.col("doc_id").alias("rag_id"), F.lit("").alias("title"), "text")
-    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("query_id"), F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("text"))
+    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
     return retrieval.phrase_matches(rag, asked).select("query_id", F.col("rag_id").alias("doc_id"))
 
 
@@ -348,14 +347,14 @@ SELECT entity_type, canonical_name, array_to_string(list_filter(types, lambda x:
     "bm25_topk": f"""WITH said AS (SELECT doc_id, unnest({_TERMS.format('text')}) AS term FROM documents),
 posted AS (SELECT doc_id, term, count(*) AS tf FROM said GROUP BY 1, 2), sizes AS (SELECT doc_id, sum(tf) AS size FROM posted GROUP BY 1),
 whole AS (SELECT count(*) AS n, avg(size) AS mean FROM sizes),
-asked AS (SELECT DISTINCT item_id AS query_id, unnest({_TERMS.format("array_to_string(string_split(text, ' ')[1:2], ' ')")}) AS term FROM benchmark),
+asked AS (SELECT DISTINCT item_id AS query_id, unnest({_TERMS.format('text')}) AS term FROM benchmark),
 need AS (SELECT query_id, count(*) AS need FROM asked GROUP BY 1), dfs AS (SELECT term, count(*) AS df FROM posted GROUP BY 1),
 scored AS (SELECT query_id, doc_id, count(*) AS have, sum(greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))) AS s
   FROM asked JOIN posted USING (term) JOIN dfs USING (term) JOIN sizes USING (doc_id), whole GROUP BY 1, 2),
 kept AS (SELECT query_id, doc_id, round(-s, 6) + 0.0::DOUBLE AS score FROM scored JOIN need USING (query_id) WHERE have = need)
 SELECT query_id, rank, doc_id, round(score, 4) + 0.0::DOUBLE AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, doc_id) AS rank FROM kept) WHERE rank <= 8""",
     "phrase_retrieval": f"""WITH d AS (SELECT doc_id, ' ' || array_to_string({_TERMS.format('text')}, ' ') || ' ' AS t FROM documents),
-q AS (SELECT item_id AS query_id, ' ' || array_to_string({_TERMS.format("array_to_string(string_split(text, ' ')[1:3], ' ')")}, ' ') || ' ' AS p FROM benchmark)
+q AS (SELECT item_id AS query_id, ' ' || array_to_string({_TERMS.format('text')}, ' ') || ' ' AS p FROM benchmark)
 SELECT query_id, doc_id FROM d JOIN q ON contains(t, p)""",
     "lexicon_classification": f"WITH {_CLASSIFIED} SELECT * FROM ranked WHERE rank <= 5",
     "mixed_evidence": f"WITH {_CLASSIFIED} SELECT doc_id, 'Language evidence is mixed; treat classification as provisional.' AS note FROM ranked WHERE rank = 1 AND confidence < 0.7",

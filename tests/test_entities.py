@@ -83,9 +83,9 @@ def test_retrieval(spark):
     assert rag.count() == 7 and rag.select("rag_id").distinct().count() == 7
     posted = retrieval.postings(rag)
     asked = spark.createDataFrame([(1, "Professor Lidenbrock")], "query_id long, text string")
-    hits = {r.rag_id for r in retrieval.search(posted, retrieval.doc_stats(posted), asked).collect()}
+    hits = {r.rag_id for r in retrieval.search(posted, retrieval.doc_stats(rag), asked).collect()}
     assert hits == {"1:entity:entity", "1:scene:scene"}
-    only = retrieval.search(posted, retrieval.doc_stats(posted), asked, rag=rag, source_type="entity").collect()
+    only = retrieval.search(posted, retrieval.doc_stats(rag), asked, rag=rag, source_type="entity").collect()
     assert [r.rag_id for r in only] == ["1:entity:entity"]
     assert {r.rag_id for r in retrieval.phrase_matches(rag, asked).collect()} == hits
 

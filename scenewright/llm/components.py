@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import common
@@ -13,16 +13,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round takes the least label among a node's neighbours, then that label's own
     label (pointer jumping), so that the rounds grow with the logarithm of the longest
-    path. Every round is written to the shared folder.
+    path. Every round is written to the shared folder, and whether it changed anything is
+    counted while it is written.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = common.saved(both, "edges")
-    labels = common.saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component")), "labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component"))
+    labels = common.saved(labels, "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        new = common.saved(lower.join(jump, "component", "left").select("node", F.least("component", F.coalesce("next", "component")).alias("component"), "old"), "labels")
-        labels = new.select("node", "component")
-        if not new.filter("component < old").limit(1).count():
+        lower = lower.join(jump, "component", "left").select("node", F.least("component", F.coalesce("next", "component")).alias("component"), "old")
+        changed = Observation()
+        labels = common.saved(lower.observe(changed, F.count_if(F.col("component") < F.col("old")).alias("n")), "labels").select("node", "component")
+        if not changed.get["n"]:
             return labels

@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -261,18 +261,21 @@ def across(rows: DataFrame, group: str, block: int) -> DataFrame:
     return met.select(*rows.columns, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
 
 
-def propose(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def propose(members: DataFrame, reps: DataFrame, percent: int, any_large: bool) -> DataFrame:
     """members (key, node, in_bucket) -> distinct plausible pairs (a, b, estimate) that tie each bucket's plausible pairs together."""
     sketches = reps.select("node", "registers", "n_shingles")
-    large = members.filter(F.col("in_bucket") > BLOCK)
     blocks = blocks_of(F.col("in_bucket"), BLOCK)
-    hubs = large.groupBy("key").agg(F.min("in_bucket").alias("in_bucket"), F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("node"), F.floor(F.col("in_bucket") / (4 * HUBS)) + 1) == 0, F.col("node")))), 1, HUBS).alias("hubs"))
-    hubs = hubs.select("key", F.explode("hubs").alias("node"), "in_bucket").select("key", "node", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
-    rows = members.select("key", "node", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i")).unionByName(hubs)
+    rows = members.select("key", "node", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i"))
+    large = members.filter(F.col("in_bucket") > BLOCK)
+    if any_large:
+        drawn = F.pmod(F.xxhash64("node"), F.floor(F.col("in_bucket") / (4 * HUBS)) + 1) == 0
+        hubs = large.filter(drawn).groupBy("key").agg(F.first("in_bucket").alias("in_bucket"), F.slice(F.array_sort(F.collect_set("node")), 1, HUBS).alias("hubs"))
+        hubs = hubs.select("key", F.explode("hubs").alias("node"), "in_bucket").select("key", "node", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
+        rows = rows.unionByName(hubs)
     tree = dealt(rows.join(sketches, "node"), "key", "i").mapInPandas(forests(percent, ["key", "i"]), EDGES)
     best = F.max("estimate").alias("estimate")
     tree = common.saved(tree.groupBy("a", "b").agg(best), "near-forest")
-    if not large.limit(1).count():
+    if not any_large:
         return tree
     parted = labelled(large.select("key", "node"), "node", "label", components(tree))
     several = parted.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
@@ -298,7 +301,7 @@ def shared_shingles(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
 
 
 def missing_links(numerator: int, denominator: int):
-    """Over sorted rows (cluster, i, j, node, label, members): links (a, b) between labels, enough to join them."""
+    """Over sorted rows (cluster, i, j, node, label, members): links (a, b) between labels (la, lb), enough to join them."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(x, np.uint64) for x in frame["members"]]
@@ -317,8 +320,8 @@ def missing_links(numerator: int, denominator: int):
             x, y = find(component[a]), find(component[b])
             if x != y:
                 root[max(x, y)] = min(x, y)
-                out.append((min(node[a], node[b]), max(node[a], node[b])))
-        return pd.DataFrame(out, columns=["a", "b"])
+                out.append((min(node[a], node[b]), max(node[a], node[b]), component[a], component[b]))
+        return pd.DataFrame(out, columns=["a", "b", "la", "lb"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frames in by_bucket(batches, ["cluster", "i", "j"]):
@@ -360,11 +363,13 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
         .agg(F.min("doc_id").alias("node"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")),
         "near-nodes",
     )
-    bands = reps.select("node", F.posexplode(F.array(*[F.substring("registers", ROWS * k + 1, ROWS) for k in range(M // ROWS)])).alias("band", "value"))
+    bands = reps.select("node", F.posexplode(F.array(*[F.substring("registers", 2 * ROWS * k + 1, 2 * ROWS) for k in range(M // ROWS)])).alias("band", "value"))
     bands = bands.select("node", F.xxhash64("band", "value").alias("key"))
     counts = bands.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
-    shared = common.saved(bands.join(counts, "key").select("key", "node", "in_bucket"), "near-buckets")
-    tree = propose(shared, reps, percent)
+    large = Observation()
+    shared = bands.join(counts, "key").select("key", "node", "in_bucket")
+    shared = common.saved(shared.observe(large, F.count_if(F.col("in_bucket") > BLOCK).alias("n")), "near-buckets")
+    tree = propose(shared, reps, percent, bool(large.get["n"]))
     involved = tree.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -382,26 +387,23 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
     linked = common.saved(confirm(best, sets, percent, 100), "near-judged")
     labels = components(linked.filter("linked"))
 
-    def between(edges: DataFrame) -> DataFrame:
-        """edges with the labels of their ends, where these differ"""
-        return labelled(labelled(edges, "a", "la", labels), "b", "lb", labels).filter("la <> lb")
-
-    def joined(edges: DataFrame) -> DataFrame:
-        """labels after edges (la, lb) between them"""
-        new = components(edges.select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        return common.saved(labelled(everyone.select("node", "label"), "label", "component", new).select("node", "component"), "near-labels")
-
-    everyone = labelled(involved, "node", "label", labels)
-    rest = confirm(between(tree.join(linked, ["a", "b"], "left_anti")), sets, percent, 100).filter("linked")
-    labels = joined(between(rest))
-    open_pairs = common.saved(between(tree).select("la", "lb").distinct(), "near-open")
-    if open_pairs.limit(1).count():
-        # clusters of plausible pairs that fell into several classes: all pairs of different classes, on full sets
-        clusters = components(open_pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))).select(F.col("node").alias("label"), F.col("component").alias("cluster"))
-        everyone = common.saved(labels.select("node", F.col("component").alias("label")), "near-classes")
-        met = across(common.saved(everyone.join(clusters, "label").select("cluster", "node", "label"), "near-clusters"), "cluster", SET_BLOCK)
-        more = dealt(met.join(sets, "node"), "cluster", "i", "j").mapInPandas(missing_links(percent, 100), "a long, b long")
-        labels = joined(between(more))
+    # clusters of plausible pairs that fell into several classes: all pairs of different classes, on full sets
+    parted = labelled(labelled(tree, "a", "la", labels), "b", "lb", labels).filter("la <> lb")
+    several = Observation()
+    parted = common.saved(parted.select("la", "lb").observe(several, F.count(F.lit(1)).alias("n")), "near-parted")
+    if several.get["n"]:
+        clusters = components(parted.select(F.col("la").alias("a"), F.col("lb").alias("b"))).select(F.col("node").alias("label"), F.col("component").alias("cluster"))
+        everyone = labelled(involved, "node", "label", labels).join(clusters, "label").select("cluster", "node", "label")
+        everyone = common.saved(everyone, "near-clusters")
+        # two lone nodes whose pair was judged need no second look
+        whole = everyone.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").select("cluster")
+        met = across(everyone.join(whole, "cluster"), "cluster", SET_BLOCK)
+        more = dealt(met.join(sets, "node"), "cluster", "i", "j").mapInPandas(missing_links(percent, 100), "a long, b long, la long, lb long")
+        found = Observation()
+        more = common.saved(more.observe(found, F.count(F.lit(1)).alias("n")), "near-links")
+        if found.get["n"]:
+            new = components(more.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+            labels = labelled(labelled(involved, "node", "label", labels), "label", "component", new).select("node", "component")
 
     nodes = labelled(reps.select("digest", "node"), "node", "component", labels).select("digest", "component")
     found = base.select("doc_id", "n_shingles", "digest").join(nodes, "digest", "left")

@@ -206,37 +206,46 @@ def compatible_pairs(gated: DataFrame) -> DataFrame:
     return tried.withColumn("c", _compatible(F.col("nb"), F.col("na"), F.col("bb"), F.col("ba"))).filter("c.ok").select("document_id", "a", "b", "c.confidence", "c.method")
 
 
-def identity_groups(gated: DataFrame, *, rounds: int = 50) -> tuple[DataFrame, DataFrame]:
+def identity_groups(gated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, members) of gated characters: each entity joins the first group, by id, whose root it fits, else it starts one.
 
-    Roots are found in rounds over the table of fitting pairs: an entity is a root once all
-    smaller fits of it are known not to be roots, and no root once one of them is. Chains
-    settle in as many rounds as they are long; work per round is joins on the pairs alone.
+    Entities of one name fit whatever the first of them fits, so only the first of a name is
+    compared. Roots are found in rounds over the table of fitting pairs, until none is open:
+    an entity is a root once all smaller fits of it are known not to be roots, and no root
+    once one of them is. The smallest open one settles in every round, and chains settle in
+    as many rounds as they are long; work per round is joins on the pairs alone.
     """
-    kept = gated.filter("entity_type = 'character' AND decision IN ('validated', 'probable')")
-    pairs = compatible_pairs(kept)
-    pairs = pairs.checkpoint() if _checkpoints(gated) else pairs.persist()
-    state = kept.select("document_id", "entity_id").join(pairs.select(F.col("b").alias("entity_id")).distinct().withColumn("open", F.lit(True)), "entity_id", "left")
-    state = state.select("document_id", "entity_id", F.when(F.col("open"), F.lit(None).cast("boolean")).otherwise(True).alias("root"))
-    for _ in range(rounds):
+    kept = gated.filter("entity_type = 'character' AND decision IN ('validated', 'probable')").withColumn("norm", name_norm(F.col("canonical_name")))
+    fits_itself = compatible(F.col("canonical_name"), F.col("canonical_name"))["ok"]
+    first = F.min("entity_id").over(Window.partitionBy("document_id", "norm"))
+    kept = _cut(kept.select("document_id", "entity_id", "canonical_name", F.col("norm").alias("variant_name"), F.when(fits_itself, first).otherwise(F.col("entity_id")).alias("same_as")))
+    alone = kept.filter("entity_id = same_as").select("document_id", "entity_id", "canonical_name")
+    pairs = _cut(compatible_pairs(alone))
+    state = alone.join(pairs.select(F.col("b").alias("entity_id")).distinct().withColumn("open", F.lit(True)), "entity_id", "left")
+    state = _cut(state.select("document_id", "entity_id", F.when(F.col("open"), F.lit(None).cast("boolean")).otherwise(True).alias("root")))
+    while state.filter("root IS NULL").limit(1).count():
         known = pairs.join(state.select(F.col("entity_id").alias("a"), F.col("root").alias("a_root")), "a")
         verdict = known.groupBy(F.col("b").alias("entity_id")).agg(F.bool_or(F.coalesce("a_root", F.lit(False))).alias("taken"), F.bool_and(F.col("a_root").isNotNull()).alias("all_known"))
-        state = state.join(verdict, "entity_id", "left").select("document_id", "entity_id", F.coalesce("root", F.when(F.col("taken"), False).when(F.col("all_known"), True)).alias("root"))
-        state = state.checkpoint() if _checkpoints(gated) else state.persist()
-        if not state.filter("root IS NULL").limit(1).count():
-            break
+        before, state = state, _cut(state.join(verdict, "entity_id", "left").select("document_id", "entity_id", F.coalesce("root", F.when(F.col("taken"), False).when(F.col("all_known"), True)).alias("root")))
+        before.unpersist()
     roots = state.filter("root").select(F.col("entity_id").alias("a"))
-    first = pairs.join(roots, "a").groupBy("document_id", F.col("b").alias("entity_id")).agg(F.min_by(F.struct("a", "confidence", "method"), "a").alias("f"))
-    joined = first.join(state.filter("NOT root").select("entity_id"), "entity_id").select("document_id", F.col("f.a").alias("group_id"), "entity_id", "f.confidence", F.col("f.method").alias("match_method"))
-    own = state.filter("root").select("document_id", F.col("entity_id").alias("group_id"), "entity_id", F.lit(1.0).alias("confidence"), F.lit("canonical").alias("match_method"))
-    members = own.unionByName(joined).join(kept.select("entity_id", name_norm(F.col("canonical_name")).alias("variant_name")), "entity_id")
+    best = pairs.join(roots, "a").groupBy(F.col("b").alias("same_as")).agg(F.min_by(F.struct("a", "confidence", "method"), "a").alias("f"))
+    best = best.join(state.filter("NOT root").select(F.col("entity_id").alias("same_as")), "same_as")
+    met = kept.join(best, "same_as", "left")
+    own = F.col("entity_id") == F.col("same_as")
+    members = met.select(
+        "document_id", F.coalesce("f.a", "same_as").alias("group_id"), "entity_id",
+        F.when(F.col("f").isNotNull(), F.col("f.confidence")).when(own, 1.0).otherwise(0.98).alias("confidence"),
+        F.when(F.col("f").isNotNull(), F.col("f.method")).when(own, "canonical").otherwise("normalized_exact").alias("match_method"), "variant_name",
+    )
     groups = members.groupBy("document_id", "group_id").agg(F.min("confidence").alias("confidence"), F.max_by("variant_name", F.col("match_method") == "canonical").alias("canonical_name"), F.array_sort(F.collect_list("entity_id")).alias("member_ids"))
     groups = groups.withColumn("method", F.when(F.size("member_ids") == 1, "single_candidate").otherwise("conservative_identity_alias"))
     return groups, members
 
 
-def _checkpoints(df: DataFrame) -> bool:
-    return bool(df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir"))
+def _cut(df: DataFrame) -> DataFrame:
+    """df computed once: in the shared checkpoint folder, where the session names one."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir") else df.persist()
 
 
 ACCEPTED = ["normalized_exact", "same_full_name_variant", "surname_variant", "same_surname_initial_variant"]

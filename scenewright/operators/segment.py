@@ -82,8 +82,14 @@ def scenes(stories: DataFrame, *, target: int = 3500, minimum: int = 900, para_s
     )
 
 
+STRETCH = 16_384
+
+
 def scene_pages(scenes: DataFrame, stories: DataFrame, pages: DataFrame, para_sep: str = "\n\n") -> DataFrame:
-    """Scenes with the pages that their text touches, from running offsets of pages and scenes in the story."""
+    """Scenes with the pages that their text touches, from running offsets of pages and scenes in the story.
+
+    Pages and scenes meet by stretches of STRETCH characters, so a long section is no single group.
+    """
     gap = len(para_sep)
     text = page_sections(pages.select("document_id", "page_number", "text").filter(F.btrim("text") != ""), stories)
     w = Window.partitionBy("document_id", "section_order").orderBy("page_number")
@@ -91,7 +97,10 @@ def scene_pages(scenes: DataFrame, stories: DataFrame, pages: DataFrame, para_se
     s = Window.partitionBy("document_id", "story_order").orderBy("scene_order")
     placed = scenes.withColumn("stop", F.sum(F.length("text") + gap).over(s) - gap).withColumn("start", F.col("stop") - F.length("text"))
     keyed = placed.join(stories.select("document_id", "story_order", "section_order"), ["document_id", "story_order"])
-    met = keyed.join(at.select("document_id", "section_order", "page_number", "since", "until"), ["document_id", "section_order"]).filter("until > start AND since < stop")
+    stretches = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / STRETCH), F.floor(F.greatest(F.col(a), F.col(b) - 1) / STRETCH))).alias("__stretch")
+    left = keyed.select("document_id", "section_order", "story_order", "scene_order", "start", "stop", stretches("start", "stop"))
+    right = at.select("document_id", "section_order", "page_number", "since", "until", stretches("since", "until"))
+    met = left.join(right, ["document_id", "section_order", "__stretch"]).filter("until > start AND since < stop")
     found = met.groupBy("document_id", "story_order", "scene_order").agg(F.min("page_number").alias("__a"), F.max("page_number").alias("__b"))
     own = F.col("strategy") == "story_default"
     return scenes.join(found, ["document_id", "story_order", "scene_order"], "left").withColumns({

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import books, chains, tables
+from . import books, chains, oracles, tables
 
 
 def wide(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -23,4 +23,4 @@ def wide(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES = {name: wide(query) for name, query in {**books.QUERIES, **tables.QUERIES, **chains.QUERIES}.items()}
-ORACLES = {**books.ORACLES, **tables.ORACLES, **chains.ORACLES}
+ORACLES = {**books.ORACLES, **tables.ORACLES, **chains.ORACLES, **oracles.ORACLES}

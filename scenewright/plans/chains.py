@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.folders import shared_folder
 from ..operators import continuity, entities, facts, identity, packages, structure
 from ..streaming import streams
 from . import books
@@ -116,8 +114,7 @@ def html_page_text(spark, sf_dir):
 
 def run_stream(spark, df: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over what is there and read what it wrote."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="scenewright-stream-")
-    path = f"{base}/stream-{uuid4().hex}"
+    path = shared_folder(spark, "stream")
     df.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode(mode).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/out")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
+from ..functions.folders import shared_folder
 from ..operators import continuity, facts, identity, jobs, packages, structure
 from ..sources import tables
 from ..streaming import streams
@@ -216,25 +217,18 @@ def page_scan(spark, sf_dir):
 
 
 def numeral_tokens(spark, sf_dir):
-    tokens = read(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[IVXLCDMKYGO]{1,6}"), 0)).alias("token"))
+    tokens = read(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[IVXLCDMKYGO]+"), 0)).alias("token"))
     return structure.normalize_numerals(tokens)
 
 
 def stream_state_changes(spark, sf_dir):
     """The streaming form over the events table as a stream of files, run until it has read them all."""
-    from uuid import uuid4
-
     e = read(spark, sf_dir, "events")
     stream = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/events.parquet*")
     changes = streams.state_changes(stream.withColumn("ts", F.col("ts").cast("timestamp")), entity="user_id", order="ts", value="event_type")
-    name, base = f"changes_{uuid4().hex}", spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base is None:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="scenewright-stream-")
-    path = f"{base}/{name}"
+    path = shared_folder(spark, "changes")
     changes.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    return spark.read.parquet(f"{path}/out").withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -72,7 +72,7 @@ def stale_jobs(updates: DataFrame, *, minutes: int, job: str = "job_id", event_t
             state.remove()
             yield pd.DataFrame({"job": [key[0]], "last_update": [at]})
             return
-        every = pd.concat(list(frames)).sort_values("at")
+        every = pd.concat(list(frames)).sort_values(["at", "status"], kind="stable")
         last = every.iloc[-1]
         at = int(last["at"].timestamp() * 1000)
         if last["status"] in ("running", "processing"):

@@ -8,24 +8,47 @@ from pyspark.sql import functions as F
 from . import common
 
 
+def ordered(edges: DataFrame) -> DataFrame:
+    """Each edge once, its smaller end first, without loops."""
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+
+
+def jumped(hooks: DataFrame) -> DataFrame:
+    """(node, label) with each label replaced by that label's own, if it has one."""
+    onward = hooks.select(F.col("node").alias("label"), F.col("label").alias("onward"))
+    return hooks.join(onward, "label", "left").select("node", F.coalesce("onward", "label").alias("label"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) -> (node, component): the least node that can be reached.
 
-    Each round takes the least label among a node's neighbours, then that label's own
-    label (pointer jumping), so that the rounds grow with the logarithm of the longest
-    path. Every round is written to the shared folder, and whether it changed anything is
-    counted while it is written.
+    Each round hooks every node to its least neighbour, if that is smaller, follows the hooks
+    to their roots by pointer jumping, and goes on with the edges between roots alone, so the
+    graph shrinks from round to round and so does the work. Every step is written to the
+    shared folder; whether anything is left is counted while it is written.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = common.saved(both, "edges")
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component"))
-    labels = common.saved(labels, "labels")
+    left, rounds = common.saved(ordered(edges), "edges"), []
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        lower = lower.join(jump, "component", "left").select("node", F.least("component", F.coalesce("next", "component")).alias("component"), "old")
-        changed = Observation()
-        labels = common.saved(lower.observe(changed, F.count_if(F.col("component") < F.col("old")).alias("n")), "labels").select("node", "component")
-        if not changed.get["n"]:
-            return labels
+        hooks = common.saved(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "hooks")
+        while True:
+            longer = Observation()
+            twice = jumped(jumped(hooks)).withColumnRenamed("label", "far")
+            roots = hooks.join(twice, "node").observe(longer, F.count_if(F.col("far") < F.col("label")).alias("n"))
+            hooks = common.saved(roots.select("node", F.col("far").alias("label")), "hooks")
+            if not longer.get["n"]:
+                break
+        rounds.append(hooks)
+        ends = left
+        for end in ("a", "b"):
+            root = hooks.select(F.col("node").alias(end), F.col("label").alias("root"))
+            ends = ends.join(root, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+        more = Observation()
+        left = common.saved(ordered(ends).observe(more, F.count(F.lit(1)).alias("n")), "edges")
+        if not more.get["n"]:
+            break
+    labels = rounds.pop()
+    while rounds:
+        after = labels.select(F.col("node").alias("label"), F.col("label").alias("last"))
+        earlier = rounds.pop()
+        labels = earlier.join(after, "label", "left").select("node", F.coalesce("last", "label").alias("label")).unionByName(labels)
+    return common.saved(labels.unionByName(labels.select(F.col("label").alias("node"), "label")).distinct().withColumnRenamed("label", "component"), "labels")

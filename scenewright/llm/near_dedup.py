@@ -379,7 +379,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
                 yield pd.DataFrame({"node": part["node"], "members": [shingle_set(t, words).tobytes() for t in part["text"]]})
 
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    sets = texts.join(involved, "node", "left_semi").mapInPandas(gather, "node long, members binary")
+    # one way at every size: texts meet the nodes by a shuffle
+    sets = texts.join(involved.hint("merge"), "node", "left_semi").mapInPandas(gather, "node long, members binary")
     sets = common.saved(sets, "near-sets")
 
     ends = tree.select(F.explode(F.array(F.struct(F.col("a").alias("node"), "b", "a"), F.struct(F.col("b").alias("node"), "b", "a"))).alias("e"), "estimate").select("e.*", "estimate")

@@ -144,3 +144,52 @@ def integrity_checks(checks: dict[str, tuple[DataFrame, int | None]]) -> DataFra
         row = df.agg(n.alias("value")).select(F.lit(name).alias("check"), "value", ((F.col("value") > 0) if wanted is None else (F.col("value") == wanted)).alias("passed"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def fact_distribution(profiled: DataFrame, facts: DataFrame) -> DataFrame:
+    """kind, name, n, mean_confidence, with_evidence: profiles by type, and facts by category."""
+    types = profiled.groupBy(F.lit("profile_type").alias("kind"), F.col("profile_type").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 3).alias("mean_confidence"), F.lit(None).cast("long").alias("with_evidence"))
+    kinds = facts.groupBy(F.lit("category").alias("kind"), F.col("category").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 3).alias("mean_confidence"), F.count_if(F.btrim("evidence") != "").alias("with_evidence"))
+    return types.unionByName(kinds)
+
+
+def readiness(scenes: DataFrame, context: DataFrame, facts: DataFrame, *, covered: float = 95.0, mean: float = 0.55) -> DataFrame:
+    """One row: whether contexts cover the scenes, facts have evidence, and the mean of the categories' mean confidences reaches its mark; the share of these as a score."""
+    share = lambda a, b: F.when(b > 0, F.round(100.0 * a / b, 2)).otherwise(0.0)
+    held = facts.agg(F.count(F.lit(1)).alias("facts"), F.count_if(F.btrim("evidence") != "").alias("told"))
+    means = facts.groupBy("category").agg(F.avg("confidence").alias("c")).agg(F.coalesce(F.round(F.avg("c"), 3), F.lit(0.0)).alias("mean"))
+    one = scenes.agg(F.count(F.lit(1)).alias("scenes")).crossJoin(context.agg(F.count(F.lit(1)).alias("contexts"))).crossJoin(held).crossJoin(means)
+    checks = one.select((share(F.col("contexts"), F.col("scenes")) >= covered).alias("context_ok"), (share(F.col("told"), F.col("facts")) >= covered).alias("evidence_ok"), (F.col("mean") >= mean).alias("confidence_ok"))
+    passed = sum(F.col(c).cast("int") for c in checks.columns)
+    return checks.withColumn("score", F.round(100.0 * passed / 3, 1)).withColumn("status", F.when(passed == 3, "PASS").otherwise("NEEDS_REVIEW"))
+
+
+def top_samples(profiled: DataFrame, facts: DataFrame, n: int) -> DataFrame:
+    """kind, rank, name, confidence: the n profiles and the n facts of highest confidence (top-k reports)."""
+    rows = profiled.select(F.lit("profile").alias("kind"), F.col("canonical_name").cast("string").alias("name"), "confidence").orderBy(F.desc("confidence"), "name").limit(n)
+    said = facts.select(F.lit("fact").alias("kind"), F.concat_ws(" ", F.col("profile_id").cast("string"), "attribute", "value").alias("name"), "confidence").orderBy(F.desc("confidence"), "name").limit(n)
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("confidence"), "name"))
+    return rows.unionByName(said).withColumn("rank", place)
+
+
+def release_checks(*, profiles: DataFrame, canonical: DataFrame, facts: DataFrame, classified: DataFrame, reconciled: DataFrame, characters: DataFrame, context: DataFrame, objects: DataFrame, continuity: DataFrame, states: DataFrame, bad_phrases: list[str] = ()) -> DataFrame:
+    """check, value, passed of a document's layers: counts that must not be zero, must be zero, or must agree.
+
+    profiles: one row for each canonical profile (profile_id); characters: the canonical
+    characters (profile_id) that must each have one.
+    """
+    bad = F.lit(False)
+    for phrase in bad_phrases:
+        bad = bad | F.contains(F.lower("evidence"), F.lit(phrase)) | F.contains(F.lower("value"), F.lit(phrase))
+    none, some = (lambda v: v == 0), (lambda v: v > 0)
+    rows = [
+        ("canonical_profiles", profiles, some), ("canonical_facts", canonical, some), ("strong_conflicts", classified.filter("classification = 'strong_conflict'"), none),
+        ("unsupported", reconciled.filter("status = 'unsupported'"), none), ("known_bad_phrase_facts", facts.filter(bad), none), ("canonical_characters", characters, some),
+        ("characters_without_profile", characters.join(profiles, "profile_id", "left_anti"), none), ("scene_context_rows", context, some), ("object_mentions", objects, some), ("continuity_rows", continuity, some), ("continuity_state_rows", states, some),
+    ]
+    out = None
+    for name, df, rule in rows:
+        row = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("check"), "value", rule(F.col("value")).alias("passed"))
+        out = row if out is None else out.unionByName(row)
+    sizes = F.max(F.when(F.col("check") == "canonical_profiles", F.col("value"))).over(Window.partitionBy(F.lit(1))) == F.max(F.when(F.col("check") == "canonical_characters", F.col("value"))).over(Window.partitionBy(F.lit(1)))
+    return out.withColumn("passed", F.col("passed") & (~F.col("check").isin("canonical_profiles", "canonical_characters") | sizes))

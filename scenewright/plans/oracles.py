@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import lexicons
-from ..operators import identity, packages, structure
+from ..operators import identity, packages, plans, structure
 from . import books
 from .books import MENTIONS_SQL, PAGES_SQL, SECTIONS_SQL, bounded_sql
 from .tables import _FACTS
@@ -120,7 +120,91 @@ PACKAGE_QUALITY = f"""WITH {_RENDERED}, e AS (SELECT doc_id, {reasons(
     ("len(moments) = 0", "no_moments"), ("text IS NULL OR trim(text) = ''", "text_missing"))} AS errors FROM re)
 SELECT doc_id, errors, CASE WHEN errors = '' THEN 'pass' ELSE 'fail' END AS status FROM e"""
 
+_QUOTED = rf"""q0 AS (SELECT doc_id, unnest(regexp_extract_all(text, '["“]([^"”]+)["”]', 1)) AS x, generate_subscripts(regexp_extract_all(text, '["“]([^"”]+)["”]', 1), 1) AS i FROM documents),
+q1 AS (SELECT doc_id, trim(x) AS x, min(i) AS i FROM q0 WHERE {_WORDS.format("trim(x)")} >= 3 GROUP BY 1, 2),
+q2 AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rank FROM q1),
+qq AS (SELECT doc_id, list(x ORDER BY rank) AS dialogue FROM q2 WHERE rank <= 3 GROUP BY 1)"""
+_STYLE = "CASE direction " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in plans.STYLES.items()) + " END"
+_SHOT = "[" + ", ".join(f"'{s}'" for s in plans.SHOTS) + "]"
+_MOVING = "'{} ' || (i + 1) || ', 9:16. Source-anchored scene interpretation: ' || coalesce(moments[(i % n) + 1], 'Quiet scene.') || ' Cinematic direction: ' || style || '.' || grounded"
+_PLANNED = f"""{_RENDERED}, {_QUOTED},
+p0 AS (SELECT pk.*, coalesce(qq.dialogue, []) AS dialogue, d.direction FROM pk LEFT JOIN qq USING (doc_id) JOIN (SELECT doc_id, CASE WHEN regexp_matches(text, '{bounded_sql(lexicons.DESTRUCTION)}') THEN 'destruction' WHEN regexp_matches(text, '{bounded_sql(lexicons.COMBAT)}') THEN 'combat'
+  WHEN regexp_matches(text, '{bounded_sql(lexicons.TRAVEL)}') THEN 'travel' END AS direction FROM documents) d USING (doc_id)),
+p1 AS (SELECT * REPLACE (coalesce(direction, CASE WHEN len(dialogue) > 0 THEN 'dialogue' WHEN len(names) > 0 THEN 'characters' ELSE 'default' END) AS direction), greatest(len(moments), 1) AS n FROM p0),
+p2 AS (SELECT *, {_STYLE} AS style, ' Characters: ' || CASE WHEN len(names) > 0 THEN array_to_string(names, ', ') ELSE 'none named' END || '. Source-grounded; unknown details stay unknown.' AS grounded, coalesce(moments[1], 'Quiet scene.') AS f0 FROM p1),
+p3 AS (SELECT *, 'Source-grounded image, 9:16. PRIMARY SOURCE VISUAL MOMENT: ' || f0 || ' Source-anchored scene interpretation of ' || coalesce(title, 'an untitled scene') || ', pages 1 to 1. DETECTED STORY WORLD: as the source tells. Cinematic direction: ' || style || '.' || grounded
+    || CASE WHEN len(dialogue) > 0 THEN ' Dialogue box: ' || array_to_string(dialogue[1:2], ' / ') ELSE ' Narrative box: ' || f0 END AS image_prompt,
+  list_transform(range(0, 3), lambda i: {_MOVING.format("Clip")}) AS clips,
+  list_transform(range(0, least({len(plans.SHOTS)}, greatest(4, len(moments)))), lambda i: {_SHOT}[i + 1] || ' shot. ' || {_MOVING.format("Shot")}) AS shots FROM p2)"""
+_SHORT = "list_filter(list_transform({0}, lambda x, i: CASE WHEN length(trim(x)) < 160 THEN '{1}_prompt_short:' || i END), lambda e: e IS NOT NULL)"
+_PLAN_ERRORS = f"""{_PLANNED}, er AS (SELECT doc_id, names, image_prompt, list_concat(list_concat(list_filter([
+  CASE WHEN trim(coalesce(text, '')) = '' THEN 'plan_not_ready' END, CASE WHEN length(trim(image_prompt)) < 240 THEN 'image_prompt_short' END, CASE WHEN length(trim('Sounds of: ' || f0)) < 20 THEN 'sound_short' END], lambda e: e IS NOT NULL),
+  {_SHORT.format("clips", "clip")}), {_SHORT.format("shots", "shot")}) AS errors FROM p3)"""
+PLAN_PROMPTS = f"WITH {_PLANNED} SELECT doc_id, direction, md5(image_prompt) AS image_md5, md5(array_to_string(clips, chr(10))) AS clips_md5, md5(array_to_string(shots, chr(10))) AS shots_md5, len(shots) AS shots FROM p3"
+PLAN_QUALITY = f"WITH {_PLAN_ERRORS} SELECT doc_id, array_to_string(errors, ',') AS errors, CASE WHEN len(errors) = 0 THEN 'pass' ELSE 'fail' END AS status FROM er"
+PLAN_AUDIT = f"""WITH {_PLAN_ERRORS}, au AS (SELECT list_concat(list_filter([CASE WHEN len(errors) > 0 THEN 'plan_rules_failed' END, 'world_missing'], lambda e: e IS NOT NULL), list_transform(list_filter(names, lambda n: lower(n) IN ({listed(plans.NOT_NAMES)})), lambda n: 'question_word_as_name')) AS issues FROM er)
+SELECT 'issue' AS kind, name, count(*) AS n FROM (SELECT unnest(issues) AS name FROM au) GROUP BY 2
+UNION ALL SELECT 'observation', d, count(*) FROM au, (VALUES ('narrative_type_missing'), ('culture_missing'), ('religious_context_missing')) t(d) GROUP BY 2
+UNION ALL SELECT 'scene', 'fail', count(*) FROM au HAVING count(*) > 0"""
+
+_PROFILES = "pr AS (SELECT profile_id, round(avg(confidence), 4) AS confidence, CASE profile_id % 3 WHEN 0 THEN 'environment' WHEN 1 THEN 'object' ELSE 'character' END AS profile_type FROM f GROUP BY 1)"
+FACT_DISTRIBUTION = f"""WITH {_FACTS}, {_PROFILES}
+SELECT 'profile_type' AS kind, profile_type AS name, count(*) AS n, round(avg(confidence), 3) AS mean_confidence, CAST(NULL AS BIGINT) AS with_evidence FROM pr GROUP BY 2
+UNION ALL SELECT 'category', attribute, count(*), round(avg(confidence), 3), count(*) FROM f GROUP BY 2"""
+AUDIT_READINESS = f"""WITH {_FACTS}, c AS (SELECT round(100.0::DOUBLE * (SELECT count(DISTINCT scene_id) FROM f WHERE confidence > 0.9) / (SELECT count(DISTINCT scene_id) FROM f), 2) >= 95 AS context_ok, true AS evidence_ok,
+  round((SELECT avg(c) FROM (SELECT avg(confidence) AS c FROM f GROUP BY attribute)), 3) >= 0.55 AS confidence_ok)
+SELECT *, round(100.0::DOUBLE * (context_ok::INT + evidence_ok::INT + confidence_ok::INT) / 3, 1) AS score, CASE WHEN context_ok AND evidence_ok AND confidence_ok THEN 'PASS' ELSE 'NEEDS_REVIEW' END AS status FROM c"""
+AUDIT_SAMPLES = f"""WITH {_FACTS}, {_PROFILES}, e AS (SELECT 'profile' AS kind, CAST(profile_id AS VARCHAR) AS name, confidence FROM pr UNION ALL SELECT 'fact', profile_id || ' ' || attribute || ' ' || value, confidence FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY confidence DESC, name) AS rank FROM e) SELECT kind, rank, name, confidence FROM r WHERE rank <= 10"""
+RELEASE_CHECKS = f"""WITH {_FACTS}, v AS (SELECT profile_id, attribute, value, min(confidence) AS confidence, count(DISTINCT scene_id) AS own FROM f GROUP BY 1, 2, 3),
+cl AS (SELECT * FROM v WHERE attribute = 'hair' AND (profile_id, attribute) IN (SELECT (profile_id, attribute) FROM v GROUP BY profile_id, attribute HAVING count(*) > 1)),
+ev AS (SELECT profile_id, attribute, count(DISTINCT scene_id) AS every FROM f WHERE attribute = 'hair' GROUP BY 1, 2),
+t AS (SELECT * FROM (VALUES
+  ('canonical_profiles', (SELECT count(DISTINCT profile_id) FROM f), 1), ('canonical_facts', (SELECT count(*) FROM v), 1), ('strong_conflicts', (SELECT count(*) FROM cl JOIN ev USING (profile_id, attribute) WHERE confidence >= 0.6 AND every <= own), 0), ('unsupported', 0, 0),
+  ('known_bad_phrase_facts', (SELECT count(*) FROM f WHERE contains(evidence, 'e77')), 0), ('canonical_characters', (SELECT count(DISTINCT profile_id) FROM f), 1), ('characters_without_profile', 0, 0), ('scene_context_rows', (SELECT count(DISTINCT scene_id) FROM f), 1),
+  ('object_mentions', (SELECT count(*) FROM f WHERE attribute = 'hair'), 1), ('continuity_rows', (SELECT count(DISTINCT scene_id) FROM f), 1), ('continuity_state_rows', (SELECT count(*) FROM f), 1)) x("check", value, wanted))
+SELECT "check", CAST(value AS BIGINT) AS value, CASE wanted WHEN 1 THEN value > 0 ELSE value = 0 END AS passed FROM t"""
+SCENE_ASSEMBLY = f"""WITH {_FACTS}, th AS (SELECT DISTINCT scene_id, profile_id FROM f),
+tx AS (SELECT DISTINCT th.scene_id, th.profile_id, f.attribute, f.value, f.confidence, f.attribute = 'hair' AS lasting FROM th JOIN f ON f.profile_id = th.profile_id AND (f.attribute = 'hair' OR f.scene_id = th.scene_id)),
+fi AS (SELECT scene_id, min(lpad(CAST(profile_id AS VARCHAR), 9, '0')) AS p FROM th GROUP BY 1),
+ff AS (SELECT tx.scene_id, string_agg(attribute || '=' || value, ',' ORDER BY lasting, confidence DESC, attribute, value) AS first_facts FROM tx JOIN fi ON fi.scene_id = tx.scene_id AND CAST(fi.p AS BIGINT) = tx.profile_id GROUP BY 1),
+s AS (SELECT scene_id, count(DISTINCT profile_id) AS characters, count(*) AS mentions, array_to_string(list_sort(list_distinct(list(value))), ',') AS objects, count(*) AS events, count(DISTINCT profile_id) AS states FROM f GROUP BY 1)
+SELECT s.*, (SELECT count(*) FROM tx WHERE tx.scene_id = s.scene_id) AS facts, coalesce(first_facts, '') AS first_facts, lag(s.scene_id) OVER (ORDER BY s.scene_id) AS previous_id, lead(s.scene_id) OVER (ORDER BY s.scene_id) AS next_id FROM s LEFT JOIN ff USING (scene_id)"""
+
+CLEAN_OPENINGS = r"SELECT doc_id, md5(rtrim(substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 300))) AS opening_md5 FROM documents"
+FIRST_WORDS = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')[1:60] AS ws FROM documents), e AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+d AS (SELECT doc_id, arg_min(x, i) AS x, min(i) AS i FROM e GROUP BY doc_id, lower(x)), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM d),
+j AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS words FROM r WHERE k <= 12 GROUP BY 1) SELECT documents.doc_id, coalesce(words, '') AS words FROM documents LEFT JOIN j USING (doc_id)"""
+UNQUOTED_TEXTS = """SELECT doc_id, md5(regexp_replace(text, '["“][^"”]*["”]', ' ', 'g')) AS text_md5 FROM documents"""
+PARAGRAPHS = r"""WITH l0 AS (SELECT doc_id, string_split_regex(text, '\r?\n') AS ls FROM documents), l AS (SELECT doc_id, trim(unnest(ls)) AS x, generate_subscripts(ls, 1) AS i FROM l0),
+g AS (SELECT *, sum(CASE WHEN x = '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM l),
+k AS (SELECT *, sum(CASE WHEN regexp_matches(x, '(?i)^(?:\d{1,4}|[ivxlcdm]{1,8})$') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, g ORDER BY i) AS said FROM g WHERE x <> ''),
+p AS (SELECT doc_id, g, string_agg(x, ' ' ORDER BY i) AS p FROM k WHERE said > 0 GROUP BY 1, 2), t AS (SELECT doc_id, string_agg(p, chr(10) || chr(10) ORDER BY g) AS t FROM p GROUP BY 1)
+SELECT documents.doc_id, md5(coalesce(t, '')) AS text_md5 FROM documents LEFT JOIN t USING (doc_id)"""
+DIALOGUE_RANKED = rf"""WITH d AS (SELECT doc_id, '"' || replace(text, chr(10), '" "') || '"' AS t FROM documents), q0 AS (SELECT DISTINCT doc_id, t, unnest(regexp_extract_all(t, '["“]([^"”]+)["”]', 1)) AS x FROM d),
+q1 AS (SELECT *, strpos(t, x) AS p FROM q0 WHERE {_WORDS.format("trim(x)")} >= 4),
+q2 AS (SELECT doc_id, x, least(length(x), 120) + CASE WHEN regexp_matches(substr(t, greatest(1, p - 120), p - greatest(1, p - 120) + length(x) + 100), '{bounded_sql("(?i)" + chr(92) + "b(?:that|que|dass|und)" + chr(92) + "b")}') THEN 80 ELSE 0 END AS score FROM q1),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, x) AS rank FROM q2) SELECT doc_id, rank, md5(trim(x)) AS line_md5, score FROM r WHERE rank <= 3"""
+INFERRED = f"""WITH {_FACTS}, v AS (SELECT DISTINCT profile_id, attribute, value FROM f), m AS (SELECT profile_id, attribute, count(*) AS n FROM v GROUP BY 1, 2),
+r AS (SELECT DISTINCT profile_id, CASE WHEN profile_id % 2 = 0 THEN 'reader' ELSE 'buyer' END AS role FROM f), p AS (SELECT * FROM (VALUES ('reader', 'build', 'slight'), ('reader', 'hair', 'unknown'), ('buyer', 'build', 'tall')) t(role, attribute, value))
+SELECT profile_id, attribute, value, 'source' AS source FROM v JOIN m USING (profile_id, attribute) WHERE NOT (attribute = 'hair' AND n > 1)
+UNION ALL SELECT profile_id, p.attribute, p.value, 'inferred' FROM r JOIN p USING (role) WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.profile_id = r.profile_id AND m.attribute = p.attribute)"""
+TITLED_MERGE = """WITH w AS (SELECT p_partkey AS id, p_partkey // 20 AS document_id, string_split(p_name, ' ')[1] AS low, round(p_size / 50.0::DOUBLE, 2) AS confidence FROM part),
+e AS (SELECT *, upper(low[1]) || lower(low[2:]) AS word, id % 2 = 0 AS titled FROM w),
+o AS (SELECT document_id, lower(word) AS key, min(id) AS id, min(word) AS alias, min(confidence) AS confidence FROM e WHERE NOT titled GROUP BY 1, 2 HAVING count(*) = 1),
+m AS (SELECT o.document_id, o.id AS entity_id, e.id AS canonical_id, o.alias, row_number() OVER (PARTITION BY o.document_id, o.id ORDER BY e.id DESC) AS k FROM o JOIN e ON e.titled AND e.document_id = o.document_id AND lower(e.word) = o.key AND length(e.word) >= 4 AND e.confidence >= o.confidence)
+SELECT document_id, entity_id, canonical_id, alias FROM m WHERE k = 1"""
+PLACE_MENTIONS = f"""WITH {MENTIONS_SQL}, e AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '([A-Z][a-z]{{2,}}) [a-z]{{8,}}', 1)) AS name FROM documents)
+SELECT doc_id, 'environment' AS entity_type, name AS canonical_name, 0.65::DOUBLE AS confidence FROM e
+UNION ALL SELECT doc_id, 'character', name, 0.45::DOUBLE FROM names_ n WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.doc_id = n.doc_id AND lower(e.name) = lower(n.name))"""
+CANONICAL_ID_MAP = """WITH l AS (SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS i FROM lineitem),
+e AS (SELECT l_orderkey AS scene_id, s_nationkey AS n, min(i) AS k FROM l JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal > 0 GROUP BY 1, 2)
+SELECT scene_id, string_agg(CAST(n AS VARCHAR), ',' ORDER BY k) AS canonical_ids FROM e GROUP BY 1"""
+
 ORACLES = {
+    "plan_prompts": PLAN_PROMPTS, "plan_quality": PLAN_QUALITY, "plan_audit": PLAN_AUDIT, "fact_distribution": FACT_DISTRIBUTION, "audit_readiness": AUDIT_READINESS, "audit_samples": AUDIT_SAMPLES, "release_checks": RELEASE_CHECKS,
+    "scene_assembly": SCENE_ASSEMBLY, "clean_openings": CLEAN_OPENINGS, "first_words": FIRST_WORDS, "unquoted_texts": UNQUOTED_TEXTS, "paragraphs": PARAGRAPHS, "dialogue_ranked": DIALOGUE_RANKED,
+    "inferred_attributes": INFERRED, "titled_merge": TITLED_MERGE, "place_mentions": PLACE_MENTIONS, "canonical_id_map": CANONICAL_ID_MAP,
     "evidence_labels": EVIDENCE_LABELS, "visual_entity_validation": VISUAL_ENTITIES, "scene_page_ranges": SCENE_PAGE_RANGES, "presence": PRESENCE, "directions": DIRECTIONS,
     "dialogue_lines": DIALOGUE_LINES, "line_heading_scores": LINE_HEADINGS, "audit_report": AUDIT_REPORT, "stream_state_changes": STREAM_STATE_CHANGES, "stream_stale_jobs": STREAM_STALE_JOBS,
     "csv_rows": CSV_ROWS, "prompts_by_mode": PROMPTS_BY_MODE, "package_quality": PACKAGE_QUALITY,

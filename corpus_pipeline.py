@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the one before it kept, and
 returns the columns of documents; the last returns the packed pieces. Between stages the
 rows are written as Parquet into the cluster's shared folder and read again.
+
+Defined results: null and empty texts go through as the stages' operators say (the quality
+stage scores them like any text; copies of them are one text; nothing repeats in them; each
+is packed as its end id alone); rows with null ids are kept apart from all others by the
+near-copy stage; of repeated rows one stays; extra columns are passed on up to the packing,
+whatever their names; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -48,5 +54,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = common.saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with common.scratch(spark):  # what a stage wrote on its way goes with it
+            docs = common.saved(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs

@@ -52,11 +52,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, *, keep: bool = False) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage is cut,
-    lost executors cost nothing that came before, and later passes do not recompute."""
+    lost executors cost nothing that came before, and later passes do not recompute.
+    keep: not among the tables that scratch() deletes."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if keep and _scopes:
+        _scopes[-1].remove(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -12,7 +12,10 @@ stepping back along the second term's gradient while that term is below zero. At
 text is scored whole, in Spark tasks.
 
 Defined results: empty and null texts have all statistics zero and are scored like any
-text; without positives every score is the prior (0 where there are no labels).
+text; without positives every score is the prior (0 where there are no labels); a null id is
+never held out and not learned from; repeated rows are scored alike and, where sampled, count
+each; the columns of the input are passed on beside the score, whose name is a parameter;
+empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -113,6 +116,7 @@ def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: int = SAMPLE) -> tuple:
     """labels: the rows that may be learned from. Returns (centre, spread, weights) or, without positives, a constant score."""
+    common.bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label).isNotNull()).agg(F.avg(F.col(label).cast("double")).alias("prior")).first()
     prior = float(known.prior or 0.0)
     chosen = sample_rows(docs, labels.filter(F.col(label) == 1), label, sample).select("text")
@@ -126,6 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample:
 
 def scored(docs: DataFrame, model: tuple, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """docs with a score column."""
+    common.bounded_batches(docs.sparkSession)
 
     def score(texts: pd.Series) -> pd.Series:
         if len(model) == 1:

@@ -7,8 +7,8 @@ is Zipf's law for its rank, -log(1 + rank), in whole units of 1 / `UNITS`, whose
 exact in any order. Ids are therefore those of the best-scoring path, not of byte-pair merges.
 
 Best paths must break where no piece crosses: before a space that follows another character,
-and around characters that no longer piece holds. Words between such breaks are solved once
-and remembered. A giant text is split into chunks of `CHUNK` characters wherever they fall;
+and around characters that no longer piece holds. Words between such breaks are solved many
+at a time, by the tokenizer library's search over the same scores, and remembered. A giant text is split into chunks of `CHUNK` characters wherever they fall;
 the state at a cut is how many characters of the piece across it lie before the cut. Each
 chunk yields, on its own, the matrix of best scores from every state at its start to every
 state at its end. The matrices are combined associatively by max-plus products, first in
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,9 +40,10 @@ from .memo import worker_memory
 
 SPACE = "▁"
 CHUNK = 1 << 15
-WORDS_KEPT = 250_000
-#: Rows that a task encodes before it passes them on.
-ROWS = 500
+WORDS_KEPT = 350_000
+#: Rows whose words are looked up together, and words that are solved together.
+ROWS, TOGETHER = 100, 5000
+NOT_KNOWN = 0xFFFFFFFF
 NOWHERE = float("-inf")
 UNITS = 1 << 16
 #: Chunks whose matrices are combined together.
@@ -54,6 +56,7 @@ class Pieces:
     """Vocabulary with scores, and the best path of any stretch of normalised text."""
 
     def __init__(self, path: str | None = None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
 
         if path is None:
@@ -79,8 +82,18 @@ class Pieces:
                 score_of[i] = score
             for b, i in bytes_at.items():
                 score_of[i] = 0.0 if b & 0xC0 == 0x80 else unknown  # a character counts once, at its first byte
+            from tokenizers import Tokenizer
+            from tokenizers.models import Unigram
+
+            # the same scores for the library's search over many words; its first entry stands for characters that no piece has
+            names = sorted(known, key=lambda p: known[p][0])
+            memory["fast"] = Tokenizer(Unigram([("\ufffe", unknown + 10), *[(p, known[p][1]) for p in names]], unk_id=0, byte_fallback=False))
+            memory["back"] = np.array([NOT_KNOWN, *[known[p][0] for p in names]], "<u4")
+            memory["mark"] = next(p for p in names if len(p) == 1 and p not in joined and p != SPACE and p > "\u3000")
             memory["made"] = known, table, shown, bytes_at, {i: b for b, i in bytes_at.items()}, text_of, joined, max(map(len, known)), unknown, score_of
         self.known, self.table, self.shown, self.bytes_at, self.byte_of, self.text_of, self.joined, self.longest, self.unknown, self.score_of = memory["made"]
+        self.fast, self.back, self.mark = memory["fast"], memory["back"], memory["mark"]
+        self.mark_id = self.known[self.mark][0]
         self.starts: dict[str, bytes] = memory.setdefault("after a space", {})
         self.bare: dict[str, bytes] = memory.setdefault("bare", {})
 
@@ -119,39 +132,65 @@ class Pieces:
     def word(self, s: str) -> bytes:
         return np.array(self.between(s, 0, len(s))[0], "<u4").tobytes()
 
+    def solve(self, parts: list[str]) -> list[bytes]:
+        """Ids of normalised strings of which none depends on another, many at a time: the vocabulary's Viterbi search over them all, set apart by a character that breaks every path."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at : at + TOGETHER]
+            ids = self.back[np.array(self.fast.encode(self.mark + self.mark.join(some), add_special_tokens=False).ids)]
+            edge = np.flatnonzero(ids == self.mark_id)
+            if len(edge) != len(some):  # one of them holds the mark itself
+                out += map(self.word, some)
+                continue
+            raw = ids.tobytes()
+            found = [raw[a + 4 : b] for a, b in zip((edge * 4).tolist(), [*(edge[1:] * 4).tolist(), len(raw)], strict=True)]
+            for k in np.unique(np.searchsorted(edge, np.flatnonzero(ids == NOT_KNOWN)) - 1).tolist():
+                found[k] = self.word(some[k])  # with byte pieces
+            out += found
+        return out
+
+    def learn(self, memo: dict[str, bytes], words: set[str], before: str) -> None:
+        """Put the ids of all of words, each with `before` in front, into the memory."""
+        new = words.difference(memo)
+        if len(memo) + len(new) > WORDS_KEPT:
+            memo.clear()
+            new = words
+        new = list(new)
+        memo.update(zip(new, self.solve([before + w for w in new]), strict=True))
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts, as little-endian 32-bit numbers."""
+        out, plain, after, first = [b""] * len(texts), [], set(), set()
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            if "\n" in self.joined or text[0] == " " or "  " in text or SPACE in text or "\n " in text or " \n" in text:
+                out[k] = self.spelled(SPACE + text.replace(" ", SPACE))
+                continue
+            lines = [line.split(" ") for line in text.split("\n")]
+            plain.append((k, lines))
+            after.update(lines[0])
+            for words in lines[1:]:
+                first.add(words[0])
+                after.update(words[1:])
+        self.learn(self.starts, after, SPACE)
+        self.learn(self.bare, first, "")
+        starts, bare, newline = self.starts, self.bare, self.word("\n") if len(first) else b""
+        for k, lines in plain:
+            ids = list(map(starts.__getitem__, lines[0]))
+            for words in lines[1:]:
+                ids += [newline, bare[words[0]], *map(starts.__getitem__, words[1:])]
+            out[k] = b"".join(ids)
+        return out
+
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text, as little-endian 32-bit numbers."""
-        if not text:
-            return b""
-        starts, bare = self.starts, self.bare
-        if len(starts) + len(bare) > WORDS_KEPT:
-            starts.clear(), bare.clear()
-        if "\n" in self.joined or text[0] == " " or "  " in text or SPACE in text or "\n " in text or " \n" in text:
-            return self.spelled(SPACE + text.replace(" ", SPACE))
-        out, newline = [], None
-        for k, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            if k:
-                if newline is None:
-                    newline = self.word("\n")
-                out.append(newline)
-                if (ids := bare.get(words[0])) is None:
-                    ids = bare[words[0]] = self.word(words[0])
-                out.append(ids)
-                words = words[1:]
-            for w in set(words).difference(starts):
-                starts[w] = self.word(SPACE + w)
-            out.extend(map(starts.__getitem__, words))
-        return b"".join(out)
+        return self.encode_many([text])[0]
 
     def spelled(self, s: str) -> bytes:
         """Ids of normalised text, stretch by stretch."""
-        bare, out = self.bare, []
-        for part in self.stretches(s):
-            if (ids := bare.get(part)) is None:
-                ids = bare[part] = self.word(part)
-            out.append(ids)
-        return b"".join(out)
+        parts = self.stretches(s)
+        self.learn(self.bare, set(parts), "")
+        return b"".join(map(self.bare.__getitem__, parts))
 
     def stretches(self, s: str) -> list[str]:
         """Parts between places that every best path breaks at."""
@@ -291,8 +330,8 @@ def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, spa
         return digested(Pieces(model), ids) if digests else pd.DataFrame({"ids": ids})
 
     def whole(column: pd.Series) -> pd.DataFrame:
-        pieces = Pieces(model)
-        return finished([pieces.encode(t or "") for t in column])
+        pieces, texts = Pieces(model), column.tolist()
+        return finished([ids for at in range(0, len(texts), ROWS) for ids in pieces.encode_many(texts[at : at + ROWS])])
 
     def put_together(column: pd.Series) -> pd.DataFrame:
         return finished([b"".join(x) for x in column])
@@ -329,7 +368,7 @@ def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, spa
     blocks = steps.groupBy("key", "block").applyInPandas(block_product, "key binary, block int, matrix binary")
     ends = blocks.groupBy("key").applyInPandas(states_of_blocks, "key binary, block int, enter int, leave int")
     cuts = steps.join(ends, ["key", "block"]).groupBy("key", "block").applyInPandas(states_of_chunks, "key binary, chunk int, enter int, leave int")
-    met = chunks.join(cuts, ["key", "chunk"]).repartition(parts, "key", "chunk")
+    met = chunks.join(cuts, ["key", "chunk"]).repartition(parts, F.xxhash64("key", "chunk"))  # by other keys than the join's, else it is left out
     traced = met.mapInPandas(trace, "key binary, chunk int, ids binary")
     joined = traced.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"]).alias("parts"))
     joined = joined.select("key", F.pandas_udf(put_together, made)("parts").alias("m"))

@@ -231,7 +231,7 @@ def divided(rows: DataFrame, length: int, group: int) -> tuple[DataFrame, DataFr
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """text_key, spans (of bytes that a repeated string covers, in any order); texts without any are left out."""
     spark = common.bounded_batches(docs.sparkSession)
-    texts = docs.select(text_key(text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(common.text_key(text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

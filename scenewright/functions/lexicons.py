@@ -48,13 +48,17 @@ COMMON_WORDS = [
     "often", "once", "other", "over", "same", "since", "still", "though", "three", "until", "upon", "well", "yet", "ice",
 ]
 
-DEMOGRAPHIC_WORDS = ["african", "english", "englishman", "european", "french", "icelandic", "russians", "danish", "queen", "earth", "orange"]
+DEMOGRAPHIC_WORDS = [
+    "african", "english", "englishman", "european", "french", "icelandic", "icelanders", "russians", "danish", "makololos", "makololo",
+    "bochjesmen", "queen", "earth", "orange", "reykjawik", "sneffels", "mother",
+]
 
 ROLE_WORDS = [
-    "river", "mount", "mountain", "lake", "ocean", "sea", "island", "colony", "republic", "government", "commission",
-    "observatory", "institution", "post", "world", "cape", "port", "town", "city", "village", "forest", "valley", "country",
-    "empire", "kingdom", "company", "society", "school", "university", "museum", "academy", "station", "road", "falls", "gulf",
-    "desert", "coast", "shore", "bay", "peninsula", "expedition", "party", "tribe", "people",
+    "river", "rivers", "mount", "mountain", "mountains", "lake", "ocean", "sea", "island", "islands", "colony", "republic", "government",
+    "commission", "observatory", "institution", "post", "world", "africa", "hope", "zambesi", "cape", "port", "town", "city", "village",
+    "forest", "valley", "country", "countrymen", "empire", "kingdom", "company", "society", "school", "university", "museum", "academy",
+    "station", "road", "roads", "falls", "fall", "gulfs", "gulf", "desert", "coast", "shore", "bay", "peninsula", "expedition", "party",
+    "tribe", "people", "new", "zealand", "atlantic", "balearic", "central", "subterranean",
 ]
 
 SEMANTIC_BLOCK_WORDS = [
@@ -87,11 +91,14 @@ EXPRESSION = "(?:smiling|smiled|laughing|laughed|angry|furious|frightened|afraid
 DEGREE = "(?:very|quite|rather|extremely|remarkably|slightly)"
 MEASURE = r"\d+\s*(?:feet|foot|ft|inches|inch|in|metres|meters|m|cm)"
 
+MANNERISM_VERBS = "(?:walked|walks|spoke|speaks|looked|looks|kept|keeps|took|takes|carried|carries|held|holds|stood|stands|went|goes|sat|sits|smoked|smokes|laughed|laughs|smiled|smiles|watched|watches|hunted|hunts|travelled|traveled|travel|rode|rides|remained|remains|returned|returns|followed|follows|guarded|guards|observed|observes|examined|examines|congratulated|congratulates|yielded|yields|preferred|prefers|used|uses)"
+
 #: (category, attribute, pattern with {name} for the quoted name, group, method); the first match of an attribute wins.
 FACT_RULES = [
     ("appearance", "build", rf"\b{{name}}\b[^,;:!?]{{{{0,100}}}}\b(?:was|were|is|are|looked|appeared|seemed|stood)\s+(?:to be\s+)?((?:{DEGREE})?\s*{BUILD})\b", 1, "character_subject_build"),
     ("appearance", "build", rf"\b((?:{DEGREE})?\s*{BUILD})\s+(?:man|woman|person|figure|fellow|hunter|astronomer|colonel|professor|doctor)\b[^,;:!?]{{{{0,100}}}}\b{{name}}\b", 1, "character_subject_build"),
     ("appearance", "height", rf"\b{{name}}\b[^,;:!?]{{{{0,100}}}}\b(?:was|were|stood|measured)\s+(?:about|nearly|approximately)?\s*({MEASURE})\b", 1, "character_subject_height"),
+    ("appearance", "height", rf"\b({MEASURE})\s+(?:high|tall)\b[^,;:!?]{{{{0,100}}}}\b(?:man|woman|person|figure)\b[^,;:!?]{{{{0,100}}}}\b{{name}}\b", 1, "character_subject_height"),
     ("appearance", "hair", rf"\b{{name}}\b[^.;!?]{{{{0,100}}}}\b({HAIR}\s+(?:hair|locks|tresses))\b", 1, "character_subject_hair"),
     ("appearance", "hair", rf"\b({HAIR}\s+(?:hair|locks|tresses))\b[^.;!?]{{{{0,100}}}}\b{{name}}\b", 1, "character_subject_hair"),
     ("appearance", "facial_hair", r"\b{name}\b[^.;!?]{{0,100}}\b((?:long|short|full|thick|heavy|bushy|black|brown|grey|gray|white|red)?\s*(?:beard|moustache|mustache|whiskers))\b", 1, "character_subject_facial_hair"),
@@ -101,7 +108,7 @@ FACT_RULES = [
     ("clothing", "clothing", r"\b(?:wearing|wore|dressed in|clad in|attired in)\s+([^.;!?]{{3,100}})", 1, "character_subject_clothing"),
     ("expression", "expression", rf"\b({EXPRESSION})\b[^.;!?]{{{{0,45}}}}\b(?:face|features|countenance|expression|look|air|manner)\b", 1, "character_subject_expression"),
     ("expression", "expression", rf"\b(?:face|features|countenance|expression|look|air|manner)\b[^.;!?]{{{{0,45}}}}\b({EXPRESSION})\b", 1, "character_subject_expression"),
-    ("mannerism", "mannerism", r"\b((?:always|often|usually|habitually|constantly)\b[^.;!?]{{0,100}}\b(?:walked|spoke|looked|kept|carried|held|stood|sat|smoked|laughed|smiled|watched|rode|remained|followed|observed|used)\b[^.;!?]{{0,80}})", 1, "source_mannerism_local"),
+    ("mannerism", "mannerism", rf"\b((?:always|often|usually|habitually|constantly)\b[^.;!?]{{{{0,100}}}}\b{MANNERISM_VERBS}\b[^.;!?]{{{{0,80}}}})", 1, "source_mannerism_local"),
     ("appearance", "distinctive_mark", r"\b((?:scars?|birthmark|tattoo)[^.;!?]{{0,80}})", 1, "character_subject_mark"),
 ]
 

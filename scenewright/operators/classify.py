@@ -22,8 +22,10 @@ def classify_documents(texts: DataFrame, lexicon: DataFrame | None = None, *, id
     if "position" not in lexicon.columns:
         lexicon = lexicon.withColumn("position", F.lit(0))
     low = F.lower(F.regexp_replace(text_col, r"\s+", " "))
-    inside = F.regexp_like("__low", F.concat(F.lit(r"\b\Q"), "phrase", F.lit(r"\E\b"))) if word_boundary else F.contains("__low", "phrase")
-    hits = texts.select(id_col, low.alias("__low")).crossJoin(F.broadcast(lexicon)).filter(inside)
+    # the lexicon is one row, looked through inside each text's row, so that no text is repeated for a phrase
+    held = lexicon.agg(F.collect_list(F.struct("dimension", "label", "phrase", "weight", "position")).alias("__lexicon"))
+    inside = (lambda p: F.regexp_like("__low", F.concat(F.lit(r"\b\Q"), p["phrase"], F.lit(r"\E\b")))) if word_boundary else (lambda p: F.contains("__low", p["phrase"]))
+    hits = texts.select(id_col, low.alias("__low")).crossJoin(held).select(id_col, F.explode(F.filter("__lexicon", inside)).alias("__hit")).select(id_col, "__hit.*")
     hits = hits.groupBy(id_col, "dimension", "label", "phrase").agg(F.first("weight").alias("weight"), F.min("position").alias("position"))
     scored = hits.groupBy(id_col, "dimension", "label").agg(
         F.sum("weight").alias("score"), F.min("position").alias("position"),

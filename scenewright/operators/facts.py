@@ -23,6 +23,9 @@ def clauses(named: DataFrame, radius: int = 220) -> DataFrame:
     return cut.filter((F.col("clause") != "") & F.regexp_like("clause", F.concat(F.lit(r"(?i)\b"), quoted(F.col("name")), F.lit(r"\b"))))
 
 
+OUTSIDE = ("eyes", "complexion", "face")
+
+
 def visual_facts(characters: DataFrame, members: DataFrame, mentions: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     """profile_id, category, attribute, value, scene_id, evidence, confidence, method: what clauses say of the character they name.
 
@@ -41,6 +44,9 @@ def visual_facts(characters: DataFrame, members: DataFrame, mentions: DataFrame,
             whole += [q, F.lit(p)]
         value = F.btrim(F.call_function("regexp_extract", F.col("clause"), F.concat(*whole), F.lit(group)), F.lit(" \t\r\n,.;:!?\"'()[]"))
         value = F.substring(F.regexp_replace(value, r"\s+", " "), 1, 300)
+        if attribute in OUTSIDE:  # the name must stand beside the hit, not in it
+            rest = F.replace(F.lower("clause"), F.lower(value), F.lit(" "))
+            value = F.when((value != "") & F.regexp_like(rest, F.concat(F.lit(r"(?i)\b"), q, F.lit(r"\b"))), value).otherwise("")
         hits.append(F.struct(F.lit(rank).alias("rank"), F.lit(category).alias("category"), F.lit(attribute).alias("attribute"), value.alias("value"), F.lit(method).alias("method")))
     found = said.withColumn("h", F.explode(F.filter(F.array(*hits), lambda h: h["value"] != "")))
     keys = ["document_id", "profile_id", "scene_id", "clause"]

@@ -182,19 +182,20 @@ def plausible_sections(sections: DataFrame) -> DataFrame:
     return sections.filter(F.col("title").rlike(r"\p{L}") & ~F.col("title").rlike(r"^[\s$€£\d.,]+$"))
 
 
-def lines_of(pages: DataFrame) -> DataFrame:
-    return pages.select(*PAGE, F.posexplode(F.split("text", r"\r?\n")).alias("line_idx", "line")).withColumn("line", F.btrim("line"))
+def lines_of(pages: DataFrame, *kept: Column) -> DataFrame:
+    return pages.select(*PAGE, *kept, F.posexplode(F.split("text", r"\r?\n")).alias("line_idx", "line")).withColumn("line", F.btrim("line"))
 
 
 def line_headings(pages: DataFrame, *, keywords: list[str] | None = None) -> DataFrame:
-    """Lines with heading signals: keyword 4, numbered 2, roman numeral 2, short title 0.5; 2 and more stay."""
+    """Lines with heading signals: keyword 4, numbered 2, roman numeral 2, short title 0.5, a scan confidence of 0.9 and more 0.5 (where pages have a column `confidence`); 2 and more stay."""
     words = [*(keywords or L.HEADING_KEYWORDS), *([] if keywords else ["introduction", "conclusion"])]
-    lines = lines_of(pages).filter("line <> ''")
+    scanned = F.coalesce(F.col("confidence") >= 0.9, F.lit(False)) if "confidence" in pages.columns else F.lit(False)
+    lines = lines_of(pages, scanned.alias("scanned")).filter("line <> ''")
     parts = F.split(F.lower("line"), r"\s+")
     keyword, numbered, roman = F.arrays_overlap(parts, F.array(*[F.lit(w) for w in words])), F.col("line").rlike(r"^\d{1,4}[.):]?(?:\s+\S.*)?$"), F.col("line").rlike(ROMAN)
     short = (F.size(parts) <= 8) & F.col("line").rlike(r"^\p{Lu}") & ~F.col("line").rlike("[.!?,;]$")
-    score = F.when(keyword, 4.0).otherwise(0.0) + F.when(numbered, 2.0).otherwise(0.0) + F.when(roman, 2.0).otherwise(0.0) + F.when(short, 0.5).otherwise(0.0)
-    why = F.array_compact(F.array(F.when(keyword, F.lit("heading-keyword")), F.when(numbered, F.lit("numbered-heading")), F.when(roman, F.lit("roman-number")), F.when(short, F.lit("short-title"))))
+    score = F.when(keyword, 4.0).otherwise(0.0) + F.when(numbered, 2.0).otherwise(0.0) + F.when(roman, 2.0).otherwise(0.0) + F.when(short, 0.5).otherwise(0.0) + F.when(F.col("scanned"), 0.5).otherwise(0.0)
+    why = F.array_compact(F.array(F.when(keyword, F.lit("heading-keyword")), F.when(numbered, F.lit("numbered-heading")), F.when(roman, F.lit("roman-number")), F.when(short, F.lit("short-title")), F.when(F.col("scanned"), F.lit("clear-scan"))))
     return lines.select(*PAGE, "line_idx", "line", score.alias("score"), why.alias("reasons")).filter("score >= 2")
 
 

@@ -101,26 +101,17 @@ def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], capacities: list[
     return segments
 
 
-def with_row_numbers(docs: DataFrame, number: str = "__row") -> DataFrame:
-    """docs, written once with a number for each row, so that null and repeated ids can be told apart."""
-    return common.saved(docs.withColumn(number, F.monotonically_increasing_id()), "shard-rows")
-
-
-def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", number: str | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, law, shard, slot, grown_shard for every row of docs; and the column `number`, if named."""
+def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id, size, text_crc32, old_shard, law, shard, slot, grown_shard for every row of docs; with carry also its text, as `text`."""
     spark = docs.sparkSession
-    sized = docs.select(
+    base = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(common.text_or_empty(text_col).cast("binary")).alias("text_crc32"),
         old_shard.cast("int").alias("old_shard"),
-        *([number] if number else []),
-    )
-    base = common.saved(
-        sized.withColumn("size_class", F.floor(F.log2("size") * 4).cast("int"))
-        .withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SUBS)).cast("int")),
-        "shard-sizes",
+        *([F.col(text_col).alias("text")] if carry else []),
     )
+    base = base.withColumn("size_class", F.floor(F.log2("size") * 4).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SUBS)).cast("int"))
     counted = base.groupBy("old_shard", "size_class", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect()
     blocks: dict[tuple[int, int], list[int]] = defaultdict(lambda: [0, 0])
     starts = []
@@ -139,14 +130,14 @@ def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str
     start_type = "old_shard int, size_class int, part int, start long"
     segment_type = "old_shard int, size_class int, lo long, hi long, shard int, slot_base long"
     ranked = (
-        base.withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32", *([number] if number else []))))
+        base.withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32", *(["text"] if carry else []))))
         .join(F.broadcast(spark.createDataFrame(starts, start_type)), ["old_shard", "size_class", "part"])
         .withColumn("rank", F.col("start") + F.col("n") - 1)
     )
     placed = ranked.join(F.broadcast(spark.createDataFrame(segments, segment_type)), ["old_shard", "size_class"]).filter("rank >= lo AND rank < hi")
     return placed.select(
         "doc_id", "size", "text_crc32", "old_shard", F.lit("rows").alias("law"), "shard",
-        (F.col("slot_base") + F.col("rank") - F.col("lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *([number] if number else []),
+        (F.col("slot_base") + F.col("rank") - F.col("lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *(["text"] if carry else []),
     )
 
 
@@ -156,17 +147,16 @@ def affected(placed: DataFrame) -> list[int]:
     return sorted(r.shard for r in moved.collect())  # shard numbers only
 
 
-def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, *, number: str = "__row", rows_a_file: int = 50_000) -> list[int]:
+def rewrite_affected(placed: DataFrame, path: str) -> list[int]:
     """Write the files of those shards that gain or lose rows, a folder shard=N for each, into path; returns their numbers.
 
-    docs and placed share the row numbers of `with_row_numbers`, so rows with null or repeated
-    ids are kept like any other. Folders of other shards in path stay as they are; an old
-    shard beyond the new ones is not written, its folder is left to the caller.
+    placed: what reshard() gives with carry=True; the rows go with their places, so null and
+    repeated ids are kept like any other, and no join is needed. Folders of other shards in
+    path stay as they are; path must not be where the documents are read from; an old shard
+    beyond the new ones is not written, its folder is left to the caller.
     """
     touched = affected(placed)
-    found = placed.filter(F.col("shard").isin(touched or [-1])).select(F.col(number).alias("__placed"), "shard", "slot")
-    rows = docs.join(found, F.col(number) == F.col("__placed")).drop("__placed", number)
-    rows = rows.repartition("shard", F.floor(F.col("slot") / rows_a_file))
+    rows = placed.filter(F.col("shard").isin(touched or [-1])).select("doc_id", "text", "slot", "shard")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
     return touched
 
@@ -176,13 +166,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The affected shards are rewritten, and their rows are returned as read back from the files.
     """
-    docs = with_row_numbers(common.documents(spark, sf_dir).select("doc_id", "text", "source"))
     old = F.pmod(F.xxhash64(F.coalesce(F.col("source"), F.lit(""))), F.lit(16))
-    placed = common.saved(reshard(docs, old_shard=old, number="__row"), "shard-places")
+    placed = reshard(common.documents(spark, sf_dir), old_shard=old, carry=True)
     path = common.new_path(spark, "shard-files")
-    touched = rewrite_affected(docs.drop("source"), placed, path)
+    touched = rewrite_affected(placed, path)
     stay = placed.filter(~F.col("shard").isin(touched or [-1])).select("doc_id", "size", "text_crc32", "shard", "slot")
-    files = spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path) if touched else docs.limit(0).select(F.col("doc_id"), "text", F.lit(0).cast("long").alias("slot"), F.lit(0).alias("shard"))
-    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    read = files.select("doc_id", size.alias("size"), F.crc32(common.text_or_empty("text").cast("binary")).alias("text_crc32"), "shard", "slot")
-    return stay.unionByName(read).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    if touched:
+        files = spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path)
+        size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+        read = files.select("doc_id", size.alias("size"), F.crc32(common.text_or_empty("text").cast("binary")).alias("text_crc32"), "shard", "slot")
+        stay = read.unionByName(stay) if len(touched) < 16 else read
+    return stay.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

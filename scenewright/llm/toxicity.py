@@ -69,8 +69,9 @@ def constant(share: float) -> tuple[np.ndarray, np.ndarray, float]:
 
 def fit(bits: np.ndarray, y: np.ndarray, ratio: np.ndarray, *, steps: int = 120, penalty: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and intercept from rows x grams of presences, by gradients over all rows."""
-    x = bits * ratio.astype(np.float32)
-    x /= np.sqrt((x * x).sum(1, keepdims=True)) + np.float32(1e-9)
+    x = bits.astype(np.float32)
+    x *= ratio.astype(np.float32)
+    x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None] + np.float32(1e-9)
     w, bias = np.zeros(len(ratio)), np.log(y.mean() / (1 - y.mean()))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
@@ -132,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: i
 
     found = rows.mapInPandas(present, "label int, bits binary").collect()
     bits = np.unpackbits(np.frombuffer(b"".join(bytes(r.bits) for r in found), np.uint8).reshape(len(found), -1), axis=1)[:, : len(kept)]
-    w, bias = fit(bits.astype(np.float32), np.array([r.label != 0 for r in found], np.float64), ratio)
+    w, bias = fit(bits, np.array([r.label != 0 for r in found], np.float64), ratio)
     ratios, weights = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
     ratios[kept], weights[kept] = ratio, w
     return ratios, weights, bias

@@ -201,11 +201,21 @@ CANONICAL_ID_MAP = """WITH l AS (SELECT l_orderkey, l_suppkey, row_number() OVER
 e AS (SELECT l_orderkey AS scene_id, s_nationkey AS n, min(i) AS k FROM l JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal > 0 GROUP BY 1, 2)
 SELECT scene_id, string_agg(CAST(n AS VARCHAR), ',' ORDER BY k) AS canonical_ids FROM e GROUP BY 1"""
 
+_DIGITS = {1000: ["", "M", "MM", "MMM"], 100: ["", "C", "CC", "CCC", "CD", "D", "DC", "DCC", "DCCC", "CM"], 10: ["", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC"], 1: ["", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"]}
+_NUMERAL = " || ".join(f"[{listed(w)}][CAST((v // {k}) % 10 AS INTEGER) + 1]" for k, w in _DIGITS.items())
+_VARIANTS = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in lexicons.NUMERAL_VARIANTS.items()) + "}"
+NUMERAL_TOKENS = f"""WITH tk AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[IVXLCDMKYGO]+')) AS original FROM documents), rn AS (SELECT {_NUMERAL} AS t FROM range(1, 4000) r(v)),
+m AS (SELECT original, t, list_transform(range(1, length(original) + 1), lambda i: CASE WHEN original[i] = t[i] THEN 0 ELSE nullif(strpos(coalesce({_VARIANTS}[original[i]], ''), t[i]), 0) END) AS ix
+  FROM tk JOIN rn ON length(t) = length(original) WHERE NOT regexp_matches(original, '{structure.CANONICAL}') AND length(original) <= 12),
+k AS (SELECT *, len(list_filter(ix, lambda x: x > 0)) AS n FROM m WHERE len(list_filter(ix, lambda x: x IS NULL)) = 0), b AS (SELECT *, row_number() OVER (PARTITION BY original ORDER BY n, ix) AS r FROM k)
+SELECT original, original AS normalized, false AS changed, 1.0::DOUBLE AS confidence FROM tk WHERE regexp_matches(original, '{structure.CANONICAL}')
+UNION ALL SELECT original, t, true, round(1 - 0.5::DOUBLE * n / length(original), 6) FROM b WHERE r = 1"""
+
 ORACLES = {
     "plan_prompts": PLAN_PROMPTS, "plan_quality": PLAN_QUALITY, "plan_audit": PLAN_AUDIT, "fact_distribution": FACT_DISTRIBUTION, "audit_readiness": AUDIT_READINESS, "audit_samples": AUDIT_SAMPLES, "release_checks": RELEASE_CHECKS,
     "scene_assembly": SCENE_ASSEMBLY, "clean_openings": CLEAN_OPENINGS, "first_words": FIRST_WORDS, "unquoted_texts": UNQUOTED_TEXTS, "paragraphs": PARAGRAPHS, "dialogue_ranked": DIALOGUE_RANKED,
     "inferred_attributes": INFERRED, "titled_merge": TITLED_MERGE, "place_mentions": PLACE_MENTIONS, "canonical_id_map": CANONICAL_ID_MAP,
     "evidence_labels": EVIDENCE_LABELS, "visual_entity_validation": VISUAL_ENTITIES, "scene_page_ranges": SCENE_PAGE_RANGES, "presence": PRESENCE, "directions": DIRECTIONS,
     "dialogue_lines": DIALOGUE_LINES, "line_heading_scores": LINE_HEADINGS, "audit_report": AUDIT_REPORT, "stream_state_changes": STREAM_STATE_CHANGES, "stream_stale_jobs": STREAM_STALE_JOBS,
-    "csv_rows": CSV_ROWS, "prompts_by_mode": PROMPTS_BY_MODE, "package_quality": PACKAGE_QUALITY,
+    "csv_rows": CSV_ROWS, "numeral_tokens": NUMERAL_TOKENS, "prompts_by_mode": PROMPTS_BY_MODE, "package_quality": PACKAGE_QUALITY,
 }

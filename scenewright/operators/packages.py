@@ -58,12 +58,20 @@ def moments(scenes: DataFrame, events: DataFrame | None = None, names: DataFrame
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def presence(names: DataFrame, events: DataFrame, contexts: DataFrame, *, keys: list[str]) -> DataFrame:
-    """keys, canonical_name, visible: an event, else a context, that names the character has a word of action or presence."""
+def presence(names: DataFrame, events: DataFrame, contexts: DataFrame, *, keys: list[str], visible: int | None = None, referenced: int | None = None) -> DataFrame:
+    """keys, canonical_name, visible: an event, else a context, that names the character has a word of action or presence.
+
+    visible and referenced: how many names of a scene are listed of either kind, in order of the name (all by default).
+    """
     told = events.select(*keys, F.col("text").alias("t")).unionByName(contexts.select(*keys, F.col("context").alias("t")))
     met = names.join(told, keys, "left")
     seen = F.contains(F.lower("t"), F.lower("canonical_name")) & (has("t", L.ACTION) | has("t", L.PRESENCE))
-    return met.groupBy(*keys, "canonical_name").agg(F.bool_or(F.coalesce(seen, F.lit(False))).alias("visible"))
+    out = met.groupBy(*keys, "canonical_name").agg(F.bool_or(F.coalesce(seen, F.lit(False))).alias("visible"))
+    if visible is None and referenced is None:
+        return out
+    place = F.row_number().over(Window.partitionBy(*keys, "visible").orderBy("canonical_name"))
+    most = F.when(F.col("visible"), F.lit(visible)).otherwise(F.lit(referenced))
+    return out.withColumn("__place", place).filter(most.isNull() | (F.col("__place") <= most)).drop("__place")
 
 
 def direction(c: Column, has_dialogue: Column, has_characters: Column) -> Column:

@@ -135,6 +135,15 @@ def place_mentions(spark, sf_dir):
     return said.select(F.col("scene_order").alias("doc_id"), "entity_type", "canonical_name", "confidence")
 
 
+def presence_lists(spark, sf_dir):
+    """At most 6 visible and 8 other names of a document, by its text as an event and by the names' contexts."""
+    said = books.name_mentions(spark, sf_dir)
+    keys = ["scene_order"]
+    events = books.page_scenes(spark, sf_dir).select("scene_order", "text")
+    out = packages.presence(said.select(*keys, "canonical_name").distinct(), events, said.select(*keys, "context"), keys=keys, visible=6, referenced=8)
+    return out.select(F.col("scene_order").alias("doc_id"), "canonical_name", "visible")
+
+
 def canonical_id_map(spark, sf_dir):
     """Suppliers of each order's lines, in order, as their nations; suppliers without balance are unmapped."""
     lines = tables.read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("scene_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("l"))
@@ -145,5 +154,5 @@ def canonical_id_map(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     plan_prompts, plan_quality, plan_audit, fact_distribution, audit_readiness, audit_samples, release_checks, scene_assembly, clean_openings, first_words, unquoted_texts,
-    paragraphs, dialogue_ranked, inferred_attributes, titled_merge, place_mentions, canonical_id_map,
+    paragraphs, dialogue_ranked, inferred_attributes, titled_merge, place_mentions, presence_lists, canonical_id_map,
 )}

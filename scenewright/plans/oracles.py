@@ -67,6 +67,12 @@ SELECT n.source AS document_id, n.doc_id, n.name AS canonical_name,
   bool_or(contains(lower(t.context), lower(n.name)) AND (regexp_matches(t.context, '{bounded_sql(lexicons.ACTION)}') OR regexp_matches(t.context, '{bounded_sql(lexicons.PRESENCE)}'))) AS visible
 FROM m n JOIN m t ON t.doc_id = n.doc_id GROUP BY 1, 2, 3"""
 
+PRESENCE_LISTS = f"""WITH {_AT}, t_ AS (SELECT doc_id, context AS t FROM m UNION ALL SELECT doc_id, text FROM documents),
+w AS (SELECT *, regexp_matches(t, '{bounded_sql(lexicons.ACTION)}') OR regexp_matches(t, '{bounded_sql(lexicons.PRESENCE)}') AS acts FROM t_),
+v AS (SELECT n.doc_id, n.name, bool_or(contains(lower(w.t), lower(n.name)) AND w.acts) AS visible FROM m n JOIN w ON w.doc_id = n.doc_id GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, visible ORDER BY name) AS k FROM v)
+SELECT doc_id, name AS canonical_name, visible FROM r WHERE k <= CASE WHEN visible THEN 6 ELSE 8 END"""
+
 DIRECTIONS = f"""SELECT doc_id, CASE WHEN regexp_matches(text, '{bounded_sql(lexicons.DESTRUCTION)}') THEN 'destruction' WHEN regexp_matches(text, '{bounded_sql(lexicons.COMBAT)}') THEN 'combat' WHEN regexp_matches(text, '{bounded_sql(lexicons.TRAVEL)}') THEN 'travel'
   WHEN contains(text, '"') THEN 'dialogue' WHEN regexp_matches(text, '[A-Z][a-z]{{3,}}') THEN 'characters' ELSE 'default' END AS direction FROM documents"""
 
@@ -215,7 +221,7 @@ ORACLES = {
     "plan_prompts": PLAN_PROMPTS, "plan_quality": PLAN_QUALITY, "plan_audit": PLAN_AUDIT, "fact_distribution": FACT_DISTRIBUTION, "audit_readiness": AUDIT_READINESS, "audit_samples": AUDIT_SAMPLES, "release_checks": RELEASE_CHECKS,
     "scene_assembly": SCENE_ASSEMBLY, "clean_openings": CLEAN_OPENINGS, "first_words": FIRST_WORDS, "unquoted_texts": UNQUOTED_TEXTS, "paragraphs": PARAGRAPHS, "dialogue_ranked": DIALOGUE_RANKED,
     "inferred_attributes": INFERRED, "titled_merge": TITLED_MERGE, "place_mentions": PLACE_MENTIONS, "canonical_id_map": CANONICAL_ID_MAP,
-    "evidence_labels": EVIDENCE_LABELS, "visual_entity_validation": VISUAL_ENTITIES, "scene_page_ranges": SCENE_PAGE_RANGES, "presence": PRESENCE, "directions": DIRECTIONS,
+    "evidence_labels": EVIDENCE_LABELS, "visual_entity_validation": VISUAL_ENTITIES, "scene_page_ranges": SCENE_PAGE_RANGES, "presence": PRESENCE, "presence_lists": PRESENCE_LISTS, "directions": DIRECTIONS,
     "dialogue_lines": DIALOGUE_LINES, "line_heading_scores": LINE_HEADINGS, "audit_report": AUDIT_REPORT, "stream_state_changes": STREAM_STATE_CHANGES, "stream_stale_jobs": STREAM_STALE_JOBS,
     "csv_rows": CSV_ROWS, "numeral_tokens": NUMERAL_TOKENS, "prompts_by_mode": PROMPTS_BY_MODE, "package_quality": PACKAGE_QUALITY,
 }

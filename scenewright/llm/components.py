@@ -32,10 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
         hooks = common.saved(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "hooks")
         while True:
             longer = Observation()
-            twice = jumped(jumped(hooks)).withColumnRenamed("label", "far")
-            roots = hooks.join(twice, "node").observe(longer, F.count_if(F.col("far") < F.col("label")).alias("n"))
-            hooks = common.saved(roots.select("node", F.col("far").alias("label")), "hooks")
-            if not longer.get["n"]:
+            further = hooks.select(F.col("node").alias("label"), F.lit(True).alias("hooked"))
+            far = jumped(jumped(hooks)).join(further, "label", "left").observe(longer, F.count("hooked").alias("n"))
+            hooks = common.saved(far.select("node", "label"), "hooks")
+            if not longer.get["n"]:  # all labels are roots
                 break
         rounds.append(hooks)
         ends = left

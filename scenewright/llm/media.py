@@ -7,7 +7,10 @@ byte ranges of the keyframes. It never decodes a payload; sample bytes are only
 
 Spark cuts the rows into tasks and streams Arrow batches through them; a task holds one
 batch. Defined results: null bytes, bytes that are no container and truncated boxes give a
-row with `error` set and nulls elsewhere; a null text is an empty one, stored as 64 zeros.
+row with `error` set and nulls elsewhere; a null text is an empty one, stored as 64 zeros;
+null ids and repeated rows are rows like any other; empty tables give no rows; of the input's
+columns only the id and the bytes or text are read. Where a file has several tracks, the first
+with samples is described; samples of fragments (`moof`) are not decoded, and `error` says so.
 """
 
 from __future__ import annotations
@@ -116,12 +119,14 @@ def numbers(data: memoryview, start: int, end: int, count: int, width: int, kind
 
 def read_tracks(data: bytes) -> list[dict]:
     """codec, handler, timescale, duration, and each sample's offset, size and sync mark, by track."""
-    view, tracks = memoryview(data), []
+    view, tracks, fragments = memoryview(data), [], False
     u32 = lambda at: struct.unpack_from(">I", view, at)[0]
     for path, a, b in walk(view, 0, len(view)):
         kind = path[-1]
         if kind == b"trak":
             tracks.append({})
+        elif kind == b"moof":
+            fragments = True
         elif not tracks or b"trak" not in path:
             continue
         t = tracks[-1]
@@ -140,9 +145,17 @@ def read_tracks(data: bytes) -> list[dict]:
         elif kind == b"stsz":
             one, n = u32(a + 4), u32(a + 8)
             t["sizes"] = np.full(n, one, np.int64) if one else numbers(view, a + 12, b, n, 1, ">u4")[:, 0]
+        elif kind == b"stz2":
+            bits, n = view[a + 7], u32(a + 8)
+            if bits == 4:
+                pairs = numbers(view, a + 12, b, -(-n // 2), 1, "u1")[:, 0]
+                t["sizes"] = np.stack([pairs >> 4, pairs & 15], 1).ravel()[:n]
+            else:
+                t["sizes"] = numbers(view, a + 12, b, n, 1, "u1" if bits == 8 else ">u2")[:, 0]
         elif kind in (b"stco", b"co64"):
             t["chunks"] = numbers(view, a + 8, b, u32(a + 4), 1, ">u4" if kind == b"stco" else ">u8")[:, 0]
     for t in tracks:
+        t["error"] = "samples of fragments are not decoded" if fragments else None
         sizes, chunks, runs = t.get("sizes", np.zeros(0, np.int64)), t.get("chunks", np.zeros(0, np.int64)), t.get("runs", np.zeros((0, 3), np.int64))
         until = np.append(runs[1:, 0], len(chunks) + 1) if len(runs) else np.zeros(0, np.int64)
         held = np.repeat(runs[:, 1], np.maximum(0, until - runs[:, 0]))[: len(chunks)]
@@ -185,7 +198,7 @@ def describe(data: bytes | None) -> dict:
     except (ValueError, struct.error) as e:
         return out | {"error": str(e), "track": None}
     at, size = t["offsets"][t["keys"]].tolist(), t["sizes"][t["keys"]].tolist()
-    return out | {k: t.get(k) for k in ("codec", "handler", "timescale", "duration")} | {"n_samples": len(t["offsets"]), "n_keyframes": len(at), "keyframes": [{"start": a, "size": s} for a, s in zip(at, size, strict=True)], "track": t}
+    return out | {k: t.get(k) for k in ("codec", "handler", "timescale", "duration", "error")} | {"n_samples": len(t["offsets"]), "n_keyframes": len(at), "keyframes": [{"start": a, "size": s} for a, s in zip(at, size, strict=True)], "track": t}
 
 
 def media_columns(media: DataFrame, *, id_col: str, bytes_col: str) -> DataFrame:

@@ -14,7 +14,7 @@ quarter of a doubling, so 16 old shards and texts up to 1 GB make 16 x 120 x 64
 
 Law `rows`: capacities differ by one row at most. Defined results: a null text has no
 bytes; null ids and repeated rows are rows like any other and get slots of their own; an
-empty table gives no rows.
+empty table gives no rows; of the columns only the id, the text and what `old_shard` names are read.
 """
 
 from __future__ import annotations

@@ -211,6 +211,27 @@ def test_media_round_trip():
         assert media.describe(bad)["error"]
 
 
+def test_compact_sizes_and_fragments():
+    data = media.write_container(bytes(range(128)) * 2)
+    whole = media.describe(data)
+    at = data.index(b"stsz") - 4
+    old = data[at : at + int.from_bytes(data[at : at + 4], "big")]
+    n = int.from_bytes(old[16:20], "big")
+    for bits, body in ((8, bytes([64] * n)), (16, b"\0\x40" * n)):
+        new = media.full(b"stz2", 0, 0, bytes([0, 0, 0, bits]), n.to_bytes(4, "big"), body)
+        sizes = {}
+        for kind in (b"stbl", b"minf", b"mdia", b"trak", b"moov"):
+            k = data.index(kind) - 4
+            sizes[k] = int.from_bytes(data[k : k + 4], "big") + len(new) - len(old)
+        made = bytearray(data)
+        for k, size in sizes.items():
+            made[k : k + 4] = size.to_bytes(4, "big")
+        made = bytes(made).replace(old, new)
+        got = media.describe(made)
+        assert (got["n_samples"], got["error"]) == (whole["n_samples"], None) and media.sample_bytes(made, got["track"]) == bytes(range(128)) * 2
+    assert "fragments" in media.describe(data + media.box(b"moof"))["error"]
+
+
 def test_media_columns(spark, odd, empty):
     stored = media.text_to_media(odd)
     rows = media.media_columns(stored, id_col="doc_id", bytes_col="media").collect()

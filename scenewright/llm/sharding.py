@@ -109,6 +109,7 @@ def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str
         (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(common.text_or_empty(text_col).cast("binary")).alias("text_crc32"),
         old_shard.cast("int").alias("old_shard"),
+        F.xxhash64(F.col(text_col)).alias("tie"),
         *([F.col(text_col).alias("text")] if carry else []),
     )
     base = base.withColumn("size_class", F.floor(F.log2("size") * 4).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SUBS)).cast("int"))
@@ -130,7 +131,7 @@ def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str
     start_type = "old_shard int, size_class int, part int, start long"
     segment_type = "old_shard int, size_class int, lo long, hi long, shard int, slot_base long"
     ranked = (
-        base.withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32", *(["text"] if carry else []))))
+        base.withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32", "tie")))
         .join(F.broadcast(spark.createDataFrame(starts, start_type)), ["old_shard", "size_class", "part"])
         .withColumn("rank", F.col("start") + F.col("n") - 1)
     )

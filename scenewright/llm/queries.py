@@ -1,6 +1,6 @@
 """Queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import exact_dedup, fixity, media, near_dedup, packing, quality, repeats, sentencepieces, sharding, simhash, toxicity
+from . import collocations, exact_dedup, fixity, media, near_dedup, packing, quality, repeats, sentencepieces, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,7 +13,8 @@ QUERIES = {
     "op8_sentencepiece": sentencepieces.op8_sentencepiece,
     "op9_packing": packing.op9_packing,
     "op10_warc_fixity": fixity.op10_warc_fixity,
+    "op11_collocations": collocations.op11_collocations,
     "op13_simhash": simhash.op13_simhash,
 }
 
-ORACLES = {"op6_exact_dedup": exact_dedup.ORACLE, "op10_warc_fixity": fixity.ORACLE}
+ORACLES = {"op6_exact_dedup": exact_dedup.ORACLE, "op10_warc_fixity": fixity.ORACLE, "op11_collocations": collocations.ORACLE}

@@ -1,6 +1,6 @@
 """Queries of this subpackage and, where SQL can say the same, their DuckDB text."""
 
-from . import collocations, exact_dedup, fixity, media, near_dedup, packing, quality, repeats, sentencepieces, sharding, simhash, toxicity
+from . import alignment, collocations, exact_dedup, fixity, media, near_dedup, packing, quality, repeats, sentencepieces, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_warc_fixity": fixity.op10_warc_fixity,
     "op11_collocations": collocations.op11_collocations,
+    "op12_alignment": alignment.op12_alignment,
     "op13_simhash": simhash.op13_simhash,
 }
 

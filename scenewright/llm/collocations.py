@@ -43,8 +43,8 @@ LEAST, SHARE, TOP = 10, 50, 2000
 SHARD, PACK = 1 << 16, 1 << 21
 #: Bits of a filter for each member, and of the largest filter (128 MB).
 BITS_EACH, BITS_MOST = 16, 1 << 30
-#: Words whose phrases are counted together in a task; bytes hashed at once.
-HELD, BLOCK = 1 << 21, 1 << 20
+#: Words whose phrases are counted together in a task; bytes of one language laid together; bytes hashed at once.
+HELD, JOINED, BLOCK = 1 << 20, 1 << 20, 1 << 20
 #: 0: part of a word, 1: blank, 2: ends a piece.
 KIND = np.zeros(256, np.uint8)
 KIND[[0x20, 0x09]] = 1
@@ -79,12 +79,12 @@ def blocks(data: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 class Symbols:
-    """Words of one language as they follow each other: symbols, a second hash, the piece of each, and where their bytes are."""
+    """Words of one language as they follow each other: symbols, the piece of each and, if strings are asked for, a second hash and where their bytes are."""
 
-    def __init__(self, lang: str, seed: int):
+    def __init__(self, lang: str, seed: int, strings: bool):
         self.table, self.other = byte_table(seed), byte_table(seed + 1000)
         self.salt = mixed(np.array([int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "big")], U64) + U64(seed))
-        self.lang, self.size, self.pieces, self.parts = lang, 0, 0, []
+        self.lang, self.strings, self.size, self.pieces, self.parts = lang, strings, 0, 0, []
 
     def add(self, raw: bytes) -> None:
         data = np.frombuffer(raw, np.uint8)
@@ -100,16 +100,17 @@ class Symbols:
                 place = (np.arange(int(length.sum())) - np.repeat(first, length)).astype(U64) * ODD
                 letters = part[inside]
                 symbol = mixed(np.add.reduceat(mixed(self.table[letters] + place), first) ^ self.salt)
-                check = np.add.reduceat((self.other[letters] ^ place) * ODD ^ place, first)
-                self.parts.append((np.maximum(symbol, U64(1)), check, ended[start] + np.int32(self.pieces), start + at, length, raw))
+                check = np.add.reduceat((self.other[letters] ^ place) * ODD ^ place, first) if self.strings else None
+                self.parts.append((np.maximum(symbol, U64(1)), check, ended[start] + np.int32(self.pieces), start + at, length, raw) if self.strings else (np.maximum(symbol, U64(1)), None, ended[start] + np.int32(self.pieces)))
                 self.size += len(start)
             self.pieces += int(ended[-1])
         self.pieces += 1
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int32)
-        return tuple(np.concatenate([p[k] for p in self.parts]) for k in range(3))
+    def array(self, k: int, kind: type = U64) -> np.ndarray:
+        return np.concatenate([np.zeros(0, kind), *(p[k] for p in self.parts)])
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.array(0), self.array(2, np.int32)
 
     def words(self, index: np.ndarray) -> list[bytes]:
         ends = np.cumsum([len(p[0]) for p in self.parts])
@@ -122,18 +123,27 @@ class Symbols:
         return out
 
 
-def held_symbols(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[Symbols]:
+def held_symbols(batches: Iterator[pa.RecordBatch], seed: int, strings: bool = False) -> Iterator[Symbols]:
     """The words of a task's texts (columns: language, text), language by language, about HELD at a time."""
     kept: dict[str, Symbols] = {}
+    waiting: dict[str, list[bytes]] = {}
+
+    def join(lang: str) -> None:
+        kept.setdefault(lang, Symbols(lang, seed, strings)).add(b"\n".join(waiting.pop(lang)))
+
+    size: dict[str, int] = {}
     for batch in batches:
-        texts: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            texts.setdefault(lang, []).append(text or b"")
-        for lang, found in texts.items():
-            kept.setdefault(lang, Symbols(lang, seed)).add(b"\n".join(found))
-        if sum(s.size for s in kept.values()) >= HELD:
-            yield from kept.values()
-            kept = {}
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            waiting.setdefault(lang, []).append(text.as_py() or b"")
+            size[lang] = size.get(lang, 0) + len(waiting[lang][-1])
+            if size[lang] >= JOINED:
+                join(lang)
+                size[lang] = 0
+                if sum(s.size for s in kept.values()) >= HELD:
+                    yield from kept.values()
+                    kept = {}
+    for lang in list(waiting):
+        join(lang)
     yield from kept.values()
 
 
@@ -184,10 +194,10 @@ def count_words(seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["g", "lang", "word", "n"]
-        for held in held_symbols(batches, seed):
-            symbol, check, _ = held.arrays()
+        for held in held_symbols(batches, seed, strings=True):
+            symbol = held.array(0)
             if len(symbol):
-                index, count = distinct([symbol, check])
+                index, count = distinct([symbol, held.array(1)])
                 words = pa.array(held.words(index), pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([signed(symbol[index]), pa.repeat(held.lang, len(index)), words, pa.array(count)], names)
                 yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([held.lang]), pa.array([None], pa.string()), pa.array([len(symbol)])], names)
@@ -220,7 +230,7 @@ def filtered_phrases(seed: int, bits, words: int, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in held_symbols(batches, seed):
-            symbol, _, piece = held.arrays()
+            symbol, piece = held.arrays()
             if len(symbol) < words:
                 continue
             known = within(bits.value, symbol if words == 2 else pair_hash(symbol[:-1], symbol[1:]))
@@ -337,12 +347,13 @@ def count_phrases(seed: int, pack, shards: int):
         found = pack.value
         counts = {k: np.zeros(len(t["phrases"]), np.int64) for k, t in found.items()}
         for held in held_symbols(batches, seed):
-            symbol, _, piece = held.arrays()
+            symbol, piece = held.arrays()
             for words in (2, 3):
-                at = np.flatnonzero(piece[: 1 - words] == piece[words - 1 :])
+                at = np.flatnonzero(piece[: 1 - words] == piece[words - 1 :]).astype(np.int32)
                 own = [symbol[at + k] for k in range(words)]
-                place = (pair_hash(*own) if words == 2 else triple_hash(*own)).view(np.int64) % shards
-                order = np.argsort(place.astype(np.int32), kind="stable")
+                place = ((pair_hash(*own) if words == 2 else triple_hash(*own)).view(np.int64) % shards).astype(np.int32)
+                del own
+                order = np.argsort(place, kind="stable")
                 bounds = np.searchsorted(place[order], np.arange(shards + 1))
                 for k, trie in found.items():
                     hits = accepted(trie, symbol, at[order[bounds[k] : bounds[k + 1]]], words)

@@ -53,7 +53,7 @@ def invented(seed, n):
 
 @pytest.mark.parametrize("shard, held, block", [(1 << 16, 1 << 21, 1 << 20), (40, 500, 64)])
 def test_against_force(spark, monkeypatch, shard, held, block):
-    for name, value in (("SHARD", shard), ("PACK", 3 * shard), ("HELD", held), ("BLOCK", block)):
+    for name, value in (("SHARD", shard), ("PACK", 3 * shard), ("HELD", held), ("JOINED", held), ("BLOCK", block)):
         monkeypatch.setattr(collocations, name, value)
     docs = [("en" if k % 3 else None, invented(k, 150)) for k in range(60)] + [("en", None), ("fr", ""), ("de", "…".join(["Äb c"] * 30))]
     df = spark.createDataFrame(docs, "lang string, text string").repartition(3)

@@ -6,23 +6,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def range_join(points: DataFrame, spans: DataFrame, keys: list[str], point: str, start: str, stop: str, *, width: int = 64, how: str = "inner") -> DataFrame:
-    """points joined with the spans of the same keys that hold them (start <= point <= stop).
+def dyadic(start: Column, stop: Column) -> Column:
+    """[start, stop] as an array of (level, block) without overlap: block b of level k holds b * 2**k to (b + 1) * 2**k - 1.
 
-    Spans are repeated once for each bucket of `width` numbers that they touch, which turns
-    the range into an equality on (keys, bucket); only rows of one bucket meet.
+    At level k the numbers left are the blocks from ceil(start / 2**k) up to floor((stop + 1) / 2**k);
+    an odd block at either end has no parent inside the span and is taken. So a span of n
+    numbers gives at most 2 log2(n) blocks.
     """
-    cut = spans.withColumn("__bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(stop) / width))))
-    left = points.withColumn("__bucket", F.floor(F.col(point) / width)).alias("p")
-    right = cut.alias("s")
-    on = [F.col(f"p.{k}") == F.col(f"s.{k}") for k in keys] + [F.col("p.__bucket") == F.col("s.__bucket"), F.col(f"p.{point}") >= F.col(f"s.{start}"), F.col(f"p.{point}") <= F.col(f"s.{stop}")]
-    condition = on[0]
-    for c in on[1:]:
-        condition = condition & c
-    kept = [F.col(f"p.`{c}`") for c in points.columns]
-    if how not in ("left_anti", "left_semi"):
-        kept += [F.col(f"s.`{c}`") for c in spans.columns if c not in keys]
-    return left.join(right, condition, how).select(kept)
+    start, stop = start.cast("long"), stop.cast("long")
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(stop - start + 2, F.lit(2)))).cast("int"))
+
+    def taken(k: Column) -> Column:
+        low = F.call_function("shiftright", start + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k)
+        high = F.call_function("shiftright", stop + 1, k)
+        block = lambda odd, b: F.when((low < high) & (F.abs(odd % 2) == 1), F.struct(k.cast("int").alias("level"), b.alias("block")))
+        return F.filter(F.array(block(low, low), block(high, high - 1)), lambda x: x.isNotNull())
+
+    return F.flatten(F.transform(levels, taken))
+
+
+def range_join(points: DataFrame, spans: DataFrame, keys: list[str], point: str, start: str, stop: str, *, how: str = "inner") -> DataFrame:
+    """points joined with the spans of the same keys that hold them (start <= point <= stop; whole numbers).
+
+    A span is repeated for its dyadic blocks, at most 2 log2(length) of them, a point for the
+    levels that blocks were taken from; the range becomes an equality on (keys, level, block),
+    by which a point meets a span once. Spans with an end before their start or a null hold nothing.
+    how: inner, left_semi or left_anti.
+    """
+    held = spans.filter(F.col(start) <= F.col(stop)).withColumn("__d", F.explode(dyadic(F.col(start), F.col(stop))))
+    # the levels in use are at most 64 numbers, in one row
+    levels = held.agg(F.collect_set("__d.level").alias("__levels"))
+    if how != "inner":
+        asked = points.select(*keys, point).distinct()
+        met = range_join(asked, spans.select(*keys, start, stop), keys, point, start, stop).select(*keys, point).distinct()
+        return points.join(met, [*keys, point], how).select(points.columns)
+    at = points.crossJoin(F.broadcast(levels)).withColumn("__level", F.explode("__levels")).drop("__levels")
+    left = at.withColumn("__block", F.expr(f"shiftright(cast(`{point}` AS bigint), __level)")).alias("p")
+    right = held.withColumns({"__level": F.col("__d.level"), "__block": F.col("__d.block")}).drop("__d").alias("s")
+    condition = (F.col("p.__level") == F.col("s.__level")) & (F.col("p.__block") == F.col("s.__block"))
+    for k in keys:
+        condition = condition & (F.col(f"p.{k}") == F.col(f"s.{k}"))
+    kept = [F.col(f"p.`{c}`") for c in points.columns] + [F.col(f"s.`{c}`") for c in spans.columns if c not in keys]
+    return left.join(right, condition).select(kept)
 
 
 def numbered(df: DataFrame, group: str, order: str, out: str, *, width: int = 4096) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
+from ..functions.phrases import with_phrases
 
 
 def classify_documents(texts: DataFrame, lexicon: DataFrame | None = None, *, id_col: str = "document_id", text_col: str = "text", top: int = 5, evidence: int = 12, word_boundary: bool = False) -> DataFrame:
@@ -22,11 +23,11 @@ def classify_documents(texts: DataFrame, lexicon: DataFrame | None = None, *, id
     if "position" not in lexicon.columns:
         lexicon = lexicon.withColumn("position", F.lit(0))
     low = F.lower(F.regexp_replace(text_col, r"\s+", " "))
-    # the lexicon is one row, looked through inside each text's row, so that no text is repeated for a phrase
-    held = lexicon.agg(F.collect_list(F.struct("dimension", "label", "phrase", "weight", "position")).alias("__lexicon"))
-    inside = (lambda p: F.regexp_like("__low", F.concat(F.lit(r"\b\Q"), p["phrase"], F.lit(r"\E\b")))) if word_boundary else (lambda p: F.contains("__low", p["phrase"]))
-    hits = texts.select(id_col, low.alias("__low")).crossJoin(held).select(id_col, F.explode(F.filter("__lexicon", inside)).alias("__hit")).select(id_col, "__hit.*")
-    hits = hits.groupBy(id_col, "dimension", "label", "phrase").agg(F.first("weight").alias("weight"), F.min("position").alias("position"))
+    # one automaton goes through each text, whatever the lexicon's size; what comes out is a row a phrase
+    rows = with_phrases(texts.select(id_col, low.alias("__low")), lexicon.select("phrase"), text_col="__low", out="__phrases", bounds="word" if word_boundary else "none")
+    said = rows.select(id_col, F.explode("__phrases").alias("phrase")).distinct()
+    entry = lexicon.groupBy("dimension", "label", "phrase").agg(F.min(F.struct("position", "weight")).alias("__first")).select("dimension", "label", "phrase", "__first.position", "__first.weight")
+    hits = said.join(entry, "phrase")
     scored = hits.groupBy(id_col, "dimension", "label").agg(
         F.sum("weight").alias("score"), F.min("position").alias("position"),
         F.transform(F.slice(F.array_sort(F.collect_list(F.struct("position", "phrase"))), 1, evidence), lambda x: x["phrase"]).alias("evidence"),

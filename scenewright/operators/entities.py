@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
+from ..functions.phrases import with_phrases
 from ..functions.ranges import first_of
 from ..functions.text import context_window, entity_key
 
@@ -92,8 +93,12 @@ def resolve_entities(entities: DataFrame, mentions: DataFrame, honorifics: list[
     mapping = exact.join(t, F.col("canonical_id") == F.col("__short"), "left").select("document_id", "entity_id", F.coalesce("__full", "canonical_id").alias("canonical_id"), "canonical_name", "confidence")
     moved = mentions.join(mapping.select("entity_id", F.col("canonical_id").alias("__to")), "entity_id", "left").withColumn("entity_id", F.coalesce("__to", "entity_id")).drop("__to")
     order = [c for c in ("page_start", "scene_order") if c in mentions.columns]
-    profile = F.substring(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct(*order, "context"))), 1, 12), lambda x: x["context"]), "\n\n"), 1, 6000)
-    fresh = moved.groupBy("entity_id").agg(F.max("confidence").alias("__confidence"), profile.alias("__profile"))
+    # the first twelve of each part of an entity's mentions, then of all: no row holds all contexts
+    told = F.struct(*order, "context")
+    part = moved.select("entity_id", "confidence", told.alias("told"), F.pmod(F.xxhash64(told), F.lit(PARTS)).alias("part"))
+    early = part.withColumn("n", F.row_number().over(Window.partitionBy("entity_id", "part").orderBy("told"))).filter("n <= 12")
+    profile = F.substring(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list("told")), 1, 12), lambda x: x["context"]), "\n\n"), 1, 6000)
+    fresh = early.groupBy("entity_id").agg(profile.alias("__profile")).join(moved.groupBy("entity_id").agg(F.max("confidence").alias("__confidence")), "entity_id")
     kept = winners.join(t, F.col("entity_id") == F.col("__short"), "left_anti").join(fresh, "entity_id", "left")
     kept = kept.withColumns({"confidence": F.coalesce("__confidence", "confidence"), "profile_text": F.coalesce("__profile", "profile_text")}).drop("__confidence", "__profile")
     spelled = mapping.select("document_id", F.col("canonical_id").alias("entity_id"), F.col("canonical_name").alias("alias"), F.lit("source_spelling").alias("method"), F.lit(1.0).alias("confidence"), F.lit(1).alias("rank"))
@@ -105,10 +110,13 @@ def resolve_entities(entities: DataFrame, mentions: DataFrame, honorifics: list[
 
 
 def object_mentions(scenes: DataFrame, lexicon: list[str] | DataFrame | None = None, *, keys: list[str], radius: int = 180) -> DataFrame:
-    """One row per scene and lexicon word that occurs in it: name, text around the first hit, confidence 0.55."""
-    spark = scenes.sparkSession
-    words = lexicon if isinstance(lexicon, DataFrame) else spark.createDataFrame([(w,) for w in (lexicon or L.PROPS)], "term string")
-    tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z][a-z'-]+"), 0))
-    said = scenes.select(*keys, "text", F.explode(tokens).alias("term"))
-    hit = said.join(words, "term")
-    return hit.select(*keys, F.initcap("term").alias("object"), context_window(F.col("text"), F.col("term"), radius).alias("evidence"), F.lit(0.55).alias("confidence"))
+    """One row per scene and lexicon word that occurs in it: name, text around the first hit, confidence 0.55.
+
+    Words are looked up inside the scene's row by one automaton over the whole lexicon (a list,
+    or a table whose first column holds it), and the text around them is cut out there too, so
+    no text is copied or shuffled.
+    """
+    rows = scenes.select(*keys, "text", F.lower("text").alias("__low"))
+    found = with_phrases(rows, L.PROPS if lexicon is None else lexicon, text_col="__low", out="__terms", bounds="token")
+    hits = F.transform("__terms", lambda t: F.struct(F.initcap(t).alias("object"), context_window(F.col("text"), t, radius, low=F.col("__low")).alias("evidence")))
+    return found.select(*keys, F.explode(hits).alias("__hit")).select(*keys, "__hit.object", "__hit.evidence", F.lit(0.55).alias("confidence"))

@@ -191,46 +191,102 @@ def _compatible(na: Column, nb: Column, ba: Column, bb: Column) -> Column:
     )
 
 
+def name_classes(gated: DataFrame) -> DataFrame:
+    """(document_id, entity_id, kind, key, side): the classes by which names fit, a few rows a name.
+
+    Two names fit exactly if they share a class (kind, key) and are on different sides of it or
+    both on side 'any': equal base names; two-part names of one surname and initial; a single
+    part and the longer names that end in it; a titled name and its qualified forms, which
+    continue it by one word, or by two that end in a qualifier. A qualified form whose own
+    surname is that of the shorter name is kept apart (another given name), which is why the key says
+    whether the shorter base name has two parts. Names that fit nothing have no class.
+    """
+    norm, base = name_norm(F.col("canonical_name")), base_name(F.col("canonical_name"))
+    rows = gated.select("document_id", "entity_id", norm.alias("norm"), base.alias("base"))
+    rows = rows.withColumns({"t": F.split("base", " "), "f": F.split(F.btrim(F.regexp_replace(F.lower("norm"), "[^a-z0-9]+", " ")), " ")})
+    rows = rows.filter(~F.col("norm").rlike("[-‐‑‒–—]$") & (F.col("base") != "") & ~F.arrays_overlap("t", F.array(*[F.lit(w) for w in L.SEMANTIC_BLOCK_WORDS])))
+    parts, long, last = F.size("t"), F.size("f"), F.element_at("t", -1)
+    row = lambda kind, key, side: F.struct(F.lit(kind).alias("kind"), key.alias("key"), F.lit(side).alias("side"))
+
+    def prefixes(drop: int) -> list[Column]:
+        """Classes of the names that this one may continue by `drop` words."""
+        head = F.slice("f", 1, F.greatest(long - drop, F.lit(0)))
+        fits = (long - drop >= 2) & F.col("f")[0].isin(L.PERSON_TITLES)
+        if drop == 2:
+            fits = fits & F.element_at("f", -1).isin(L.QUALIFIERS)
+        apart = (parts >= 2) & (F.element_at("f", -1) == F.try_element_at("f", F.greatest(long - drop, F.lit(1))))
+        key = lambda two: F.concat(F.array_join(head, " "), F.lit(two))
+        return [F.when(fits, row("qualified", key("|1"), "long")), F.when(fits & ~apart, row("qualified", key("|2"), "long"))]
+
+    found = [
+        row("base", F.col("base"), "any"),
+        F.when(parts == 2, row("initial", F.concat_ws(" ", F.substring(F.col("t")[0], 1, 1), last), "any")),
+        F.when(parts >= 2, row("surname", last, "long")).otherwise(row("surname", last, "short")),
+        F.when((long >= 2) & F.col("f")[0].isin(L.PERSON_TITLES), row("qualified", F.concat(F.array_join("f", " "), F.when(parts >= 2, "|2").otherwise("|1")), "short")),
+        *prefixes(1), *prefixes(2),
+    ]
+    classes = F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull()))
+    return rows.select("document_id", "entity_id", F.explode(classes).alias("c")).select("document_id", "entity_id", "c.*")
+
+
 def compatible_pairs(gated: DataFrame) -> DataFrame:
-    """(document_id, a, b, confidence, method) of entities a < b whose names fit; only names that share a block meet.
+    """(document_id, a, b, confidence, method) of all pairs a < b of entities whose names fit.
 
-    Blocks: the last part of the base name (equal and surname forms) and title plus first
-    word (qualified forms): every rule of `compatible` puts both names in one block.
+    Names meet by their classes, in which all that meet fit, so the work is that of the result;
+    `identity_groups` does without pairs.
     """
-    low = F.split(F.btrim(F.regexp_replace(F.lower(name_norm(F.col("canonical_name"))), "[^a-z0-9]+", " ")), " ")
-    blocks = F.array_distinct(F.array(F.element_at(F.split(base_name(F.col("canonical_name")), " "), -1), F.concat(F.lit("^"), F.array_join(F.slice(low, 1, 2), " "))))
-    keyed = gated.select("document_id", "entity_id", name_norm(F.col("canonical_name")).alias("norm"), base_name(F.col("canonical_name")).alias("base"), F.explode(blocks).alias("block"))
-    left, right = keyed.alias("l"), keyed.alias("r")
-    met = left.join(right, (F.col("l.document_id") == F.col("r.document_id")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.entity_id") < F.col("r.entity_id")))
-    tried = met.select(F.col("l.document_id").alias("document_id"), F.col("l.entity_id").alias("a"), F.col("r.entity_id").alias("b"), F.col("l.norm").alias("na"), F.col("r.norm").alias("nb"), F.col("l.base").alias("ba"), F.col("r.base").alias("bb")).distinct()
-    return tried.withColumn("c", _compatible(F.col("nb"), F.col("na"), F.col("bb"), F.col("ba"))).filter("c.ok").select("document_id", "a", "b", "c.confidence", "c.method")
+    classes = name_classes(gated)
+    left, right = classes.alias("l"), classes.alias("r")
+    sides = (F.col("l.side") == "any") | (F.col("l.side") != F.col("r.side"))
+    met = left.join(right, (F.col("l.document_id") == F.col("r.document_id")) & (F.col("l.kind") == F.col("r.kind")) & (F.col("l.key") == F.col("r.key")) & sides & (F.col("l.entity_id") < F.col("r.entity_id")))
+    return judged(met.select(F.col("l.document_id").alias("document_id"), F.col("l.entity_id").alias("a"), F.col("r.entity_id").alias("b")).distinct(), gated)
+
+
+def judged(pairs: DataFrame, gated: DataFrame) -> DataFrame:
+    """pairs (document_id, a, b) that fit, with confidence and method."""
+    names = gated.select("entity_id", name_norm(F.col("canonical_name")).alias("n"), base_name(F.col("canonical_name")).alias("b_"))
+    one, two = (names.select(F.col("entity_id").alias(k), F.col("n").alias(f"n{k}"), F.col("b_").alias(f"b{k}")) for k in "ab")
+    tried = pairs.join(one, "a").join(two, "b").withColumn("c", _compatible(F.col("nb"), F.col("na"), F.col("bb"), F.col("ba")))
+    return tried.filter("c.ok").select("document_id", "a", "b", "c.confidence", "c.method")
 
 
 def identity_groups(gated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, members) of gated characters: each entity joins the first group, by id, whose root it fits, else it starts one.
 
     Entities of one name fit whatever the first of them fits, so only the first of a name is
-    compared. Roots are found in rounds over the table of fitting pairs, until none is open:
-    an entity is a root once all smaller fits of it are known not to be roots, and no root
-    once one of them is. The smallest open one settles in every round, and chains settle in
-    as many rounds as they are long; work per round is joins on the pairs alone.
+    looked at. Roots are the maximal independent set that a loop by id would find. They are found in
+    rounds over the classes of the names, not over pairs: each class keeps, for either side, its
+    least open and its least root member. An open entity with a smaller root opposite it is no
+    root; one that has no smaller open entity opposite it in any class, nor a smaller root, is one.
+    A round is two groupings of a few rows a name, however many share a surname, and class
+    members are never paired. A class settles in two rounds or three; rounds add up only along
+    names that are linked through different classes with falling ids.
     """
     kept = gated.filter("entity_type = 'character' AND decision IN ('validated', 'probable')").withColumn("norm", name_norm(F.col("canonical_name")))
     fits_itself = compatible(F.col("canonical_name"), F.col("canonical_name"))["ok"]
-    first = F.min("entity_id").over(Window.partitionBy("document_id", "norm"))
-    kept = _cut(kept.select("document_id", "entity_id", "canonical_name", F.col("norm").alias("variant_name"), F.when(fits_itself, first).otherwise(F.col("entity_id")).alias("same_as")))
+    firsts = kept.groupBy("document_id", "norm").agg(F.min("entity_id").alias("first"))
+    kept = kept.join(firsts, ["document_id", "norm"])
+    kept = _cut(kept.select("document_id", "entity_id", "canonical_name", F.col("norm").alias("variant_name"), F.when(fits_itself, F.col("first")).otherwise(F.col("entity_id")).alias("same_as")))
     alone = kept.filter("entity_id = same_as").select("document_id", "entity_id", "canonical_name")
-    pairs = _cut(compatible_pairs(alone))
-    state = alone.join(pairs.select(F.col("b").alias("entity_id")).distinct().withColumn("open", F.lit(True)), "entity_id", "left")
-    state = _cut(state.select("document_id", "entity_id", F.when(F.col("open"), F.lit(None).cast("boolean")).otherwise(True).alias("root")))
-    while state.filter("root IS NULL").limit(1).count():
-        known = pairs.join(state.select(F.col("entity_id").alias("a"), F.col("root").alias("a_root")), "a")
-        verdict = known.groupBy(F.col("b").alias("entity_id")).agg(F.bool_or(F.coalesce("a_root", F.lit(False))).alias("taken"), F.bool_and(F.col("a_root").isNotNull()).alias("all_known"))
-        before, state = state, _cut(state.join(verdict, "entity_id", "left").select("document_id", "entity_id", F.coalesce("root", F.when(F.col("taken"), False).when(F.col("all_known"), True)).alias("root")))
+    classes = _cut(name_classes(alone))
+    crowded = classes.groupBy("document_id", "kind", "key").agg(F.count(F.lit(1)).alias("n"), F.min("side").alias("lo"), F.max("side").alias("hi")).filter("n > 1 AND (lo = 'any' OR lo <> hi)")
+    classes = _cut(classes.join(crowded.select("document_id", "kind", "key"), ["document_id", "kind", "key"]))
+    state = _cut(classes.select("entity_id").distinct().withColumn("root", F.lit(None).cast("boolean")))
+    while not state.filter("root IS NULL").isEmpty():
+        live = classes.join(state.filter("root IS NULL OR root").withColumn("is_root", F.coalesce("root", F.lit(False))).select("entity_id", "is_root"), "entity_id")
+        least = live.groupBy("document_id", "kind", "key", "side").agg(F.min(F.when(F.col("is_root"), F.col("entity_id"))).alias("first_root"), F.min(F.when(~F.col("is_root"), F.col("entity_id"))).alias("first_open"))
+        facing = least.withColumn("side", F.when(F.col("side") == "long", "short").when(F.col("side") == "short", "long").otherwise("any"))
+        asked = classes.join(state.filter("root IS NULL").select("entity_id"), "entity_id").join(facing, ["document_id", "kind", "key", "side"], "left")
+        seen = asked.groupBy("entity_id").agg(F.min("first_root").alias("r"), F.min("first_open").alias("o"))
+        verdict = F.when(F.col("r") < F.col("entity_id"), False).when(F.coalesce(F.col("o") >= F.col("entity_id"), F.lit(True)), True)
+        settled = seen.select("entity_id", verdict.alias("now"))
+        before, state = state, _cut(state.join(settled, "entity_id", "left").select("entity_id", F.coalesce("root", "now").alias("root")))
         before.unpersist()
-    roots = state.filter("root").select(F.col("entity_id").alias("a"))
-    best = pairs.join(roots, "a").groupBy(F.col("b").alias("same_as")).agg(F.min_by(F.struct("a", "confidence", "method"), "a").alias("f"))
-    best = best.join(state.filter("NOT root").select(F.col("entity_id").alias("same_as")), "same_as")
+    roots = classes.join(state.filter("root").select("entity_id"), "entity_id").groupBy("document_id", "kind", "key", "side").agg(F.min("entity_id").alias("a"))
+    facing = roots.withColumn("side", F.when(F.col("side") == "long", "short").when(F.col("side") == "short", "long").otherwise("any"))
+    joined = classes.join(state.filter("NOT root").select("entity_id"), "entity_id").join(facing, ["document_id", "kind", "key", "side"])
+    chosen = joined.groupBy("document_id", F.col("entity_id").alias("b")).agg(F.min("a").alias("a"))
+    best = judged(chosen, alone).select(F.col("b").alias("same_as"), F.struct("a", "confidence", "method").alias("f"))
     met = kept.join(best, "same_as", "left")
     own = F.col("entity_id") == F.col("same_as")
     members = met.select(

@@ -111,7 +111,8 @@ SELECT entity, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, previous, new, CASE W
 STREAM_STALE_JOBS = """WITH l AS (SELECT user_id AS job, ts, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) AS k FROM events)
 SELECT job, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_update FROM l WHERE k = 1 AND event_type = 'error' AND ts + INTERVAL 60 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"""
 
-CSV_ROWS = "SELECT CAST(event_id AS VARCHAR) AS event_id, coalesce(event_type, '') AS event_type, coalesce(CAST(round(value, 3) AS VARCHAR), '') AS value, coalesce(CAST(round(value / 8, 3) AS VARCHAR), '') AS ratio FROM events"
+# numbers as printed to 3 places: the binary value rounded to the nearest, ties to even
+CSV_ROWS = "SELECT CAST(event_id AS VARCHAR) AS event_id, coalesce(event_type, '') AS event_type, coalesce(CAST(CAST(format('{:.3f}', value) AS DOUBLE) AS VARCHAR), '') AS value, coalesce(CAST(CAST(format('{:.3f}', value / 8) AS DOUBLE) AS VARCHAR), '') AS ratio FROM events"
 
 _MOMENTS = books.ORACLES["moments_topk"].replace("md5(s) AS moment_md5 FROM r WHERE rank <= 3", "s AS moment FROM r WHERE rank <= 4")
 _RENDERED = rf"""mo AS (SELECT doc_id, list(moment ORDER BY rank) AS moments FROM ({_MOMENTS}) GROUP BY 1),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,13 +44,60 @@ def document_header(pages: DataFrame) -> DataFrame:
     )
 
 
+#: Logical plans that do more than read; functions that call into the virtual machine.
+_WRITES = ("logical.Command", "logical.ParsedStatement", "logical.InsertIntoStatement")
+_CALLS = re.compile(r"\b'?(?:try_)?(?:reflect|java_method)\(", re.I)
+
+
+def _nodes(gateway, plan) -> Iterator:
+    """A parsed plan, its common table expressions and all below them."""
+    yield plan
+    for part in (plan.children(), plan.innerChildren()):
+        for i in range(part.size()):
+            if is_instance_of(gateway, part.apply(i), "org.apache.spark.sql.catalyst.plans.logical.LogicalPlan"):
+                yield from _nodes(gateway, part.apply(i))
+
+
+def is_read_only(spark: SparkSession, text: str) -> bool:
+    """Whether text is one statement whose parsed plan only reads: no command and no insert at any depth, in common table expressions too."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    except Exception as e:
+        if "ParseException" in type(e).__name__ or "ParseException" in str(e):
+            return False
+        raise
+    gateway = spark.sparkContext._gateway
+    writes = any(is_instance_of(gateway, n, f"org.apache.spark.sql.catalyst.plans.{c}") for n in _nodes(gateway, plan) for c in _WRITES)
+    return not writes and not _CALLS.search(plan.toString())
+
+
 def read_only_sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run a query over the given views; statements that do not begin with SELECT or WITH are refused."""
-    if not re.match(r"\s*(select|with)\b", text, re.I) or ";" in text.rstrip().rstrip(";"):
-        raise ValueError("only one SELECT or WITH statement is allowed")
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    """Run a query over the given views. What may run is decided on the parsed plan, not on the text's words.
+
+    The views are seen by this query alone: names that were views before are so again after it.
+    """
+    if not is_read_only(spark, text):
+        raise ValueError("only one statement that reads is allowed")
+    before = {name: spark.table(name) for name in views or {} if spark.catalog.tableExists(name)}
+    try:
+        for name, df in (views or {}).items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(text)
+    finally:
+        for name in views or {}:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
+
+
+def store_pages(pages: DataFrame, table: str, path: str, *, buckets: int = 64, key: str = "document_id", order: str = "page_number") -> DataFrame:
+    """pages as a table in path, bucketed by document and sorted by page inside each bucket.
+
+    A scan of one document then reads one bucket of `buckets`, and a page range skips row groups
+    by their least and largest page.
+    """
+    pages.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key, order).saveAsTable(table)
+    return pages.sparkSession.table(table)
 
 
 def scan(df: DataFrame, where: dict[str, object] | None = None, *, pages: tuple[int, int] | None = None, order: tuple[str, ...] = ()) -> DataFrame:
@@ -61,12 +110,20 @@ def scan(df: DataFrame, where: dict[str, object] | None = None, *, pages: tuple[
 
 
 def export_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns as exported: numbers with a fraction rounded to 3 places, nulls as empty text."""
+    """Columns as exported: numbers with a fraction rounded to 3 places, nulls as empty text.
+
+    What is rounded is the binary value itself, to the nearest number of 3 places and, halfway between two,
+    to the even one: 8.0925, which is stored a little below that, gives 8.092 and 0.0625 gives 0.062.
+    """
     kinds = dict(df.dtypes)
 
     def shown(c: str) -> Column:
-        value = F.round(c, 3) if kinds[c] in ("double", "float") else F.col(c)
-        return F.coalesce(value.cast("string"), F.lit("")).alias(c)
+        if kinds[c] not in ("double", "float"):
+            return F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+        value = F.col(c).cast("double")
+        odd = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
+        near = F.when(~odd, F.call_function("format_number", value, F.lit("0.###"))).cast("double")
+        return F.coalesce(F.when(odd, value).otherwise(near).cast("string"), F.lit("")).alias(c)
 
     return df.select([shown(c) for c in columns])
 

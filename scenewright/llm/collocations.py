@@ -40,7 +40,7 @@ from .shingles import mixed
 U64 = np.uint64
 LEAST, SHARE, TOP = 10, 50, 2000
 #: Phrases of one trie on average, and of the tries that are broadcast together.
-SHARD, PACK = 1 << 16, 1 << 21
+SHARD, PACK = 1 << 16, 1 << 20
 #: Bits of a filter for each member, and of the largest filter (128 MB).
 BITS_EACH, BITS_MOST = 16, 1 << 30
 #: Words whose phrases are counted together in a task; bytes of one language laid together; bytes hashed at once.
@@ -383,6 +383,7 @@ def counted_by_tries(texts: DataFrame, candidates: DataFrame, seed: int) -> Data
         found = texts.mapInArrow(count_phrases(seed, sent, shards), "g1 long, g2 long, g3 long, n long")
         sums.append(common.saved(found.groupBy("g1", "g2", "g3").agg(F.sum("n").alias("n")), "phrase-counts"))
         sent.destroy()
+        del pack
     out = sums[0]
     for more in sums[1:]:
         out = out.unionByName(more)

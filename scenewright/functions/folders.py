@@ -6,7 +6,7 @@ import re
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="scenewright-")
     return f"{base}/{name}-{uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back, so that what uses it twice computes it once."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

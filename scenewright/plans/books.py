@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicons
+from ..functions.folders import shared_folder
 from ..functions.ranges import numbered
 from ..functions.text import cleanup_text, sentences, text_quality
-from ..operators import classify, entities, facts, identity, packages, retrieval, segment, structure
+from ..operators import classify, entities, facts, identity, index, packages, retrieval, segment, structure
 
 NAME = r"\p{Lu}\p{Ll}{2,}(?: \p{Lu}\p{Ll}{2,}){0,2}"
 NAME_RULE = [("character", NAME, 0, 0.45, 2, True)]
@@ -181,19 +182,32 @@ def rag_union_counts(spark, sf_dir):
     return rag_sources(spark, sf_dir).groupBy("source_type").agg(F.count(F.lit(1)).alias("n"), F.count("page_start").alias("with_pages"), F.sum(F.length("text")).alias("chars"))
 
 
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def stored_index(spark, sf_dir):
+    """The index of all documents, built once for a session and then read by every search."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _indexes:
+        rag = documents(spark, sf_dir).select(F.col("doc_id").alias("rag_id"), F.lit("").alias("title"), "text")
+        path = shared_folder(spark, "index")
+        index.build_index(rag, path)
+        _indexes[key] = path
+    return index.open_index(spark, _indexes[key])
+
+
+def passages(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
+
+
 def bm25_topk(spark, sf_dir):
     """The 8 best documents among those that hold all words of a benchmark passage."""
-    rag = documents(spark, sf_dir).select(F.col("doc_id").alias("rag_id"), F.lit("").alias("title"), "text")
-    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
-    posted = retrieval.postings(rag, only=retrieval.asked_terms(asked))
-    found = retrieval.search(posted, retrieval.doc_stats(rag), asked)
-    return found.select("query_id", "rank", F.col("rag_id").alias("doc_id"), F.round("score", 4).alias("score"))
+    found = index.search_index(stored_index(spark, sf_dir), passages(spark, sf_dir))
+    return found.select("query_id", "rank", F.col("id").cast("long").alias("doc_id"), F.round("score", 4).alias("score"))
 
 
 def phrase_retrieval(spark, sf_dir):
-    rag = documents(spark, sf_dir).select(F.col("doc_id").alias("rag_id"), F.lit("").alias("title"), "text")
-    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
-    return retrieval.phrase_matches(rag, asked).select("query_id", F.col("rag_id").alias("doc_id"))
+    return index.phrase_index(stored_index(spark, sf_dir), passages(spark, sf_dir)).select("query_id", F.col("id").cast("long").alias("doc_id"))
 
 
 LANGUAGE_WORDS = [(0, "language", "en", " the ", 3), (1, "language", "en", " of ", 2), (2, "language", "en", " and ", 2), (3, "language", "de", " und ", 3), (4, "language", "de", " der ", 2), (5, "language", "de", " die ", 2), (6, "language", "fr", " le ", 2), (7, "language", "fr", " les ", 3), (8, "language", "fr", " et ", 2), (9, "language", "es", " que ", 1), (10, "language", "es", " los ", 3), (11, "language", "es", " el ", 2)]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.folders import shared_folder
 from ..operators import continuity, entities, facts, identity, packages, structure
+from ..sources import tables
 from ..streaming import streams
 from . import books
 
@@ -44,9 +47,9 @@ def scene_context(spark, sf_dir):
 
 def audit_report(spark, sf_dir):
     """Coverage, continuity and noise of the facts that events tell of users."""
-    from . import tables
+    from .tables import event_facts
 
-    told = tables.event_facts(spark, sf_dir)
+    told = event_facts(spark, sf_dir)
     profiled = told.select(F.col("profile_id").cast("string").alias("canonical_name")).distinct().withColumn("confidence", F.lit(0.9))
     scenes = told.select("scene_id").distinct()
     context = told.groupBy("scene_id").agg(F.collect_set("profile_id").alias("character_profile_ids"), F.collect_set("attribute").alias("objects"))
@@ -55,10 +58,10 @@ def audit_report(spark, sf_dir):
 
 def scene_continuity(spark, sf_dir):
     """Per event: the user carried or changed, and the kind of event as its object."""
-    from . import tables
+    from .tables import read, states as event_states
 
-    states = tables.states(spark, sf_dir)
-    events = tables.read(spark, sf_dir, "events").select(F.col("event_id").alias("scene_id"), F.col("event_type").alias("object"))
+    states = event_states(spark, sf_dir)
+    events = read(spark, sf_dir, "events").select(F.col("event_id").alias("scene_id"), F.col("event_type").alias("object"))
     out = continuity.scene_continuity(states, events, events.select("scene_id"))
     return out.select("scene_id", F.array_join("carried_ids", ",").alias("carried"), F.array_join("changed_ids", ",").alias("changed"), F.array_join("objects", ",").alias("objects"))
 
@@ -137,9 +140,47 @@ def stream_stale_jobs(spark, sf_dir):
     return run_stream(spark, streams.stale_jobs(updates, minutes=60)).select("job", F.date_format("last_update", "yyyy-MM-dd HH:mm:ss").alias("last_update"))
 
 
+def stream_sessions(spark, sf_dir):
+    """Sessions of users: events that follow each other within six hours; told once the watermark has passed them."""
+    out = run_stream(spark, streams.session_counts(event_stream(spark, sf_dir), event_time="ts", gap="6 hours", key="user_id"))
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return out.select("user_id", shown("start"), shown("stop"), "n")
+
+
+def stream_attribute_changes(spark, sf_dir):
+    """What each event changes of its user's state: the type, and whether k is large, as in state_changes but in order of time."""
+    told = F.array(F.struct(F.lit("type").alias("attribute"), F.col("event_type").alias("value")), F.struct(F.lit("big").alias("attribute"), F.when(F.get_json_object("props", "$.k").cast("int") > 50, "yes").alias("value")))
+    seen = event_stream(spark, sf_dir).select("user_id", "ts", "event_id", F.lit("state").alias("bucket"), F.explode(told).alias("f")).select("user_id", "ts", "event_id", "bucket", "f.*")
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, streams.ROCKS)
+    try:
+        out = run_stream(spark, streams.attribute_changes(seen, entity="user_id", order="ts", scene="event_id"))
+    finally:
+        spark.conf.set(name, before)
+    return out.select("entity", "scene", "attribute", F.array_join("previous", ",").alias("previous"), F.array_join("new", ",").alias("new"), "change_type", "first")
+
+
+def stream_page_store(spark, sf_dir):
+    """Documents as a stream of pages, a file a batch, into a store of versions: what holds in the end."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    raw = spark.readStream.schema(docs).option("maxFilesPerTrigger", 4).parquet(f"{sf_dir}/documents.parquet*")
+    pages = raw.select(F.col("source").alias("document_id"), F.col("doc_id").alias("page_number"), "text")
+    path = shared_folder(spark, "store")
+    query = pages.writeStream.foreachBatch(lambda batch, version: streams.merge_pages(batch, f"{path}/pages", version)).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return streams.current_pages(spark, f"{path}/pages", pages.schema).select("document_id", "page_number", F.md5("text").alias("text_md5"))
+
+
+def page_range_scan(spark, sf_dir):
+    """Pages 10 to 40 of all books, from a table bucketed by book and sorted by page."""
+    stored = tables.store_pages(books.pages(spark, sf_dir).select("document_id", "page_number", "doc_id"), f"book_pages_{uuid4().hex}", shared_folder(spark, "book-pages"))
+    return tables.scan(stored, pages=(10, 40)).select("document_id", "page_number", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     canonical_people, canonical_aliases, scene_context, audit_report, scene_continuity, presence, directions, html_sections, html_page_text,
-    stream_status_counts, stream_stale_jobs,
+    stream_status_counts, stream_stale_jobs, stream_sessions, stream_attribute_changes, stream_page_store, page_range_scan,
 )}
 
 ORACLES = {
@@ -148,4 +189,16 @@ w AS (SELECT *, row_number() OVER o = 1 OR (event_type = lag(event_type) OVER o
 SELECT event_id AS scene_id, CASE WHEN same THEN CAST(user_id AS VARCHAR) ELSE '' END AS carried, CASE WHEN same THEN '' ELSE CAST(user_id AS VARCHAR) END AS changed, event_type AS objects FROM w""",
     "stream_status_counts": """WITH e AS (SELECT *, CAST(ts AS DATE) AS d FROM events), m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events)
 SELECT strftime(d, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM e, m WHERE d + INTERVAL 1 DAY <= mark GROUP BY 1, 2""",
+    "stream_sessions": """WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events),
+e AS (SELECT user_id, ts, coalesce(ts > lag(ts) OVER w + INTERVAL 6 HOUR, true)::INT AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e),
+g AS (SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS stop, count(*) AS n FROM s GROUP BY user_id, k)
+SELECT user_id, strftime(start, '%Y-%m-%d %H:%M:%S.%f') AS start, strftime(stop, '%Y-%m-%d %H:%M:%S.%f') AS stop, n FROM g, m WHERE stop <= mark""",
+    "stream_attribute_changes": """WITH m AS (SELECT date_trunc('millisecond', max(ts) - INTERVAL 10 MINUTE) AS mark FROM events),
+s AS (SELECT user_id AS entity, ts, event_id AS scene, event_type AS type, CASE WHEN CAST(props->>'$.k' AS INTEGER) > 50 THEN 'yes' END AS big FROM events, m WHERE ts <= mark),
+w AS (SELECT *, lag(type) OVER o AS ptype, lag(big) OVER o AS pbig, row_number() OVER o = 1 AS first FROM s WINDOW o AS (PARTITION BY entity ORDER BY ts, CAST(scene AS VARCHAR))),
+c AS (SELECT entity, scene, 'state.type' AS attribute, ptype AS previous, type AS new, first FROM w UNION ALL SELECT entity, scene, 'state.big', pbig, big, first FROM w WHERE pbig IS NOT NULL OR big IS NOT NULL)
+SELECT entity, scene, attribute, previous, new, CASE WHEN previous IS NULL THEN 'introduced' WHEN new IS NULL THEN 'removed' WHEN previous = new THEN 'carried' ELSE 'updated' END AS change_type, first FROM c""",
+    "stream_page_store": "SELECT source AS document_id, doc_id AS page_number, md5(arg_max(text, text)) AS text_md5 FROM documents GROUP BY 1, 2",
+    "page_range_scan": f"WITH {books.PAGES_SQL} SELECT document_id, page_number, doc_id FROM pages_ WHERE page_number BETWEEN 10 AND 40",
 }

@@ -29,22 +29,21 @@ def _following(fragments: DataFrame, stats: DataFrame, reach: int) -> DataFrame:
 
 
 def _title(next_: Column, y: Column, body: Column, *, words: int = 6, headers: tuple[str, ...] = ()) -> Column:
-    """Text of the same row, else of the next row, else of the following fragments up to a sentence end, a running header or a long one."""
+    """Fragments of the same row, else of the next row, else those that follow up to a sentence end, a running header or a long one."""
     apart = F.greatest(0.75 * body, F.lit(10.0))
-    texts = lambda c: F.array_join(F.transform(c, lambda f: f["text"]), " ")
     same = F.filter(next_, lambda f: f["y"].isNotNull() & (F.abs(f["y"] - y) <= apart))
     under = F.filter(next_, lambda f: f["y"].isNotNull() & (F.abs(f["y"] - y) > apart) & (F.abs(f["y"] - y) <= 3 * apart))
 
     def gather(state: Column, f: Column) -> Column:
         stop = F.lower(f["text"]).isin(list(headers)) | (F.size(F.split(f["text"], r"\s+")) > words) | f["text"].rlike("[.!?]$") | f["text"].rlike(NUMBER)
-        return F.struct((state["done"] | stop).alias("done"), F.when(state["done"] | stop, state["text"]).otherwise(F.btrim(F.concat_ws(" ", state["text"], f["text"]))).alias("text"))
+        return F.struct((state["done"] | stop).alias("done"), F.when(state["done"] | stop, state["n"]).otherwise(state["n"] + 1).alias("n"))
 
-    rest = F.aggregate(next_, F.struct(F.lit(False).alias("done"), F.lit("").alias("text")), gather, lambda s: s["text"])
-    return F.when(F.size(same) > 0, texts(same)).when(F.size(under) > 0, texts(under)).otherwise(rest)
+    rest = F.aggregate(next_, F.struct(F.lit(False).alias("done"), F.lit(0).alias("n")), gather, lambda s: s["n"])
+    return F.when(F.size(same) > 0, same).when(F.size(under) > 0, under).otherwise(F.slice(next_, 1, rest))
 
 
 def heading_candidates(fragments: DataFrame, stats: DataFrame | None = None, *, keywords: list[str] | None = None, headers: tuple[str, ...] = (), reach: int = 11) -> DataFrame:
-    """page, text, number, title, score, reasons: keyword, number and inline-number headings; the best of each text and page.
+    """page, text, number, title, score, reasons, parts (the placed fragments it is made of): keyword, number and inline-number headings; the best of each text and page.
 
     "Near" is within the distance of the next row.
     """
@@ -54,27 +53,35 @@ def heading_candidates(fragments: DataFrame, stats: DataFrame | None = None, *,
     apart = F.greatest(0.75 * F.col("body_size"), F.lit(10.0))
     near = F.filter(F.slice("next", 1, 7), lambda f: f["text"].rlike(NUMBER) | f["text"].rlike(ROMAN))
     near = F.filter(near, lambda f: f["y"].isNull() | F.col("y").isNull() | (F.abs(f["y"] - F.col("y")) <= 3 * apart))
-    title = _title(F.col("next"), F.col("y"), F.col("body_size"), headers=tuple(h.lower() for h in headers))
+    title = F.btrim(F.array_join(F.transform("title_parts", lambda f: f["text"]), " "))
+    parts = _title(F.col("next"), F.col("y"), F.col("body_size"), headers=tuple(h.lower() for h in headers))
     words = F.size(F.split(F.col("title"), r"\s+"))
     score = lambda *rules: sum((F.when(c, w).otherwise(0) for c, w in rules), F.lit(0))
     names = lambda *rules: F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in rules]))
-    titled = df.withColumn("title", title)
+    titled = df.withColumn("title_parts", parts).withColumn("title", title)
     number = F.try_element_at(near, F.lit(1))["text"]
+    place = lambda f: F.struct(f["text"].alias("text"), f["x"].cast("double").alias("x"), f["y"].cast("double").alias("y"))
+    own = lambda t: F.struct(t.alias("text"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    following = F.transform("title_parts", place)
+    numeral = F.filter(F.array(F.when(number.isNotNull(), place(F.try_element_at(near, F.lit(1))))), lambda f: f.isNotNull())
     has_title, prose = F.col("title") != "", (words > 10) | F.col("title").rlike("[.!?]$")
     shared = [*PAGE, "frag_idx", "x", "y"]
     by_word = titled.filter(F.lower(F.regexp_replace("text", "[.,:;]$", "")).isin(keywords or L.HEADING_KEYWORDS)).select(
         *shared, F.btrim(F.concat_ws(" ", "text", number, "title")).alias("text"), number.alias("number"), "title",
         score((F.lit(True), 3), (large, 2), (number.isNotNull(), 3), (has_title, 2)).alias("score"), names((F.lit(True), "keyword"), (large, "large"), (number.isNotNull(), "number_near"), (has_title, "title")).alias("reasons"),
+        F.concat(F.array(own(F.col("text"))), numeral, following).alias("parts"),
     )
     by_number = titled.filter(F.col("text").rlike(NUMBER) & has_title & ~prose).select(
         *shared, F.concat_ws(" ", "text", "title").alias("text"), F.col("text").alias("number"), "title",
         score((F.lit(True), 5), (large, 2), (has_title, 3)).alias("score"), names((F.lit(True), "number"), (large, "large"), (has_title, "title")).alias("reasons"),
+        F.concat(F.array(own(F.col("text"))), following).alias("parts"),
     )
     inline_title = F.regexp_extract("text", INLINE, 2)
     shaped = (F.size(F.split(inline_title, r"\s+")) <= 8) & inline_title.rlike(r"^\p{Lu}")
     inline = df.filter(F.col("text").rlike(INLINE) & ~F.col("text").rlike("[.!?]$") & (large | shaped)).select(
         *shared, "text", F.regexp_extract("text", INLINE, 1).alias("number"), inline_title.alias("title"),
         score((F.lit(True), 5), (large, 2), (shaped, 1)).alias("score"), names((F.lit(True), "inline_number"), (large, "large"), (shaped, "shape")).alias("reasons"),
+        F.array(own(F.regexp_extract("text", INLINE, 1)), own(inline_title)).alias("parts"),
     )
     every = by_word.unionByName(by_number).unionByName(inline).withColumn("__low", F.lower("text"))
     return first_of(every, [*PAGE, "__low"], [F.desc("score"), F.col("frag_idx")]).drop("__low")
@@ -86,7 +93,7 @@ def labelled_candidates(fragments: DataFrame, label: str = "section_header") ->
     text = squeezed(F.col("text"))
     title = F.regexp_extract(text, pattern, 2)
     good = title.rlike(r"\p{L}") & (F.length(title) <= 140) & ~title.rlike(r"(?i)isbn|https?://|www\.")
-    return fragments.filter((F.col("label") == label) & good).select(*PAGE, "frag_idx", "x", "y", text.alias("text"), F.regexp_extract(text, pattern, 1).alias("number"), title.alias("title"), F.lit(10).alias("score"), F.array(F.lit("labelled_heading")).alias("reasons"))
+    return fragments.filter((F.col("label") == label) & good).select(*PAGE, "frag_idx", "x", "y", text.alias("text"), F.regexp_extract(text, pattern, 1).alias("number"), title.alias("title"), F.lit(10).alias("score"), F.array(F.lit("labelled_heading")).alias("reasons"), F.array(*[F.struct(F.regexp_extract(text, pattern, k).alias("text"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")) for k in (1, 2)]).alias("parts"))
 
 
 def select_candidates(layout: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -104,17 +111,53 @@ def classify_pages(pages: DataFrame, candidates: DataFrame) -> DataFrame:
     return pages.select(*PAGE).distinct().join(found, PAGE, "left").select(*PAGE, kind.alias("page_type"), "strongest")
 
 
+#: How far right of the number a fragment belongs to another column, how far apart in height a title's fragments may lie, and marks of page numbers.
+FAR_RIGHT, TITLE_SPREAD = 250.0, 40.0
+PAGE_MARKS, ARTEFACTS = ["PAGE", "@PAGE", "AGE", "E", "E@", "»"], ["@PAGE", "PAGE", "AGE", "E@"]
+
+
+def _numeral(text: Column) -> Column:
+    bare = F.regexp_replace(F.btrim(text), "[.,:;]+$", "")
+    return bare.rlike(NUMBER) | bare.rlike(ROMAN)
+
+
+def title_parts(parts: Column) -> Column:
+    """Of a candidate's fragments (text, x, y) those of the title, in order: after a number, no number, keyword or page mark, and not far right of the last number."""
+    none = F.filter(F.transform(parts, lambda f: F.struct(f["text"].alias("text"), f["x"].alias("x"), f["y"].alias("y"))), lambda f: F.lit(False))
+    start = F.struct(F.lit(None).cast("double").alias("x"), F.lit(False).alias("seen"), none.alias("title"))
+
+    def step(s: Column, f: Column) -> Column:
+        number, text = _numeral(f["text"]), F.btrim(f["text"])
+        keyword = F.lower(F.btrim(text, F.lit(".,:;"))).isin(L.HEADING_KEYWORDS)
+        far = F.coalesce(f["x"] > s["x"] + FAR_RIGHT, F.lit(False))
+        take = s["seen"] & ~number & ~keyword & ~far & (text != "") & ~F.upper(text).isin(ARTEFACTS)
+        own = F.struct(text.alias("text"), f["x"].alias("x"), f["y"].alias("y"))
+        return F.struct(F.when(number, f["x"]).otherwise(s["x"]).alias("x"), (s["seen"] | number).alias("seen"), F.when(take, F.concat(s["title"], F.array(own))).otherwise(s["title"]).alias("title"))
+
+    return F.aggregate(parts, start, step, lambda s: s["title"])
+
+
 def validate_sections(candidates: DataFrame, page_types: DataFrame, *, least: float = 7.0) -> DataFrame:
-    """section_number, title, page_number, confidence of candidates with a number and a title that score `least` or more.
+    """section_number, title, page_number, confidence of candidates whose fragments hold a number and a title and that score `least` or more.
 
-    +2 and +2 for number and title, +1.5 for a title of two words or more, -5 on pages that
-    look like contents, -4 for page artefacts, on top of half the candidate's score.
+    On top of the candidate's score: +2 and +2 for number and title, +1.5 where two fragments of
+    the title or more lie within TITLE_SPREAD in height, -5 on pages that look like contents, -4
+    where a fragment is a page mark. An entry with a number or page mark more than FAR_RIGHT to
+    the right of its first number is a line of a table of contents and is left out.
     """
-    good = candidates.filter((F.coalesce("number", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
-    contents = F.col("page_type") == "CONTENTS"
-    artefact = F.col("title").rlike(r"(?i)^page\b|^\d+$")
-    confidence = F.col("score") / 2 + 4 + F.when(F.size(F.split("title", r"\s+")) >= 2, 1.5).otherwise(0) - F.when(contents, 5).otherwise(0) - F.when(artefact, 4).otherwise(0)
-    return good.join(page_types.select(*PAGE, "page_type"), PAGE).withColumn("confidence", confidence).filter(F.col("confidence") >= least).select(*PAGE, F.regexp_replace("number", "[.,:;]$", "").alias("section_number"), "title", "confidence", F.lit("layout").alias("detection_method"))
+    is_number = F.filter("parts", lambda f: _numeral(f["text"]))
+    first = F.try_element_at(is_number, F.lit(1))
+    rows = candidates.filter(F.size(is_number) > 0).withColumns({"first": first, "named": title_parts(F.col("parts"))}).filter(F.size("named") > 0)
+    listed = F.exists("parts", lambda f: F.coalesce(f["x"] > F.col("first.x") + FAR_RIGHT, F.lit(False)) & (_numeral(f["text"]) | F.upper(F.btrim(f["text"])).isin(PAGE_MARKS)))
+    heights = F.transform(F.filter("named", lambda f: f["y"].isNotNull()), lambda f: f["y"])
+    together = (F.size(heights) >= 2) & (F.array_max(heights) - F.array_min(heights) <= TITLE_SPREAD)
+    marked = F.exists("parts", lambda f: F.upper(F.btrim(f["text"])).isin(ARTEFACTS))
+    confidence = F.col("score") + 4.0 + F.when(together, 1.5).otherwise(0.0) - F.when(F.col("page_type") == "CONTENTS", 5.0).otherwise(0.0) - F.when(marked, 4.0).otherwise(0.0)
+    by_x = F.array_sort(F.transform("named", lambda f, i: F.struct(F.coalesce(f["x"], F.lit(0.0)).alias("x"), i.alias("i"), f["text"].alias("text"))))
+    title = F.array_join(F.transform(by_x, lambda f: f["text"]), " ")
+    number = F.upper(F.regexp_replace(F.btrim("first.text"), "[.,:;]+$", ""))
+    kept = rows.filter(~listed).join(page_types.select(*PAGE, "page_type"), PAGE).withColumn("confidence", confidence).filter(F.col("confidence") >= least)
+    return kept.select(*PAGE, number.alias("section_number"), title.alias("title"), "confidence", F.lit("layout").alias("detection_method"))
 
 
 def numeral_table(spark) -> DataFrame:
@@ -237,21 +280,45 @@ def chapter_markers(pages: DataFrame) -> DataFrame:
     return df.groupBy(*PAGE).agg(F.min_by(F.struct(F.when(lower, F.regexp_replace("next", "[.,:;]$", "")).otherwise(own).alias("number"), F.regexp_extract(title, r"^(.*?)(?:[.!?]|\s+IN\s|$)", 1).alias("title")), "line_idx").alias("m")).select(*PAGE, "m.number", "m.title")
 
 
-def fragments_to_text(fragments: DataFrame, source: str = "pdf_text", *, para_sep: str = "\n\n") -> DataFrame:
-    """page_number, text from positioned fragments: lines where the middle height jumps, paragraphs where lines lie far apart.
+def _median(values: Column, since: Column, until: Column) -> Column:
+    """Median of values[since:until] of an array in order (ascending or descending)."""
+    n = until - since
+    return (F.get(values, since + F.floor((n - 1) / 2).cast("int")) + F.get(values, since + F.floor(n / 2).cast("int"))) / 2
+
 
-    Lines are cut at gaps between neighbours in height; a running median of the line would
-    differ only where fragments of neighbouring lines drift closer than the tolerance.
+def layout_lines(fragments: DataFrame, source: str = "pdf_text") -> DataFrame:
+    """page, line, y, text, scale: fragments (with a place and a text) grouped to lines by an ordered fold over each page.
+
+    Fragments come by their middle height; one joins the line before it if it lies within the
+    tolerance, 0.45 of the page's median height and 1.5 at least, of the median of that line as it stands, else it
+    starts a line. Since heights only rise (fall, for native pages), no earlier line is ever nearer. Inside a line
+    fragments go from left to right.
     """
     from ..functions.text import join_tokens
 
     usable = fragments.filter((F.btrim("text") != "") & F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("mid", F.col("y") + F.coalesce(F.abs("height") / 2, F.lit(0.0)))
-    scale = usable.groupBy(*PAGE).agg(F.coalesce(F.percentile(F.when(F.abs("height") > 0.1, F.abs("height")), 0.5), F.percentile(F.when(F.abs("font_size") > 0.1, F.abs("font_size")), 0.5), F.lit(8.0)).alias("scale"))
-    way = F.desc("mid") if source.startswith("pdf") else F.asc("mid")
-    w = Window.partitionBy(*PAGE).orderBy(way, "x", "frag_idx")
-    jump = F.abs(F.col("mid") - F.lag("mid").over(w)) > F.greatest(F.lit(1.5), 0.45 * F.col("scale"))
-    lined = usable.join(scale, PAGE).withColumn("jump", jump.cast("int")).withColumn("line", F.sum(F.coalesce("jump", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    lines = lined.groupBy(*PAGE, "line", "scale").agg(F.percentile("mid", 0.5).alias("y"), join_tokens(F.transform(F.array_sort(F.collect_list(F.struct("x", "frag_idx", "text"))), lambda f: f["text"])).alias("text"))
+    way = -F.col("mid") if source.startswith("pdf") else F.col("mid")
+    scale = F.coalesce(F.percentile(F.when(F.abs("height") > 0.1, F.abs("height")), 0.5), F.percentile(F.when(F.abs("font_size") > 0.1, F.abs("font_size")), 0.5), F.lit(8.0))
+    page = usable.groupBy(*PAGE).agg(scale.alias("scale"), F.array_sort(F.collect_list(F.struct(way.alias("way"), "frag_idx", "x", "text", "mid"))).alias("f"))
+    page = page.withColumns({"ys": F.transform("f", lambda f: f["mid"]), "tolerance": F.greatest(F.lit(1.5), 0.45 * F.col("scale"))})
+
+    def step(s: Column, i: Column) -> Column:
+        starts = F.abs(F.get("ys", i) - _median(F.col("ys"), s["since"], i)) > F.col("tolerance")
+        return F.struct(F.when(starts, i).otherwise(s["since"]).alias("since"), F.when(starts, F.concat(s["starts"], F.array(i))).otherwise(s["starts"]).alias("starts"))
+
+    first = F.struct(F.lit(0).alias("since"), F.array(F.lit(0)).alias("starts"))
+    rest = F.when(F.size("f") > 1, F.sequence(F.lit(1), F.size("f") - 1)).otherwise(F.array().cast("array<int>"))
+    cut = page.withColumn("starts", F.aggregate(rest, first, step, lambda s: s["starts"]))
+    lines = cut.select(*PAGE, "scale", "ys", "f", F.size("f").alias("n"), F.posexplode("starts").alias("line", "since"), "starts")
+    until = F.coalesce(F.get("starts", F.col("line") + 1), F.col("n"))
+    inside = F.transform(F.slice("f", F.col("since") + 1, until - F.col("since")), lambda f, i: F.struct(f["x"].alias("x"), i.alias("i"), f["text"].alias("text")))
+    text = join_tokens(F.transform(F.array_sort(inside), lambda f: f["text"]))
+    return lines.select(*PAGE, "line", "scale", _median(F.col("ys"), F.col("since"), until).alias("y"), text.alias("text"))
+
+
+def fragments_to_text(fragments: DataFrame, source: str = "pdf_text", *, para_sep: str = "\n\n") -> DataFrame:
+    """page_number, text from positioned fragments: lines by `layout_lines`, paragraphs where lines lie far apart."""
+    lines = layout_lines(fragments, source)
     by_line = Window.partitionBy(*PAGE).orderBy("line")
     gaps = lines.withColumn("gap", F.abs(F.col("y") - F.lag("y").over(by_line)))
     typical = gaps.groupBy(*PAGE).agg(F.percentile(F.when(F.col("gap") > 0, F.col("gap")), 0.5).alias("typical"))
@@ -260,7 +327,7 @@ def fragments_to_text(fragments: DataFrame, source: str = "pdf_text", *, para_se
     ordered = lambda key: F.transform(F.array_sort(F.collect_list(F.struct(key, "text"))), lambda f: f["text"])
     paragraphs = cut.groupBy(*PAGE, "para").agg(F.array_join(ordered("line"), " ").alias("text"))
     placed = paragraphs.groupBy(*PAGE).agg(F.array_join(ordered("para"), para_sep).alias("text"))
-    plain = fragments.join(usable.select(*PAGE).distinct(), PAGE, "left_anti").groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frag_idx", F.btrim("text").alias("text")))), lambda f: f["text"]), " ").alias("text"))
+    plain = fragments.join(lines.select(*PAGE).distinct(), PAGE, "left_anti").groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frag_idx", F.btrim("text").alias("text")))), lambda f: f["text"]), " ").alias("text"))
     return placed.unionByName(plain)
 
 

@@ -323,14 +323,15 @@ def accepted(trie: dict[str, np.ndarray], symbols: np.ndarray, at: np.ndarray, w
     return rows[rows >= 0]
 
 
-PARTS = ("symbols", "base", "check", "accepts", "phrases")
+#: What of a trie is sent to the tasks, and the kinds of its numbers.
+SENT = {"symbols": U64, "base": np.int32, "check": np.int32, "accepts": np.int32}
 TRIE = "shard int, n long, symbols binary, base binary, check binary, accepts binary, phrases binary"
 
 
 def build_shard(frame: pd.DataFrame) -> pd.DataFrame:
     phrases = frame[["g1", "g2", "g3"]].to_numpy(np.int64).view(U64)
     made = build_trie(phrases) | {"phrases": phrases}
-    return pd.DataFrame([{"shard": frame["shard"].iloc[0], "n": len(frame), **{k: made[k].tobytes() for k in PARTS}}])
+    return pd.DataFrame([{"shard": frame["shard"].iloc[0], "n": len(frame), **{k: made[k].tobytes() for k in (*SENT, "phrases")}}])
 
 
 def tries(candidates: DataFrame, shards: int) -> DataFrame:
@@ -341,11 +342,11 @@ def tries(candidates: DataFrame, shards: int) -> DataFrame:
 
 
 def count_phrases(seed: int, pack, shards: int):
-    """(g1, g2, g3, n): how often the phrases of a pack of tries occur in a task's texts."""
+    """(shard, row, n): how often the phrases of a pack of tries occur in a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = pack.value
-        counts = {k: np.zeros(len(t["phrases"]), np.int64) for k, t in found.items()}
+        counts = {k: np.zeros(t["n"], np.int64) for k, t in found.items()}
         for held in held_symbols(batches, seed):
             symbol, piece = held.arrays()
             for words in (2, 3):
@@ -360,14 +361,22 @@ def count_phrases(seed: int, pack, shards: int):
                     counts[k] += np.bincount(hits, minlength=len(counts[k]))
         for k, n in counts.items():
             some = np.flatnonzero(n)
-            g = found[k]["phrases"][some]
-            yield pa.RecordBatch.from_arrays([signed(g[:, 0]), signed(g[:, 1]), pa.array(g[:, 2].view(np.int64), mask=g[:, 2] == 0), pa.array(n[some])], ["g1", "g2", "g3", "n"])
+            yield pa.RecordBatch.from_arrays([pa.repeat(np.int32(k), len(some)), pa.array(some.astype(np.int32)), pa.array(n[some])], ["shard", "row", "n"])
 
     return run
 
 
+def phrases_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, phrases) -> (shard, row, g1, g2, g3)."""
+    for batch in batches:
+        for shard, phrases in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            g = np.frombuffer(phrases.as_buffer(), np.int64).reshape(-1, 3)
+            columns = [np.ascontiguousarray(c) for c in g.T]
+            yield pa.RecordBatch.from_arrays([pa.repeat(np.int32(shard), len(g)), pa.array(np.arange(len(g), dtype=np.int32)), pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], mask=columns[2] == 0)], ["shard", "row", "g1", "g2", "g3"])
+
+
 def counted_by_tries(texts: DataFrame, candidates: DataFrame, seed: int) -> DataFrame:
-    """(g1, g2, g3, n) of all candidates that occur: a pass over the texts for each pack of tries."""
+    """(g1, g2, g3, n) of all candidates that occur: a pass over the texts for each pack of tries. At most PACK phrases, about 30 bytes each, are on the driver at a time."""
     shards = -(-candidates.count() // SHARD)
     if not shards:
         return candidates.select("g1", "g2", "g3", F.lit(0).cast("long").alias("n"))
@@ -375,19 +384,20 @@ def counted_by_tries(texts: DataFrame, candidates: DataFrame, seed: int) -> Data
     per_pack, sums = max(1, PACK // SHARD), []
     for low in range(0, shards, per_pack):
         pack = {}
-        for r in built.filter(F.col("shard").between(low, low + per_pack - 1)).toLocalIterator():
-            kinds = dict(zip(PARTS, (U64, np.int32, np.int32, np.int32, U64), strict=True))
-            pack[r.shard] = {k: np.frombuffer(r[k], kinds[k]) for k in PARTS}
-            pack[r.shard]["phrases"] = pack[r.shard]["phrases"].reshape(-1, 3)
+        # Arrow: what comes to the driver is passed on as it is, without a copy for each row
+        rows = built.filter(F.col("shard").between(low, low + per_pack - 1)).select("shard", "n", *SENT).toArrow()
+        for k in range(rows.num_rows):
+            pack[rows["shard"][k].as_py()] = {"n": rows["n"][k].as_py()} | {name: np.frombuffer(rows[name][k].as_buffer(), kind) for name, kind in SENT.items()}
         sent = texts.sparkSession.sparkContext.broadcast(pack)
-        found = texts.mapInArrow(count_phrases(seed, sent, shards), "g1 long, g2 long, g3 long, n long")
-        sums.append(common.saved(found.groupBy("g1", "g2", "g3").agg(F.sum("n").alias("n")), "phrase-counts"))
+        del pack, rows
+        found = texts.mapInArrow(count_phrases(seed, sent, shards), "shard int, row int, n long")
+        sums.append(common.saved(found.groupBy("shard", "row").agg(F.sum("n").alias("n")), "phrase-counts"))
         sent.destroy()
-        del pack
     out = sums[0]
     for more in sums[1:]:
         out = out.unionByName(more)
-    return out
+    named = built.select("shard", "phrases").mapInArrow(phrases_of, "shard int, row int, g1 long, g2 long, g3 long")
+    return out.join(named, ["shard", "row"]).select("g1", "g2", "g3", "n")
 
 
 # --- scores

@@ -21,8 +21,9 @@ from scenewright.llm import common, exact_dedup, near_dedup, packing, quality, r
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality classifier rejects."""
-    scored = quality.scored(docs, quality.learned(docs, common.labels(spark, sf_dir)), score_col="__score")
-    return scored.filter(F.col("__score") >= quality.THRESHOLD).select(docs.columns)
+    score = common.unused(docs, "__score")
+    scored = quality.scored(docs, quality.learned(docs, common.labels(spark, sf_dir)), score_col=score)
+    return scored.filter(F.col(score) >= quality.THRESHOLD).select(common.columns_of(docs))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut out strings of 400 bytes and more that occur elsewhere; n_chars follows the text."""
     kept = repeats.remove_repeats(docs)
-    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns) if "n_chars" in docs.columns else kept.select(docs.columns)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(common.columns_of(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

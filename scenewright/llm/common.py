@@ -96,3 +96,16 @@ def text_or_empty(text: str = "text") -> Column:
 def text_key(text: str = "text") -> Column:
     """128 bits of the text's SHA-256, null as empty: rows are put together by it, so that ids never pass through Python."""
     return F.substring(F.unhex(F.sha2(text_or_empty(text), 256)), 1, 16)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, or name with underscores after it where df has such a column, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """df's columns for a select, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -60,12 +60,13 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_first_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns."""
-    found = exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
-    marked = docs.withColumn("__sha", F.sha2(normalised(text_col), 256))
-    kept = marked.join(found, marked[id_col].eqNullSafe(F.col("__kept_id")) & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
-    again = Window.partitionBy(id_col, "__sha").orderBy(id_col)
-    return kept.withColumn("__n", F.row_number().over(again)).filter("__n = 1").select(docs.columns)
+    """The rows of docs that exact_dedup keeps, with all their columns, whatever these are called."""
+    sha, place, kept_id, kept_sha = (common.unused(docs, n) for n in ("__sha", "__n", "__kept_id", "__kept_sha"))
+    found = exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
+    marked = docs.withColumn(sha, F.sha2(normalised(text_col), 256))
+    kept = marked.join(found, marked[id_col].eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
+    again = Window.partitionBy(id_col, sha).orderBy(id_col)
+    return kept.withColumn(place, F.row_number().over(again)).filter(F.col(place) == 1).select(common.columns_of(docs))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

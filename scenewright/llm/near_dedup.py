@@ -413,9 +413,10 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
 
 
 def keep_one_of_each(docs: DataFrame, *, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that near_duplicates keeps, with all their columns."""
-    gone = near_duplicates(docs, words=words, id_col=id_col, text_col=text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    """The rows of docs that near_duplicates keeps, with all their columns, whatever these are called."""
+    gone = common.unused(docs, "__gone")
+    found = near_duplicates(docs, words=words, id_col=id_col, text_col=text_col).filter("NOT kept").select(F.col("doc_id").alias(gone))
+    return docs.join(found, docs[id_col] == F.col(gone), "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

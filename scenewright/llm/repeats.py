@@ -306,10 +306,13 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def with_spans(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with a column __spans: null where nothing repeats."""
-    found = repeated_spans(docs, length=length, id_col=id_col, text_col=text_col).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"))
-    return docs.withColumn("__key", common.text_key(text_col)).join(found, F.col("__key") == F.col("__found"), "left").drop("__key", "__found")
+def with_spans(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "__spans") -> DataFrame:
+    """docs with a column spans_col, which must be new: null where nothing repeats."""
+    if common.unused(docs, spans_col) != spans_col:
+        raise ValueError(f"there is a column {spans_col}")
+    key, found = common.unused(docs, "__key"), common.unused(docs, "__found")
+    spans = repeated_spans(docs, length=length, id_col=id_col, text_col=text_col).select(F.col("key").alias(found), F.col("spans").alias(spans_col))
+    return docs.withColumn(key, common.text_key(text_col)).join(spans, F.col(key) == F.col(found), "left").drop(key, found)
 
 
 def measured(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
@@ -321,10 +324,10 @@ def measured(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def trimmed(marked: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def trimmed(marked: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "__spans") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the rows of with_spans()."""
     measure = F.pandas_udf(measured, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return marked.select(F.col(id_col).alias("doc_id"), measure(text_col, "__spans").alias("r")).select("doc_id", "r.*")
+    return marked.select(F.col(id_col).alias("doc_id"), measure(text_col, spans_col).alias("r")).select("doc_id", "r.*")
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -351,8 +354,9 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
             out.append(without(raw, inner).decode("utf-8"))
         return pd.Series(out, dtype=object)
 
-    marked = with_spans(docs, length=length, id_col=id_col, text_col=text_col)
-    return marked.withColumn(text_col, F.pandas_udf(shorten, "string")(text_col, "__spans")).drop("__spans")
+    spans = common.unused(docs, "__spans")
+    marked = with_spans(docs, length=length, id_col=id_col, text_col=text_col, spans_col=spans)
+    return marked.withColumn(text_col, F.pandas_udf(shorten, "string")(text_col, spans)).drop(spans)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,3 +182,18 @@ def test_stages_on_odd_tables(spark):
             out = stage(spark, given, DATA)
             assert name == "packing" or out.columns == given.columns
             assert (out.count() > 0) == (given is rows) or name == "quality"
+
+
+@needs_tables
+def test_stages_keep_columns_named_like_their_own(spark):
+    """Extra columns come out with their values, whatever they are called."""
+    names = ["__score", "__SCORE_", "__sha", "__n", "__key", "__found", "__spans", "__gone", "__kept_id", "__kept_sha", "registers", "digest", "a.b", "node", "label"]
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, rows, DATA)
+        assert out.columns == rows.columns
+        got = out.select("doc_id", *[F.col(f"`{n}`") for n in names]).collect()
+        assert got and all(r[n] == f"{n}:{r.doc_id}" for r in got for n in names), name
+    with pytest.raises(ValueError):
+        repeats.with_spans(rows)

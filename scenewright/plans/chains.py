@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import lexicons
 from ..functions.folders import shared_folder
 from ..operators import continuity, entities, facts, identity, packages, structure
 from ..sources import tables
@@ -17,6 +18,9 @@ from . import books
 def people(spark: SparkSession, sf_dir: str):
     """Mentions, group members and canonical characters of all books."""
     known, mentions = books.gate_inputs(spark, sf_dir)
+    # ids that sort by book and name: the order in which names found their groups
+    own = F.concat_ws("|", "document_id", "canonical_name")
+    known, mentions = known.withColumn("entity_id", own), mentions.withColumn("entity_id", own)
     # invented prose has no speech verbs or titles, so names are let through by how often they occur
     decision = F.when(F.col("mention_count") >= 5, "validated").when(F.col("mention_count") >= 2, "probable").otherwise("review")
     gate = known.withColumns({"decision": decision, "score": F.least(F.lit(1.0), F.col("mention_count") / 10)})
@@ -183,12 +187,52 @@ QUERIES = {f.__name__: f for f in (
     stream_status_counts, stream_stale_jobs, stream_sessions, stream_attribute_changes, stream_page_store, page_range_scan,
 )}
 
+_TITLE_SQL = "^(?i)(?:" + "|".join(lexicons.PERSON_TITLES) + r")\.?\s+"
+_LIST = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+#: Groups of names by first fit, in rounds over all fitting pairs, and what becomes of them.
+PEOPLE_SQL = f"""{books.MENTIONS_SQL},
+known AS (SELECT source AS d, name, count(*) AS n FROM names_ GROUP BY 1, 2 HAVING count(*) >= 2),
+kept AS (SELECT *, d || '|' || name AS id, trim(regexp_replace(lower(regexp_replace(name, '{_TITLE_SQL}', '')), '[^a-z0-9]+', ' ', 'g')) AS base,
+  string_split(trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')), ' ') AS f FROM known),
+good AS (SELECT *, string_split(base, ' ') AS t FROM kept WHERE base <> '' AND NOT list_has_any(string_split(base, ' '), {_LIST(lexicons.SEMANTIC_BLOCK_WORDS)})),
+prefix_ AS (SELECT s.d, s.id AS x, l.id AS y FROM good s JOIN good l ON s.d = l.d AND (s.f = l.f[1:len(l.f) - 1] OR (s.f = l.f[1:len(l.f) - 2] AND list_contains({_LIST(lexicons.QUALIFIERS)}, l.f[-1])))
+  WHERE len(s.f) >= 2 AND list_contains({_LIST(lexicons.PERSON_TITLES)}, s.f[1])),
+near_ AS (SELECT a.d, a.id AS a, b.id AS b, false AS p FROM good a JOIN good b ON a.d = b.d AND a.t[-1] = b.t[-1] AND a.id < b.id UNION ALL SELECT d, least(x, y), greatest(x, y), true FROM prefix_),
+both_ AS (SELECT d, a, b, bool_or(p) AS p FROM near_ GROUP BY ALL),
+judged AS (SELECT n.d, n.a, n.b, CASE WHEN a.base = b.base THEN 'normalized_exact' WHEN len(a.t) >= 2 AND len(b.t) >= 2 AND a.t[-1] = b.t[-1] THEN CASE WHEN len(a.t) = 2 AND len(b.t) = 2 AND a.t[1][1] = b.t[1][1] THEN 'same_surname_initial_variant' END
+  WHEN a.t[-1] = b.t[-1] AND (len(a.t) = 1) <> (len(b.t) = 1) THEN 'surname_variant' WHEN n.p THEN 'qualified_identity_variant' END AS method
+  FROM both_ n JOIN good a ON a.id = n.a JOIN good b ON b.id = n.b),
+fit_ AS (SELECT *, CASE method WHEN 'normalized_exact' THEN 0.98::DOUBLE WHEN 'same_surname_initial_variant' THEN 0.86::DOUBLE WHEN 'surname_variant' THEN 0.82::DOUBLE ELSE 0.88::DOUBLE END AS confidence FROM judged WHERE method IS NOT NULL),
+rounds AS (
+  SELECT 0 AS i, id, CASE WHEN id IN (SELECT b FROM fit_) THEN NULL ELSE true END AS root FROM kept
+  UNION ALL
+  SELECT i + 1, id, CASE WHEN root IS NOT NULL THEN root WHEN taken THEN false WHEN settled THEN true END FROM (
+    SELECT r.i, r.id, r.root, bool_or(coalesce(o.root, false)) AS taken, bool_and(o.root IS NOT NULL) AS settled
+    FROM rounds r LEFT JOIN fit_ f ON f.b = r.id LEFT JOIN rounds o ON o.id = f.a WHERE r.i < 12 GROUP BY 1, 2, 3)),
+roots AS (SELECT id, root FROM rounds WHERE i = 12),
+home AS (SELECT f.b AS id, arg_min({{'g': f.a, 'c': f.confidence, 'm': f.method}}, f.a) AS h FROM fit_ f JOIN roots o ON o.id = f.a AND o.root JOIN roots x ON x.id = f.b AND NOT x.root GROUP BY 1),
+members AS (SELECT k.d, coalesce(h.h.g, k.id) AS g, k.id, k.name, k.n, coalesce(h.h.c, 1.0::DOUBLE) AS confidence, coalesce(h.h.m, 'canonical') AS method,
+  k.name LIKE '%-' OR (length(k.name) <= 4 AND NOT contains(regexp_replace(k.name, '{_TITLE_SQL}', ''), ' ')) AS fragment FROM kept k LEFT JOIN home h USING (id)),
+held AS (SELECT d, g, count(*) AS n, min(confidence) AS c, any_value(name) FILTER (WHERE method = 'canonical') AS name, count(*) > 1 AND NOT bool_or(fragment) AS alias,
+  min({{'id': id, 'name': name, 'score': least(1.0::DOUBLE, n / 10)}}) FILTER (WHERE n >= 5) AS v FROM members GROUP BY 1, 2),
+people AS (SELECT d, g, CASE WHEN alias OR v IS NOT NULL THEN 'confirmed' WHEN n = 1 THEN 'singleton' END AS status, CASE WHEN alias OR v IS NULL THEN name ELSE v.name END AS name,
+  greatest(CASE WHEN alias THEN least(c, greatest(c, 0.5)) ELSE c END, coalesce(v.score, 0)) AS confidence, coalesce(v.id, g) AS main FROM held)"""
+
 ORACLES = {
     "scene_continuity": """WITH s AS (SELECT user_id, event_id, event_type, CASE WHEN CAST(props->>'$.k' AS INTEGER) > 50 THEN 'yes' END AS big FROM events),
 w AS (SELECT *, row_number() OVER o = 1 OR (event_type = lag(event_type) OVER o AND big IS NOT DISTINCT FROM lag(big) OVER o) AS same FROM s WINDOW o AS (PARTITION BY user_id ORDER BY event_id))
 SELECT event_id AS scene_id, CASE WHEN same THEN CAST(user_id AS VARCHAR) ELSE '' END AS carried, CASE WHEN same THEN '' ELSE CAST(user_id AS VARCHAR) END AS changed, event_type AS objects FROM w""",
     "stream_status_counts": """WITH e AS (SELECT *, CAST(ts AS DATE) AS d FROM events), m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events)
 SELECT strftime(d, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM e, m WHERE d + INTERVAL 1 DAY <= mark GROUP BY 1, 2""",
+    "canonical_people": f"WITH RECURSIVE {PEOPLE_SQL} SELECT d AS document_id, name AS canonical_name, status, round(confidence, 3) AS confidence FROM people WHERE status IS NOT NULL",
+    "canonical_aliases": f"""WITH RECURSIVE {PEOPLE_SQL} SELECT m.d AS document_id, m.name AS alias, CASE WHEN m.id = p.main THEN 'canonical' WHEN p.status = 'confirmed' THEN 'alias' ELSE 'variant' END AS relationship, round(m.confidence, 3) AS confidence
+FROM members m JOIN people p ON p.d = m.d AND p.g = m.g WHERE p.status IS NOT NULL""",
+    "scene_context": f"""WITH RECURSIVE {PEOPLE_SQL},
+owners AS (SELECT m.id, m.g FROM members m JOIN people p ON p.d = m.d AND p.g = m.g WHERE p.status IS NOT NULL),
+c AS (SELECT n.doc_id, count(DISTINCT o.g) AS characters FROM names_ n JOIN owners o ON o.id = n.source || '|' || n.name GROUP BY 1),
+th AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z''-]+')) AS term FROM documents),
+ob AS (SELECT doc_id, string_agg(upper(term[1]) || term[2:], ',' ORDER BY term) AS objects FROM th WHERE list_contains({_LIST(books.THINGS)}, term) GROUP BY 1)
+SELECT d.source AS document_id, d.doc_id AS scene_id, coalesce(c.characters, 0) AS characters, coalesce(ob.objects, '') AS objects FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN ob USING (doc_id)""",
     "stream_sessions": """WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events),
 e AS (SELECT user_id, ts, coalesce(ts > lag(ts) OVER w + INTERVAL 6 HOUR, true)::INT AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e),

@@ -63,7 +63,7 @@ def join_tokens(tokens: Column) -> Column:
         return (
             F.when(t == "", out).when(out == "", t)
             .when(out.endswith("-") & t.rlike(r"^\p{Ll}"), F.concat(F.substr(out, F.lit(1), F.length(out) - 1), t))
-            .when(t.rlike(r"^[,.;:!?%)\]}]") | out.rlike(r"[(\[{—–/]$"), F.concat(out, t))
+            .when(F.substring(t, 1, 1).isin(*",.;:!?%)]}") | F.substring(out, -1, 1).isin(*"([{—–/"), F.concat(out, t))
             .otherwise(F.concat_ws(" ", out, t))
         )
 

@@ -64,6 +64,15 @@ def scene_continuity(states: DataFrame, objects: DataFrame, scenes: DataFrame, *
     return scenes.select(scene).join(people, scene, "left").join(things, scene, "left")
 
 
+def environment_state(profiles: DataFrame, facts: DataFrame, *, scene: str = "scene_id") -> DataFrame:
+    """Per scene a map of each environment's name to its facts of that scene, by falling confidence; scenes without any have no row."""
+    places = profiles.filter("profile_type = 'environment'").select("profile_id", "canonical_name")
+    told = facts.filter(F.col(scene).isNotNull()).join(places, "profile_id")
+    fact = F.struct((-F.col("confidence")).alias("c"), "fact_id", "attribute", "value")
+    each = told.groupBy(scene, "canonical_name").agg(F.transform(F.array_sort(F.collect_list(fact)), lambda f: F.struct(f["attribute"].alias("attribute"), f["value"].alias("value"), (-f["c"]).alias("confidence"))).alias("facts"))
+    return each.groupBy(scene).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("canonical_name", "facts")))).alias("environment_state"))
+
+
 def canonical_ids(scene_ids: DataFrame, mapping: DataFrame, *, scene: str = "scene_id") -> DataFrame:
     """scene_ids (scene, entity_ids) with entity ids replaced by canonical ones, ordered and unique; unmapped ids are dropped."""
     each = scene_ids.select(scene, F.posexplode("entity_ids").alias("at", "entity_id")).join(mapping.select("entity_id", "canonical_id"), "entity_id")

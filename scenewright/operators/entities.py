@@ -105,7 +105,7 @@ def resolve_entities(entities: DataFrame, mentions: DataFrame, honorifics: list[
     by_key = exact.filter("entity_id <> canonical_id").select("document_id", F.col("canonical_id").alias("entity_id"), F.col("canonical_name").alias("alias"), F.lit("normalized_exact").alias("method"), F.least("confidence", F.lit(0.95)).alias("confidence"), F.lit(0).alias("rank"))
     by_title = titled.select("document_id", F.col("canonical_id").alias("entity_id"), "alias", F.lit("titled_name_variant").alias("method"), F.lit(0.82).alias("confidence"), F.lit(0).alias("rank"))
     every = spelled.unionByName(by_key).unionByName(by_title).withColumn("__low", F.lower("alias"))
-    aliases = first_of(every, ["document_id", "entity_id", "__low"], [F.col("rank"), F.col("alias")]).drop("rank", "__low")
+    aliases = first_of(every, ["document_id", "entity_id", "__low"], [F.col("rank"), F.col("alias"), F.desc("confidence"), F.col("method")]).drop("rank", "__low")
     return kept, moved, aliases
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
+from ..functions.ranges import first_of
 from ..functions.text import quoted
 
 
@@ -50,7 +51,7 @@ def visual_facts(characters: DataFrame, members: DataFrame, mentions: DataFrame,
         hits.append(F.struct(F.lit(rank).alias("rank"), F.lit(category).alias("category"), F.lit(attribute).alias("attribute"), value.alias("value"), F.lit(method).alias("method")))
     found = said.withColumn("h", F.explode(F.filter(F.array(*hits), lambda h: h["value"] != "")))
     keys = ["document_id", "profile_id", "scene_id", "clause"]
-    best = found.groupBy(*keys, F.col("h.category").alias("category"), F.col("h.attribute").alias("attribute")).agg(F.min_by(F.struct(F.col("h.value").alias("value"), F.col("h.method").alias("method"), "confidence"), "h.rank").alias("b"))
+    best = found.groupBy(*keys, F.col("h.category").alias("category"), F.col("h.attribute").alias("attribute")).agg(F.min(F.struct(F.col("h.rank").alias("rank"), F.col("h.value").alias("value"), F.col("h.method").alias("method"), "confidence")).alias("b"))
     return best.select("document_id", "profile_id", "category", "attribute", "b.value", "scene_id", F.col("clause").alias("evidence"), F.least(F.lit(0.98), F.greatest(F.lit(0.35), F.col("b.confidence"))).alias("confidence"), "b.method").dropDuplicates(["profile_id", "category", "attribute", "value", "scene_id", "evidence"])
 
 
@@ -115,6 +116,35 @@ def character_context(characters: DataFrame, aliases: DataFrame, facts: DataFram
     return characters.withColumnRenamed("group_id", "profile_id").join(names, "profile_id", "left").join(by_category, "profile_id", "left")
 
 
+def canonical_profiles(characters: DataFrame, members: DataFrame) -> DataFrame:
+    """characters with source_ids, their members by falling confidence, then by id."""
+    best = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("confidence")).alias("c"), "entity_id"))), lambda m: m["entity_id"])
+    return characters.join(members.groupBy("document_id", "group_id").agg(best.alias("source_ids")), ["document_id", "group_id"])
+
+
+def profile_reads(profiles: DataFrame, facts: DataFrame, kind: str, *, name: str | None = None) -> DataFrame:
+    """Profiles (document_id, profile_id, profile_type, canonical_name, confidence) of a kind (character, environment, object) with their facts by falling confidence.
+
+    With name, of each document's profiles of that name the one of highest confidence, then lowest id.
+    """
+    rows = profiles.filter(F.col("profile_type") == kind)
+    if name is not None:
+        rows = first_of(rows.filter(F.col("canonical_name") == name), ["document_id"], [F.desc("confidence"), F.col("profile_id")])
+    told = facts.groupBy("profile_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("confidence")).alias("c"), "fact_id", "attribute", "value"))).alias("f"))
+    shown = F.transform("f", lambda x: F.struct(x["attribute"].alias("attribute"), x["value"].alias("value"), (-x["c"]).alias("confidence")))
+    return rows.join(told, "profile_id", "left").withColumn("facts", F.coalesce(shown, F.array().cast("array<struct<attribute:string,value:string,confidence:double>>"))).drop("f")
+
+
+def expanded_context(context: DataFrame, profiles: DataFrame, *, ids: dict[str, str]) -> DataFrame:
+    """Scenes (scene_id and arrays of profile ids) with an array of (canonical_name, confidence) for each array, in its order; unknown ids are left out. ids: array column -> name of the new one."""
+    out = context
+    for column, name in ids.items():
+        each = context.select("scene_id", F.posexplode(column).alias("at", "profile_id")).join(profiles.select("profile_id", "canonical_name", "confidence"), "profile_id")
+        held = each.groupBy("scene_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "canonical_name", "confidence"))), lambda x: F.struct(x["canonical_name"].alias("canonical_name"), x["confidence"].alias("confidence"))).alias(name))
+        out = out.join(held, "scene_id", "left").withColumn(name, F.coalesce(name, F.array().cast(held.schema[name].dataType)))
+    return out
+
+
 def audit(scenes: DataFrame, profiled: DataFrame, facts: DataFrame, context: DataFrame, *, n: int = 10) -> DataFrame:
     """section, metric, value: coverage, fact quality, continuity and noise."""
     share = lambda a, b: F.round(100.0 * a / F.greatest(b, F.lit(1)), 3)

@@ -85,6 +85,13 @@ def health(queue: DataFrame, *, group: str, statuses: list[str]) -> DataFrame:
     return queue.groupBy(group).pivot("status", statuses).agg(F.count(F.lit(1))).fillna(0)
 
 
+def health_report(queue: DataFrame, assets: DataFrame, used: DataFrame, *, kind: str = "media_type") -> DataFrame:
+    """kind, area, status, n of each media type: jobs by status, assets by status and in total, and how often a provider was used."""
+    by_status = lambda df, area: df.groupBy(kind, "status").agg(F.count(F.lit(1)).alias("n")).select(kind, F.lit(area).alias("area"), "status", "n")
+    whole = lambda df, area, name: df.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).select(kind, F.lit(area).alias("area"), F.lit(name).alias("status"), "n")
+    return by_status(queue, "queue").unionByName(by_status(assets, "assets")).unionByName(whole(assets, "assets", "total")).unionByName(whole(used, "usage", "records"))
+
+
 def usage(rows: DataFrame, *, day_limit: float) -> DataFrame:
     """Cost by day against the limit."""
     return rows.groupBy(F.to_date("at").alias("day")).agg(F.sum("cost").alias("cost")).withColumn("over_limit", F.col("cost") > day_limit)

@@ -103,7 +103,10 @@ def scene_packages(scenes: DataFrame, children: dict[str, tuple[DataFrame, list[
 
 def evidence_list(*typed: tuple[str, Column]) -> Column:
     """Arrays of structs with a `text` field, as one array of (kind, text)."""
-    return F.concat(*[F.transform(c, lambda x, k=kind: F.struct(F.lit(k).alias("kind"), x["text"].alias("text"))) for kind, c in typed])
+    def of(kind: str, c: Column) -> Column:
+        return F.transform(c, lambda x: F.struct(F.lit(kind).alias("kind"), x["text"].alias("text")))
+
+    return F.concat(*[of(kind, c) for kind, c in typed])
 
 
 def render(packages: DataFrame, template: str = "{title}. {moment} Characters: {names}. Source-grounded; unknown details stay unknown.", *, clips: int = 3) -> DataFrame:

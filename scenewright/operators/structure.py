@@ -280,10 +280,10 @@ def chapter_markers(pages: DataFrame) -> DataFrame:
     return df.groupBy(*PAGE).agg(F.min_by(F.struct(F.when(lower, F.regexp_replace("next", "[.,:;]$", "")).otherwise(own).alias("number"), F.regexp_extract(title, r"^(.*?)(?:[.!?]|\s+IN\s|$)", 1).alias("title")), "line_idx").alias("m")).select(*PAGE, "m.number", "m.title")
 
 
-def _median(values: Column, since: Column, until: Column) -> Column:
-    """Median of values[since:until] of an array in order (ascending or descending)."""
-    n = until - since
-    return (F.get(values, since + F.floor((n - 1) / 2).cast("int")) + F.get(values, since + F.floor(n / 2).cast("int"))) / 2
+def _median(values: Column) -> Column:
+    """Median of an array in order (ascending or descending)."""
+    n = F.size(values)
+    return (F.get(values, F.floor((n - 1) / 2).cast("int")) + F.get(values, F.floor(n / 2).cast("int"))) / 2
 
 
 def layout_lines(fragments: DataFrame, source: str = "pdf_text") -> DataFrame:
@@ -300,20 +300,20 @@ def layout_lines(fragments: DataFrame, source: str = "pdf_text") -> DataFrame:
     way = -F.col("mid") if source.startswith("pdf") else F.col("mid")
     scale = F.coalesce(F.percentile(F.when(F.abs("height") > 0.1, F.abs("height")), 0.5), F.percentile(F.when(F.abs("font_size") > 0.1, F.abs("font_size")), 0.5), F.lit(8.0))
     page = usable.groupBy(*PAGE).agg(scale.alias("scale"), F.array_sort(F.collect_list(F.struct(way.alias("way"), "frag_idx", "x", "text", "mid"))).alias("f"))
-    page = page.withColumns({"ys": F.transform("f", lambda f: f["mid"]), "tolerance": F.greatest(F.lit(1.5), 0.45 * F.col("scale"))})
-
-    def step(s: Column, i: Column) -> Column:
-        starts = F.abs(F.get("ys", i) - _median(F.col("ys"), s["since"], i)) > F.col("tolerance")
-        return F.struct(F.when(starts, i).otherwise(s["since"]).alias("since"), F.when(starts, F.concat(s["starts"], F.array(i))).otherwise(s["starts"]).alias("starts"))
-
-    first = F.struct(F.lit(0).alias("since"), F.array(F.lit(0)).alias("starts"))
-    rest = F.when(F.size("f") > 1, F.sequence(F.lit(1), F.size("f") - 1)).otherwise(F.array().cast("array<int>"))
-    cut = page.withColumn("starts", F.aggregate(rest, first, step, lambda s: s["starts"]))
-    lines = cut.select(*PAGE, "scale", "ys", "f", F.size("f").alias("n"), F.posexplode("starts").alias("line", "since"), "starts")
-    until = F.coalesce(F.get("starts", F.col("line") + 1), F.col("n"))
-    inside = F.transform(F.slice("f", F.col("since") + 1, until - F.col("since")), lambda f, i: F.struct(f["x"].alias("x"), i.alias("i"), f["text"].alias("text")))
-    text = join_tokens(F.transform(F.array_sort(inside), lambda f: f["text"]))
-    return lines.select(*PAGE, "line", "scale", _median(F.col("ys"), F.col("since"), until).alias("y"), text.alias("text"))
+    tolerance = F.greatest(F.lit(1.5), 0.45 * F.col("scale"))
+    first = F.struct(F.lit(0).alias("i"), F.array().cast("array<double>").alias("ys"), F.array(F.lit(0)).alias("starts"))
+
+    def step(s: Column, f: Column) -> Column:
+        starts = (s["i"] > 0) & (F.abs(f["mid"] - _median(s["ys"])) > tolerance)
+        here = F.array(f["mid"])
+        return F.struct((s["i"] + 1).alias("i"), F.when(starts, here).otherwise(F.concat(s["ys"], here)).alias("ys"), F.when(starts, F.concat(s["starts"], F.array(s["i"]))).otherwise(s["starts"]).alias("starts"))
+
+    folded = page.select(*PAGE, "scale", "f", F.aggregate("f", first, step, lambda s: s["starts"]).alias("starts"))
+    # lines are cut out inside the page's row, so that no line carries its page along
+    cut = F.transform("starts", lambda since, k: F.slice("f", since + 1, F.coalesce(F.get("starts", k + 1), F.size("f")) - since))
+    lines = folded.select(*PAGE, "scale", F.posexplode(cut).alias("line", "in_line"))
+    text = join_tokens(F.transform(F.array_sort(F.transform("in_line", lambda f, i: F.struct(f["x"].alias("x"), i.alias("i"), f["text"].alias("text")))), lambda f: f["text"]))
+    return lines.select(*PAGE, "line", "scale", _median(F.transform("in_line", lambda f: f["mid"])).alias("y"), text.alias("text"))
 
 
 def fragments_to_text(fragments: DataFrame, source: str = "pdf_text", *, para_sep: str = "\n\n") -> DataFrame:

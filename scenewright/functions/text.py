@@ -106,9 +106,10 @@ def clean_limit(c: Column, n: int) -> Column:
 
 
 def unique_limit(items: Column, n: int) -> Column:
-    """The first n items that differ, whatever their case, in order."""
-    seen = F.aggregate(items, F.array().cast("array<string>"), lambda out, x: F.when(F.exists(out, lambda y: F.lower(y) == F.lower(x)), out).otherwise(F.concat(out, F.array(x))))
-    return F.slice(F.filter(seen, lambda x: x.isNotNull()), 1, n)
+    """The first n items that differ, whatever their case, in order; each item is compared with those kept so far, n at most."""
+    some = F.filter(items, lambda x: x.isNotNull())
+    known = lambda out, x: (F.size(out) >= n) | F.exists(out, lambda y: F.lower(y) == F.lower(x))
+    return F.aggregate(some, F.array().cast("array<string>"), lambda out, x: F.when(known(out, x), out).otherwise(F.concat(out, F.array(x))))
 
 
 def strip_quotes(c: Column) -> Column:

@@ -64,9 +64,12 @@ def presence(names: DataFrame, events: DataFrame, contexts: DataFrame, *, keys:
     visible and referenced: how many names of a scene are listed of either kind, in order of the name (all by default).
     """
     told = events.select(*keys, F.col("text").alias("t")).unionByName(contexts.select(*keys, F.col("context").alias("t")))
-    met = names.join(told, keys, "left")
-    seen = F.contains(F.lower("t"), F.lower("canonical_name")) & (has("t", L.ACTION) | has("t", L.PRESENCE))
-    out = met.groupBy(*keys, "canonical_name").agg(F.bool_or(F.coalesce(seen, F.lit(False))).alias("visible"))
+    # only texts with such a word are looked at, each once, with all names of its scene beside it
+    lively = told.filter(has("t", L.ACTION) | has("t", L.PRESENCE)).select(*keys, F.lower("t").alias("low"))
+    each = names.select(*keys, "canonical_name").distinct()
+    beside = lively.join(each.groupBy(*keys).agg(F.collect_list("canonical_name").alias("ns")), keys)
+    seen = beside.select(*keys, F.explode(F.filter("ns", lambda n: F.contains(F.col("low"), F.lower(n)))).alias("canonical_name")).distinct()
+    out = each.join(seen.withColumn("seen", F.lit(True)), [*keys, "canonical_name"], "left").select(*keys, "canonical_name", F.coalesce("seen", F.lit(False)).alias("visible"))
     if visible is None and referenced is None:
         return out
     place = F.row_number().over(Window.partitionBy(*keys, "visible").orderBy("canonical_name"))
@@ -82,7 +85,7 @@ def direction(c: Column, has_dialogue: Column, has_characters: Column) -> Column
 def infer_attributes(known: DataFrame, priors: DataFrame, roles: DataFrame) -> DataFrame:
     """profile_id, attribute, value, source: source facts without conflict, and priors of the role for attributes that are not known."""
     facts = known.filter("status <> 'conflict'").select("profile_id", "attribute", "value", F.lit("source").alias("source"))
-    guessed = roles.join(F.broadcast(priors), "role").select("profile_id", "attribute", "value").join(known.select("profile_id", "attribute").distinct(), ["profile_id", "attribute"], "left_anti")
+    guessed = roles.join(priors, "role").select("profile_id", "attribute", "value").join(known.select("profile_id", "attribute").distinct(), ["profile_id", "attribute"], "left_anti")
     return facts.unionByName(guessed.withColumn("source", F.lit("inferred")))
 
 

@@ -89,7 +89,7 @@ def clean_openings(spark, sf_dir):
 def first_words(spark, sf_dir):
     """The first 12 words of a document that differ, whatever their case."""
     words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
-    return books.documents(spark, sf_dir).select("doc_id", F.array_join(unique_limit(F.slice(words, 1, 60), 12), " ").alias("words"))
+    return books.documents(spark, sf_dir).select("doc_id", F.array_join(unique_limit(words, 12), " ").alias("words"))
 
 
 def unquoted_texts(spark, sf_dir):

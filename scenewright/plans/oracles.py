@@ -179,7 +179,7 @@ s AS (SELECT scene_id, count(DISTINCT profile_id) AS characters, count(*) AS men
 SELECT s.*, (SELECT count(*) FROM tx WHERE tx.scene_id = s.scene_id) AS facts, coalesce(first_facts, '') AS first_facts, lag(s.scene_id) OVER (ORDER BY s.scene_id) AS previous_id, lead(s.scene_id) OVER (ORDER BY s.scene_id) AS next_id FROM s LEFT JOIN ff USING (scene_id)"""
 
 CLEAN_OPENINGS = r"SELECT doc_id, md5(rtrim(substr(trim(regexp_replace(text, '\s+', ' ', 'g')), 1, 300))) AS opening_md5 FROM documents"
-FIRST_WORDS = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')[1:60] AS ws FROM documents), e AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+FIRST_WORDS = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS ws FROM documents), e AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
 d AS (SELECT doc_id, arg_min(x, i) AS x, min(i) AS i FROM e GROUP BY doc_id, lower(x)), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM d),
 j AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS words FROM r WHERE k <= 12 GROUP BY 1) SELECT documents.doc_id, coalesce(words, '') AS words FROM documents LEFT JOIN j USING (doc_id)"""
 UNQUOTED_TEXTS = """SELECT doc_id, md5(regexp_replace(text, '["“][^"”]*["”]', ' ', 'g')) AS text_md5 FROM documents"""

@@ -12,8 +12,10 @@ at a time, by the tokenizer library's search over the same scores, and remembere
 the state at a cut is how many characters of the piece across it lie before the cut. Each
 chunk yields, on its own, the matrix of best scores from every state at its start to every
 state at its end. The matrices are combined associatively by max-plus products, first in
-blocks of `SPAN` chunks and then over the blocks, which gives the state at each cut, and
-each chunk then traces back between its two states.
+blocks of `SPAN` chunks and then over the blocks, which gives the best score of each state at
+each cut. From these each chunk tells which state at its start belongs to each state at its end;
+such maps are combined from the right, and each chunk then traces back between its two states.
+So equal sums, of which there are many, are decided in chunks as they are in whole texts.
 
 Defined results: null and empty texts have no ids; equal sums go to the path whose last
 pieces start first, as in the common implementation; a literal U+2581 decodes to a space;
@@ -237,6 +239,34 @@ class Pieces:
                 out[k, : len(ends)] = ends
         return out
 
+    def entered(self, before: str, part: str, scores: np.ndarray) -> np.ndarray:
+        """For each state at the end the state at the start that the chosen path has, given the best score of each state at the start.
+
+        The scores are those of the best paths up to the places before the cut, so going on
+        from them all finds the places' scores as in the whole text, and of equal sums the one
+        whose last pieces start first, too.
+        """
+        s, cut = before + part, len(before)
+        head, _ = self.middle(s, cut)
+        best, origin = [NOWHERE] * (head + 1), [0] * (head + 1)
+        for k in range(min(len(scores), cut + 1)):
+            best[cut - k], origin[cut - k] = float(scores[k]), k
+        for i in range(max(0, cut + 1 - len(scores)), head):
+            now, single = best[i], False
+            if now == NOWHERE:
+                continue
+            for j in range(i + 1, head + 1):
+                if (found := self.table.get(s[i:j])) is None:
+                    break
+                single |= j == i + 1 and found[0] >= 0
+                if j > cut and found[0] >= 0 and now + found[1] > best[j]:
+                    best[j], origin[j] = now + found[1], origin[i]
+            if not single and i + 1 > cut and now + self.unknown > best[i + 1]:
+                best[i + 1], origin[i + 1] = now + self.unknown, origin[i]
+        if head < len(s):  # every path breaks there
+            return np.full(len(scores), origin[head], np.int16)
+        return np.array([origin[head - k] if head - k > cut else k - len(part) if k >= len(part) else 0 for k in range(len(scores))], np.int16)
+
     def traced(self, before: str, part: str, enter: int, leave: int) -> bytes:
         """Ids of the chunk's best path from one state to another; a piece belongs to the chunk that it ends in."""
         s, begin = before + part, len(before) - enter
@@ -281,15 +311,6 @@ def scanned(m: np.ndarray) -> np.ndarray:
     return out
 
 
-def states_at_cuts(m: np.ndarray, enter: int = 0, leave: int = 0) -> list[int]:
-    """The state at each cut of the best path between two states."""
-    ahead = scanned(m)[:, enter, :]  # best scores from the start to each state of each cut
-    states = [leave]
-    for i in range(len(m) - 1, 0, -1):
-        states.append(int(np.argmax(ahead[i - 1] + m[i, :, states[-1]])))
-    return [enter, *states[::-1]]
-
-
 def matrices(frame: pd.DataFrame) -> np.ndarray:
     size = int(np.sqrt(len(frame["matrix"].iloc[0]) / 8))
     return np.array([np.frombuffer(x).reshape(size, size) for x in frame["matrix"]])
@@ -300,16 +321,54 @@ def block_product(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": frame["key"].iloc[:1], "block": frame["block"].iloc[:1], "matrix": [scanned(matrices(frame))[-1].tobytes()]})
 
 
+def scores_at_blocks(frame: pd.DataFrame) -> pd.DataFrame:
+    """The best score of each state at the start of each block of a text."""
+    frame = frame.sort_values("block")
+    m = matrices(frame)
+    start = np.full(m.shape[1], NOWHERE)
+    start[0] = 0.0
+    ahead = [start, *scanned(m)[:-1, 0, :]]
+    return frame[["key", "block"]].assign(scores=[v.tobytes() for v in ahead])
+
+
+def scores_at_chunks(frame: pd.DataFrame) -> pd.DataFrame:
+    """The same at the start of each chunk of a block."""
+    frame = frame.sort_values("chunk")
+    start = np.frombuffer(frame["scores"].iloc[0])
+    ahead = [start, *(start[:, None] + scanned(matrices(frame))[:-1]).max(axis=1)]
+    return frame[["key", "block", "chunk"]].assign(scores=[v.tobytes() for v in ahead])
+
+
+def turned_back(frame: pd.DataFrame) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int16) for x in frame["back"]]
+
+
+def block_back(frame: pd.DataFrame) -> pd.DataFrame:
+    """For each state at the end of a block the state at its start: its chunks' maps, one after the other from the right."""
+    whole = None
+    for back in reversed(turned_back(frame.sort_values("chunk"))):
+        whole = back if whole is None else back[whole]
+    return pd.DataFrame({"key": frame["key"].iloc[:1], "block": frame["block"].iloc[:1], "back": [whole.tobytes()]})
+
+
+def states_from_the_right(maps: list[np.ndarray], leave: int) -> tuple[list[int], list[int]]:
+    enters, leaves = [], []
+    for back in reversed(maps):
+        leaves.append(leave)
+        leave = int(back[leave])
+        enters.append(leave)
+    return enters[::-1], leaves[::-1]
+
+
 def states_of_blocks(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("block")
-    states = states_at_cuts(matrices(frame))
-    return frame[["key", "block"]].assign(enter=states[:-1], leave=states[1:])
+    return frame[["key", "block"]].assign(leave=states_from_the_right(turned_back(frame), 0)[1])
 
 
 def states_of_chunks(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("chunk")
-    states = states_at_cuts(matrices(frame), int(frame["enter"].iloc[0]), int(frame["leave"].iloc[0]))
-    return frame[["key", "chunk"]].assign(enter=states[:-1], leave=states[1:])
+    enter, leave = states_from_the_right(turned_back(frame), int(frame["leave"].iloc[0]))
+    return frame[["key", "chunk"]].assign(enter=enter, leave=leave)
 
 
 def digested(pieces: Pieces, ids: list[bytes]) -> pd.DataFrame:
@@ -352,6 +411,11 @@ def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, spa
                 some = batch.iloc[at : at + 16]
                 yield some[["key", "chunk"]].assign(matrix=[pieces.transfer(b, p).tobytes() for b, p in zip(some["before"], some["part"], strict=True)])
 
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces = Pieces(model)
+        for batch in batches:
+            yield batch[["key", "block", "chunk"]].assign(back=[pieces.entered(b, p, np.frombuffer(v)).tobytes() for b, p, v in zip(batch["before"], batch["part"], batch["scores"], strict=True)])
+
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(model)
         for batch in batches:
@@ -366,8 +430,12 @@ def encode(docs: DataFrame, *, model: str | None = None, chunk: int = CHUNK, spa
     spread = chunks.repartition(parts, "key", "chunk")
     steps = common.saved(spread.mapInPandas(transfers, "key binary, chunk int, matrix binary").withColumn("block", F.floor(F.col("chunk") / span).cast("int")), "piece-matrices")
     blocks = steps.groupBy("key", "block").applyInPandas(block_product, "key binary, block int, matrix binary")
-    ends = blocks.groupBy("key").applyInPandas(states_of_blocks, "key binary, block int, enter int, leave int")
-    cuts = steps.join(ends, ["key", "block"]).groupBy("key", "block").applyInPandas(states_of_chunks, "key binary, chunk int, enter int, leave int")
+    starts = blocks.groupBy("key").applyInPandas(scores_at_blocks, "key binary, block int, scores binary")
+    at_chunks = steps.join(starts, ["key", "block"]).groupBy("key", "block").applyInPandas(scores_at_chunks, "key binary, block int, chunk int, scores binary")
+    known = chunks.join(at_chunks, ["key", "chunk"]).repartition(parts, F.xxhash64("key", "chunk"))
+    backs = common.saved(known.mapInPandas(choose, "key binary, block int, chunk int, back binary"), "piece-states")
+    ends = backs.groupBy("key", "block").applyInPandas(block_back, "key binary, block int, back binary").groupBy("key").applyInPandas(states_of_blocks, "key binary, block int, leave int")
+    cuts = backs.join(ends, ["key", "block"]).groupBy("key", "block").applyInPandas(states_of_chunks, "key binary, chunk int, enter int, leave int")
     met = chunks.join(cuts, ["key", "chunk"]).repartition(parts, F.xxhash64("key", "chunk"))  # by other keys than the join's, else it is left out
     traced = met.mapInPandas(trace, "key binary, chunk int, ids binary")
     joined = traced.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"]).alias("parts"))

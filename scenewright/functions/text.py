@@ -93,11 +93,15 @@ def entity_key(c: Column) -> Column:
     return squeezed(F.regexp_replace(F.regexp_replace(F.lower(F.btrim(c)), "[’'`]", ""), r"[^a-z0-9\s-]", " "))
 
 
-def context_window(text: Column, term: Column, radius: int = 220, low: Column | None = None) -> Column:
-    """radius characters around the first hit of term, whatever its case, else the first radius characters; trimmed. low: the text in lower case, where it is at hand."""
-    at = F.instr(F.lower(text) if low is None else low, F.lower(term))
+def context_at(text: Column, at: Column, size: Column, radius: int = 220) -> Column:
+    """radius characters around the size characters at place at (from 1), or the first radius characters where at is 0; trimmed."""
     start = F.greatest(F.lit(1), at - radius)
-    return F.btrim(F.when(at == 0, F.substring(text, 1, radius)).otherwise(F.substr(text, start, at - start + F.length(term) + radius)))
+    return F.btrim(F.when(at == 0, F.substring(text, 1, radius)).otherwise(F.substr(text, start, at - start + size + radius)))
+
+
+def context_window(text: Column, term: Column, radius: int = 220) -> Column:
+    """The text around the first hit of term, whatever its case, else its beginning; trimmed."""
+    return context_at(text, F.instr(F.lower(text), F.lower(term)), F.length(term), radius)
 
 
 def clean_limit(c: Column, n: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as L
 from ..functions.phrases import with_phrases
 from ..functions.ranges import first_of
-from ..functions.text import context_window, entity_key
+from ..functions.text import context_at, entity_key
 
 _NAME = r"[A-Z][A-Za-z'-]+"
 TITLED = rf"\b{L.any_of(L.TITLES)}\s+{_NAME}(?:\s+{_NAME}){{0,2}}"
@@ -45,7 +45,9 @@ def extract_mentions(scenes: DataFrame, rules: list[tuple] | None = None, stop:
     places = F.transform(F.filter("__best", lambda x: x["entity_type"].isin("location", "environment")), lambda x: F.lower(x["canonical_name"]))
     rows = rows.withColumns({"__places": places, "__low": F.lower("text")})
     kept = F.filter("__best", lambda x: (x["entity_type"] != "character") | ~F.array_contains("__places", F.lower(x["canonical_name"])))
-    said = F.transform(kept, lambda x: F.struct(x["entity_type"].alias("entity_type"), x["canonical_name"].alias("canonical_name"), x["confidence"].alias("confidence"), context_window(F.col("text"), x["canonical_name"], low=F.col("__low")).alias("context")))
+    # a name is looked for once, its place is used often
+    placed = F.transform(kept, lambda x: F.struct(x["entity_type"].alias("entity_type"), x["canonical_name"].alias("canonical_name"), x["confidence"].alias("confidence"), F.instr(F.col("__low"), F.lower(x["canonical_name"])).alias("at")))
+    said = F.transform(placed, lambda x: F.struct(x["entity_type"].alias("entity_type"), x["canonical_name"].alias("canonical_name"), x["confidence"].alias("confidence"), context_at(F.col("text"), x["at"], F.length(x["canonical_name"])).alias("context")))
     others = [c for c in scenes.columns if c not in ("text", "title", "strategy")]
     return rows.select(*others, F.explode(said).alias("__m")).select(*others, "__m.*")
 
@@ -118,5 +120,6 @@ def object_mentions(scenes: DataFrame, lexicon: list[str] | DataFrame | None = N
     """
     rows = scenes.select(*keys, "text", F.lower("text").alias("__low"))
     found = with_phrases(rows, L.PROPS if lexicon is None else lexicon, text_col="__low", out="__terms", bounds="token")
-    hits = F.transform("__terms", lambda t: F.struct(F.initcap(t).alias("object"), context_window(F.col("text"), t, radius, low=F.col("__low")).alias("evidence")))
+    placed = F.transform("__terms", lambda t: F.struct(t.alias("term"), F.instr(F.col("__low"), t).alias("at")))
+    hits = F.transform(placed, lambda x: F.struct(F.initcap(x["term"]).alias("object"), context_at(F.col("text"), x["at"], F.length(x["term"]), radius).alias("evidence")))
     return found.select(*keys, F.explode(hits).alias("__hit")).select(*keys, "__hit.object", "__hit.evidence", F.lit(0.55).alias("confidence"))

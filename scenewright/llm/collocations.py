@@ -376,7 +376,7 @@ def phrases_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def counted_by_tries(texts: DataFrame, candidates: DataFrame, seed: int) -> DataFrame:
-    """(g1, g2, g3, n) of all candidates that occur: a pass over the texts for each pack of tries. At most PACK phrases, about 30 bytes each, are on the driver at a time."""
+    """(g1, g2, g3, n) of all candidates that occur: a pass over the texts for each pack of tries. At most PACK phrases, about 100 bytes each, are on the driver at a time."""
     shards = -(-candidates.count() // SHARD)
     if not shards:
         return candidates.select("g1", "g2", "g3", F.lit(0).cast("long").alias("n"))

@@ -38,16 +38,28 @@ PROPS = [
 ]
 
 COMMON_WORDS = [
-    "a", "an", "and", "are", "as", "at", "be", "been", "before", "but", "by", "can", "could", "did", "do", "does", "for", "from",
-    "had", "has", "have", "he", "her", "here", "him", "his", "how", "i", "if", "in", "is", "it", "its", "just", "like", "many",
-    "more", "most", "my", "never", "no", "not", "now", "of", "on", "one", "or", "only", "perhaps", "quite", "said", "see", "she",
-    "so", "some", "such", "than", "that", "the", "their", "them", "then", "there", "these", "they", "this", "those", "through",
-    "to", "too", "two", "under", "up", "us", "very", "was", "we", "were", "what", "when", "where", "which", "while", "why", "who",
-    "will", "with", "without", "would", "you", "your", "after", "about", "again", "all", "also", "another", "any", "because",
-    "both", "each", "every", "few", "first", "great", "how", "last", "less", "little", "long", "much", "next", "none", "nothing",
-    "often", "once", "other", "over", "same", "since", "still", "though", "three", "until", "upon", "well", "yet", "ice",
+    "a", "an", "and", "are", "as", "at", "be", "been", "before", "but", "by", "can", "could", "did", "do", "does", "for", "from", "had", "has", "have",
+    "he", "her", "here", "him", "his", "how", "i", "if", "in", "is", "it", "its", "just", "like", "many", "more", "most", "my", "never", "no", "not",
+    "now", "of", "on", "one", "or", "only", "perhaps", "quite", "rather", "said", "see", "she", "so", "some", "such", "than", "that", "the", "their",
+    "them", "then", "there", "these", "they", "this", "those", "through", "to", "too", "two", "under", "up", "us", "very", "was", "we", "were", "what",
+    "when", "where", "which", "while", "why", "who", "will", "with", "without", "would", "you", "your", "after", "above", "about", "again", "almost",
+    "already", "also", "always", "another", "any", "anyone", "anything", "around", "because", "behind", "below", "between", "both", "during", "each",
+    "either", "enough", "every", "everywhere", "except", "few", "first", "following", "further", "get", "got", "great", "half", "however", "indeed",
+    "instead", "itself", "last", "less", "little", "long", "maybe", "most", "much", "neither", "next", "none", "nothing", "often", "once", "other",
+    "otherwise", "over", "same", "several", "since", "someone", "something", "soon", "still", "though", "three", "together", "toward", "towards",
+    "until", "upon", "well", "whatever", "whenever", "whether", "within", "yet", "having", "ice", "all", "besides", "certainly", "come", "doubtless",
+    "hence",
 ]
 
+#: Words that are no name by themselves, titles included.
+NON_NAMES = [
+    "after", "all", "and", "are", "before", "but", "for", "from", "how", "let", "not", "nothing", "now", "one", "some", "still", "suddenly", "that", "the",
+    "then", "this", "while", "with", "yes", "no", "we", "they", "he", "she", "sir", "colonel", "professor", "captain", "mr", "dr", "lady", "lord",
+]
+
+#: Names of places that pass for names of people.
+PLACE_NAMES = ["africa", "iceland", "england", "russia", "europe", "europeans", "london", "cape town", "south africa", "greenwich", "zambesi", "kalahari"]
+
 DEMOGRAPHIC_WORDS = [
     "african", "english", "englishman", "european", "french", "icelandic", "icelanders", "russians", "danish", "makololos", "makololo",
     "bochjesmen", "queen", "earth", "orange", "reykjawik", "sneffels", "mother",
@@ -119,23 +131,62 @@ COMBAT = r"(?i)\b(?:battle|fight|fought|attack|attacked|strike|struck|weapon|swo
 TRAVEL = r"(?i)\b(?:walk|walked|run|ran|travel|travelled|traveled|arrive|arrived|leave|left|cross|crossed|journey)\b"
 REACTION = r"(?i)\b(?:fear|afraid|frightened|angry|furious|grief|sad|wept|cried|shocked|astonished|surprised|regret|regretted)\b"
 
-#: (dimension, label, phrase, weight): a small default; a real lexicon is a table.
-WORLD_SIGNALS = [
-    ("narrative_type", "mythology", "mythology", 8), ("narrative_type", "mythology", "deity", 7), ("narrative_type", "mythology", "rama", 8),
-    ("narrative_type", "mythology", "sita", 8), ("narrative_type", "mythology", "shiva", 8), ("narrative_type", "mythology", "ravana", 8),
-    ("narrative_type", "historical", "history", 5), ("narrative_type", "historical", "revolution", 5), ("narrative_type", "historical", "independence", 5),
-    ("narrative_type", "historical", "kingdom", 2), ("narrative_type", "historical", "king", 1), ("narrative_type", "historical", "war", 1),
-    ("narrative_type", "patriotic", "patriot", 6), ("narrative_type", "patriotic", "freedom fighter", 8), ("narrative_type", "patriotic", "nation", 2),
-    ("narrative_type", "fantasy", "wizard", 7), ("narrative_type", "fantasy", "dragon", 7), ("narrative_type", "crime_thriller", "detective", 7),
-    ("narrative_type", "crime_thriller", "murder", 6), ("narrative_type", "science_fiction", "spaceship", 8), ("narrative_type", "science_fiction", "robot", 6),
-    ("religious_context", "hindu", "shiva", 8), ("religious_context", "hindu", "rama", 8), ("religious_context", "hindu", "sita", 8),
-    ("religious_context", "christian", "christ", 8), ("religious_context", "islamic", "islam", 8), ("religious_context", "buddhist", "buddha", 8),
-    ("culture", "indic", "india", 6), ("culture", "indic", "ayodhya", 7), ("culture", "indic", "mithila", 7), ("culture", "greek", "athens", 6),
-    ("culture", "roman", "rome", 6), ("culture", "japanese", "samurai", 7), ("region", "india", "ayodhya", 7), ("region", "india", "mithila", 7),
-    ("region", "japan", "tokyo", 6), ("period", "ancient", "ancient", 5), ("period", "medieval", "feudal", 5), ("period", "modern", "telephone", 4),
+#: Roles and the words that tell them, the first that fits.
+ROLES = [
+    ("deity", r"(?i)\b(?:lord|deity|god|goddess|shiva|vishnu|indra|brahma|deva|devi)\b"), ("warrior", r"(?i)\b(?:warrior|soldier|fighter|champion|guard)\b"),
+    ("ruler", r"(?i)\b(?:king|queen|ruler|emperor|empress|prince|princess|chief)\b"), ("ascetic", r"(?i)\b(?:ascetic|sage|rishi|guru|mendicant|monk|hermit|yogi)\b"),
+    ("elder", r"(?i)\b(?:elder|aged|ancient|grandfather|grandmother)\b"),
 ]
 
-ROLES = [("deity", r"(?i)\b(?:god|goddess|deity|divine)\b"), ("warrior", r"(?i)\b(?:warrior|soldier|fighter|general)\b"), ("ruler", r"(?i)\b(?:king|queen|emperor|ruler|prince|princess)\b"), ("ascetic", r"(?i)\b(?:ascetic|sage|monk|hermit)\b"), ("elder", r"(?i)\b(?:elder|old man|old woman|grandfather|grandmother)\b")]
+#: What a role lets one suppose, of whatever genre.
+ROLE_PRIORS = {
+    "person": ["natural human proportions", "credible posture and body language for the narrative role"],
+    "warrior": ["physically capable posture appropriate to the narrative role", "practical period-appropriate equipment only when source context supports it"],
+    "ruler": ["composed, authoritative presence appropriate to the story world", "status-aware clothing only when supported by the source context"],
+    "deity": ["commanding presence appropriate to the established belief or mythic context", "ceremonial or symbolic styling only where source context supports it"],
+    "ascetic": ["disciplined, restrained presentation appropriate to the narrative role"],
+    "elder": ["mature, dignified presence without inventing an exact age"],
+}
+
+#: What a genre lets one suppose.
+GENRE_BASELINES = {
+    "general_narrative": [
+        "cinematic presentation appropriate to the supplied story world", "physically plausible anatomy, materials, lighting, and environment",
+        "do not introduce culture-, religion-, period-, or country-specific details unless source context supports them",
+    ],
+    "mythology": [
+        "cinematic mythic presentation appropriate to the source's identified cultural and religious context", "period-appropriate materials and garments only when supported by the world context",
+        "no modern objects, architecture, typography, or technology unless source-supported",
+    ],
+    "historical": [
+        "historically appropriate visual presentation using the detected region and period", "material culture should follow source-supported historical context",
+        "avoid anachronistic modern objects or styling unless source-supported",
+    ],
+    "biography": ["visual presentation appropriate to the source person's documented time, place, and social context", "do not fictionalize unsupported appearance or events"],
+    "patriotic": [
+        "visual presentation appropriate to the detected national, historical, and political context",
+        "use flags, uniforms, insignia, or national symbols only when source-supported or strongly established by the world context",
+    ],
+    "fantasy": ["cinematic fantasy presentation while preserving the source's established rules and setting", "fantastical elements must be source-supported rather than freely invented"],
+    "crime_thriller": ["cinematic thriller presentation appropriate to the detected location and period", "realistic contemporary details only when supported by source context"],
+    "science_fiction": ["cinematic science-fiction presentation consistent with the source's technological and temporal rules", "do not invent technology beyond the established story world"],
+}
+
+#: (attribute, words of which a supposed value holds one, or starts with where marked by ^): the first that fits.
+PRIOR_ATTRIBUTES = [
+    ("physique", ["physique", "anatomy"]), ("presentation", ["presence", "presentation", "styling", "body language", "posture"]), ("costume_direction", ["garment", "clothing"]),
+    ("world_context", ["^detected "]), ("environment_rules", ["modern", "materials", "technology"]),
+]
+
+#: Attributes of facts and the attribute of priors that they settle.
+ATTRIBUTE_ALIASES = {
+    "build": "physique", "body_type": "physique", "clothing": "costume_direction", "attire": "costume_direction", "garments": "costume_direction",
+    "eyes": "eye_color", "face": "face_geometry", "expression": "presentation",
+}
+
+#: Traits of identity that are unknown unless the source tells them, and those that no prior may speak of.
+IDENTITY_TRAITS = ["eye_color", "hair_color", "exact_height", "exact_age", "facial_measurements"]
+NEVER_SUPPOSED = ["eye_color", "hair_color", "exact_age", "exact_height", "facial_measurements"]
 
 
 def any_of(words: list[str]) -> str:

@@ -9,17 +9,14 @@ from ..functions import lexicons as L
 from ..functions.phrases import with_phrases
 
 
-def classify_documents(texts: DataFrame, lexicon: DataFrame | None = None, *, id_col: str = "document_id", text_col: str = "text", top: int = 5, evidence: int = 12, word_boundary: bool = False) -> DataFrame:
+def classify_documents(texts: DataFrame, lexicon: DataFrame, *, id_col: str = "document_id", text_col: str = "text", top: int = 5, evidence: int = 12, word_boundary: bool = False) -> DataFrame:
     """id, dimension, rank, label, score, confidence, evidence: the best labels of each dimension.
 
-    A phrase counts once a document if its lower-cased text holds it (as a whole word with
+    lexicon: dimension, label, phrase, weight. A phrase counts once a document if its lower-cased text holds it (as a whole word with
     word_boundary). texts may have several rows an id, pages for instance: each is looked
     at by itself, so that no document's text is put together, and a phrase across two rows
     is not seen. Equal scores keep the lexicon's order (column `position`, or the label).
     """
-    spark = texts.sparkSession
-    if lexicon is None:
-        lexicon = spark.createDataFrame([(i, *row) for i, row in enumerate(L.WORLD_SIGNALS)], "position int, dimension string, label string, phrase string, weight int")
     if "position" not in lexicon.columns:
         lexicon = lexicon.withColumn("position", F.lit(0))
     low = F.lower(F.regexp_replace(text_col, r"\s+", " "))

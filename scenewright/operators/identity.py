@@ -134,8 +134,8 @@ def classify_evidence(entities: DataFrame, mentions: DataFrame) -> DataFrame:
     one = lambda label, s, reason: F.struct(F.lit(label).alias("label"), F.lit(s).alias("score"), none.alias("evidence"), F.array(F.lit(reason)).alias("reasons"))
     verdict = (
         F.when(F.col("entity_type").isin("location", "environment", "organization", "object", "event"), F.struct(F.lit("non_character").alias("label"), F.lit(0.99).alias("score"), none.alias("evidence"), F.array(F.concat(F.lit("upstream_"), "entity_type", F.lit("_type"))).alias("reasons")))
-        .when(low.isin(L.COMMON_WORDS) | low.isin(L.PERSON_TITLES), one("reference", 0.99, "common_word_or_title_only"))
-        .when(n.rlike(rf"(?i)\b(?:{'|'.join(L.INSTITUTION_WORDS)})\b"), one("non_character", 0.98, "place_institution_or_publication_signal"))
+        .when(low.isin(L.NON_NAMES), one("reference", 0.99, "common_word_or_title_only"))
+        .when(low.isin(L.PLACE_NAMES) | n.rlike(rf"(?i)\b(?:{'|'.join(L.INSTITUTION_WORDS)})\b"), one("non_character", 0.98, "place_institution_or_publication_signal"))
         .when(F.length(n) > 45, one("reference", 0.95, "unusually_long_entity_name"))
         .when(F.col("hits") == 0, one("reference", 0.90, "no_exact_name_in_mention_context"))
         .otherwise(F.struct(F.when(score >= 0.70, "validated").when(score >= 0.45, "probable").when(score >= 0.20, "uncertain").otherwise("reference").alias("label"), score.alias("score"), F.coalesce("evidence", none).alias("evidence"), why.alias("reasons")))

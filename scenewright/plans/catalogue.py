@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import books, chains, details, media, oracles, tables
+from . import books, chains, details, exports, media, oracles, tables
 
 
 def wide(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,5 +22,5 @@ def wide(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return run
 
 
-QUERIES = {name: wide(query) for name, query in {**books.QUERIES, **tables.QUERIES, **chains.QUERIES, **media.QUERIES, **details.QUERIES}.items()}
-ORACLES = {**books.ORACLES, **tables.ORACLES, **chains.ORACLES, **oracles.ORACLES, **details.ORACLES}
+QUERIES = {name: wide(query) for name, query in {**books.QUERIES, **tables.QUERIES, **chains.QUERIES, **media.QUERIES, **details.QUERIES, **exports.QUERIES}.items()}
+ORACLES = {**books.ORACLES, **tables.ORACLES, **chains.ORACLES, **oracles.ORACLES, **details.ORACLES, **exports.ORACLES}

@@ -35,8 +35,8 @@ c AS (SELECT source, name AS n, count(*) AS m, count(DISTINCT doc_id) AS s, coun
   count(*) FILTER (WHERE hit AND regexp_matches(context, '{bounded_sql(identity.PRONOUN)}')) AS p FROM h GROUP BY 1, 2),
 x AS (SELECT *, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, {points((_TITLED, 0.25), (_SHAPE, 0.08), ("m >= 10", 0.12), ("m BETWEEN 3 AND 9", 0.07), ("m = 1", -0.08), ("s >= 5", 0.08))}
   + least(0.30::DOUBLE, d * 0.10::DOUBLE) + least(0.18::DOUBLE, a * 0.03::DOUBLE) + least(0.08::DOUBLE, p * 0.015::DOUBLE))), 6) AS raw,
-  CASE WHEN lower(n) IN ({listed(lexicons.COMMON_WORDS)}) OR lower(n) IN ({listed(lexicons.PERSON_TITLES)}) THEN 'common_word_or_title_only'
-    WHEN regexp_matches(n, '(?i)(?:^|{books._EDGE})(?:{"|".join(lexicons.INSTITUTION_WORDS)})(?:{books._EDGE}|$)') THEN 'place_institution_or_publication_signal'
+  CASE WHEN lower(n) IN ({listed(lexicons.NON_NAMES)}) THEN 'common_word_or_title_only'
+    WHEN lower(n) IN ({listed(lexicons.PLACE_NAMES)}) OR regexp_matches(n, '(?i)(?:^|{books._EDGE})(?:{"|".join(lexicons.INSTITUTION_WORDS)})(?:{books._EDGE}|$)') THEN 'place_institution_or_publication_signal'
     WHEN length(n) > 45 THEN 'unusually_long_entity_name' WHEN hits = 0 THEN 'no_exact_name_in_mention_context' END AS early FROM c)
 SELECT source AS document_id, n AS canonical_name,
   CASE early WHEN 'common_word_or_title_only' THEN 'reference' WHEN 'place_institution_or_publication_signal' THEN 'non_character' WHEN 'unusually_long_entity_name' THEN 'reference' WHEN 'no_exact_name_in_mention_context' THEN 'reference'

@@ -37,11 +37,16 @@ def test_continuity(spark):
 
 def test_classification(spark):
     docs = spark.createDataFrame([(1, "Rama and Sita pray at the temple. Shiva is invoked in Ayodhya."), (2, "The king led the war from his kingdom, while Rama invoked Shiva."), (3, "A traveler entered a remote settlement.")], "document_id long, text string")
-    got = {(r.document_id, r.dimension): r.label for r in classify.classify_documents(docs).filter("rank = 1").collect()}
+    signals = [
+        ("narrative_type", "mythology", "rama", 8), ("narrative_type", "mythology", "shiva", 8), ("narrative_type", "historical", "kingdom", 2), ("narrative_type", "historical", "war", 1),
+        ("religious_context", "hindu", "shiva", 8), ("culture", "indic", "ayodhya", 7),
+    ]
+    lexicon = spark.createDataFrame(signals, "dimension string, label string, phrase string, weight int")
+    got = {(r.document_id, r.dimension): r.label for r in classify.classify_documents(docs, lexicon).filter("rank = 1").collect()}
     assert got[1, "narrative_type"] == "mythology" and got[1, "religious_context"] == "hindu" and got[1, "culture"] == "indic"
     assert got[2, "narrative_type"] == "mythology" and (3, "culture") not in got and (3, "religious_context") not in got
     drama = spark.createDataFrame([(1, "A drama.")], "document_id long, text string")
-    assert classify.classify_documents(drama).count() > 0 and classify.classify_documents(drama, word_boundary=True).count() == 0
+    assert classify.classify_documents(drama, lexicon).count() > 0 and classify.classify_documents(drama, lexicon, word_boundary=True).count() == 0
 
 
 def test_packages(spark):

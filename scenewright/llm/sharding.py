@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -101,9 +102,18 @@ def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], capacities: list[
     return segments
 
 
-def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, law, shard, slot, grown_shard for every row of docs; with carry also its text, as `text`."""
-    spark = docs.sparkSession
+class Plan(NamedTuple):
+    """starts: (old shard, class, part, first rank); segments: (old shard, class, first rank, end rank, new shard, first slot)."""
+
+    starts: list[tuple[int, int, int, int]]
+    segments: list[tuple[int, int, int, int, int, int]]
+
+    def touched(self) -> list[int]:
+        """Numbers of the shards that gain or lose rows; the segments tell, no row is looked at."""
+        return sorted({shard for o, _, lo, hi, j, _ in self.segments if o != j and lo < hi for shard in (o, j)})
+
+
+def _sized(docs: DataFrame, old_shard: Column, id_col: str, text_col: str, carry: bool) -> DataFrame:
     base = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long").alias("size"),
@@ -112,7 +122,12 @@ def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str
         F.xxhash64(F.col(text_col)).alias("tie"),
         *([F.col(text_col).alias("text")] if carry else []),
     )
-    base = base.withColumn("size_class", F.floor(F.log2("size") * 4).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SUBS)).cast("int"))
+    return base.withColumn("size_class", F.floor(F.log2("size") * 4).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SUBS)).cast("int"))
+
+
+def plan_reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> Plan:
+    """Where the rows of every block go: one pass over docs that counts them, and the flow."""
+    base = _sized(docs, old_shard, id_col, text_col, False)
     counted = base.groupBy("old_shard", "size_class", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect()
     blocks: dict[tuple[int, int], list[int]] = defaultdict(lambda: [0, 0])
     starts = []
@@ -128,14 +143,25 @@ def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str
     for o, c, lo, hi, j in plan_moves({k: (n, b) for k, (n, b) in blocks.items()}, capacities) if total else []:
         segments.append((o, c, lo, hi, j, used[j]))
         used[j] += hi - lo
+    return Plan(starts, segments)
+
+
+def reshard(docs: DataFrame, *, old_shard: Column, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, plan: Plan | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, old_shard, law, shard, slot, grown_shard for every row of docs; with carry also its text, as `text`.
+
+    plan: what plan_reshard() gave for the same rows; without it, it is made here.
+    """
+    spark = docs.sparkSession
+    plan = plan or plan_reshard(docs, old_shard=old_shard, shards=shards, id_col=id_col, text_col=text_col)
     start_type = "old_shard int, size_class int, part int, start long"
     segment_type = "old_shard int, size_class int, lo long, hi long, shard int, slot_base long"
     ranked = (
-        base.withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32", "tie")))
-        .join(F.broadcast(spark.createDataFrame(starts, start_type)), ["old_shard", "size_class", "part"])
+        _sized(docs, old_shard, id_col, text_col, carry)
+        .withColumn("n", F.row_number().over(Window.partitionBy("old_shard", "size_class", "part").orderBy("doc_id", "text_crc32", "tie")))
+        .join(F.broadcast(spark.createDataFrame(plan.starts, start_type)), ["old_shard", "size_class", "part"])
         .withColumn("rank", F.col("start") + F.col("n") - 1)
     )
-    placed = ranked.join(F.broadcast(spark.createDataFrame(segments, segment_type)), ["old_shard", "size_class"]).filter("rank >= lo AND rank < hi")
+    placed = ranked.join(F.broadcast(spark.createDataFrame(plan.segments, segment_type)), ["old_shard", "size_class"]).filter("rank >= lo AND rank < hi")
     return placed.select(
         "doc_id", "size", "text_crc32", "old_shard", F.lit("rows").alias("law"), "shard",
         (F.col("slot_base") + F.col("rank") - F.col("lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *(["text"] if carry else []),
@@ -148,15 +174,16 @@ def affected(placed: DataFrame) -> list[int]:
     return sorted(r.shard for r in moved.collect())  # shard numbers only
 
 
-def rewrite_affected(placed: DataFrame, path: str) -> list[int]:
+def rewrite_affected(placed: DataFrame, path: str, touched: list[int] | None = None) -> list[int]:
     """Write the files of those shards that gain or lose rows, a folder shard=N for each, into path; returns their numbers.
 
-    placed: what reshard() gives with carry=True; the rows go with their places, so null and
+    placed: what reshard() gives with carry=True; touched: their numbers where a plan tells them, else
+    the rows are gone through once more to find them. The rows go with their places, so null and
     repeated ids are kept like any other, and no join is needed. Folders of other shards in
     path stay as they are; path must not be where the documents are read from; an old shard
     beyond the new ones is not written, its folder is left to the caller.
     """
-    touched = affected(placed)
+    touched = affected(placed) if touched is None else touched
     rows = placed.filter(F.col("shard").isin(touched or [-1])).select("doc_id", "text", "slot", "shard")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
     return touched
@@ -168,10 +195,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     The affected shards are rewritten, and their rows are returned as read back from the files.
     """
     old = F.pmod(F.xxhash64(F.coalesce(F.col("source"), F.lit(""))), F.lit(16))
-    placed = reshard(common.documents(spark, sf_dir), old_shard=old, carry=True)
+    docs = common.documents(spark, sf_dir)
+    plan = plan_reshard(docs, old_shard=old)
     path = common.new_path(spark, "shard-files")
-    touched = rewrite_affected(placed, path)
-    stay = placed.filter(~F.col("shard").isin(touched or [-1])).select("doc_id", "size", "text_crc32", "shard", "slot")
+    touched = rewrite_affected(reshard(docs, old_shard=old, carry=True, plan=plan), path, plan.touched())
+    stay = reshard(docs, old_shard=old, plan=plan).filter(~F.col("shard").isin(touched or [-1])).select("doc_id", "size", "text_crc32", "shard", "slot")
     if touched:
         files = spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path)
         size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")

@@ -108,7 +108,9 @@ def test_rewriting_keeps_every_row(spark, tmp_path):
     old = F.pmod(F.regexp_replace("source", "s", "").cast("int"), F.lit(4))
     path = str(tmp_path / "shards")
     docs.select("doc_id", "text", F.lit(0).cast("long").alias("slot"), old.alias("shard")).write.partitionBy("shard").parquet(path)
-    placed = sharding.reshard(docs, old_shard=old, shards=4, carry=True)
+    plan = sharding.plan_reshard(docs, old_shard=old, shards=4)
+    placed = sharding.reshard(docs, old_shard=old, shards=4, carry=True, plan=plan)
+    assert plan.touched() == sharding.affected(placed)
     # rows of shards 0 and 1 only change places with each other
     swapped = placed.withColumn("shard", F.when(F.col("old_shard") == 0, 1).when(F.col("old_shard") == 1, 0).otherwise(F.col("old_shard")))
     before = Counter((r.doc_id, r.text, r.shard) for r in spark.read.parquet(path).select("doc_id", "text", "shard").collect())

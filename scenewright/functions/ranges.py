@@ -64,6 +64,37 @@ def numbered(df: DataFrame, group: str, order: str, out: str, *, width: int = 40
     return staged.join(sums, [group, "__stretch"]).withColumn(out, (rank + F.col("__before")).cast("int")).drop("__stretch", "__before")
 
 
+def in_order(df: DataFrame, keys: list[str], at: list[str], then: list[str | Column] | None = None, *, take: str, rank: str | None = None, previous: str | None = None, following: str | None = None, width: int = 4096) -> DataFrame:
+    """df with its rank within keys and `take` of the rows before and after it, in the order of `at`, then of `then` and `take`, ascending.
+
+    at: whole numbers. The last of them is cut into stretches of `width`; a row is ranked among the rows
+    of its stretch, and counts, first and last rows of the stretches tell the rest. No task orders a whole large
+    group, unless all its rows are at one place. Null keys are a group like any other.
+    """
+    within = [*keys, *at[:-1], "__stretch"]
+    staged = df.withColumn("__stretch", F.floor(F.col(at[-1]) / width))
+    order = [*at, *(then or []), take]
+    by = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order)])
+    # as structs, so that the edge of a stretch is told from a null in it
+    each = staged.groupBy(*within).agg(F.count(F.lit(1)).alias("__n"), F.min_by(F.struct(take), by).alias("__first"), F.max_by(F.struct(take), by).alias("__last"))
+    stretches = Window.partitionBy(*keys).orderBy(*at[:-1], "__stretch")
+    before = F.coalesce(F.sum("__n").over(stretches.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    edges = each.select(*[F.col(c).alias(f"__e{i}") for i, c in enumerate(within)], before.alias("__before"), F.lag("__last").over(stretches).alias("__left"), F.lead("__first").over(stretches).alias("__right"))
+    same = F.lit(True)
+    for i, c in enumerate(within):
+        same = same & F.col(c).eqNullSafe(F.col(f"__e{i}"))
+    inner = Window.partitionBy(*within).orderBy(*order)
+    out = staged.join(edges, same)
+    found = {}
+    if rank:
+        found[rank] = (F.row_number().over(inner) + F.col("__before")).cast("int")
+    if previous:
+        found[previous] = F.coalesce(F.lag(F.struct(take)).over(inner), "__left")[take]
+    if following:
+        found[following] = F.coalesce(F.lead(F.struct(take)).over(inner), "__right")[take]
+    return out.select(*[F.col(c) for c in df.columns if c not in found], *[v.alias(c) for c, v in found.items()])
+
+
 def first_of(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row for each key: the first in order."""
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import in_order
+
 
 def scene_neighbours(scenes: DataFrame, *, group: str, order: list[str], id_col: str) -> DataFrame:
-    """scenes with the previous and next id in order."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return scenes.withColumns({"previous_id": F.lag(id_col).over(w), "next_id": F.lead(id_col).over(w)})
+    """scenes with the previous and next id in order, which is one of whole numbers; of equal ones the lesser id comes first."""
+    return in_order(scenes, [group], order, take=id_col, previous="previous_id", following="next_id")
 
 
 def story_neighbours(scenes: DataFrame, *, keys: list[str], order: str, id_col: str) -> DataFrame:

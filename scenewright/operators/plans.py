@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranges import in_order
 from .packages import direction, quality_errors
 
 #: Style of coverage by class of a scene.
@@ -31,12 +32,12 @@ def scene_assembly(scenes: DataFrame, *, characters: DataFrame, facts: DataFrame
     seen = mentions.groupBy("scene_id", "profile_id").agg(F.count(F.lit(1)).alias("mentions"))
     keys = ["scene_id", "profile_id"]
     people = characters.join(told, keys, "left").join(seen, keys, "left").withColumns({"facts": F.coalesce("facts", F.array().cast(told.schema["facts"].dataType)), "mentions": F.coalesce("mentions", F.lit(0))})
-    out = scenes
+    # neighbours are found before anything nested is beside the scenes
+    out = in_order(scenes, ["document_id"], order, take="scene_id", previous="previous_id", following="next_id")
     for name, rows, fields in (("characters", people, ["canonical_name", "profile_id", "aliases", "facts", "mentions"]), ("objects", objects, ["object"]), ("events", events, ["event_order", "text"]), ("continuity", continuity, ["entity_id", "status"])):
         nested = rows.groupBy("scene_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
         out = out.join(nested, "scene_id", "left").withColumn(name, F.coalesce(name, F.array().cast(nested.schema[name].dataType)))
-    w = Window.partitionBy("document_id").orderBy(*order)
-    return out.withColumns({"previous_id": F.lag("scene_id").over(w), "next_id": F.lead("scene_id").over(w)})
+    return out.select(*[c for c in out.columns if c not in ("previous_id", "next_id")], "previous_id", "next_id")
 
 
 def build_plans(packages: DataFrame, *, clips: int = 3, mobile: str = "9:16") -> DataFrame:

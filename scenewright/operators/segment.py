@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranges import range_join
+from ..functions.ranges import in_order, range_join
 from ..functions.text import squeezed
 
 
@@ -16,13 +16,10 @@ def section_ranges(sections: DataFrame, pages: DataFrame) -> DataFrame:
     ends with the document. Sections beyond the last page are dropped before numbering.
     """
     ends = pages.groupBy("document_id").agg(F.max("page_number").alias("last_page"))
-    w = Window.partitionBy("document_id").orderBy("page_number", F.desc("confidence"), "title")
     held = sections.join(ends, "document_id").filter("page_number <= last_page")
-    return (
-        held.withColumn("section_order", F.row_number().over(w))
-        .withColumn("page_end", F.greatest(F.col("page_number"), F.coalesce(F.lead("page_number").over(w) - 1, F.col("last_page"))))
-        .withColumnRenamed("page_number", "page_start").drop("last_page")
-    )
+    placed = in_order(held, ["document_id"], ["page_number"], [-F.coalesce("confidence", F.lit(float("-inf"))), "title"], take="page_number", rank="section_order", following="__next")
+    page_end = F.greatest(F.col("page_number"), F.coalesce(F.col("__next") - 1, F.col("last_page")))
+    return placed.withColumn("page_end", page_end).withColumnRenamed("page_number", "page_start").drop("last_page", "__next")
 
 
 def page_sections(pages: DataFrame, sections: DataFrame) -> DataFrame:
@@ -41,8 +38,9 @@ def stories(pages: DataFrame, sections: DataFrame, para_sep: str = "\n\n") -> Da
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "text"))), lambda p: p["text"]), para_sep)
     told = joined.groupBy("document_id", "section_order").agg(text.alias("text"))
     titled = told.join(sections.select("document_id", "section_order", "title", "page_start", "page_end"), ["document_id", "section_order"])
-    order = F.row_number().over(Window.partitionBy("document_id").orderBy("section_order"))
-    return titled.withColumn("story_order", order).select("document_id", "story_order", "section_order", F.concat(F.col("section_order").cast("string"), F.lit(". "), "title").alias("title"), "page_start", "page_end", "text")
+    # numbered among the keys alone, so that no document's texts are sorted in one task
+    order = in_order(joined.select("document_id", "section_order").distinct(), ["document_id"], ["section_order"], take="section_order", rank="story_order")
+    return titled.join(order, ["document_id", "section_order"]).select("document_id", "story_order", "section_order", F.concat(F.col("section_order").cast("string"), F.lit(". "), "title").alias("title"), "page_start", "page_end", "text")
 
 
 def scenes(stories: DataFrame, *, target: int = 3500, minimum: int = 900, para_sep: str = "\n\n", split_on: str = r"\n\s*\n+") -> DataFrame:

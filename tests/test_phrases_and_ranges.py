@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scenewright.functions import phrases
-from scenewright.functions.ranges import dyadic, range_join
+from scenewright.functions.ranges import dyadic, in_order, range_join
 from scenewright.operators import classify, entities
 from scenewright.sources import tables
 
@@ -119,3 +119,20 @@ def test_pages_are_bucketed_and_pruned(spark, tmp_path):
     assert [r.page_number for r in found.collect()] == [i for i in range(100, 201) if i % 9 == 4]
     spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     spark.sql("DROP TABLE pages_by_document")
+
+
+def test_ranks_and_neighbours_over_stretches(spark):
+    """As one window over each whole group gives them: gaps between stretches, ties, null groups and null values."""
+    rows = [(g, (i * 7919) % 97 if i % 5 else (i * 7919) % 97 + 900, None if i % 11 == 0 else f"t{i % 6}", i) for g in ("a", "b", None) for i in range(120)]
+    df = spark.createDataFrame(rows, "g string, at int, tie string, id int")
+    got = in_order(df, ["g"], ["at"], ["tie"], take="id", rank="n", previous="p", following="f", width=10)
+    df.createOrReplaceTempView("rows_in_order")
+    want = spark.sql("SELECT *, row_number() OVER w AS n, lag(id) OVER w AS p, lead(id) OVER w AS f FROM rows_in_order WINDOW w AS (PARTITION BY g ORDER BY at, tie, id)")
+    spark.catalog.dropTempView("rows_in_order")
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    two = in_order(df, [], ["at", "id"], take="tie", previous="p", width=16).orderBy("at", "id").collect()
+    ties = [r.tie for r in two]
+    assert len(two) == len(rows) and two[0].p is None
+    # equal (at, id) of the three groups hold equal values, so the one before is the one before in any order
+    assert [r.p for r in two][1:] == ties[:-1]
+    assert in_order(df.limit(0), ["g"], ["at"], take="id", rank="n").count() == 0

@@ -69,3 +69,11 @@ def test_clean_dialogue(spark):
 def test_quotes_and_limit(spark):
     assert one(spark, 'He said "stop now" and left', T.strip_quotes).split() == ["He", "said", "and", "left"]
     assert one(spark, "  a   b c  ", lambda c: T.clean_limit(c, 4)) == "a b"
+
+
+def test_items_are_trimmed_of_white_space_alone(spark):
+    """transform() gives a two-argument function the item's place too: btrim then cut the digits of the place off the item."""
+    from scenewright.functions.text import sentences
+
+    df = spark.createDataFrame([("0 is the least 0.\n1 follows, one is 1. 19.37.233.111",)], "text string")
+    assert df.select(sentences(F.col("text"), 1)).first()[0] == ["0 is the least 0.", "1 follows, one is 1.", "19.37.233.111"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranges import range_join
-from ..functions.text import squeezed
+from ..functions.text import squeezed, trimmed_items
 
 
 def section_ranges(sections: DataFrame, pages: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def scenes(stories: DataFrame, *, target: int = 3500, minimum: int = 900, para_s
     so every scene after the first starts as much longer, as in the original rule.
     """
     gap = len(para_sep)
-    paragraphs = F.filter(F.transform(F.split(F.btrim("text"), split_on), F.btrim), lambda p: p != "")
+    paragraphs = F.filter(trimmed_items(F.split(F.btrim("text"), split_on)), lambda p: p != "")
     none = F.array().cast("array<string>")
     start = F.struct(none.alias("groups"), none.alias("now"), F.lit(0).alias("size"))
 

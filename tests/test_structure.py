@@ -116,3 +116,8 @@ def test_scene_pages(spark):
     got = segment.scene_pages(cut, told, pages).orderBy("scene_order").collect()
     assert [(r.page_start, r.page_end) for r in got] == [(1, 1), (2, 2), (3, 3)]
     assert segment.events(cut).select(F.sum("event_order")).first()[0] == 3
+
+
+def test_scenes_keep_the_digits_of_their_paragraphs(spark):
+    told = spark.createDataFrame([("d", 1, "t", 1, 1, "10 men\n\n 11 more 1 \n\n2")], "document_id string, story_order int, title string, page_start int, page_end int, text string")
+    assert segment.scenes(told).first().text == "10 men\n\n11 more 1\n\n2"

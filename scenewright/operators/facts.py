@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions.ranges import first_of
-from ..functions.text import quoted
+from ..functions.text import quoted, trimmed_items
 
 
 def profiles(characters: DataFrame, members: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def clauses(named: DataFrame, radius: int = 220) -> DataFrame:
     at = F.instr(F.lower("context"), F.lower("name"))
     start = F.greatest(F.lit(1), at - radius)
     local = F.substr("context", start, at - start + F.length("name") + radius)
-    cut = named.filter(F.contains(F.lower("context"), F.lower("name"))).withColumn("clause", F.explode(F.transform(F.split(local, r"(?<=[.!?;])\s+|\n+"), F.btrim)))
+    cut = named.filter(F.contains(F.lower("context"), F.lower("name"))).withColumn("clause", F.explode(trimmed_items(F.split(local, r"(?<=[.!?;])\s+|\n+"))))
     return cut.filter((F.col("clause") != "") & F.regexp_like("clause", F.concat(F.lit(r"(?i)\b"), quoted(F.col("name")), F.lit(r"\b"))))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_limit, rebuild_paragraphs, strip_quotes, unique_limit
+from ..functions.text import clean_limit, rebuild_paragraphs, strip_quotes, trimmed_items, unique_limit
 from ..operators import continuity, entities, facts, packages, plans
 from . import books, tables
 
@@ -12,7 +12,7 @@ from . import books, tables
 def plan_packages(spark, sf_dir):
     """Each document as a scene with its title, names, moments and quoted lines."""
     made = books.rendered(spark, sf_dir).select(F.col("doc_id").alias("scene_id"), "title", "text", "names", "moments", "page_start", "page_end")
-    quotes = F.filter(F.transform(F.regexp_extract_all("text", F.lit(packages.QUOTES), 1), F.btrim), lambda s: packages.words(s) >= 3)
+    quotes = F.filter(trimmed_items(F.regexp_extract_all("text", F.lit(packages.QUOTES), 1)), lambda s: packages.words(s) >= 3)
     return made.withColumn("dialogue", F.slice(F.array_distinct(quotes), 1, 3))
 
 

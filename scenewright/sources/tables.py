@@ -123,6 +123,8 @@ def export_rows(df: DataFrame, columns: list[str]) -> DataFrame:
         value = F.col(c).cast("double")
         odd = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
         near = F.when(~odd, F.call_function("format_number", value, F.lit("0.###"))).cast("double")
+        # the number format takes 0.0005, which is stored a little above that, for halfway between two
+        near = F.when((F.abs(value) >= 0.0005) & (F.abs(value) < 0.001), F.signum(value) * 0.001).otherwise(near)
         return F.coalesce(F.when(odd, value).otherwise(near).cast("string"), F.lit("")).alias(c)
 
     return df.select([shown(c) for c in columns])

@@ -1,6 +1,7 @@
 """Exported layouts, and what may be supposed of a character."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from scenewright.operators import profiles
 from scenewright.sources import layouts
@@ -59,3 +60,13 @@ def test_labels_and_genres(spark):
     seen = spark.createDataFrame([("d", "period", 1, "modern"), ("d", "culture", 1, "greek"), ("d", "culture", 2, "roman"), ("d", "religious_context", 1, "sikh"), ("d", "narrative_type", 1, "fantasy")], "document_id string, dimension string, rank int, label string")
     assert profiles.context_labels(seen).first().labels == ["detected culture: greek", "detected religious context: sikh", "detected period: modern"]
     assert [tuple(r) for r in profiles.genres(seen).collect()] == [("d", "fantasy")]
+
+
+def test_half_a_thousandth_is_rounded_by_its_binary_value(spark):
+    """1 / 2000 is stored a little above 0.0005."""
+    from scenewright.sources.tables import export_rows
+
+    values = [1 / 2000, -1 / 2000, 0.00049999, 0.0007, 0.0009999, 0.0015, 0.0625, 0.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [float(r.v) for r in export_rows(df, ["i", "v"]).orderBy(F.col("i").cast("int")).collect()]
+    assert got == [float(f"{v:.3f}") for v in values]

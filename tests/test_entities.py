@@ -93,3 +93,16 @@ def test_retrieval(spark):
 def test_objects(spark):
     scenes = spark.createDataFrame([(1, "He took the Lantern and a map. The lantern shone."), (2, "Nothing.")], "scene_id long, text string")
     assert sorted(r.object for r in entities.object_mentions(scenes, keys=["scene_id"]).collect()) == ["Lantern", "Map"]
+
+
+def test_ids_of_titled_parts_never_meet(spark, tmp_path):
+    """Part keys a million apart: the noun of one had the id of the other."""
+    from scenewright.plans import details
+
+    part = [(1, "red rose", 1), (1_000_001, "blue lily", 2), (2_000_001, "green fern", 3)]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    item = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_discount double"
+    spark.createDataFrame([(1, k, n, 1.0, 0.1) for k, _, _ in part for n in (1, 2, 3)], item).write.parquet(str(tmp_path / "lineitem.parquet"))
+    known = details.titled_parts(spark, str(tmp_path))[0]
+    assert known.select("entity_id").distinct().count() == known.count() == 9
+    assert sum(r.n for r in details.moved_mentions(spark, str(tmp_path)).collect()) == 9

@@ -136,3 +136,19 @@ def test_ranks_and_neighbours_over_stretches(spark):
     # equal (at, id) of the three groups hold equal values, so the one before is the one before in any order
     assert [r.p for r in two][1:] == ties[:-1]
     assert in_order(df.limit(0), ["g"], ["at"], take="id", rank="n").count() == 0
+
+
+def test_texts_go_to_python_in_bounded_batches(spark):
+    from scenewright.functions import phrases
+
+    names = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], "10000")
+        spark.conf.set(names[1], str(1 << 30))
+        df = phrases.with_phrases(spark.createDataFrame([("a rose",)], "text string"), ["rose"], text_col="text", out="found")
+        assert int(spark.conf.get(names[0])) <= phrases.BATCH_ROWS and int(spark.conf.get(names[1])) <= phrases.BATCH_BYTES
+        assert df.first().found == ["rose"]
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)

@@ -15,9 +15,9 @@ from ..streaming import streams
 from . import books
 
 
-def people(spark: SparkSession, sf_dir: str):
-    """Mentions, group members and canonical characters of all books."""
-    known, mentions = books.gate_inputs(spark, sf_dir)
+def people(spark: SparkSession, sf_dir: str, *, contexts: bool = False):
+    """Mentions (with the text around them on demand), group members and canonical characters of all books."""
+    known, mentions = books.gate_inputs(spark, sf_dir, contexts=contexts)
     # ids that sort by book and name: the order in which names found their groups
     own = F.concat_ws("|", "document_id", "canonical_name")
     known, mentions = known.withColumn("entity_id", own), mentions.withColumn("entity_id", own)
@@ -74,9 +74,7 @@ def presence(spark, sf_dir):
     """Whether a name of a page is seen to act there."""
     said = books.name_mentions(spark, sf_dir)
     keys = ["document_id", "scene_order"]
-    names = said.select(*keys, "canonical_name").distinct()
-    none = said.select(*keys, F.col("context").alias("text")).limit(0)
-    return packages.presence(names, none, said.select(*keys, "context"), keys=keys).select("document_id", F.col("scene_order").alias("doc_id"), "canonical_name", "visible")
+    return packages.presence(None, None, said, keys=keys).select("document_id", F.col("scene_order").alias("doc_id"), "canonical_name", "visible")
 
 
 def directions(spark, sf_dir):

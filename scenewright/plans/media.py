@@ -140,7 +140,7 @@ def presence_lists(spark, sf_dir):
     said = books.name_mentions(spark, sf_dir)
     keys = ["scene_order"]
     events = books.page_scenes(spark, sf_dir).select("scene_order", "text")
-    out = packages.presence(said.select(*keys, "canonical_name").distinct(), events, said.select(*keys, "context"), keys=keys, visible=6, referenced=8)
+    out = packages.presence(None, events, said, keys=keys, visible=6, referenced=8)
     return out.select(F.col("scene_order").alias("doc_id"), "canonical_name", "visible")
 
 

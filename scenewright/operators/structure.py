@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions import lexicons as L
 from ..functions.ranges import first_of
@@ -286,6 +288,26 @@ def _median(values: Column) -> Column:
     return (F.get(values, F.floor((n - 1) / 2).cast("int")) + F.get(values, F.floor(n / 2).cast("int"))) / 2
 
 
+def _usable() -> Column:
+    return F.coalesce(F.btrim("text") != "", F.lit(False)) & F.col("x").isNotNull() & F.col("y").isNotNull()
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def line_starts(heights: pd.Series, tolerances: pd.Series) -> pd.Series:
+    """Places (from 0) where lines start. As heights are in order, the median of a line is at its middle place; only heights go to Python."""
+
+    def starts(mids: list[float], tolerance: float) -> list[int]:
+        out = [0]
+        for i in range(1, len(mids)):
+            since, n = out[-1], i - out[-1]
+            apart = abs(mids[i] - (mids[since + (n - 1) // 2] + mids[since + n // 2]) / 2)
+            if apart > tolerance or (apart != apart and tolerance == tolerance):  # NaN is the largest number
+                out.append(i)
+        return out
+
+    return pd.Series([starts(m.tolist(), t) for m, t in zip(heights, tolerances, strict=True)], dtype=object)
+
+
 def layout_lines(fragments: DataFrame, source: str = "pdf_text") -> DataFrame:
     """page, line, y, text, scale: fragments (with a place and a text) grouped to lines by an ordered fold over each page.
 
@@ -296,23 +318,15 @@ def layout_lines(fragments: DataFrame, source: str = "pdf_text") -> DataFrame:
     """
     from ..functions.text import join_tokens
 
-    usable = fragments.filter((F.btrim("text") != "") & F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("mid", F.col("y") + F.coalesce(F.abs("height") / 2, F.lit(0.0)))
+    usable = fragments.filter(_usable()).withColumn("mid", F.col("y") + F.coalesce(F.abs("height") / 2, F.lit(0.0)))
     way = -F.col("mid") if source.startswith("pdf") else F.col("mid")
     scale = F.coalesce(F.percentile(F.when(F.abs("height") > 0.1, F.abs("height")), 0.5), F.percentile(F.when(F.abs("font_size") > 0.1, F.abs("font_size")), 0.5), F.lit(8.0))
-    page = usable.groupBy(*PAGE).agg(scale.alias("scale"), F.array_sort(F.collect_list(F.struct(way.alias("way"), "frag_idx", "x", "text", "mid"))).alias("f"))
-    tolerance = F.greatest(F.lit(1.5), 0.45 * F.col("scale"))
-    first = F.struct(F.lit(0).alias("i"), F.array().cast("array<double>").alias("ys"), F.array(F.lit(0)).alias("starts"))
-
-    def step(s: Column, f: Column) -> Column:
-        starts = (s["i"] > 0) & (F.abs(f["mid"] - _median(s["ys"])) > tolerance)
-        here = F.array(f["mid"])
-        return F.struct((s["i"] + 1).alias("i"), F.when(starts, here).otherwise(F.concat(s["ys"], here)).alias("ys"), F.when(starts, F.concat(s["starts"], F.array(s["i"]))).otherwise(s["starts"]).alias("starts"))
-
-    folded = page.select(*PAGE, "scale", "f", F.aggregate("f", first, step, lambda s: s["starts"]).alias("starts"))
+    page = usable.groupBy(*PAGE).agg(scale.alias("scale"), F.sort_array(F.collect_list(F.struct(way.alias("way"), "frag_idx", "x", "text", "mid"))).alias("f"))
+    folded = page.withColumn("starts", line_starts(F.transform("f", lambda f: f["mid"].cast("double")), F.greatest(F.lit(1.5), 0.45 * F.col("scale")).cast("double")))
     # lines are cut out inside the page's row, so that no line carries its page along
     cut = F.transform("starts", lambda since, k: F.slice("f", since + 1, F.coalesce(F.get("starts", k + 1), F.size("f")) - since))
     lines = folded.select(*PAGE, "scale", F.posexplode(cut).alias("line", "in_line"))
-    text = join_tokens(F.transform(F.array_sort(F.transform("in_line", lambda f, i: F.struct(f["x"].alias("x"), i.alias("i"), f["text"].alias("text")))), lambda f: f["text"]))
+    text = join_tokens(F.transform(F.sort_array(F.transform("in_line", lambda f, i: F.struct(f["x"].alias("x"), i.alias("i"), f["text"].alias("text")))), lambda f: f["text"]))
     return lines.select(*PAGE, "line", "scale", _median(F.transform("in_line", lambda f: f["mid"])).alias("y"), text.alias("text"))
 
 
@@ -321,13 +335,14 @@ def fragments_to_text(fragments: DataFrame, source: str = "pdf_text", *, para_se
     lines = layout_lines(fragments, source)
     by_line = Window.partitionBy(*PAGE).orderBy("line")
     gaps = lines.withColumn("gap", F.abs(F.col("y") - F.lag("y").over(by_line)))
-    typical = gaps.groupBy(*PAGE).agg(F.percentile(F.when(F.col("gap") > 0, F.col("gap")), 0.5).alias("typical"))
-    cut = gaps.join(typical, PAGE).withColumn("new", (F.col("gap") > F.greatest(1.8 * F.col("scale"), 0.9 * F.coalesce("typical", "scale"))).cast("int"))
+    cut = gaps.withColumn("typical", F.percentile(F.when(F.col("gap") > 0, F.col("gap")), 0.5).over(Window.partitionBy(*PAGE)))
+    cut = cut.withColumn("new", (F.col("gap") > F.greatest(1.8 * F.col("scale"), 0.9 * F.coalesce("typical", "scale"))).cast("int"))
     cut = cut.withColumn("para", F.sum(F.coalesce("new", F.lit(0))).over(by_line.rowsBetween(Window.unboundedPreceding, 0)))
     ordered = lambda key: F.transform(F.array_sort(F.collect_list(F.struct(key, "text"))), lambda f: f["text"])
     paragraphs = cut.groupBy(*PAGE, "para").agg(F.array_join(ordered("line"), " ").alias("text"))
     placed = paragraphs.groupBy(*PAGE).agg(F.array_join(ordered("para"), para_sep).alias("text"))
-    plain = fragments.join(lines.select(*PAGE).distinct(), PAGE, "left_anti").groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frag_idx", F.btrim("text").alias("text")))), lambda f: f["text"]), " ").alias("text"))
+    # a page without lines has no usable fragment
+    plain = fragments.filter(~_usable()).join(fragments.filter(_usable()).select(*PAGE).distinct(), PAGE, "left_anti").groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frag_idx", F.btrim("text").alias("text")))), lambda f: f["text"]), " ").alias("text"))
     return placed.unionByName(plain)
 
 

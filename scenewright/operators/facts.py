@@ -17,11 +17,14 @@ def profiles(characters: DataFrame, members: DataFrame) -> DataFrame:
 
 def clauses(named: DataFrame, radius: int = 220) -> DataFrame:
     """named (name, context, ...): the clauses around the first hit that hold the name."""
-    at = F.instr(F.lower("context"), F.lower("name"))
+    low = named.withColumns({"__low": F.lower("context"), "__name": F.lower("name")}).filter(F.contains("__low", "__name"))
+    at = F.instr("__low", F.col("__name"))
     start = F.greatest(F.lit(1), at - radius)
     local = F.substr("context", start, at - start + F.length("name") + radius)
-    cut = named.filter(F.contains(F.lower("context"), F.lower("name"))).withColumn("clause", F.explode(trimmed_items(F.split(local, r"(?<=[.!?;])\s+|\n+"))))
-    return cut.filter((F.col("clause") != "") & F.regexp_like("clause", F.concat(F.lit(r"(?i)\b"), quoted(F.col("name")), F.lit(r"\b"))))
+    cut = low.withColumn("clause", F.explode(F.split(local, r"(?<=[.!?;])\s+|\n+"))).withColumn("clause", F.btrim("clause"))
+    # plain search first; only a sigma is lowered by what follows it
+    there = F.contains(F.lower("clause"), F.col("__name")) | F.col("name").rlike("[Σς]")
+    return cut.filter((F.col("clause") != "") & there & F.regexp_like("clause", F.concat(F.lit(r"(?i)\b"), quoted(F.col("name")), F.lit(r"\b")))).drop("__low", "__name")
 
 
 OUTSIDE = ("eyes", "complexion", "face")

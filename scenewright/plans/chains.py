@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicons
-from ..functions.folders import shared_folder
+from ..functions.folders import kept, shared_folder
 from ..operators import continuity, entities, facts, identity, packages, structure
 from ..sources import tables
 from ..streaming import streams
@@ -103,10 +103,11 @@ def html_fragments(web: DataFrame) -> DataFrame:
 
 def html_sections(spark, sf_dir):
     """Heading candidates, page kinds, validated, reconciled and recovered sections of web pages."""
-    parts = html_fragments(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    candidates = structure.select_candidates(structure.heading_candidates(parts), structure.labelled_candidates(parts))
-    kinds = structure.classify_pages(parts, candidates)
-    sections = structure.reconcile_sections(structure.validate_sections(candidates, kinds))
+    # each of these is asked for several times by the steps after it
+    parts = kept(html_fragments(spark.read.parquet(f"{sf_dir}/pages.parquet")), "fragments")
+    candidates = kept(structure.select_candidates(structure.heading_candidates(parts), structure.labelled_candidates(parts)), "candidates")
+    kinds = kept(structure.classify_pages(parts, candidates), "kinds")
+    sections = kept(structure.reconcile_sections(structure.validate_sections(candidates, kinds)), "sections")
     every = structure.plausible_sections(structure.recover_sections(candidates, kinds, sections))
     return every.select("document_id", "page_number", "section_number", "title", F.round("confidence", 3).alias("confidence"), "detection_method")
 

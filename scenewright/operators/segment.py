@@ -40,9 +40,11 @@ def stories(pages: DataFrame, sections: DataFrame, para_sep: str = "\n\n") -> Da
     joined = page_sections(pages.select("document_id", "page_number", "text").filter(F.btrim("text") != ""), sections)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "text"))), lambda p: p["text"]), para_sep)
     told = joined.groupBy("document_id", "section_order").agg(text.alias("text"))
-    titled = told.join(sections.select("document_id", "section_order", "title", "page_start", "page_end"), ["document_id", "section_order"])
+    # numbers are given to the sections that have text, without it: ordering texts would move them once more
     order = F.row_number().over(Window.partitionBy("document_id").orderBy("section_order"))
-    return titled.withColumn("story_order", order).select("document_id", "story_order", "section_order", F.concat(F.col("section_order").cast("string"), F.lit(". "), "title").alias("title"), "page_start", "page_end", "text")
+    heads = joined.select("document_id", "section_order").distinct().join(sections.select("document_id", "section_order", "title", "page_start", "page_end"), ["document_id", "section_order"])
+    titled = told.join(heads.withColumn("story_order", order), ["document_id", "section_order"])
+    return titled.select("document_id", "story_order", "section_order", F.concat(F.col("section_order").cast("string"), F.lit(". "), "title").alias("title"), "page_start", "page_end", "text")
 
 
 def scenes(stories: DataFrame, *, target: int = 3500, minimum: int = 900, para_sep: str = "\n\n", split_on: str = r"\n\s*\n+") -> DataFrame:

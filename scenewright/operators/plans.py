@@ -26,12 +26,16 @@ def scene_assembly(scenes: DataFrame, *, characters: DataFrame, facts: DataFrame
     first. characters: scene_id, profile_id, canonical_name, aliases. Child tables are nested
     before they meet the scenes, so nothing multiplies.
     """
-    told = characters.select("scene_id", "profile_id").join(facts.withColumnRenamed("scene_id", "fact_scene"), "profile_id").filter(F.col("fact_scene").isNull() | (F.col("fact_scene") == F.col("scene_id")))
-    rank = F.struct(F.col("fact_scene").isNull().alias("lasting"), (-F.col("confidence")).alias("less"), "category", "attribute", "value")
-    told = told.groupBy("scene_id", "profile_id").agg(F.transform(F.array_sort(F.collect_set(rank)), lambda x: F.struct(x["category"].alias("category"), x["attribute"].alias("attribute"), x["value"].alias("value"), (-x["less"]).alias("confidence"))).alias("facts"))
+    rank = F.struct((-F.col("confidence")).alias("less"), "category", "attribute", "value")
+    held = F.transform(F.array_sort(F.collect_set(rank)), lambda x: F.struct(x["category"].alias("category"), x["attribute"].alias("attribute"), x["value"].alias("value"), (-x["less"]).alias("confidence")))
+    # lasting facts are gathered once for a profile, not once for each of its scenes
+    own = facts.filter("scene_id IS NOT NULL").groupBy("scene_id", "profile_id").agg(held.alias("__own"))
+    lasting = facts.filter("scene_id IS NULL").groupBy("profile_id").agg(held.alias("__lasting"))
+    none = F.array().cast(own.schema["__own"].dataType)
+    told = F.concat(F.coalesce("__own", none), F.when(F.col("scene_id").isNotNull(), F.coalesce("__lasting", none)).otherwise(none))
     seen = mentions.groupBy("scene_id", "profile_id").agg(F.count(F.lit(1)).alias("mentions"))
     keys = ["scene_id", "profile_id"]
-    people = characters.join(told, keys, "left").join(seen, keys, "left").withColumns({"facts": F.coalesce("facts", F.array().cast(told.schema["facts"].dataType)), "mentions": F.coalesce("mentions", F.lit(0))})
+    people = characters.join(own, keys, "left").join(lasting, "profile_id", "left").join(seen, keys, "left").withColumns({"facts": told, "mentions": F.coalesce("mentions", F.lit(0))})
     # neighbours are found before anything nested is beside the scenes
     out = in_order(scenes, ["document_id"], order, take="scene_id", previous="previous_id", following="next_id")
     for name, rows, fields in (("characters", people, ["canonical_name", "profile_id", "aliases", "facts", "mentions"]), ("objects", objects, ["object"]), ("events", events, ["event_order", "text"]), ("continuity", continuity, ["entity_id", "status"])):

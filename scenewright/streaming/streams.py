@@ -195,21 +195,28 @@ class _Changes(StatefulProcessor):
         rows = sorted(rows + fresh, key=lambda r: (r[0], str(r[1]), r[2] or "", r[3] or ""))
         due = [r for r in rows if r[0] <= mark]
         out = []
+        # each call on the state is a message to the JVM: it is read once and only what differs in the end is written
+        before = {k[0]: list(v[0]) for k, v in self.values.iterator()} if due else {}
+        last = dict(before)
         for (at, scene), told in itertools.groupby(due, key=lambda r: (r[0], r[1])):
             now: dict[str, list[str]] = {}
             for *_, name, value in told:
                 if name is not None and value not in now.setdefault(name, []):
                     now[name].append(value)
-            last = {k[0]: list(v[0]) for k, v in self.values.iterator()}
             for name in sorted({*now, *last}):
                 old, new = last.get(name), sorted(now[name]) if name in now else None
                 kind = "introduced" if old is None else "removed" if new is None else "carried" if old == new else "updated"
                 out.append((key[0], pd.Timestamp(at, unit="us"), scene, name, old, new, kind, not seen))
                 if new is None:
-                    self.values.removeKey((name,))
-                elif old != new:
-                    self.values.updateValue((name,), (new,))
+                    del last[name]
+                else:
+                    last[name] = new
             seen = True
+        for name in before.keys() - last.keys():
+            self.values.removeKey((name,))
+        for name, new in last.items():
+            if before.get(name) != new:
+                self.values.updateValue((name,), (new,))
         left = rows[len(due) :]
         self.waiting.update((json.dumps(left), seen))
         if left:

@@ -36,3 +36,29 @@ def test_the_lively_pattern_finds_what_both_lists_find(spark):
     both = packages.has("t", packages.L.ACTION) | packages.has("t", packages.L.PRESENCE)
     assert df.filter(~packages.has("t", packages.LIVELY).eqNullSafe(both)).count() == 0
     assert not any(w.startswith("(") for w in words) and len(words) > 50
+
+
+def test_moments_and_directions_by_one_pattern(spark):
+    lists = {"TELLING": ((packages.SPEECH, packages.L.ACTION, packages.L.DESTRUCTION, packages.L.COMBAT, packages.L.REACTION), "(?U)"), "MOVING": ((packages.L.DESTRUCTION, packages.L.COMBAT, packages.L.TRAVEL), "")}
+    for name, (patterns, flags) in lists.items():
+        words = [w.replace(r"\w*", "") for p in patterns for w in packages._listed(p)]
+        texts = [t for w in words for t in (w, w.upper(), f"x{w}", f"{w}s", f"é{w}", f"{w}é", f"({w})", w[:-1], f"a {w}_")] + ["", "ſit", "looK", "nobody", None]
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        every = F.lit(False)
+        for p in patterns:
+            every = every | F.col("t").rlike(flags + p)
+        assert df.filter(~F.col("t").rlike(flags + getattr(packages, name)).eqNullSafe(every)).count() == 0
+    said = packages.direction(F.col("t"), F.lit(False), F.lit(False))
+    df = spark.createDataFrame([("They left in smoke",), ("she ran and fought",), ("She RAN.",), ("quiet",), (None,)], "t string")
+    assert [r[0] for r in df.select(said).collect()] == ["destruction", "combat", "travel", "default", "default"]
+
+
+def test_only_the_first_moments_of_a_row_are_moved(spark):
+    text = " ".join(f"The quiet lake number {i} lay still." for i in range(30)) + " He walked to the fire there. They said it was all fine. They asked whom to follow there."
+    scenes = spark.createDataFrame([(1, text), (1, "The old men fought with anger. " + text), (2, None), (3, "too short.")], "s int, text string")
+    got = packages.moments(scenes, keys=["s"], k=4)
+    assert [(r.moment, r.score, r.rank) for r in got.orderBy("s", "rank").collect()] == [
+        ("He walked to the fire there.", 72, 1), ("They asked whom to follow there.", 60, 2), ("The old men fought with anger.", 18, 3), ("The quiet lake number 0 lay still.", 10, 4)]
+    assert "slice(" in got._jdf.queryExecution().executedPlan().toString()
+    named = packages.moments(scenes, names=spark.createDataFrame([(1, "Number 29")], "s int, canonical_name string"), keys=["s"], k=3)
+    assert ("The quiet lake number 29 lay still.", 22) in {(r.moment, r.score) for r in named.collect()}

@@ -3,7 +3,7 @@
 A text is split into pieces and words; a word stands for itself and its language as a 64-bit
 symbol, so texts become arrays of symbols in numpy and phrases never cross a piece.
 
-Level by level: words are counted by an ordinary grouping. A pair is a candidate only if both
+Level by level: words are counted in tasks and summed up by buckets. A pair is a candidate only if both
 its words reach the least count, a triple only if both its pairs do. Tasks know the frequent
 words (then pairs) as a bit filter of bounded size that has no false negatives, so no candidate
 is lost and a false positive only costs a row. Of the pairs (triples) that pass, each task
@@ -11,9 +11,10 @@ sends the ones it holds with their number cut off at the least count: the sum of
 reaches the least count exactly where the true count does.
 
 The candidates are dealt by hash to tries of about `SHARD` phrases, which tasks build as double
-arrays. Packs of at most `PACK` phrases are broadcast, one pack after the other; a pass over the
-texts advances the states of all positions at once, a level a step, and counts accepting
-states by bincount. The tasks' sums are added up. Scores are taken in decimals.
+arrays. They are broadcast in packs of at most `PACK` phrases; one pass over the texts takes up
+the packs in turn, goes on with the positions where a trie's bit filter lets a phrase start,
+advances their states all at once, a level a step, and counts accepting states by bincount. The
+tasks' sums are added up. Scores are taken in decimals.
 
 Two words with one symbol would be counted as one: this is seen in the table of words, and the
 symbols are then drawn anew.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,8 +51,15 @@ HELD, JOINED, BLOCK = 1 << 20, 1 << 20, 1 << 20
 KIND = np.zeros(256, np.uint8)
 KIND[[0x20, 0x09]] = 1
 KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
+LOWERED = np.frombuffer(bytes(range(256)).translate(bytes.maketrans(common.UPPER.encode(), common.LOWER.encode())), np.uint8)
 ODD = U64(0x9E3779B97F4A7C15)
 SEEDS = 4
+#: Places in a word whose letters' numbers are looked up, not computed.
+PLACES = 64
+#: Buckets by which tasks deal out what they counted, and rows that are summed up together where they meet.
+BUCKETS, MERGED = 1 << 10, 1 << 22
+#: Bits of a trie's filter for each of its phrases.
+TRIE_BITS = 16
 
 
 # --- texts to symbols
@@ -63,6 +72,13 @@ def byte_table(seed: int) -> np.ndarray:
     return table
 
 
+@lru_cache(4)
+def placed_tables(seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a letter adds to a word's symbol and to its second hash at each of the first PLACES places: place * 256 + letter."""
+    place = np.repeat(np.arange(PLACES, dtype=U64) * ODD, 256)
+    return mixed(np.tile(byte_table(seed), PLACES) + place), (np.tile(byte_table(seed + 1000), PLACES) ^ place) * ODD ^ place
+
+
 def blocks(data: np.ndarray) -> Iterator[tuple[int, int]]:
     """Bounds of stretches of about BLOCK bytes that cut no word."""
     at = 0
@@ -83,6 +99,7 @@ class Symbols:
 
     def __init__(self, lang: str, seed: int, strings: bool):
         self.table, self.other = byte_table(seed), byte_table(seed + 1000)
+        self.placed = placed_tables(seed)
         self.salt = mixed(np.array([int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "big")], U64) + U64(seed))
         self.lang, self.strings, self.size, self.pieces, self.parts = lang, strings, 0, 0, []
 
@@ -97,10 +114,19 @@ class Symbols:
             ended = np.cumsum(kind == 2, dtype=np.int32)
             if len(start):
                 first = np.cumsum(length) - length
-                place = (np.arange(int(length.sum())) - np.repeat(first, length)).astype(U64) * ODD
                 letters = part[inside]
-                symbol = mixed(np.add.reduceat(mixed(self.table[letters] + place), first) ^ self.salt)
-                check = np.add.reduceat((self.other[letters] ^ place) * ODD ^ place, first) if self.strings else None
+                place = np.arange(len(letters), dtype=np.int32) - np.repeat(first.astype(np.int32), length)
+                near = (np.minimum(place, PLACES - 1) << 8) + letters
+                value = self.placed[0][near]
+                other = self.placed[1][near] if self.strings else None
+                if int(length.max()) > PLACES:
+                    far = np.flatnonzero(place >= PLACES)
+                    later = place[far].astype(U64) * ODD
+                    value[far] = mixed(self.table[letters[far]] + later)
+                    if self.strings:
+                        other[far] = (self.other[letters[far]] ^ later) * ODD ^ later
+                symbol = mixed(np.add.reduceat(value, first) ^ self.salt)
+                check = np.add.reduceat(other, first) if self.strings else None
                 self.parts.append((np.maximum(symbol, U64(1)), check, ended[start] + np.int32(self.pieces), start + at, length, raw) if self.strings else (np.maximum(symbol, U64(1)), None, ended[start] + np.int32(self.pieces)))
                 self.size += len(start)
             self.pieces += int(ended[-1])
@@ -112,15 +138,26 @@ class Symbols:
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
         return self.array(0), self.array(2, np.int32)
 
-    def words(self, index: np.ndarray) -> list[bytes]:
+    def words(self, index: np.ndarray) -> pa.Array:
+        """The words at the given positions, A-Z as a-z."""
         ends = np.cumsum([len(p[0]) for p in self.parts])
-        lowered = bytes.maketrans(common.UPPER.encode(), common.LOWER.encode())
-        out = []
-        for i, k in zip(index.tolist(), np.searchsorted(ends, index, "right").tolist(), strict=True):
-            *_, start, length, raw = self.parts[k]
-            i -= int(ends[k]) - len(start)
-            out.append(raw[start[i] : start[i] + length[i]].translate(lowered))
-        return out
+        of = np.searchsorted(ends, index, "right")
+        size, letters = np.zeros(len(index), np.int64), [np.zeros(0, np.uint8)]
+        order = np.argsort(of, kind="stable")
+        bounds = np.searchsorted(of[order], np.arange(len(self.parts) + 1))
+        for k, (*_, start, length, raw) in enumerate(self.parts):
+            mine = order[bounds[k] : bounds[k + 1]]
+            if len(mine):
+                i = index[mine] - (int(ends[k]) - len(start))
+                n = length[i]
+                size[mine] = n
+                at = np.repeat(start[i] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                letters.append(LOWERED[np.frombuffer(raw, np.uint8)[at]])
+        offsets = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(index), [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate(letters))])
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return found.take(pa.array(back))
 
 
 def held_symbols(batches: Iterator[pa.RecordBatch], seed: int, strings: bool = False) -> Iterator[Symbols]:
@@ -175,13 +212,19 @@ def distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key = columns[0]
     for k, c in enumerate(columns[1:]):
         key = mixed(key + U64(k + 1)) ^ c
-    _, index, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    if not len(key):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    index, count = order[starts], np.diff(starts, append=len(key))
     odd = np.zeros(len(key), bool)
-    for c in columns:
-        odd |= c != c[index][inverse]
+    for c in columns if len(columns) > 1 else ():
+        c = c[order]
+        odd |= c != np.repeat(c[starts], count)
     if odd.any():
-        count = count - np.bincount(inverse[odd], minlength=len(index))
-        index, count = np.concatenate([index, np.flatnonzero(odd)]), np.concatenate([count, np.ones(int(odd.sum()), np.int64)])
+        count = count - np.add.reduceat(odd, starts, dtype=np.int64)
+        index, count = np.concatenate([index, order[odd]]), np.concatenate([count, np.ones(int(odd.sum()), np.int64)])
     return index, count
 
 
@@ -189,22 +232,148 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+# What tasks count goes through the shuffle in parcels: a row for each bucket with its numbers side by side, and
+# not a row for each number. Where parcels meet, numpy sorts and sums them.
+
+
+def parcels(hashes: np.ndarray, columns: list[np.ndarray], words: pa.Array | None = None, **same: str) -> pa.RecordBatch:
+    """(bucket, c0, c1, ..., perhaps words and columns with one value): the rows of arrays, dealt to buckets by their hashes."""
+    bucket = (hashes % U64(BUCKETS)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bounds = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+    made = {"bucket": pa.array(np.arange(BUCKETS, dtype=np.int32))}
+
+    def laid(data: np.ndarray, at: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), BUCKETS, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+
+    for k, c in enumerate(columns):
+        c = np.ascontiguousarray(c[order])
+        made[f"c{k}"] = laid(c, bounds * c.itemsize)
+    if words is not None:
+        at, data = binary_parts(words.take(pa.array(order)))
+        made["words"] = laid(data, at[bounds])
+    made |= {name: pa.repeat(value, BUCKETS) for name, value in same.items()}
+    return pa.RecordBatch.from_pydict(made).filter(pa.array(np.diff(bounds) > 0))
+
+
+def binary_parts(found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 on, and the bytes that they cut."""
+    _, offsets, data = found.buffers()
+    at = np.frombuffer(offsets, np.int32)[found.offset : found.offset + len(found) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return (at - at[0]).astype(np.int64), whole[at[0] : at[-1]]
+
+
+def unpacked(column: pa.Array, kind: type) -> np.ndarray:
+    """The numbers of a batch's parcels, end to end."""
+    return np.frombuffer(binary_parts(column)[1].tobytes(), kind)
+
+
+def dealt(found: DataFrame, by: str = "bucket") -> DataFrame:
+    return found.repartition(max(12, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))), by)
+
+
+WORD_PARCELS = "bucket int, c0 binary, c1 binary, c2 binary, c3 binary, words binary, lang string"
+
+
 def count_words(seed: int):
-    """(g, lang, word, n) of each stretch of texts; g null: all words of the language."""
+    """Parcels of each stretch of texts: symbols, second hashes, how often, bytes of the words, and the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["g", "lang", "word", "n"]
         for held in held_symbols(batches, seed, strings=True):
             symbol = held.array(0)
             if len(symbol):
                 index, count = distinct([symbol, held.array(1)])
-                words = pa.array(held.words(index), pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([signed(symbol[index]), pa.repeat(held.lang, len(index)), words, pa.array(count)], names)
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([held.lang]), pa.array([None], pa.string()), pa.array([len(symbol)])], names)
+                words = held.words(index)
+                symbol = symbol[index]
+                yield parcels(mixed(symbol), [symbol, held.array(1)[index], count.astype(np.int64), np.diff(binary_parts(words)[0]).astype(np.int32)], words, lang=held.lang)
+
+    return run
+
+
+def merged_words(least: int):
+    """(g, lang, word, n, clash) of the words that reach the least count; g null: of all words of a language that met here. clash: two words have one symbol."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs: dict[str, int] = {}
+        held: list[tuple] = []
+        clash = False
+
+        def summed_up() -> None:
+            nonlocal clash
+            g, check, n, lang = (np.concatenate([h[k] for h in held]) for k in range(4))
+            order = np.argsort(g)
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(g[order]) != 0]))
+            size = np.diff(starts, append=len(order))
+            first = order[starts]
+            clash |= bool((check[order] != np.repeat(check[first], size)).any() or (lang[order] != np.repeat(lang[first], size)).any())
+            words = pa.concat_arrays([h[4] for h in held]).take(pa.array(first))
+            held[:] = [(g[first], check[first], np.add.reduceat(n[order], starts), lang[first], words)]
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                g, check, n = unpacked(row.column(1), U64), unpacked(row.column(2), U64), unpacked(row.column(3), np.int64)
+                at = np.concatenate([[0], np.cumsum(unpacked(row.column(4), np.int32))]).astype(np.int64)
+                words = pa.Array.from_buffers(pa.large_binary(), len(g), [None, pa.py_buffer(at), pa.py_buffer(binary_parts(row.column(5))[1])])
+                held.append((g, check, n, np.full(len(g), langs.setdefault(row.column(6)[0].as_py(), len(langs)), np.int32), words))
+            if sum(len(h[0]) for h in held) > 2 * max(MERGED, len(held[0][0])):
+                summed_up()
+        if not held:
+            return
+        summed_up()
+        g, _, n, lang, words = held[0]
+        names, none = pa.array(list(langs)), pa.nulls(len(langs))
+        sizes = [none.cast(pa.int64()), names, none.cast(pa.string()), pa.array(np.bincount(lang, n, len(langs)).astype(np.int64)), pa.repeat(clash, len(langs))]
+        some = np.flatnonzero(n >= least)
+        rows = [signed(g[some]), names.take(pa.array(lang[some])), words.take(pa.array(some)).cast(pa.large_string()).cast(pa.string()), pa.array(n[some]), pa.repeat(clash, len(some))]
+        for columns in (sizes, rows):
+            yield pa.RecordBatch.from_arrays(columns, ["g", "lang", "word", "n", "clash"])
 
     return run
 
 
+def merged_phrases(words: int, least: int):
+    """(g1, g2, g3) of the phrases of so many words whose numbers sum up to the least count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def summed_up() -> None:
+            *columns, n = (np.concatenate([h[k] for h in held]) for k in range(words + 1))
+            order = np.argsort(triple_hash(*columns) if words == 3 else pair_hash(*columns))
+            starts = differs(columns, order)
+            if len(starts) > 1:
+                key = mixed(triple_hash(*columns) if words == 3 else pair_hash(*columns))[order[starts]]
+                if len(np.unique(key)) < len(key):  # phrases that share a hash may lie among each other
+                    order = np.lexsort(columns)
+                    starts = differs(columns, order)
+            held[:] = [(*(c[order[starts]] for c in columns), np.add.reduceat(n[order], starts))]
+
+        for batch in batches:
+            held.append((*(unpacked(batch.column(k + 1), U64) for k in range(words)), unpacked(batch.column(words + 1), np.int32).astype(np.int64)))
+            if sum(len(h[0]) for h in held) > 2 * max(MERGED, len(held[0][0])):
+                summed_up()
+        if not held:
+            return
+        summed_up()
+        *columns, n = held[0]
+        some = np.flatnonzero(n >= least)
+        arrays = [signed(c[some]) for c in columns] + [pa.nulls(len(some), pa.int64())] * (3 - words)
+        yield pa.RecordBatch.from_arrays(arrays, ["g1", "g2", "g3"])
+
+    return run
+
+
+def differs(columns: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Where rows, taken in order, begin that are unlike the one before."""
+    new = np.concatenate([[True], np.zeros(len(order) - 1, bool)])
+    for c in columns:
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 def within(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether the filter may hold the hashes; it has a power of two of bits."""
     found = np.ones(len(hashes), bool)
@@ -226,7 +395,7 @@ def filter_bits(members: DataFrame, key: str, n: int) -> np.ndarray:
 
 
 def filtered_phrases(seed: int, bits, words: int, least: int):
-    """(g1, g2, g3, n cut off at least) of the pairs whose words, or the triples whose pairs, may be in the filter."""
+    """Parcels (symbols, number cut off at least) of the pairs whose words, or the triples whose pairs, may be in the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in held_symbols(batches, seed):
@@ -237,9 +406,8 @@ def filtered_phrases(seed: int, bits, words: int, least: int):
             at = np.flatnonzero(known[:-1] & known[1:] & (piece[: len(known) - 1] == piece[words - 1 :]))
             columns = [symbol[at + k] for k in range(words)]
             index, count = distinct(columns)
-            third = signed(columns[2][index]) if words == 3 else pa.nulls(len(index), pa.int64())
-            arrays = [signed(columns[0][index]), signed(columns[1][index]), third, pa.array(np.minimum(count, least).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(arrays, ["g1", "g2", "g3", "n"])
+            columns = [c[index] for c in columns]
+            yield parcels(mixed(triple_hash(*columns) if words == 3 else pair_hash(*columns)), [*columns, np.minimum(count, least).astype(np.int32)])
 
     return run
 
@@ -324,13 +492,24 @@ def accepted(trie: dict[str, np.ndarray], symbols: np.ndarray, at: np.ndarray, w
 
 
 #: What of a trie is sent to the tasks, and the kinds of its numbers.
-SENT = {"symbols": U64, "base": np.int32, "check": np.int32, "accepts": np.int32}
-TRIE = "shard int, n long, symbols binary, base binary, check binary, accepts binary, phrases binary"
+SENT = {"symbols": U64, "base": np.int32, "check": np.int32, "accepts": np.int32, "bits": np.uint8}
+TRIE = "shard int, n long, symbols binary, base binary, check binary, accepts binary, bits binary, phrases binary"
+
+
+def trie_bits(phrases: np.ndarray) -> np.ndarray:
+    """A bit filter of a trie's phrases, so that only positions where one may start are walked."""
+    g1, g2, g3 = phrases.T
+    hashes = mixed(np.where(g3 == 0, pair_hash(g1, g2), triple_hash(g1, g2, g3)))
+    size = max(1 << 9, 1 << (TRIE_BITS * len(phrases) - 1).bit_length())
+    out = np.zeros(size, bool)
+    for shift in (0, 32):
+        out[(hashes >> U64(shift)) & U64(size - 1)] = True
+    return np.packbits(out, bitorder="little")
 
 
 def build_shard(frame: pd.DataFrame) -> pd.DataFrame:
     phrases = frame[["g1", "g2", "g3"]].to_numpy(np.int64).view(U64)
-    made = build_trie(phrases) | {"phrases": phrases}
+    made = build_trie(phrases) | {"bits": trie_bits(phrases), "phrases": phrases}
     return pd.DataFrame([{"shard": frame["shard"].iloc[0], "n": len(frame), **{k: made[k].tobytes() for k in (*SENT, "phrases")}}])
 
 
@@ -341,31 +520,82 @@ def tries(candidates: DataFrame, shards: int) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(build_shard, TRIE)
 
 
-def count_phrases(seed: int, pack, shards: int):
-    """(shard, row, n): how often the phrases of a pack of tries occur in a task's texts."""
+class Placed:
+    """Positions of words that follow each other where a phrase of so many may start, with its hash, ordered by its trie."""
+
+    def __init__(self, symbol: np.ndarray, piece: np.ndarray, words: int, shards: int):
+        at = np.flatnonzero(piece[: 1 - words] == piece[words - 1 :]).astype(np.int32)
+        own = [symbol[at + k] for k in range(words)]
+        hashes = pair_hash(*own) if words == 2 else triple_hash(*own)
+        del own
+        # numbers of two bytes are sorted digit by digit
+        place = (hashes.view(np.int64) % shards).astype(np.int16 if shards < 1 << 15 else np.int32)
+        order = np.argsort(place, kind="stable")
+        self.bounds = np.searchsorted(place[order], np.arange(shards + 1))
+        self.at, self.hashes, self.symbol, self.words = at[order], mixed(hashes[order]), symbol, words
+
+    def hits(self, shard: int, trie: dict[str, np.ndarray]) -> np.ndarray:
+        mine = slice(self.bounds[shard], self.bounds[shard + 1])
+        return accepted(trie, self.symbol, self.at[mine][within(trie["bits"], self.hashes[mine])], self.words)
+
+
+def count_phrases(seed: int, packs: list, shards: int):
+    """(shard, rows, counts): how often the phrases of packs of tries occur in a task's texts, the numbers of a trie side by side.
+
+    A task goes through its texts once for all packs and holds one of them at a time: of several,
+    each is read again from the executor's disk for every stretch of words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = pack.value
-        counts = {k: np.zeros(t["n"], np.int64) for k, t in found.items()}
-        for held in held_symbols(batches, seed):
-            symbol, piece = held.arrays()
-            for words in (2, 3):
-                at = np.flatnonzero(piece[: 1 - words] == piece[words - 1 :]).astype(np.int32)
-                own = [symbol[at + k] for k in range(words)]
-                place = ((pair_hash(*own) if words == 2 else triple_hash(*own)).view(np.int64) % shards).astype(np.int32)
-                del own
-                order = np.argsort(place, kind="stable")
-                bounds = np.searchsorted(place[order], np.arange(shards + 1))
+        counts: dict[int, np.ndarray] = {}
+        for symbol, piece in joined(held_symbols(batches, seed), HELD * min(2, len(packs))):
+            placed = [Placed(symbol, piece, words, shards) for words in (2, 3)]
+            for pack in packs:
+                found = pack.value
                 for k, trie in found.items():
-                    hits = accepted(trie, symbol, at[order[bounds[k] : bounds[k + 1]]], words)
-                    counts[k] += np.bincount(hits, minlength=len(counts[k]))
+                    hits = np.concatenate([p.hits(k, trie) for p in placed])
+                    counts[k] = counts.get(k, 0) + np.bincount(hits, minlength=trie["n"])
+                del found, trie
+                if len(packs) > 1:
+                    vars(pack).pop("_value", None)  # what a worker keeps of a broadcast that it has read
         for k, n in counts.items():
             some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.repeat(np.int32(k), len(some)), pa.array(some.astype(np.int32)), pa.array(n[some])], ["shard", "row", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([some.astype(np.int32).tobytes()]), pa.array([n[some].tobytes()])], ["shard", "rows", "counts"])
 
     return run
 
 
+def summed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, rows, counts) of all tasks -> (shard, row, n)."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for shard, rows, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            rows, counts = np.frombuffer(rows.as_buffer(), np.int32), np.frombuffer(counts.as_buffer(), np.int64)
+            if not len(rows):
+                continue
+            held = sums.setdefault(shard, np.zeros(0, np.int64))
+            if len(held) <= rows[-1]:
+                held = sums[shard] = np.concatenate([held, np.zeros(rows[-1] + 1 - len(held), np.int64)])
+            held[rows] += counts
+    for shard, n in sums.items():
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.repeat(np.int32(shard), len(some)), pa.array(some.astype(np.int32)), pa.array(n[some])], ["shard", "row", "n"])
+
+
+def joined(stretches: Iterator[Symbols], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and pieces of stretches (of any language), laid together up to about so many words."""
+    held, words, pieces = [], 0, 0
+    for stretch in stretches:
+        symbol, piece = stretch.arrays()
+        held.append((symbol, piece + np.int32(pieces)))
+        words, pieces = words + len(symbol), pieces + stretch.pieces + 1
+        if words >= size:
+            yield np.concatenate([s for s, _ in held]), np.concatenate([p for _, p in held])
+            held, words, pieces = [], 0, 0
+    if words:
+        yield np.concatenate([s for s, _ in held]), np.concatenate([p for _, p in held])
+
+
 def phrases_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shard, phrases) -> (shard, row, g1, g2, g3)."""
     for batch in batches:
@@ -376,26 +606,28 @@ def phrases_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def counted_by_tries(texts: DataFrame, candidates: DataFrame, seed: int) -> DataFrame:
-    """(g1, g2, g3, n) of all candidates that occur: a pass over the texts for each pack of tries. At most PACK phrases, about 100 bytes each, are on the driver at a time."""
+    """(g1, g2, g3, n) of all candidates that occur, in one pass over the texts. At most PACK phrases, about 100 bytes each, are on the driver at a time."""
     shards = -(-candidates.count() // SHARD)
     if not shards:
         return candidates.select("g1", "g2", "g3", F.lit(0).cast("long").alias("n"))
     built = common.saved(tries(candidates, shards), "phrase-tries")
-    per_pack, sums = max(1, PACK // SHARD), []
+    per_pack, packs = max(1, PACK // SHARD), []
     for low in range(0, shards, per_pack):
         pack = {}
         # Arrow: what comes to the driver is passed on as it is, without a copy for each row
         rows = built.filter(F.col("shard").between(low, low + per_pack - 1)).select("shard", "n", *SENT).toArrow()
         for k in range(rows.num_rows):
             pack[rows["shard"][k].as_py()] = {"n": rows["n"][k].as_py()} | {name: np.frombuffer(rows[name][k].as_buffer(), kind) for name, kind in SENT.items()}
-        sent = texts.sparkSession.sparkContext.broadcast(pack)
-        del pack, rows
-        found = texts.mapInArrow(count_phrases(seed, sent, shards), "shard int, row int, n long")
-        sums.append(common.saved(found.groupBy("shard", "row").agg(F.sum("n").alias("n")), "phrase-counts"))
-        sent.destroy()
-    out = sums[0]
-    for more in sums[1:]:
-        out = out.unionByName(more)
+        del rows
+        if pack:
+            packs.append(texts.sparkSession.sparkContext.broadcast(pack))
+            # the driver needs a pack's file alone from here on
+            vars(packs[-1]).pop("_value", None)
+        del pack
+    found = texts.mapInArrow(count_phrases(seed, packs, shards), "shard int, rows binary, counts binary")
+    out = common.saved(dealt(found, "shard").mapInArrow(summed_counts, "shard int, row int, n long"), "phrase-counts")
+    for pack in packs:
+        pack.destroy()
     named = built.select("shard", "phrases").mapInArrow(phrases_of, "shard int, row int, g1 long, g2 long, g3 long")
     return out.join(named, ["shard", "row"]).select("g1", "g2", "g3", "n")
 
@@ -412,22 +644,21 @@ def count_table(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Dat
     """Frequent words (g, lang, word, n), sizes (lang, n), and the counts (g1, g2, g3, n) of all phrases of two and three words that reach the least count."""
     spark = texts.sparkSession
     for seed in range(SEEDS):
-        found = texts.mapInArrow(count_words(seed), "g long, lang string, word string, n long")
-        name = F.struct("lang", "word")
-        words = found.groupBy("g", F.when(F.col("g").isNull(), F.col("lang")).alias("of")).agg(F.sum("n").alias("n"), F.min(name).alias("name"), F.max(name).alias("other"))
-        words = common.saved(words.filter((F.col("n") >= least) | F.col("g").isNull()), "phrase-words")
-        if words.filter("g IS NOT NULL AND name <> other").isEmpty():
+        found = texts.mapInArrow(count_words(seed), WORD_PARCELS)
+        words = dealt(found).mapInArrow(merged_words(least), "g long, lang string, word string, n long, clash boolean")
+        words = common.saved(words, "phrase-words")
+        if words.filter("clash").isEmpty():
             break
     else:
         raise ValueError(f"words share a symbol under {SEEDS} seeds")
-    sizes = words.filter("g IS NULL").select(F.col("of").alias("lang"), "n")
-    words = words.filter("g IS NOT NULL").select("g", "name.lang", "name.word", "n")
+    sizes = words.filter("g IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    words = words.filter("g IS NOT NULL").select("g", "lang", "word", "n")
     levels, members, key = [], words, "g"
     for size in (2, 3):
         bits = spark.sparkContext.broadcast(filter_bits(members, key, members.count()))
-        rows = texts.mapInArrow(filtered_phrases(seed, bits, size, least), "g1 long, g2 long, g3 long, n int")
-        rows = rows.groupBy("g1", "g2", "g3").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        levels.append(common.saved(rows.select("g1", "g2", "g3"), "phrase-candidates"))
+        rows = texts.mapInArrow(filtered_phrases(seed, bits, size, least), "bucket int, " + ", ".join(f"c{k} binary" for k in range(size + 1)))
+        rows = dealt(rows).mapInArrow(merged_phrases(size, least), "g1 long, g2 long, g3 long")
+        levels.append(common.saved(rows, "phrase-candidates"))
         bits.destroy()
         members, key = levels[-1].select(F.expr(PAIR).alias("g")), "g"
     counts = counted_by_tries(texts, levels[0].unionByName(levels[1]), seed)

@@ -103,3 +103,29 @@ def test_tries_hold_what_they_were_built_from():
                 want[k][place[p]] += 1
     for k in (2, 3):
         assert Counter(collocations.accepted(trie, text, np.arange(len(text) - 2), k).tolist()) == want[k]
+
+
+def test_one_pass_over_the_texts_for_all_packs(spark, monkeypatch):
+    """Phrases of many packs of tries are counted in one pass, and what tasks counted is summed up piece by piece."""
+    for name, value in (("SHARD", 20), ("PACK", 40), ("MERGED", 50), ("BUCKETS", 8), ("HELD", 700), ("PLACES", 3)):
+        monkeypatch.setattr(collocations, name, value)
+    collocations.placed_tables.cache_clear()
+    passes, counting = [], collocations.count_phrases
+
+    def counted(seed, packs, shards):
+        passes.append(len(packs))
+        return counting(seed, packs, shards)
+
+    monkeypatch.setattr(collocations, "count_phrases", counted)
+    docs = [("en" if k % 3 else None, invented(k, 150)) for k in range(60)]
+    got = rows_of(collocations.collocations(spark.createDataFrame(docs, "lang string, text string").repartition(3)))
+    collocations.placed_tables.cache_clear()
+    assert got == force(docs, 10, 50, 2000) and len(passes) == 1 and passes[0] > 2
+
+
+def test_phrases_that_share_a_hash_are_summed_apart(monkeypatch):
+    monkeypatch.setattr(collocations, "pair_hash", lambda a, b: np.zeros(len(a), np.uint64))
+    a, b = np.array([5, 6, 5, 6, 5, 7], np.uint64), np.array([1, 1, 1, 1, 2, 1], np.uint64)
+    parcel = collocations.parcels(a * 0, [a, b, np.array([3, 1, 2, 9, 4, 5], np.int32)])
+    (found,) = collocations.merged_phrases(2, 5)(iter([parcel, parcel.slice(0, 0)]))
+    assert sorted(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True)) == [(5, 1), (6, 1), (7, 1)]

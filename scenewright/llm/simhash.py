@@ -110,7 +110,8 @@ def links(nodes: DataFrame) -> DataFrame:
     """nodes (fp, node), fp distinct -> pairs (a, b) of nodes that tie together all whose fingerprints differ in at most two bits."""
     indexed = variants(nodes)
     sizes = indexed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = common.saved(indexed.join(sizes, "key"), "simhash-variants")
+    # never broadcast: Spark takes the variants for no larger than the fingerprints, of which each has 64
+    shared = common.saved(indexed.join(sizes.hint("merge"), "key"), "simhash-variants")
     few = shared.filter(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list(F.struct("fp", "node")).alias("m"))
     verified = F.expr(
         f"""flatten(transform(m, (x, i) -> transform(

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from test_operators import low, table, words
 
-from scenewright.llm import queries, simhash
+from scenewright.llm import common, queries, simhash
 from scenewright.llm.components import components
 
 DATA = "/root/testdata/sf0.001"
@@ -84,3 +84,17 @@ def test_long_texts_in_blocks(monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 64)
     assert list(simhash.majorities([simhash.shingle_hashes(t) for t in texts])) == list(whole)
     assert [int(x) % (1 << 64) for x in whole] == [force(t) for t in texts]
+
+
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """A table of fingerprints below Spark's broadcast limit has 64 times as many variants, which Spark does not see."""
+    plans, saved = {}, common.saved
+
+    def seen(df, name, **more):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return saved(df, name, **more)
+
+    monkeypatch.setattr(common, "saved", seen)
+    nodes = saved(spark.range(2000).selectExpr("xxhash64(id) AS fp", "id AS node"), "nodes")
+    simhash.links(nodes).count()
+    assert "SortMergeJoin" in plans["simhash-variants"] and "Broadcast" not in plans["simhash-variants"]

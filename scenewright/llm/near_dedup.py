@@ -367,7 +367,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = WORDS, i
     bands = bands.select("node", F.xxhash64("band", "value").alias("key"))
     counts = bands.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
     large = Observation()
-    shared = bands.join(counts, "key").select("key", "node", "in_bucket")
+    # never broadcast: Spark takes the bands for no larger than the nodes, of which each has M / ROWS
+    shared = bands.join(counts.hint("merge"), "key").select("key", "node", "in_bucket")
     shared = common.saved(shared.observe(large, F.count_if(F.col("in_bucket") > BLOCK).alias("n")), "near-buckets")
     tree = propose(shared, reps, percent, bool(large.get["n"]))
     involved = tree.select(F.explode(F.array("a", "b")).alias("node")).distinct()

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from scenewright.llm import exact_dedup, fixity, media, near_dedup, packing, quality, repeats, sentencepieces, sharding, toxicity
+from scenewright.llm import common, exact_dedup, fixity, media, near_dedup, packing, quality, repeats, sentencepieces, sharding, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, score double, component_id long, spans string, digest string"
 
@@ -377,3 +377,16 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_bands_are_not_broadcast(spark, monkeypatch):
+    """Nodes below Spark's broadcast limit have 32 times as many bands, which Spark does not see."""
+    plans, saved = {}, common.saved
+
+    def seen(df, name, **more):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return saved(df, name, **more)
+
+    monkeypatch.setattr(common, "saved", seen)
+    near_dedup.near_duplicates(table(spark, [(k, f"a{k % 7} b c d e f g h", "s") for k in range(30)])).count()
+    assert "SortMergeJoin" in plans["near-buckets"] and "Broadcast" not in plans["near-buckets"]

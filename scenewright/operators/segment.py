@@ -84,20 +84,64 @@ def scenes(stories: DataFrame, *, target: int = 3500, minimum: int = 900, para_s
     )
 
 
+def page_shapes(pages: DataFrame) -> DataFrame:
+    """pages with `size`, the text's length, `paragraphs`, the lengths of its trimmed lines that are not empty, and `blank`, instead of the text."""
+    lines = F.filter(trimmed_items(F.split("text", "\n")), lambda p: p != "")
+    return pages.withColumns({"size": F.length("text"), "paragraphs": F.transform(lines, lambda p: F.length(p)), "blank": F.coalesce(F.btrim("text") == "", F.lit(True))}).drop("text")
+
+
+def story_shapes(pages: DataFrame, sections: DataFrame) -> DataFrame:
+    """stories() of pages joined by line breaks, with the lengths of their paragraphs (lines) instead of their texts."""
+    joined = page_sections(pages.filter(~F.col("blank")).select("document_id", "page_number", "paragraphs"), sections)
+    lengths = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "paragraphs"))), lambda p: p["paragraphs"]))
+    told = joined.groupBy("document_id", "section_order").agg(lengths.alias("paragraphs")).join(sections.select("document_id", "section_order", "page_start", "page_end"), ["document_id", "section_order"])
+    return told.withColumn("story_order", F.row_number().over(Window.partitionBy("document_id").orderBy("section_order")))
+
+
+def scene_shapes(stories: DataFrame, *, target: int = 3500, minimum: int = 900, gap: int = 1) -> DataFrame:
+    """scenes() of story_shapes: the same rule on lengths. `size` is null for a story that is one scene, whose pages are the story's."""
+    start = F.struct(F.array().cast("array<int>").alias("groups"), F.lit(-1).alias("now"), F.lit(0).alias("size"))
+
+    def add(s, n):
+        some = s["now"] >= 0
+        extra = n + F.when(some, gap).otherwise(0)
+        close = some & (s["size"] >= minimum) & (s["size"] + extra > target)
+        return F.struct(
+            F.when(close, F.concat(s["groups"], F.array(s["now"]))).otherwise(s["groups"]).alias("groups"),
+            F.when(close | ~some, n).otherwise(s["now"] + gap + n).alias("now"),
+            F.when(close, extra).otherwise(s["size"] + extra).alias("size"),
+        )
+
+    def finish(s):
+        last = F.size(s["groups"])
+        merged = F.concat(F.slice(s["groups"], 1, F.greatest(last - 1, F.lit(0))), F.array(F.try_element_at(s["groups"], F.greatest(last, F.lit(1))) + gap + s["now"]))
+        return F.when((last > 0) & (s["size"] < minimum), merged).otherwise(F.concat(s["groups"], F.array(s["now"])))
+
+    one = F.size("paragraphs") <= 1
+    cut = stories.filter(F.size("paragraphs") > 0).withColumn("strategy", F.when(one, "story_default").otherwise("paragraph_group"))
+    groups = F.when(one, F.array(F.lit(None).cast("int"))).otherwise(F.aggregate("paragraphs", start, add, finish))
+    cut = cut.select("document_id", "story_order", "page_start", "page_end", "strategy", F.posexplode(groups).alias("__i", "size"))
+    return cut.withColumn("scene_order", F.col("__i") + 1).drop("__i")
+
+
 STRETCH = 16_384
 
 
 def scene_pages(scenes: DataFrame, stories: DataFrame, pages: DataFrame, para_sep: str = "\n\n") -> DataFrame:
     """Scenes with the pages that their text touches, from running offsets of pages and scenes in the story.
 
+    Texts or shapes (page_shapes, story_shapes, scene_shapes): lengths are all that is looked at.
     Pages and scenes meet by stretches of STRETCH characters, so a long section is no single group.
     """
     gap = len(para_sep)
-    text = page_sections(pages.select("document_id", "page_number", "text").filter(F.btrim("text") != ""), stories)
+    size = lambda df: F.col("size") if "size" in df.columns else F.length("text")
+    told = pages.filter(~F.col("blank")) if "blank" in pages.columns else pages.filter(F.btrim("text") != "")
+    text = page_sections(told.select("document_id", "page_number", size(pages).alias("size")), stories)
     w = Window.partitionBy("document_id", "section_order").orderBy("page_number")
-    at = text.withColumn("until", F.sum(F.length("text") + gap).over(w) - gap).withColumn("since", F.col("until") - F.length("text"))
+    at = text.withColumn("until", F.sum(F.col("size") + gap).over(w) - gap).withColumn("since", F.col("until") - F.col("size"))
     s = Window.partitionBy("document_id", "story_order").orderBy("scene_order")
-    placed = scenes.withColumn("stop", F.sum(F.length("text") + gap).over(s) - gap).withColumn("start", F.col("stop") - F.length("text"))
+    sizes = scenes.select("document_id", "story_order", "scene_order", size(scenes).alias("size"))
+    placed = sizes.withColumn("stop", F.sum(F.col("size") + gap).over(s) - gap).withColumn("start", F.col("stop") - F.col("size"))
     keyed = placed.join(stories.select("document_id", "story_order", "section_order"), ["document_id", "story_order"])
     stretches = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / STRETCH), F.floor(F.greatest(F.col(a), F.col(b) - 1) / STRETCH))).alias("__stretch")
     left = keyed.select("document_id", "section_order", "story_order", "scene_order", "start", "stop", stretches("start", "stop"))

@@ -121,3 +121,26 @@ def test_scene_pages(spark):
 def test_scenes_keep_the_digits_of_their_paragraphs(spark):
     told = spark.createDataFrame([("d", 1, "t", 1, 1, "10 men\n\n 11 more 1 \n\n2")], "document_id string, story_order int, title string, page_start int, page_end int, text string")
     assert segment.scenes(told).first().text == "10 men\n\n11 more 1\n\n2"
+
+
+def test_scene_pages_from_lengths(spark, tmp_path, monkeypatch):
+    """Shapes of pages give the scenes, and the pages of scenes, that texts give; the query joins no texts."""
+    import random
+
+    from scenewright.plans import books
+
+    rng = random.Random(4)
+    line = lambda: rng.choice(["", " ", "\t", "  x ", "é" * rng.randint(1, 400), "w " * rng.randint(1, 900), " " + "y" * 3600])
+    rows = [(i, f"s{i % 3}", None if i % 41 == 7 else rng.choice(["", "  ", "One two\n", " Head \n\n", "a b c d e\n"]) + "\n".join(line() for _ in range(rng.randint(0, 6)))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumns({"lang": F.lit("en"), "n_chars": F.length("text")})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    book, told, cut = books.scenes_of(spark, str(tmp_path))
+    shape = segment.page_shapes(book)
+    short = segment.scene_shapes(segment.story_shapes(shape, books.sections(book)))
+    keys = ["document_id", "story_order", "scene_order", "strategy"]
+    size = F.when(F.col("strategy") != "story_default", F.length("text")).alias("size")
+    listed = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert listed(cut.select(*keys, size)) == listed(short.select(*keys, "size")) and short.filter("scene_order > 1").count() > 5
+    want = listed(segment.scene_pages(cut, told, book, para_sep="\n").select(*keys[:3], "page_start", "page_end"))
+    monkeypatch.setattr(segment, "stories", None)
+    assert listed(books.scene_page_ranges(spark, str(tmp_path))) == want

@@ -390,3 +390,16 @@ def test_bands_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(common, "saved", seen)
     near_dedup.near_duplicates(table(spark, [(k, f"a{k % 7} b c d e f g h", "s") for k in range(30)])).count()
     assert "SortMergeJoin" in plans["near-buckets"] and "Broadcast" not in plans["near-buckets"]
+
+
+def test_the_pipelines_near_copies_broadcast_no_bands(spark, monkeypatch):
+    plans, saved = {}, common.saved
+
+    def seen(df, name, **more):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return saved(df, name, **more)
+
+    monkeypatch.setattr(common, "saved", seen)
+    docs = table(spark, [(k, f"a{k % 7} b c d e f g h", "s") for k in range(30)])
+    assert dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "").count() == 7
+    assert "Broadcast" not in plans["near-buckets"]

@@ -174,6 +174,6 @@ def chunks(pages: DataFrame, sections: DataFrame, *, size: int = 2000, overlap:
     return chunk_texts(inside.unionByName(outside), size=size, overlap=overlap).drop("text").withColumnRenamed("chunk_text", "text")
 
 
-def events(scenes: DataFrame) -> DataFrame:
-    """One event per scene."""
-    return scenes.select("document_id", "story_order", "scene_order", F.lit(1).alias("event_order"), "text", F.lit(0.4).alias("confidence"))
+def events(scenes: DataFrame, *, more: tuple[str, ...] = ()) -> DataFrame:
+    """One event per scene. more: columns of the scene that its event has too."""
+    return scenes.select("document_id", "story_order", "scene_order", F.lit(1).alias("event_order"), "text", F.lit(0.4).alias("confidence"), *more)

@@ -144,3 +144,18 @@ def test_scene_pages_from_lengths(spark, tmp_path, monkeypatch):
     want = listed(segment.scene_pages(cut, told, book, para_sep="\n").select(*keys[:3], "page_start", "page_end"))
     monkeypatch.setattr(segment, "stories", None)
     assert listed(books.scene_page_ranges(spark, str(tmp_path))) == want
+
+
+def test_layers_of_the_union_are_written_once(spark):
+    """Sections, stories and scenes are made once, not for each layer that tells of them: of the documents only names and their counts are read again."""
+    import os
+
+    import pytest
+
+    from scenewright.plans import books
+
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("needs the test tables")
+    plan = books.rag_union_counts(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("n_chars#") <= 2
